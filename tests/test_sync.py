@@ -1,0 +1,272 @@
+"""Landing, the commit log and the sync of several streams."""
+
+import warnings
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import tidemark as tm
+from tidemark.operators import synclog
+
+CUT = "1998-01-01"
+
+
+def equal(left, right):
+    (row,) = tm.reconcile(left, right).collect()
+    return (row.missing, row.extra) == (0, 0)
+
+
+@pytest.fixture
+def db(spark, tmp_path):
+    """A one-schema source whose tables grow."""
+    src = tm.LakeSource(f"file:{tmp_path}/source", ("sales",), suffix="")
+
+    def arrive(stream, rows):
+        rows.write.mode("append").parquet(src.path("sales", stream))
+
+    return src, arrive
+
+
+def test_full_refresh_twice_is_the_same_state(spark, root, orders):
+    for _ in range(2):
+        tm.land(orders, root, "orders")
+    assert equal(orders, tm.current(spark, root, "orders"))
+    assert tm.read_log(spark, root, "orders").count() == 2
+
+
+def test_incremental_chain_equals_full_and_reruns_add_nothing(spark, root, orders, db):
+    src, arrive = db
+    plan = tm.StreamPlan("orders", "incremental", "o_orderdate")
+    cuts = ["1996-01-01", CUT, "1999-06-30", "2030-01-01"]
+    low = "1900-01-01"
+    for high in cuts:
+        day = F.col("o_orderdate")
+        arrive("orders", orders.filter((day > low) & (day <= high)))
+        low = high
+        (first,) = tm.sync(spark, src, root, [plan]).collect()
+        (again,) = tm.sync(spark, src, root, [plan]).collect()
+        assert first.n_rows > 0 and again.n_rows == 0 and again.hwm == first.hwm
+    assert equal(orders, tm.current(spark, root, "orders"))
+    modes = tm.read_log(spark, root, "orders").groupBy("mode").count().collect()
+    assert {r["mode"]: r["count"] for r in modes} == {"full": 1, "incremental": 7}
+
+
+def test_late_rows_at_the_mark(spark, root, orders, db):
+    """Half of the last day's rows, one of them twice, arrive after the sync."""
+    src, arrive = db
+    day = F.col("o_orderdate") == F.lit(CUT).cast("timestamp_ntz")
+    tied = orders.withColumn("o_orderdate", F.lit(CUT).cast("timestamp_ntz")).limit(40)
+    before = orders.filter(~day & (F.col("o_orderdate") < CUT)).unionAll(tied)
+    late = tied.limit(7).unionAll(tied.limit(1))
+    arrive("orders", before)
+    plan = tm.StreamPlan("orders", "incremental", "o_orderdate", inclusive=True)
+    tm.sync(spark, src, root, [plan])
+    arrive("orders", late)
+    (row,) = tm.sync(spark, src, root, [plan]).collect()
+    assert row.n_rows == 8
+    (row,) = tm.sync(spark, src, root, [plan]).collect()
+    assert row.n_rows == 0
+    assert equal(before.unionAll(late), tm.current(spark, root, "orders"))
+    exclusive = tm.read_incremental(spark, src, "orders", "o_orderdate", lo=CUT)
+    assert exclusive.count() == 0
+
+
+def test_rows_that_arrive_during_a_sync_wait_for_the_next(spark, root, db, monkeypatch):
+    """The mark is fixed before the rows are read, in a full sync too."""
+    src, arrive = db
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id bigint")
+    arrive("t", rows(1, 2, None))
+    import tidemark.operators.sync as sync_module
+
+    ask = sync_module.source_mark
+
+    def ask_then_arrive(*args, **named):
+        mark = ask(*args, **named)
+        arrive("t", rows(5, 9))
+        return mark
+
+    plan = tm.StreamPlan("t", "incremental", "id")
+    with monkeypatch.context() as patch, warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        patch.setattr(sync_module, "source_mark", ask_then_arrive)
+        commit = sync_module.sync_stream(spark, src, root, plan)
+    assert (commit.hwm, commit.n_rows) == ("2", 3)
+    assert any("NULL 'id'" in str(w.message) for w in seen)
+    (row,) = tm.sync(spark, src, root, [plan]).collect()
+    assert (row.hwm, row.n_rows) == ("9", 2)
+
+
+@pytest.mark.parametrize(
+    "dtype, values",
+    [
+        ("double", [0.1, 1e300, -2.5]),
+        ("decimal(38,10)", [Decimal("12345678901234567890.0000000001"), Decimal(1)]),
+        ("date", [date(2020, 2, 29), date(1999, 1, 1)]),
+        ("timestamp", [datetime(2021, 10, 31, 1, 30, 0, 123456)]),
+        ("timestamp_ntz", [datetime(2021, 10, 31, 1, 30, 0, 1)]),
+        ("string", ["z'\"", "a"]),
+        ("int", [-5, 3]),
+    ],
+)
+def test_the_mark_survives_the_log(spark, root, db, dtype, values):
+    src, arrive = db
+    arrive("t", spark.createDataFrame([(v,) for v in values], f"`c 1` {dtype}"))
+    plan = tm.StreamPlan("t", "incremental", "c 1", inclusive=True)
+    tm.sync(spark, src, root, [plan])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        (row,) = tm.sync(spark, src, root, [plan]).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row.n_rows == 0
+    assert tm.current(spark, root, "t").count() == len(values)
+
+
+def test_an_orphan_snapshot_is_not_read(spark, root, orders):
+    tm.land(orders.limit(10), root, "orders", sync_ms=100)
+    orders.write.parquet(synclog.snapshot_path(root, "orders", 200))
+    assert tm.current(spark, root, "orders").count() == 10
+    assert tm.latest_snapshot(spark, root, "orders").count() == 10
+    assert [r.sync_ms for r in tm.snapshot_history(spark, root, "orders").collect()] == [100]
+
+
+def test_nothing_is_overwritten(spark, root, orders):
+    tm.land(orders, root, "orders", sync_ms=100)
+    before = tm.current(spark, root, "orders")
+    with pytest.raises(ValueError, match="already"):
+        tm.land(orders, root, "orders", sync_ms=100)
+    tm.land(before.limit(3), root, "orders")
+    assert before.count() == 1500
+    assert tm.current(spark, root, "orders").count() == 3
+
+
+def test_drifted_snapshots_fail_by_name(spark, root):
+    tm.land(spark.sql("SELECT 1 AS a"), root, "t")
+    with pytest.raises(tm.SchemaDrift, match="a: int against string; b: absent"):
+        tm.land(spark.sql("SELECT 'x' AS a, 2 AS b"), root, "t", mode="incremental")
+    tm.land(spark.sql("SELECT 'x' AS a, 2 AS b"), root, "t")
+    assert tm.current(spark, root, "t").collect() == [("x", 2)]
+    # A log that names unlike snapshots is refused when read, too.
+    commit = synclog.last_commit(spark, root, "t")
+    other = spark.sql("SELECT 1L AS a, 2 AS b")
+    other.write.parquet(synclog.snapshot_path(root, "t", commit.sync_ms + 1))
+    synclog.append(
+        spark,
+        root,
+        synclog.Commit(
+            "t",
+            commit.sync_ms + 1,
+            "incremental",
+            n_rows=1,
+            schema_json=other.schema.json(),
+        ),
+    )
+    with pytest.raises(tm.SchemaDrift, match="a: string against bigint"):
+        tm.current(spark, root, "t")
+
+
+def test_empty_streams(spark, root, orders):
+    commit = tm.land(orders.limit(0), root, "orders")
+    assert commit.n_rows == 0
+    empty = tm.current(spark, root, "orders")
+    assert (empty.count(), empty.columns) == (0, orders.columns)
+    assert tm.latest_snapshot(spark, root, "orders").count() == 0
+    assert tm.snapshot_history(spark, root, "orders").count() == 0
+    with pytest.raises(tm.NoData, match="'nope'"):
+        tm.current(spark, root, "nope")
+
+
+@pytest.mark.parametrize("name", ["2023_ORDERS", "_hidden", "a/b c%+é.x", "#1:*"])
+def test_any_stream_name(spark, root, orders, name):
+    tm.land(orders.limit(5), root, name)
+    tm.land(orders.limit(5), root, name, mode="incremental")
+    assert tm.current(spark, root, name, with_sync_ms=True).count() == 10
+    assert [r.stream for r in tm.read_log(spark, root, name).collect()] == [name] * 2
+
+
+def test_oversized_partitions_are_cut(spark, root, orders):
+    tm.land(orders.coalesce(1), root, "orders", max_records_per_file=400)
+    assert len(tm.current(spark, root, "orders").inputFiles()) == 4
+
+
+def test_sync_goes_on_past_a_failing_stream(spark, root, orders, db):
+    src, arrive = db
+    arrive("good", orders)
+    plans = ["good", "bad", tm.StreamPlan("good", cursor="nope", target="worse")]
+    with pytest.raises(tm.SyncFailed, match="2 stream") as failed:
+        tm.sync(spark, src, root, plans)
+    assert failed.value.failures.keys() == {"bad", "worse"}
+    assert tm.current(spark, root, "good").count() == 1500
+    log = {r.stream: r for r in tm.read_log(spark, root).collect()}
+    assert (log["bad"]["mode"], log["good"]["mode"]) == ("failed", "full")
+    assert "no stream 'bad'" in log["bad"].error
+    with pytest.raises(tm.NoData):
+        tm.current(spark, root, "bad")
+
+
+def test_plans_are_checked():
+    with pytest.raises(ValueError, match="needs a cursor"):
+        tm.StreamPlan("t", "incremental")
+    with pytest.raises(ValueError, match="mode"):
+        tm.StreamPlan("t", "upsert")
+    with pytest.raises(ValueError, match="each once"):
+        tm.sync(None, None, "x", ["a", "a"])
+
+
+def test_a_changed_cursor_needs_a_full_sync(spark, root, orders, db):
+    src, arrive = db
+    arrive("orders", orders)
+    tm.sync(spark, src, root, [tm.StreamPlan("orders", "incremental", "o_orderdate")])
+    with pytest.raises(tm.SyncFailed, match="do a full sync"):
+        tm.sync(spark, src, root, [tm.StreamPlan("orders", "incremental", "o_orderkey")])
+
+
+def test_cursors_that_cannot_work(spark, root, db):
+    src, arrive = db
+    df = spark.sql("SELECT double('NaN') AS x, array(1) AS v, true AS b, 1 AS n")
+    arrive("t", df)
+    for column, why in (("x", "NaN"), ("v", "no order"), ("b", "no order"), ("q", "no column")):
+        with pytest.raises(tm.CursorRefused, match=why):
+            tm.read_incremental(spark, src, "t", column, lo=0)
+    with pytest.raises(tm.CursorRefused, match="NaN"):
+        tm.read_incremental(spark, src, "t", "x", lo=float("nan"), hi=1)
+    with pytest.raises(ValueError, match="landed"):
+        tm.read_incremental(spark, src, "t", "n", lo=1, hi=1, inclusive=True)
+
+
+def test_null_cursors(spark, root, db):
+    src, arrive = db
+    arrive("t", spark.createDataFrame([(1, None), (2, None)], "id int, amount double"))
+    df = tm.read_stream(spark, src, "t")
+    assert tm.read_incremental(spark, src, "t", "amount").count() == 0
+    with pytest.raises(tm.CursorRefused, match="unset in 2 rows"):
+        tm.require_cursor(df, "amount")
+    tm.require_cursor(df, "id")
+    plan = tm.StreamPlan("t", "incremental", "amount")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        (row,) = tm.sync(spark, src, root, [plan]).collect()
+    assert (row.n_rows, row.hwm) == (2, None)
+    arrive("t", spark.createDataFrame([(3, 0.5)], "id int, amount double"))
+    (row,) = tm.sync(spark, src, root, [plan]).collect()
+    assert (row.n_rows, row.hwm) == (1, "0.5")
+
+
+def test_tables(spark, root, orders):
+    tm.write_table(orders.limit(4), root, "t", mode="append")
+    tm.write_table(orders.limit(4), root, "t", mode="append")
+    assert tm.current(spark, root, "t").count() == 8
+    tm.write_table(orders.limit(2), root, "t")
+    assert tm.current(spark, root, "t").count() == 2
+    with pytest.raises(ValueError, match="mode"):
+        tm.write_table(orders, root, "t", mode="merge")
+
+
+def test_decimals_are_landed_as_they_are(spark, root):
+    df = spark.sql("SELECT cast(12345678901234.5678 AS decimal(18,4)) AS amount")
+    tm.land(df, root, "t")
+    assert tm.current(spark, root, "t").dtypes == [("amount", "decimal(18,4)")]
+    assert tm.current(spark, root, "t").first().amount == Decimal("12345678901234.5678")

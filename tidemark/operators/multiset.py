@@ -2,7 +2,7 @@
 
 Both sides are stacked and counted per distinct row: one shuffle, and copies
 collapse before it, so a row that makes up a large share of a table costs one
-record per task. Unlike ``exceptAll`` no step replays all copies in one task.
+record per task. Unlike ``exceptAll`` no task replays all copies of a row.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import SchemaDrift
 from tidemark.functions.cursors import column
 from tidemark.functions.schemas import differences
+from tidemark.session import scratch_dir
 
 LEFT, RIGHT = "__left", "__right"
 COPIES_PER_STEP = 100_000
@@ -38,35 +39,42 @@ def subtract_all(
 ) -> DataFrame:
     """Rows of ``left`` less those of ``right``, copy by copy.
 
-    Rows with more surplus copies than ``step`` are first cut into runs of that
-    length and the runs spread over tasks; the others expand where they are.
+    The surplus per distinct row is written to the shared folder first: a database
+    read twice could answer differently, and the largest surplus decides how to go
+    on. Rows with more copies than ``step`` are cut into runs of that length and
+    the runs spread over tasks; the others expand where they are.
     """
     spark = left.sparkSession
     columns = [column(c) for c in left.columns]
     n, run = F.col("__n"), F.col("__run")
+    folder = scratch_dir(spark, "surplus")
     surplus = copy_counts(left, right).select(
         *columns, (F.col(LEFT) - F.col(RIGHT)).alias("__n")
     )
-    first, size = F.lit(1).cast("bigint"), F.lit(step).cast("bigint")
+    surplus.filter(n > 0).write.parquet(folder)
+    surplus = spark.read.schema(surplus.schema).parquet(folder)
+    most = surplus.agg(F.max("__n")).first()[0] or 0
+    if most <= 1:
+        return surplus.select(*columns)
 
-    few = surplus.filter((n > 0) & (n <= size)).select(
+    first = F.lit(1).cast("bigint")
+    few = surplus.filter(n <= step).select(
         *columns, F.explode(F.sequence(first, n)).alias("__copy")
     )
-    # A given partition count, so that the few bytes of runs are not merged again.
+    if most <= step:
+        return few.select(*columns)
+    # A given partition count: by size the runs would be merged into one task again.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = F.explode(F.expr(f"sequence(0L, (__n - 1) div {step}L)"))
     many = (
-        surplus.filter(n > size)
-        .select(
-            *columns,
-            n.alias("__n"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / size))).alias(
-                "__run"
-            ),
-        )
+        surplus.filter(n > step)
+        .select(*columns, n, runs.alias("__run"))
         .repartition(tasks, "__run")
         .select(
             *columns,
-            F.explode(F.sequence(first, F.least(size, n - run * size))).alias("__copy"),
+            F.explode(F.sequence(first, F.least(F.lit(step), n - run * step))).alias(
+                "__copy"
+            ),
         )
     )
     return few.unionByName(many).select(*columns)

@@ -120,6 +120,8 @@ def write_csv(
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')
+        # The writer would quote a leading "#" as if it began a comment.
+        .option("comment", "\x01")
         .option("emptyValue", empty)
         .option("nullValue", empty)
         .option("ignoreLeadingWhiteSpace", False)
