@@ -224,9 +224,7 @@ def profile_info(spark, sf_dir):
 
 
 def stream_shape(spark, sf_dir):
-    return _long(
-        _union(tm.stream_shape(_table(spark, sf_dir, t), t) for t in TABLES)
-    )
+    return _long(tm.stream_shapes({t: _table(spark, sf_dir, t) for t in TABLES}))
 
 
 def column_list(spark, sf_dir):

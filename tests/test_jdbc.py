@@ -147,6 +147,14 @@ def test_key_split_reads_every_row_once_and_evenly(spark, ansi_names, orders):
     assert max(sizes[1:]) - min(sizes[1:]) < 30 and sizes[0] - unset < max(sizes) + 30
 
 
+def test_key_split_covers_decimals(spark, ansi_names):
+    df = spark.sql(
+        "SELECT cast(id - 50 AS decimal(20,2)) / 4 AS id FROM range(100)"
+        " UNION ALL SELECT cast(NULL AS decimal(20,2))"
+    )
+    assert sum(share_sizes(df, tm.key_split("id", 7))) == 101
+
+
 def test_predicates_run_on_another_engine():
     db = duckdb.connect()
     db.execute(
@@ -271,6 +279,27 @@ def test_stride_bounds_come_from_the_database(spark, stand_in):
     assert (stride.column, stride.lower, stride.partitions) == ("o_orderkey", "0", 8)
 
 
+def test_reads_are_cut_by_what_is_known(spark, stand_in, root, orders):
+    """Equal widths at first, remainders for an increment, equal counts after."""
+    arrive, asked = stand_in
+
+    def run(mode):
+        asked.clear()
+        plan = tm.StreamPlan(
+            "2023_ORDERS", mode, "o_orderdate", split_by="o_orderkey", tasks=4
+        )
+        tm.sync(spark, SRC, root, [plan])
+        (cut,) = [p for table, p in asked if table == '"SALES"."2023_ORDERS"']
+        return cut
+
+    assert run("incremental") == tm.Stride("o_orderkey", "0", "1499", 4)
+    arrive(orders.filter("o_orderdate > '1998-01-01'"))
+    assert run("incremental") == tm.key_split("o_orderkey", 4)
+    assert len(run("full").predicates) == 4
+    (same,) = tm.reconcile(orders, tm.current(spark, root, "2023_ORDERS")).collect()
+    assert (same.n_target, same.missing, same.extra) == (1500, 0, 0)
+
+
 def test_unknown_owner_fails_by_name(spark, stand_in):
     with pytest.raises(tm.UnknownStream, match="'sales'"):
         tm.discover(spark, SRC, schemas=["SALES", "sales"])

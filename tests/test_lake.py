@@ -264,6 +264,8 @@ def test_profiles(spark):
     assert [r["a.b"] for r in tm.preview_head(df, "a.b", 2).collect()] == [1, 2]
     assert tm.stream_shape(df, "t").first() == ("t", 4, 3)
     assert [tuple(r) for r in tm.column_list(df).collect()] == [(1, "a.b"), (2, "x"), (3, "s")]
+    shapes = tm.stream_shapes({"t": df, "none": df.limit(0).select("x")})
+    assert {tuple(r) for r in shapes.collect()} == {("t", 3, 4), ("none", 1, 0)}
     empty = tm.profile_info(df.limit(0)).collect()
     assert [r.n_rows for r in empty] == [0, 0, 0]
 

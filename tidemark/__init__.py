@@ -20,6 +20,7 @@ from tidemark.operators.profile import (
     profile_info,
     require_cursor,
     stream_shape,
+    stream_shapes,
 )
 from tidemark.operators.raw import land_raw
 from tidemark.operators.reconcile import reconcile
@@ -89,6 +90,7 @@ __all__ = [
     "source_mark",
     "store_conf",
     "stream_shape",
+    "stream_shapes",
     "sync",
     "sync_file_history",
     "uri",

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import CursorRefused
 from tidemark.functions.cursors import column, cursor_type
+from tidemark.functions.frames import small_frame
+
+_COLUMNS = T.StructType(
+    [T.StructField("ordinal", T.IntegerType()), T.StructField("column_name", T.StringType())]
+)
+_SHAPES = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        T.StructField("n_cols", T.IntegerType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
 
 
 def preview_head(df: DataFrame, key: str | list[str], n: int = 5) -> DataFrame:
@@ -48,10 +62,24 @@ def stream_shape(df: DataFrame, stream: str) -> DataFrame:
     )
 
 
+def stream_shapes(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and columns of many streams: all scans in one stage, one exchange."""
+    spark = next(iter(frames.values())).sparkSession
+    one = F.lit(1).cast("bigint").alias("n")
+    # A line of weight zero keeps streams without rows.
+    lines = small_frame(
+        spark, [(name, len(df.columns), 0) for name, df in frames.items()], _SHAPES
+    )
+    for name, df in frames.items():
+        width = F.lit(len(df.columns)).alias("n_cols")
+        lines = lines.union(df.select(F.lit(name).alias("stream"), width, one))
+    return lines.groupBy("stream", "n_cols").agg(F.sum("n").alias("n_rows"))
+
+
 def column_list(df: DataFrame) -> DataFrame:
     """Column names in order, from the schema alone."""
     rows = [(i, name) for i, name in enumerate(df.columns, 1)]
-    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string")
+    return small_frame(df.sparkSession, rows, _COLUMNS)
 
 
 def cursor_profile(df: DataFrame, cursor: str) -> DataFrame:

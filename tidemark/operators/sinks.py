@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,8 @@ def land(
     ``full`` replaces the stream's state, ``incremental`` adds to it. The data is
     written to a new folder and becomes visible with the log row; if the job dies
     between the two, the folder stays unread. Nothing is overwritten, so readers
-    of the old state are not disturbed. Row counts come from the landed files'
-    footers, never from reading the source again.
+    of the old state are not disturbed. Row counts come from the landed files,
+    without a cursor from their footers alone, never from the source again.
 
     One task writes one file per partition of ``df``; ``max_records_per_file``
     cuts the file of an oversized one.
@@ -60,7 +61,14 @@ def land(
     df.write.mode("errorifexists").option("compression", "snappy").option(
         "maxRecordsPerFile", max_records_per_file
     ).parquet(path)
-    n_rows = spark.read.schema(df.schema).parquet(path).count()
+    landed = spark.read.schema(df.schema).parquet(path)
+    given = F.count(column(cursor)) if cursor else F.count(F.lit(1))
+    n_rows, n_set = landed.agg(F.count(F.lit(1)), given).first()
+    if n_set < n_rows:
+        warnings.warn(
+            f"{stream!r}: rows with NULL {cursor!r} come only with a full sync",
+            stacklevel=2,
+        )
     commit = Commit(
         stream, sync_ms, mode, cursor, hwm, n_rows, nullable(df.schema).json()
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import NoData, SchemaDrift
+from tidemark.functions.frames import empty_frame
 from tidemark.functions.keys import sync_epoch, utc_time
 from tidemark.functions.schemas import differences
 from tidemark.operators import synclog
@@ -32,7 +33,7 @@ def _read(
     if with_sync_ms:
         full = T.StructType([*schema.fields, T.StructField("sync_ms", T.LongType())])
     if not sync_ids:
-        return spark.createDataFrame([], full)
+        return empty_frame(spark, full)
     reader = spark.read.schema(full)
     if with_sync_ms:
         reader = reader.option("basePath", synclog.stream_path(root, stream))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -10,15 +9,22 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.config import Source
+from tidemark.config import JdbcSource, Source
 from tidemark.errors import CursorRefused, SyncFailed, first_line
 from tidemark.functions.cursors import column, cursor_type, from_text
 from tidemark.operators import synclog
 from tidemark.operators.sinks import land
 from tidemark.operators.snapshots import current
 from tidemark.operators.synclog import FAILED, FULL, INCREMENTAL, LOG, Commit
-from tidemark.sources.jdbc import Split, Stride
-from tidemark.sources.streams import read_incremental, read_stream, source_mark
+from tidemark.sources.jdbc import (
+    Split,
+    Stride,
+    balanced_cuts,
+    key_split,
+    range_split,
+    stride_for,
+)
+from tidemark.sources.streams import newer_rows, owner, read_stream, source_mark
 
 
 @dataclass(frozen=True)
@@ -27,7 +33,9 @@ class StreamPlan:
 
     ``incremental`` falls back to a full sync while the stream has none.
     ``inclusive`` also picks up late rows at the last seen cursor value.
-    ``target`` is the stream's name in the lake, if it should differ.
+    ``target`` is the stream's name in the lake, if it should differ. A database
+    read is one task unless ``partition`` or an integer or decimal ``split_by``
+    column, cut for ``tasks`` readers, says how to share it out.
     """
 
     stream: str
@@ -38,6 +46,8 @@ class StreamPlan:
     inclusive: bool = False
     target: str | None = None
     max_records_per_file: int = 0
+    split_by: str | None = None
+    tasks: int = 64
 
     def __post_init__(self):
         if self.mode not in (FULL, INCREMENTAL):
@@ -65,98 +75,88 @@ def sync_stream(
     next sync could read some twice.
     """
     last = synclog.last_commit(spark, root, plan.name)
-    if plan.mode == INCREMENTAL and last is not None:
-        return _add_newer(spark, src, root, plan, last, sync_ms)
-
-    df = read_stream(spark, src, plan.stream, plan.partition, plan.schema)
-    mark = None
+    adds = plan.mode == INCREMENTAL and last is not None
+    if adds and last["cursor"] != plan.cursor:
+        raise CursorRefused(
+            f"{plan.name!r} was synced by {last['cursor']!r}, not {plan.cursor!r};"
+            " do a full sync"
+        )
+    partition = _partition(spark, src, root, plan, last, adds)
+    df = read_stream(spark, src, plan.stream, partition, plan.schema)
+    mark = since = last["hwm"] if adds else None
     if plan.cursor:
         dtype, at = cursor_type(df, plan.cursor), column(plan.cursor)
-        mark = source_mark(spark, src, plan.stream, plan.cursor, plan.schema)
-        unset = at.isNull()
-        df = df.filter(
-            unset if mark is None else (at <= from_text(mark, dtype)) | unset
+        mark = source_mark(
+            spark, src, plan.stream, plan.cursor, plan.schema, above=since, df=df
         )
-    commit = land(
+    if not adds:
+        if plan.cursor:
+            unset = at.isNull()
+            df = df.filter(
+                unset if mark is None else (at <= from_text(mark, dtype)) | unset
+            )
+    else:
+        if mark is None:  # nothing above the last mark
+            mark = since
+        inclusive = plan.inclusive and since is not None
+        if mark is None or (mark == since and not inclusive):
+            return _nothing_newer(spark, root, plan, last, sync_ms)
+        df = newer_rows(
+            df,
+            plan.cursor,
+            None if since is None else from_text(since, dtype),
+            from_text(mark, dtype),
+            inclusive,
+            current(spark, root, plan.name) if inclusive else None,
+        )
+    return land(
         df,
         root,
         plan.name,
-        FULL,
+        INCREMENTAL if adds else FULL,
         sync_ms,
         plan.cursor,
         mark,
         plan.max_records_per_file,
         last=last,
     )
-    if plan.cursor:
-        _warn_of_nulls(spark, root, plan)
-    return commit
 
 
-def _warn_of_nulls(spark: SparkSession, root: str, plan: StreamPlan) -> None:
-    landed = current(spark, root, plan.name)
-    if landed.filter(column(plan.cursor).isNull()).limit(1).count():
-        warnings.warn(
-            f"{plan.name!r}: rows with NULL {plan.cursor!r} come only with a full sync",
-            stacklevel=3,
-        )
-
-
-def _add_newer(
-    spark: SparkSession,
-    src: Source,
-    root: str,
-    plan: StreamPlan,
-    last,
-    sync_ms: int | None,
+def _nothing_newer(
+    spark: SparkSession, root: str, plan: StreamPlan, last, sync_ms: int | None
 ) -> Commit:
-    if last["cursor"] != plan.cursor:
-        raise CursorRefused(
-            f"{plan.name!r} was synced by {last['cursor']!r}, not {plan.cursor!r};"
-            " do a full sync"
-        )
-    dtype = cursor_type(read_stream(spark, src, plan.stream, schema=plan.schema), plan.cursor)
-    since = last["hwm"]
-    mark = source_mark(spark, src, plan.stream, plan.cursor, plan.schema, above=since)
-    # A database reports its maximum even when nothing is newer.
-    newest = since if mark is None else mark
-    if newest is None or (newest == since and not plan.inclusive):
-        commit = Commit(
-            plan.name,
-            synclog.next_sync_ms(last) if sync_ms is None else sync_ms,
-            INCREMENTAL,
-            plan.cursor,
-            since,
-            0,
-            last["schema_json"],
-        )
-        synclog.append(spark, root, commit)
-        return commit
-    lo = None if since is None else from_text(since, dtype)
-    inclusive = plan.inclusive and lo is not None
-    df = read_incremental(
-        spark,
-        src,
-        plan.stream,
-        plan.cursor,
-        lo,
-        from_text(newest, dtype),
-        inclusive,
-        current(spark, root, plan.name) if inclusive else None,
-        plan.partition,
-        plan.schema,
-    )
-    return land(
-        df,
-        root,
+    """A log row without a snapshot."""
+    commit = Commit(
         plan.name,
+        synclog.next_sync_ms(last) if sync_ms is None else sync_ms,
         INCREMENTAL,
-        sync_ms,
         plan.cursor,
-        newest,
-        plan.max_records_per_file,
-        last=last,
+        last["hwm"],
+        0,
+        last["schema_json"],
     )
+    synclog.append(spark, root, commit)
+    return commit
+
+
+def _partition(
+    spark: SparkSession, src: Source, root: str, plan: StreamPlan, last, adds: bool
+) -> Stride | Split | None:
+    """How a database read is cut: as given, or by ``split_by``.
+
+    A full read takes ranges of about equal row counts, found in the landed copy;
+    a first one takes equal-width ranges. An increment lies anywhere in the key's
+    range, so it is cut by remainder: each task looks only at rows above the mark.
+    """
+    if plan.partition or not plan.split_by or not isinstance(src, JdbcSource):
+        return plan.partition
+    if adds:
+        return key_split(plan.split_by, plan.tasks)
+    if last is None or not last["n_rows"]:
+        owned_by = owner(src, plan.schema)
+        return stride_for(spark, src, owned_by, plan.stream, plan.split_by, plan.tasks)
+    landed = current(spark, root, plan.name)
+    return range_split(plan.split_by, balanced_cuts(landed, plan.split_by, plan.tasks))
 
 
 def each_stream(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import condition
+from tidemark.functions.frames import empty_frame
 from tidemark.functions.keys import path_segment, uri
 
 FULL, INCREMENTAL, FAILED = "full", "incremental", "failed"
@@ -87,7 +88,7 @@ def read_log(spark: SparkSession, root: str, stream: str | None = None) -> DataF
     except AnalysisException as error:
         if condition(error) != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LOG)
+        return empty_frame(spark, LOG)
 
 
 def committed(spark: SparkSession, root: str, stream: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.config import JdbcSource, LakeSource, Source
 from tidemark.errors import NoData, UnknownStream
+from tidemark.functions.frames import small_frame
 from tidemark.sources.jdbc import dictionary_query, read_table
 from tidemark.sources.lake import list_objects, read_lake
 
@@ -55,7 +56,7 @@ def _lake_catalog(
     # One footer per stream; threads only overlap the waiting.
     with ThreadPoolExecutor(8) as pool:
         rows = [row for part in pool.map(columns, sorted(streams)) for row in part]
-    return spark.createDataFrame(rows, CATALOG)
+    return small_frame(spark, rows, CATALOG)
 
 
 def discover(
@@ -81,8 +82,8 @@ def discover(
 def _require(catalog: DataFrame, key: str, names: Sequence[str], what: str) -> None:
     if not names:
         return
-    wanted = catalog.sparkSession.createDataFrame([(n,) for n in names], f"{key} string")
-    missing = [r[0] for r in wanted.join(catalog, key, "left_anti").collect()]
+    found = catalog.filter(F.col(key).isin(names)).select(key).distinct().collect()
+    missing = set(names) - {r[0] for r in found}
     if missing:
         raise UnknownStream(f"no such {what}: {', '.join(map(repr, sorted(missing)))}")
 

@@ -68,11 +68,12 @@ def sql_literal(value) -> str:
 
 
 def key_split(key: str, partitions: int) -> Split:
-    """Rows by the remainder of an integer key; NULL keys go with the first."""
+    """Rows by the remainder of an integer or decimal key; NULLs go with the first."""
     name = quoted(key)
     return Split(
         tuple(
-            f"ABS(MOD({name}, {partitions})) = {i}" + ("" if i else f" OR {name} IS NULL")
+            f"ABS(MOD(FLOOR({name}), {partitions})) = {i}"
+            + ("" if i else f" OR {name} IS NULL")
             for i in range(partitions)
         )
     )

@@ -58,13 +58,16 @@ def source_mark(
     cursor: str,
     schema: str | None = None,
     above: str | None = None,
+    df: DataFrame | None = None,
 ) -> str | None:
     """The cursor's maximum now, as log text; None when there is no such value.
 
     A database computes it itself. On a lake ``above`` limits the scan to row
     groups that can hold a newer value; without one the answer is then None.
+    ``df`` is the stream where the caller has read it already.
     """
-    df = read_stream(spark, src, stream, schema=schema)
+    if df is None:
+        df = read_stream(spark, src, stream, schema=schema)
     dtype = cursor_type(df, cursor)
     if isinstance(src, JdbcSource):
         query = jdbc.max_query(owner(src, schema), stream, cursor)
@@ -79,6 +82,28 @@ def source_mark(
     return row["mark"] if row else None
 
 
+def newer_rows(
+    df: DataFrame,
+    cursor: str,
+    lo,
+    hi,
+    inclusive: bool = False,
+    landed: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of ``df`` with ``lo < cursor <= hi``, see ``read_incremental``."""
+    dtype, at = cursor_type(df, cursor), column(cursor)
+    upto = at <= bound(hi, dtype)
+    if lo is None:
+        return df.filter(upto)
+    lo = bound(lo, dtype)
+    newer = df.filter((at > lo) & upto)
+    if not inclusive:
+        return newer
+    if landed is None:
+        raise ValueError("inclusive needs the rows landed so far")
+    return newer.unionByName(subtract_all(df.filter(at == lo), landed.filter(at == lo)))
+
+
 def read_incremental(
     spark: SparkSession,
     src: Source,
@@ -101,19 +126,9 @@ def read_incremental(
     also takes the rows at ``lo`` that ``landed`` does not hold yet, copies counted.
     """
     df = read_stream(spark, src, stream, partition, schema)
-    dtype, at = cursor_type(df, cursor), column(cursor)
     if hi is None:
-        mark = source_mark(spark, src, stream, cursor, schema)
+        mark = source_mark(spark, src, stream, cursor, schema, df=df)
         if mark is None:
             return df.filter(F.lit(False))
-        hi = from_text(mark, dtype)
-    rows = at <= bound(hi, dtype)
-    if lo is None:
-        return df.filter(rows)
-    lo = bound(lo, dtype)
-    newer = df.filter((at > lo) & rows)
-    if not inclusive:
-        return newer
-    if landed is None:
-        raise ValueError("inclusive needs the rows landed so far")
-    return newer.unionByName(subtract_all(df.filter(at == lo), landed.filter(at == lo)))
+        hi = from_text(mark, cursor_type(df, cursor))
+    return newer_rows(df, cursor, lo, hi, inclusive, landed)
