@@ -122,6 +122,16 @@ def select_streams(spark, sf_dir):
     return _long(chosen.select("stream", "ordinal", "column_name"))
 
 
+def configured_catalog(spark, sf_dir):
+    plans = [
+        tm.StreamPlan("orders", "incremental", "o_orderdate"),
+        tm.StreamPlan("events", "incremental", "ts"),
+        "lineitem",
+    ]
+    catalog = tm.discover(spark, _lake(sf_dir))
+    return tm.configured_catalog(catalog, plans).drop("schema_name", "target")
+
+
 def list_objects(spark, sf_dir):
     return tm.list_objects(spark, sf_dir).select("object_name")
 
@@ -312,6 +322,7 @@ _QUERIES = (
     discover_catalog,
     filter_schema,
     select_streams,
+    configured_catalog,
     list_objects,
     prefix_filter,
     extension_filter,
@@ -390,6 +401,11 @@ def oracle_sql() -> dict[str, str]:
         "select_streams": f"SELECT table_name AS stream, {columns}"
         " FROM information_schema.columns"
         " WHERE table_schema = 'main' AND table_name IN ('orders', 'lineitem')",
+        "configured_catalog": "SELECT table_name AS stream,"
+        " CASE table_name WHEN 'lineitem' THEN 'full' ELSE 'incremental' END AS mode,"
+        " CASE table_name WHEN 'orders' THEN 'o_orderdate' WHEN 'events' THEN 'ts' END AS cursor,"
+        " count(*) AS n_columns FROM information_schema.columns WHERE table_schema = 'main'"
+        " AND table_name IN ('orders', 'events', 'lineitem') GROUP BY table_name",
         "list_objects": objects + _names(),
         "prefix_filter": objects + _names(" AND starts_with(table_name, 'pa')"),
         "extension_filter": "SELECT 'raw/' || object_name AS object_key FROM"

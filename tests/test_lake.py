@@ -2,10 +2,12 @@
 
 import glob
 import shutil
+from types import SimpleNamespace
 
 import pytest
 
 import tidemark as tm
+from tidemark.session import shared_dir
 from tidemark.sources.lake import glob_escape
 
 LAKE = tm.LakeSource("/root/testdata", ("sf0.001",))
@@ -231,16 +233,13 @@ def test_cache(spark, tmp_path, orders):
 
 
 def test_scratch_needs_a_shared_folder(spark):
-    class Elsewhere:
-        class conf:  # noqa: N801
-            @staticmethod
-            def get(key, default=None):
-                return "yarn" if key == "spark.master" else default
-
-    from tidemark.session import shared_dir
+    def session(master):
+        get = lambda key, default=None: master if key == "spark.master" else default
+        return SimpleNamespace(conf=SimpleNamespace(get=get))
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Elsewhere)
+        shared_dir(session("yarn"))
+    assert shared_dir(session("local[2]")) == shared_dir(session("local"))
     shared = spark.conf.get("spark.checkpoint.dir")
     assert tm.scratch_dir(spark, "x").startswith(shared)
     assert tm.scratch_dir(spark, "x") != tm.scratch_dir(spark, "x")

@@ -142,6 +142,22 @@ def test_migrate(spark, root):
         migrate(spark, SRC, root, ["Orders"])
     with pytest.raises(ValueError, match="not selected"):
         migrate(spark, SRC, root, ["nation"], {"orders": "o_orderdate"})
+    with pytest.raises(tm.CursorRefused, match="'orders' has no column 'O_ORDERDATE'"):
+        migrate(spark, SRC, root, ["orders"], {"orders": "O_ORDERDATE"})
+
+
+def test_migrate_from_two_schemas(spark, root):
+    both = tm.LakeSource("/root/testdata", ("sf0.001", "sf0.01"))
+    log = migrate(spark, both, root, ["labels"], {"labels": "doc_id"})
+    assert {(r.stream, r.n_rows) for r in log.collect()} == {
+        ("sf0.001.labels", 87),
+        ("sf0.01.labels", 399),
+    }
+    catalog = tm.discover(spark, both)
+    (row,) = tm.configured_catalog(
+        catalog, [tm.StreamPlan("labels", schema="sf0.01")]
+    ).collect()
+    assert (row.schema_name, row["mode"], row.n_columns) == ("sf0.01", "full", 3)
 
 
 def test_extract_keys_results_by_name(spark, root, tmp_path):

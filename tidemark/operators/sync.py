@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import JdbcSource, Source
 from tidemark.errors import CursorRefused, SyncFailed, first_line
 from tidemark.functions.cursors import column, cursor_type, from_text
+from tidemark.functions.frames import small_frame
 from tidemark.operators import synclog
 from tidemark.operators.sinks import land
 from tidemark.operators.snapshots import current
 from tidemark.operators.synclog import FAILED, FULL, INCREMENTAL, LOG, Commit
+from tidemark.sources.catalog import select
 from tidemark.sources.jdbc import (
     Split,
     Stride,
@@ -27,6 +31,14 @@ from tidemark.sources.jdbc import (
 from tidemark.sources.streams import newer_rows, owner, read_stream, source_mark
 
 
+_CONFIGURED = T.StructType(
+    [
+        T.StructField(n, T.StringType())
+        for n in ("stream", "target", "mode", "cursor", "in_schema")
+    ]
+)
+
+
 @dataclass(frozen=True)
 class StreamPlan:
     """How one stream is synced.
@@ -60,6 +72,39 @@ class StreamPlan:
         return self.target or self.stream
 
 
+def configured_catalog(catalog: DataFrame, plans: Iterable[StreamPlan | str]) -> DataFrame:
+    """What a sync would do: one row per selected stream, with mode and cursor.
+
+    Unknown streams and cursors fail by name, before any row is read.
+    """
+    plans = _as_plans(plans)
+    chosen = select(catalog, [p.stream for p in plans])
+    listed = small_frame(
+        catalog.sparkSession,
+        [(p.stream, p.name, p.mode, p.cursor, p.schema) for p in plans],
+        _CONFIGURED,
+    )
+    # The plans are the caller's own list, so they are the small side.
+    found = (
+        chosen.join(F.broadcast(listed), "stream")
+        .filter(F.col("schema_name") == F.coalesce("in_schema", "schema_name"))
+        .groupBy("schema_name", "stream", "target", "mode", "cursor")
+        .agg(
+            F.count(F.lit(1)).alias("n_columns"),
+            F.count_if(F.col("column_name") == F.col("cursor")).alias("n_cursors"),
+        )
+    )
+    lost = found.filter(F.col("cursor").isNotNull() & (F.col("n_cursors") == 0))
+    refused = [f"{r['stream']!r} has no column {r['cursor']!r}" for r in lost.collect()]
+    if refused:
+        raise CursorRefused("; ".join(sorted(refused)))
+    return found.drop("n_cursors")
+
+
+def _as_plans(plans: Iterable[StreamPlan | str]) -> list[StreamPlan]:
+    return [StreamPlan(p) if isinstance(p, str) else p for p in plans]
+
+
 def sync_stream(
     spark: SparkSession,
     src: Source,
@@ -205,9 +250,7 @@ def sync(
     ``parallel`` of them run at once so that small tables fill the gaps a large
     one leaves.
     """
-    plans: Sequence[StreamPlan] = [
-        StreamPlan(p) if isinstance(p, str) else p for p in plans
-    ]
+    plans = _as_plans(plans)
     names = [p.name for p in plans]
     if len(set(names)) != len(names) or not names:
         raise ValueError(f"streams must be given, each once: {names}")

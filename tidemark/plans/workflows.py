@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from tidemark.operators.profile import (
 )
 from tidemark.operators.raw import land_raw
 from tidemark.operators.sinks import write_csv
-from tidemark.operators.sync import StreamPlan, sync
+from tidemark.operators.sync import StreamPlan, configured_catalog, sync
 from tidemark.operators.synclog import FULL, INCREMENTAL
 from tidemark.sources.catalog import discover, select
 
@@ -34,15 +35,19 @@ def _plans(
     unknown = set(cursors) - {p["stream"] for p in pairs}
     if unknown:
         raise ValueError(f"cursors for streams that are not selected: {sorted(unknown)}")
-    return [
+    holders = Counter(p["stream"] for p in pairs)
+    plans = [
         StreamPlan(
-            p["stream"],
-            FULL if full_refresh or p["stream"] not in cursors else INCREMENTAL,
-            cursors.get(p["stream"]),
-            p["schema_name"],
+            stream,
+            FULL if full_refresh or stream not in cursors else INCREMENTAL,
+            cursors.get(stream),
+            schema,
+            target=f"{schema}.{stream}" if holders[stream] > 1 else None,
         )
-        for p in sorted(pairs)
+        for schema, stream in sorted((p["schema_name"], p["stream"]) for p in pairs)
     ]
+    configured_catalog(chosen, plans)
+    return plans
 
 
 def migrate(
@@ -56,7 +61,8 @@ def migrate(
 ) -> DataFrame:
     """Discover, select and land streams; returns the log rows.
 
-    Streams with a cursor are synced incrementally unless ``full_refresh``.
+    Streams with a cursor are synced incrementally unless ``full_refresh``. A name
+    that several schemas hold is landed as ``<schema>.<stream>``.
     """
     plans = _plans(spark, src, streams, cursors or {}, full_refresh)
     return sync(spark, src, root, plans, parallel=parallel)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return "file:" + tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -46,9 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = "file:" + tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
