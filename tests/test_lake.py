@@ -228,8 +228,11 @@ def test_cache(spark, tmp_path, orders):
     cache.put("2023_ORDERS", kept.limit(2))
     assert cache["2023_ORDERS"].count() == 2 and kept.count() == 1500
     assert list(cache) == ["2023_ORDERS"] and "x" not in cache
-    with pytest.raises(tm.UnknownStream, match="'x'"):
+    with pytest.raises(tm.UnknownStream, match="'x' is not cached; have .'2023_ORDERS'"):
         cache["x"]
+    again = tm.StreamCache(spark, cache.root)
+    assert "2023_ORDERS" in again and again.view("2023_ORDERS").count() == 2
+    assert spark.table("`2023_ORDERS`").count() == 2
 
 
 def test_scratch_needs_a_shared_folder(spark):

@@ -133,6 +133,21 @@ def test_an_orphan_snapshot_is_not_read(spark, root, orders):
     assert [r.sync_ms for r in tm.snapshot_history(spark, root, "orders").collect()] == [100]
 
 
+def test_a_job_that_dies_leaves_the_state(spark, root, orders):
+    """One of several tasks fails for good; the next sync goes on as if nothing was."""
+    tm.land(orders.limit(10), root, "orders")
+    broken = orders.repartition(4).withColumn(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") == 777, F.raise_error(F.lit("lost")).cast("bigint"))
+        .otherwise(F.col("o_orderkey")),
+    )
+    with pytest.raises(Exception, match="lost"):
+        tm.land(broken, root, "orders")
+    assert tm.current(spark, root, "orders").count() == 10
+    tm.land(orders, root, "orders", mode="incremental")
+    assert tm.current(spark, root, "orders").count() == 1510
+
+
 def test_nothing_is_overwritten(spark, root, orders):
     tm.land(orders, root, "orders", sync_ms=100)
     before = tm.current(spark, root, "orders")

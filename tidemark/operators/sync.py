@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import is_remote
 
 from tidemark.config import JdbcSource, Source
 from tidemark.errors import CursorRefused, SyncFailed, first_line
@@ -84,9 +85,8 @@ def configured_catalog(catalog: DataFrame, plans: Iterable[StreamPlan | str]) ->
         [(p.stream, p.name, p.mode, p.cursor, p.schema) for p in plans],
         _CONFIGURED,
     )
-    # The plans are the caller's own list, so they are the small side.
     found = (
-        chosen.join(F.broadcast(listed), "stream")
+        chosen.join(listed, "stream")
         .filter(F.col("schema_name") == F.coalesce("in_schema", "schema_name"))
         .groupBy("schema_name", "stream", "target", "mode", "cursor")
         .agg(
@@ -217,9 +217,16 @@ def each_stream(
     ends in ``SyncFailed``.
     """
     paths, failures = [], {}
+
+    def in_own_pool(name: str, job: Callable[[], Commit]) -> Commit:
+        # Streams share the cluster fairly where the scheduler mode is FAIR.
+        if not is_remote():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sync {name}")
+        return job()
+
     with ThreadPoolExecutor(max(1, parallel)) as pool:
         running = {
-            name: pool.submit(inheritable_thread_target(spark)(job))
+            name: pool.submit(inheritable_thread_target(spark)(in_own_pool), name, job)
             for name, job in work.items()
         }
         for name, job in running.items():
