@@ -173,13 +173,18 @@ def sync_files(spark, tmp_path):
         spark.sql(sql).coalesce(1).write.parquet(f"file:{tmp_path}/made{i}")
         (part,) = glob.glob(f"{tmp_path}/made{i}/part-*")
         shutil.copy(part, box / name)
+    (box / "deeper").mkdir()
+    shutil.copy(part, box / "deeper" / "2026_01_01_1767225600000_0.parquet")
+    shutil.copy(box / name, box / "2025_12_02_1764665901178_x.parquet")
     return f"file:{box}"
 
 
 def test_latest_sync_files(spark, sync_files):
     latest = tm.latest_sync_files(spark, sync_files)
-    assert (latest.count(), latest.columns) == (11, ["id", "s"])
-    assert len(latest.inputFiles()) == 2
+    assert latest.count() == 11
+    plan = latest._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    assert plan.collectLeaves().apply(0).metrics().get("numFiles").get().value() == 2
     history = tm.sync_file_history(spark, sync_files).orderBy("sync_ms").collect()
     assert [(r.sync_ms, str(r.synced_at), r.n_files) for r in history] == [
         (1764579501178, "2025-12-01 08:58:21.178000", 1),

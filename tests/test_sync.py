@@ -1,10 +1,13 @@
 """Landing, the commit log and the sync of several streams."""
 
 import warnings
+from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import tidemark as tm
@@ -53,6 +56,32 @@ def test_incremental_chain_equals_full_and_reruns_add_nothing(spark, root, order
     assert {r["mode"]: r["count"] for r in modes} == {"full": 1, "incremental": 7}
 
 
+ARRIVALS = st.lists(
+    st.lists(st.tuples(st.integers(0, 2), st.sampled_from("xy")), max_size=6),
+    min_size=2,
+    max_size=3,
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(steps=ARRIVALS)
+def test_syncs_follow_a_growing_source(spark, tmp_path_factory, steps):
+    """Each arrival starts at the value the last one ended with; copies are common."""
+    folder = f"file:{tmp_path_factory.mktemp('grow')}"
+    src = tm.LakeSource(f"{folder}/source", ("sales",), suffix="")
+    plan = tm.StreamPlan("t", "incremental", "c", inclusive=True)
+    top, rows = 0, []
+    for step in steps:
+        arrived = [(top + above, text) for above, text in step]
+        top = max([top, *(c for c, _ in arrived)])
+        rows += arrived
+        frame = spark.createDataFrame(arrived, "c bigint, s string").coalesce(1)
+        frame.write.mode("append").parquet(src.path("sales", "t"))
+        tm.sync(spark, src, f"{folder}/lake", [plan])
+        landed = tm.current(spark, f"{folder}/lake", "t").collect()
+        assert Counter(map(tuple, landed)) == Counter(rows)
+
+
 def test_late_rows_at_the_mark(spark, root, orders, db):
     """Half of the last day's rows, one of them twice, arrive after the sync."""
     src, arrive = db

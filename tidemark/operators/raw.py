@@ -51,7 +51,7 @@ def land_raw(
             df = read_lake(spark, files, one_schema=False)
         except SchemaDrift as error:
             raise SchemaDrift(f"dataset {name!r}: {first_line(error)}") from error
-        return land(df, target, name, mode)
+        return land(df, target, name, mode=mode)
 
     return each_stream(
         spark, target, {n: (lambda n=n: job(n)) for n in names}, parallel

@@ -22,8 +22,8 @@ def land(
     df: DataFrame,
     root: str,
     stream: str,
-    mode: str = FULL,
     sync_ms: int | None = None,
+    mode: str = FULL,
     cursor: str | None = None,
     hwm: str | None = None,
     max_records_per_file: int = 0,
@@ -95,7 +95,7 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -
         return
     last = synclog.last_commit(spark, root, table)
     adds = mode == "append" and last is not None
-    land(df, root, table, INCREMENTAL if adds else FULL, last=last)
+    land(df, root, table, mode=INCREMENTAL if adds else FULL, last=last)
 
 
 BOM = "\ufeff"

@@ -21,6 +21,9 @@ from tidemark.operators import synclog
 from tidemark.sources.lake import list_objects, read_lake
 
 
+_DATED = "[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9]"
+
+
 def _read(
     spark: SparkSession,
     root: str,
@@ -88,10 +91,12 @@ def snapshot_history(spark: SparkSession, root: str, stream: str) -> DataFrame:
 
 
 def _sync_files(spark: SparkSession, folder: str) -> DataFrame:
-    name = F.substring_index("object_name", "/", -1)
-    return list_objects(spark, folder, glob="*_*_*.parquet").select(
-        sync_epoch(name).alias("sync_ms"), "length"
-    ).filter(F.col("sync_ms").isNotNull())
+    """Sync files right in the folder; names with a slash lie deeper and fit no pattern."""
+    return (
+        list_objects(spark, folder, glob="*_*_*.parquet")
+        .select(sync_epoch("object_name").alias("sync_ms"), "length")
+        .filter(F.col("sync_ms").isNotNull())
+    )
 
 
 def latest_sync_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,8 +108,9 @@ def latest_sync_files(spark: SparkSession, folder: str) -> DataFrame:
     newest = _sync_files(spark, folder).agg(F.max("sync_ms")).first()[0]
     if newest is None:
         raise NoData(f"no sync file in {folder}")
-    reader = spark.read.option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", f"*_{newest}_*.parquet").parquet(folder)
+    rows = spark.read.option("pathGlobFilter", _DATED + f"_{newest}_*.parquet")
+    name = F.col("_metadata.file_name")
+    return rows.parquet(folder).filter(sync_epoch(name) == newest)
 
 
 def sync_file_history(spark: SparkSession, folder: str) -> DataFrame:

@@ -158,12 +158,12 @@ def sync_stream(
         df,
         root,
         plan.name,
-        INCREMENTAL if adds else FULL,
         sync_ms,
+        INCREMENTAL if adds else FULL,
         plan.cursor,
         mark,
         plan.max_records_per_file,
-        last=last,
+        last,
     )
 
 
