@@ -266,7 +266,8 @@ def latest_snapshot(spark, sf_dir):
 
 
 def snapshot_history(spark, sf_dir):
-    return tm.snapshot_history(spark, _two_snapshots(spark, sf_dir), "orders")
+    root = _two_snapshots(spark, sf_dir)
+    return tm.snapshot_history(spark, root, "orders", recount=True)
 
 
 def pickup_new_files(spark, sf_dir):

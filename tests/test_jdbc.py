@@ -240,7 +240,14 @@ def stand_in(spark, ansi_names, monkeypatch, tmp_path, orders):
     monkeypatch.setattr(jdbc, "read_table", read_table)
     monkeypatch.setattr("tidemark.sources.catalog.read_table", read_table)
 
-    def arrive(rows):
+    def arrive(rows, fresh=False):
+        if fresh:
+            rows.write.parquet(f"{tmp_path}/fresh")
+            spark.sql(
+                'CREATE TABLE sales."2023_ORDERS" USING parquet'
+                f" LOCATION '{tmp_path}/fresh'"
+            )
+            return
         rows.write.mode("append").parquet(f"{tmp_path}/db")
         spark.catalog.refreshTable('sales."2023_ORDERS"')
 
@@ -270,6 +277,11 @@ def test_whole_flow_on_a_stand_in_database(spark, stand_in, root, orders):
     )
     (same,) = tm.reconcile(orders, tm.current(spark, root, "2023_ORDERS")).collect()
     assert (same.n_target, same.missing, same.extra) == (1500, 0, 0)
+    # Rows that vanish from the top do not move the mark back.
+    spark.sql('DROP TABLE sales."2023_ORDERS"')
+    arrive(orders.limit(0), fresh=True)
+    (after,) = tm.sync(spark, SRC, root, [plan]).collect()
+    assert (after.n_rows, after.hwm) == (0, row.hwm)
     marks = [table for table, _ in asked if "MAX(" in table]
     assert marks[0] == '(SELECT MAX("o_orderdate") AS "mark" FROM "SALES"."2023_ORDERS") q'
 

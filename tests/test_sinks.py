@@ -158,6 +158,8 @@ def test_migrate_from_two_schemas(spark, root):
         catalog, [tm.StreamPlan("labels", schema="sf0.01")]
     ).collect()
     assert (row.schema_name, row["mode"], row.n_columns) == ("sf0.01", "full", 3)
+    with pytest.raises(tm.UnknownStream, match="labels"):
+        tm.configured_catalog(catalog, [tm.StreamPlan("labels", schema="sf0.1")])
 
 
 def test_extract_keys_results_by_name(spark, root, tmp_path):

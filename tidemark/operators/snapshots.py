@@ -20,7 +20,6 @@ from tidemark.functions.schemas import differences
 from tidemark.operators import synclog
 from tidemark.sources.lake import list_objects, read_lake
 
-
 _DATED = "[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9]"
 
 
@@ -80,14 +79,21 @@ def latest_snapshot(spark: SparkSession, root: str, stream: str) -> DataFrame:
     return _read(spark, root, stream, sync_ids, schema, False)
 
 
-def snapshot_history(spark: SparkSession, root: str, stream: str) -> DataFrame:
-    """Rows per committed sync, counted from file footers, with the sync's UTC time."""
-    found = synclog.committed(spark, root, stream).select("sync_ms", "n_rows").collect()
-    sync_ids = sorted(r["sync_ms"] for r in found if r["n_rows"])
-    rows = _read(spark, root, stream, sync_ids, T.StructType(), True)
-    return rows.groupBy("sync_ms").agg(
-        utc_time("sync_ms").alias("synced_at"), F.count(F.lit(1)).alias("n_rows")
-    )
+def snapshot_history(
+    spark: SparkSession, root: str, stream: str, recount: bool = False
+) -> DataFrame:
+    """Rows per sync that landed any, with the sync's UTC time.
+
+    The log has the counts taken at the commit; ``recount`` takes them anew from
+    the footers of all snapshots.
+    """
+    log = synclog.committed(spark, root, stream).filter(F.col("n_rows") > 0)
+    counts = log.select("sync_ms", "n_rows")
+    if recount:
+        sync_ids = sorted(r["sync_ms"] for r in counts.collect())
+        rows = _read(spark, root, stream, sync_ids, T.StructType(), True)
+        counts = rows.groupBy("sync_ms").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.select("sync_ms", utc_time("sync_ms").alias("synced_at"), "n_rows")
 
 
 def _sync_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import is_remote
 
 from tidemark.config import JdbcSource, Source
-from tidemark.errors import CursorRefused, SyncFailed, first_line
+from tidemark.errors import CursorRefused, SyncFailed, UnknownStream, first_line
 from tidemark.functions.cursors import column, cursor_type, from_text
 from tidemark.functions.frames import small_frame
 from tidemark.operators import synclog
@@ -31,7 +31,6 @@ from tidemark.sources.jdbc import (
 )
 from tidemark.sources.streams import newer_rows, owner, read_stream, source_mark
 
-
 _CONFIGURED = T.StructType(
     [
         T.StructField(n, T.StringType())
@@ -94,8 +93,15 @@ def configured_catalog(catalog: DataFrame, plans: Iterable[StreamPlan | str]) ->
             F.count_if(F.col("column_name") == F.col("cursor")).alias("n_cursors"),
         )
     )
-    lost = found.filter(F.col("cursor").isNotNull() & (F.col("n_cursors") == 0))
-    refused = [f"{r['stream']!r} has no column {r['cursor']!r}" for r in lost.collect()]
+    rows = found.collect()  # one per plan
+    absent = {p.name for p in plans} - {r["target"] for r in rows}
+    if absent:
+        raise UnknownStream(f"not in the plan's schema: {sorted(absent)}")
+    refused = [
+        f"{r['stream']!r} has no column {r['cursor']!r}"
+        for r in rows
+        if r["cursor"] is not None and not r["n_cursors"]
+    ]
     if refused:
         raise CursorRefused("; ".join(sorted(refused)))
     return found.drop("n_cursors")
@@ -141,11 +147,11 @@ def sync_stream(
                 unset if mark is None else (at <= from_text(mark, dtype)) | unset
             )
     else:
-        if mark is None:  # nothing above the last mark
-            mark = since
         inclusive = plan.inclusive and since is not None
-        if mark is None or (mark == since and not inclusive):
-            return _nothing_newer(spark, root, plan, last, sync_ms)
+        if mark is None:
+            if not inclusive:
+                return _nothing_newer(spark, root, plan, last, sync_ms)
+            mark = since
         df = newer_rows(
             df,
             plan.cursor,

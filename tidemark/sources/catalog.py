@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import JdbcSource, LakeSource, Source
+from tidemark.config import LakeSource, Source
 from tidemark.errors import NoData, UnknownStream
 from tidemark.functions.frames import small_frame
 from tidemark.sources.jdbc import dictionary_query, read_table

@@ -151,7 +151,8 @@ def read_table(
 
 def max_query(schema: str, stream: str, cursor: str) -> str:
     """The cursor's maximum, computed by the database: one row crosses the wire."""
-    return f"(SELECT MAX({quoted(cursor)}) AS {quoted('mark')} FROM {table_name(schema, stream)}) q"
+    table = table_name(schema, stream)
+    return f"(SELECT MAX({quoted(cursor)}) AS {quoted('mark')} FROM {table}) q"
 
 
 def stride_query(schema: str, stream: str, key: str) -> str:
@@ -183,8 +184,22 @@ def stride_for(
 
 # The column dictionary of each database family.
 _DICTIONARIES = {
-    "oracle": ("ALL_TAB_COLUMNS", "OWNER", "TABLE_NAME", "COLUMN_ID", "COLUMN_NAME", "DATA_TYPE"),
-    "ansi": ("information_schema.columns", "table_schema", "table_name", "ordinal_position", "column_name", "data_type"),
+    "oracle": (
+        "ALL_TAB_COLUMNS",
+        "OWNER",
+        "TABLE_NAME",
+        "COLUMN_ID",
+        "COLUMN_NAME",
+        "DATA_TYPE",
+    ),
+    "ansi": (
+        "information_schema.columns",
+        "table_schema",
+        "table_name",
+        "ordinal_position",
+        "column_name",
+        "data_type",
+    ),
 }
 
 

@@ -62,8 +62,8 @@ def source_mark(
 ) -> str | None:
     """The cursor's maximum now, as log text; None when there is no such value.
 
-    A database computes it itself. On a lake ``above`` limits the scan to row
-    groups that can hold a newer value; without one the answer is then None.
+    With ``above`` only a greater value counts. A database computes the maximum
+    itself; on a lake ``above`` limits the scan to row groups that can hold one.
     ``df`` is the stream where the caller has read it already.
     """
     if df is None:
@@ -73,12 +73,14 @@ def source_mark(
         query = jdbc.max_query(owner(src, schema), stream, cursor)
         found = jdbc.read_table(spark, src, query)
         # MAX may come back wider than the column it was taken from.
-        found = found.select(to_text(F.col("mark").cast(dtype), dtype).alias("mark"))
+        found = found.select(F.col("mark").cast(dtype))
+        if above is not None:
+            found = found.filter(F.col("mark") > from_text(above, dtype))
     else:
         if above is not None:
             df = df.filter(column(cursor) > from_text(above, dtype))
-        found = df.agg(to_text(F.max(column(cursor)), dtype).alias("mark"))
-    row = found.first()
+        found = df.agg(F.max(column(cursor)).alias("mark"))
+    row = found.select(to_text(F.col("mark"), dtype).alias("mark")).first()
     return row["mark"] if row else None
 
 
