@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        "local[8,2]",  # a failed task is tried once more
         {
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",

@@ -80,6 +80,9 @@ def test_every_csv_part_has_a_header_and_one_file_on_request(spark, tmp_path, or
     for part in parts:
         with open(part, "rb") as file:
             assert file.read().startswith(b"\xef\xbb\xbfo_orderkey,")
+    tm.write_csv(orders.coalesce(1), f"file:{tmp_path}/cut", max_records_per_file=400)
+    cut = glob.glob(f"{tmp_path}/cut/part-*")
+    assert len(cut) == 4 and all(open(p, "rb").read(3) == b"\xef\xbb\xbf" for p in cut)
     tm.write_csv(orders.repartition(3), f"file:{tmp_path}/one", single_file=True)
     assert csv_bytes(tmp_path, "one").count(b"\n") == 1501
 

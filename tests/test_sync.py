@@ -177,6 +177,30 @@ def test_a_job_that_dies_leaves_the_state(spark, root, orders):
     assert tm.current(spark, root, "orders").count() == 1510
 
 
+def test_tasks_that_are_tried_again_land_their_rows_once(spark, root, orders, tmp_path):
+    """Every first attempt fails after it has put out some of its rows."""
+    from pyspark import TaskContext
+
+    def flaky(batches):
+        for batch in batches:
+            yield batch
+            if TaskContext.get().attemptNumber() == 0:
+                raise OSError("lost")
+
+    df = orders.repartition(4).mapInPandas(flaky, orders.schema)
+    commit = tm.land(df, root, "orders")
+    assert commit.n_rows == 1500
+    tm.write_csv(df, f"file:{tmp_path}/csv")
+    for copy in (
+        tm.current(spark, root, "orders"),
+        tm.read_csv(spark, f"file:{tmp_path}/csv", orders.schema),
+        tm.StreamCache(spark).put("orders", df),
+    ):
+        assert equal(orders, copy)
+    (row,) = tm.reconcile(df, orders).collect()
+    assert (row.n_source, row.missing, row.extra) == (1500, 0, 0)
+
+
 def test_nothing_is_overwritten(spark, root, orders):
     tm.land(orders, root, "orders", sync_ms=100)
     before = tm.current(spark, root, "orders")

@@ -103,13 +103,18 @@ _TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
 def write_csv(
-    df: DataFrame, path: str, bom: bool = True, single_file: bool = False
+    df: DataFrame,
+    path: str,
+    bom: bool = True,
+    single_file: bool = False,
+    max_records_per_file: int = 1_000_000,
 ) -> None:
     """A folder of CSV files, each with a header and, by default, a UTF-8 BOM.
 
     NULL and the empty string are both written empty; quotes are doubled; blanks
-    around values stay. Nested columns are written as JSON. ``single_file`` sends
-    all rows through one task and is meant for small results.
+    around values stay. Nested columns are written as JSON. A file is read back by
+    one task, so long ones are cut. ``single_file`` sends all rows through one task
+    and is meant for small results.
     """
     # A lone empty value would make a blank line, which readers skip.
     empty = '""' if len(df.columns) == 1 else ""
@@ -122,9 +127,10 @@ def write_csv(
     ]
     out = df.select(*fields)
     if single_file:
-        out = out.coalesce(1)
+        out, max_records_per_file = out.coalesce(1), 0
     (
         out.write.mode("errorifexists")
+        .option("maxRecordsPerFile", max_records_per_file)
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')

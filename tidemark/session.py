@@ -23,16 +23,31 @@ DEFAULTS = {
 }
 
 
+# What one task of a shuffle should hold.
+TASK_BYTES = 256 << 20
+
+
 def build_session(
     app: str = "tidemark",
     master: str | None = None,
     conf: Mapping[str, str] | None = None,
+    largest_shuffle: int | None = None,
 ) -> SparkSession:
-    """A session with this library's defaults; ``conf`` wins over them."""
+    """A session with this library's defaults; ``conf`` wins over them.
+
+    ``largest_shuffle`` is the number of bytes the largest shuffle moves, about the
+    uncompressed size of the streams to reconcile. Shuffles then start with so many
+    partitions that none outgrows a task; smaller ones are merged at run time.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in (DEFAULTS | dict(conf or {})).items():
+    settings = dict(DEFAULTS)
+    if largest_shuffle:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            max(200, -(-largest_shuffle // TASK_BYTES))
+        )
+    for key, value in (settings | dict(conf or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
