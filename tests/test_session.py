@@ -22,5 +22,11 @@ def test_defaults_give_way_to_the_caller():
 def test_shuffles_are_sized_by_their_data():
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert name not in built()
-    assert built(largest_shuffle=1)[name] == "200"
-    assert built(largest_shuffle=100 << 40)[name] == str(400 << 10)
+    small, large, huge = (built(largest_shuffle=n) for n in (1, 1 << 40, 100 << 40))
+    assert [c[name] for c in (small, large, huge)] == ["200", "4096", "50000"]
+    scan = "spark.sql.files.maxPartitionBytes"
+    assert [c[scan] for c in (small, large, huge)] == [
+        str(128 << 20),
+        str(128 << 20),
+        str(1 << 30),
+    ]

@@ -23,8 +23,20 @@ DEFAULTS = {
 }
 
 
-# What one task of a shuffle should hold.
-TASK_BYTES = 256 << 20
+# A shuffle has a block per pair of tasks, so both sides are kept to a number that a
+# driver and the shuffle service can track; past it tasks grow instead, and spill.
+TASK_BYTES, MOST_READERS, MOST_WRITERS = 256 << 20, 50_000, 100_000
+SCAN_BYTES, MOST_SCAN_BYTES = 128 << 20, 1 << 30
+
+
+def sized_for(largest_shuffle: int) -> dict[str, str]:
+    """Scan and shuffle task sizes for so many bytes."""
+    readers = min(MOST_READERS, max(200, -(-largest_shuffle // TASK_BYTES)))
+    scan = min(MOST_SCAN_BYTES, max(SCAN_BYTES, largest_shuffle // MOST_WRITERS))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(readers),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
 
 
 def build_session(
@@ -36,17 +48,15 @@ def build_session(
     """A session with this library's defaults; ``conf`` wins over them.
 
     ``largest_shuffle`` is the number of bytes the largest shuffle moves, about the
-    uncompressed size of the streams to reconcile. Shuffles then start with so many
-    partitions that none outgrows a task; smaller ones are merged at run time.
+    uncompressed size of the streams to reconcile; scans and shuffles are then cut
+    for it. Partitions of smaller shuffles are merged at run time.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULTS)
     if largest_shuffle:
-        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
-            max(200, -(-largest_shuffle // TASK_BYTES))
-        )
+        settings |= sized_for(largest_shuffle)
     for key, value in (settings | dict(conf or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
