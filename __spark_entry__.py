@@ -302,6 +302,13 @@ def reconcile(spark, sf_dir):
     )
 
 
+def reconcile_digest(spark, sf_dir):
+    """The same by hashes, on whole texts."""
+    documents = _table(spark, sf_dir, "documents")
+    known = F.col("lang") != "fr"
+    return tm.reconcile(documents, documents.filter(known), digest=True)
+
+
 def cursor_profile(spark, sf_dir):
     return tm.cursor_profile(_table(spark, sf_dir, "orders"), "o_totalprice")
 
@@ -344,6 +351,7 @@ _QUERIES = (
     snapshot_history,
     pickup_new_files,
     reconcile,
+    reconcile_digest,
     cursor_profile,
 )
 
@@ -458,6 +466,11 @@ def oracle_sql() -> dict[str, str]:
             f" (SELECT count(*) FROM (FROM {there} EXCEPT ALL FROM lineitem)) AS extra"
             for name, there in (("landed", "lineitem"), ("kept", "kept"))
         ),
+        "reconcile_digest": "WITH known AS (SELECT * FROM documents WHERE lang <> 'fr')"
+        " SELECT (SELECT count(*) FROM documents) AS n_source,"
+        " (SELECT count(*) FROM known) AS n_target,"
+        " (SELECT count(*) FROM (FROM documents EXCEPT ALL FROM known)) AS missing,"
+        " (SELECT count(*) FROM (FROM known EXCEPT ALL FROM documents)) AS extra",
         "cursor_profile": "SELECT count(*) AS n_rows,"
         " count(*) - count(o_totalprice) AS n_unset,"
         " count(DISTINCT o_totalprice) AS n_distinct,"

@@ -29,9 +29,11 @@ def test_against_counters(spark, left, right):
     a, b = Counter(left), Counter(right)
     got = subtract_all(frame(spark, left), frame(spark, right), step=2)
     assert Counter(map(tuple, got.collect())) == a - b
-    (row,) = reconcile(frame(spark, left), frame(spark, right)).collect()
-    assert (row.n_source, row.n_target) == (len(left), len(right))
-    assert (row.missing, row.extra) == ((a - b).total(), (b - a).total())
+    turned = frame(spark, right).select("`c d`", "`a.b`")
+    for digest in (False, True):
+        (row,) = reconcile(frame(spark, left), turned, digest).collect()
+        assert (row.n_source, row.n_target) == (len(left), len(right))
+        assert (row.missing, row.extra) == ((a - b).total(), (b - a).total())
 
 
 def test_a_third_of_all_rows_equal(spark):
@@ -58,14 +60,24 @@ def test_nested_and_float_values(spark):
         "SELECT map('a', 1, 'b', 2) m, array(1.5f, float('nan')) v, struct(1 AS x) s, 0d d"
         " UNION ALL SELECT map('b', 2, 'a', 1), array(1.5f, float('nan')), struct(1), -0d"
     )
-    (row,) = reconcile(df, df.limit(1)).collect()
-    assert (row.n_source, row.missing, row.extra) == (2, 1, 0)
+    for digest in (False, True):
+        (row,) = reconcile(df, df.limit(1), digest).collect()
+        assert (row.n_source, row.missing, row.extra) == (2, 1, 0)
 
 
-def test_unlike_sides_fail_by_name(spark):
+@pytest.mark.parametrize("digest", [False, True])
+def test_unlike_sides_fail_by_name(spark, digest):
     left = spark.sql("SELECT 1 AS a, 'x' AS b")
     with pytest.raises(SchemaDrift, match="b: string against int"):
-        reconcile(left, spark.sql("SELECT 1 AS a, 2 AS b"))
+        reconcile(left, spark.sql("SELECT 1 AS a, 2 AS b"), digest)
+
+
+def test_swapped_nulls_are_unlike(spark):
+    left = spark.sql("SELECT 'x' AS a, cast(NULL AS string) AS b")
+    right = spark.sql("SELECT cast(NULL AS string) AS a, 'x' AS b")
+    for digest in (False, True):
+        (row,) = reconcile(left, right, digest).collect()
+        assert (row.missing, row.extra) == (1, 1)
 
 
 def test_one_shuffle_of_rows(spark, orders):

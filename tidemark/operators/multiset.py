@@ -19,11 +19,15 @@ LEFT, RIGHT = "__left", "__right"
 COPIES_PER_STEP = 100_000
 
 
-def copy_counts(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every distinct row with its number of copies on either side."""
+def same_columns(left: DataFrame, right: DataFrame) -> None:
     unlike = differences(left.schema, right.schema)
     if unlike:
         raise SchemaDrift("the sides differ in " + "; ".join(unlike))
+
+
+def copy_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row with its number of copies on either side."""
+    same_columns(left, right)
     columns = [column(c) for c in left.columns]
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     stacked = left.select(*columns, one.alias(LEFT), none.alias(RIGHT)).unionByName(
