@@ -173,7 +173,7 @@ def sink_table_overwrite(spark, sf_dir):
     old, _ = _halves(spark, sf_dir)
     tm.write_table(old, root, "orders")
     tm.write_table(_table(spark, sf_dir, "orders"), root, "orders", mode="overwrite")
-    return tm.current(spark, root, "orders")
+    return tm.read_table(spark, root, "orders")
 
 
 def sink_table_append(spark, sf_dir):
@@ -181,7 +181,7 @@ def sink_table_append(spark, sf_dir):
     old, new = _halves(spark, sf_dir)
     tm.write_table(old, root, "orders")
     tm.write_table(new, root, "orders", mode="append")
-    return tm.current(spark, root, "orders")
+    return tm.read_table(spark, root, "orders")
 
 
 def sync_many(spark, sf_dir):

@@ -305,6 +305,18 @@ def test_cursors_that_cannot_work(spark, root, db):
         tm.read_incremental(spark, src, "t", "n", lo=1, hi=1, inclusive=True)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_unreadable_bounds_fail(spark, db, orders, ansi):
+    src, arrive = db
+    arrive("orders", orders)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="soon"):
+            tm.read_incremental(spark, src, "orders", "o_orderdate", lo="soon").count()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_null_cursors(spark, root, db):
     src, arrive = db
     arrive("t", spark.createDataFrame([(1, None), (2, None)], "id int, amount double"))
@@ -328,11 +340,22 @@ def test_tables(spark, root, orders):
     tm.write_table(orders.limit(4), root, "t", mode="append")
     assert tm.current(spark, root, "t").count() == 8
     tm.write_table(orders.limit(2), root, "t")
-    assert tm.current(spark, root, "t").count() == 2
+    assert tm.read_table(spark, root, "t").count() == 2
     with pytest.raises(ValueError, match="mode"):
         tm.write_table(orders, root, "t", mode="merge")
 
 
+def test_delta_is_used_where_it_is_set_up(spark, root, orders, monkeypatch):
+    """The package is not installed here, so Spark does not find the format."""
+    monkeypatch.setattr("tidemark.operators.sinks.delta_enabled", lambda spark: True)
+    for job in (
+        lambda: tm.write_table(orders, root, "t"),
+        lambda: tm.read_table(spark, root, "t"),
+    ):
+        with pytest.raises(Exception, match="(?i)data source.*delta"):
+            job()
+
+
 def test_decimals_are_landed_as_they_are(spark, root):
     df = spark.sql("SELECT cast(12345678901234.5678 AS decimal(18,4)) AS amount")
     tm.land(df, root, "t")

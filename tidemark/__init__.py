@@ -24,7 +24,13 @@ from tidemark.operators.profile import (
 )
 from tidemark.operators.raw import land_raw
 from tidemark.operators.reconcile import reconcile
-from tidemark.operators.sinks import land, read_csv, write_csv, write_table
+from tidemark.operators.sinks import (
+    land,
+    read_csv,
+    read_table,
+    write_csv,
+    write_table,
+)
 from tidemark.operators.snapshots import (
     current,
     latest_snapshot,
@@ -83,6 +89,7 @@ __all__ = [
     "read_lake",
     "read_log",
     "read_stream",
+    "read_table",
     "reconcile",
     "require_cursor",
     "scratch_dir",

@@ -35,6 +35,15 @@ def cursor_type(df: DataFrame, cursor: str) -> T.DataType:
     return dtype
 
 
+def _literal(text: str, dtype: T.DataType) -> Column:
+    """Text as a literal of a type; unreadable text fails in either ANSI mode.
+
+    Without ANSI the cast alone would give NULL, and a filter on that no rows.
+    """
+    refused = F.raise_error(F.lit(f"{text!r} is no {dtype.simpleString()}"))
+    return F.coalesce(F.lit(text).cast(dtype), refused.cast(dtype))
+
+
 def bound(value, dtype: T.DataType) -> Column:
     """A literal of the cursor's own type, so that the comparison can be pushed."""
     if isinstance(value, Column):
@@ -49,7 +58,7 @@ def bound(value, dtype: T.DataType) -> Column:
         value = repr(value)
     elif not isinstance(value, (str, int, Decimal, date)) or isinstance(value, bool):
         raise CursorRefused(f"cannot compare a cursor with {value!r}")
-    return F.lit(str(value)).cast(dtype)
+    return _literal(str(value), dtype)
 
 
 def to_text(value: Column, dtype: T.DataType) -> Column:
@@ -65,4 +74,4 @@ def from_text(text: str, dtype: T.DataType) -> Column:
         return F.timestamp_micros(F.lit(int(text)))
     if text == "NaN":
         raise CursorRefused("the cursor's maximum is NaN, which bounds nothing")
-    return F.lit(text).cast(dtype)
+    return _literal(text, dtype)

@@ -13,6 +13,7 @@ from tidemark.errors import SchemaDrift
 from tidemark.functions.cursors import column
 from tidemark.functions.schemas import differences, nullable
 from tidemark.operators import synclog
+from tidemark.operators.snapshots import current
 from tidemark.operators.synclog import FULL, INCREMENTAL, Commit
 
 _LOOK_UP = object()
@@ -84,7 +85,7 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -
     """Replace or extend a table under ``root``.
 
     A Delta table where the session has that extension, otherwise snapshots that
-    ``current`` reads; both replace atomically.
+    ``current`` reads; both replace atomically. ``read_table`` reads either.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
@@ -98,6 +99,13 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -
     land(df, root, table, mode=INCREMENTAL if adds else FULL, last=last)
 
 
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """What ``write_table`` wrote."""
+    if delta_enabled(spark):
+        return spark.read.format("delta").load(synclog.stream_path(root, table))
+    return current(spark, root, table)
+
+
 BOM = "\ufeff"
 _TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
