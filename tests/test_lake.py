@@ -194,6 +194,14 @@ def test_latest_sync_files(spark, sync_files):
     assert named.count() == 5
 
 
+def test_parts_that_disagree_fail(spark, sync_files, tmp_path):
+    spark.sql("SELECT 'a' AS id").coalesce(1).write.parquet(f"file:{tmp_path}/odd")
+    (part,) = glob.glob(f"{tmp_path}/odd/part-*")
+    shutil.copy(part, tmp_path / "box" / "2025_12_02_1764665901178_2.parquet")
+    with pytest.raises(tm.SchemaDrift, match="1764665901178"):
+        tm.latest_sync_files(spark, sync_files)
+
+
 def test_a_folder_without_sync_files(spark, tmp_path):
     spark.range(3).write.parquet(f"file:{tmp_path}/plain")
     with pytest.raises(tm.NoData, match="no sync file"):

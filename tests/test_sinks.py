@@ -123,6 +123,14 @@ def test_files_are_picked_up_once(spark, tmp_path, orders):
     assert run() == {"a+b %é.parquet": 25, "b.parquet": 5, "old.parquet": 7}
 
 
+def test_a_file_that_does_not_fit_fails_the_run(spark, tmp_path):
+    spark.sql("SELECT 'x' AS id").write.parquet(f"file:{tmp_path}/box")
+    schema = spark.range(1).schema
+    places = [f"file:{tmp_path}/{name}" for name in ("box", "rows", "checkpoint")]
+    with pytest.raises(Exception, match="(?i)parquet"):
+        tm.pickup_new_files(spark, *places, schema)
+
+
 # --- workflows ---------------------------------------------------------------
 
 

@@ -109,14 +109,14 @@ def latest_sync_files(spark: SparkSession, folder: str) -> DataFrame:
     """The newest sync in a folder of ``<yyyy_mm_dd>_<epoch ms>_<part>.parquet`` files.
 
     The epoch comes from file names; then only that sync's files, all parts of
-    them, are listed, so older files with another schema do no harm.
+    them, are read, so older files with another schema do no harm. Parts that
+    disagree on a column's type fail by name.
     """
     newest = _sync_files(spark, folder).agg(F.max("sync_ms")).first()[0]
     if newest is None:
         raise NoData(f"no sync file in {folder}")
-    rows = spark.read.option("pathGlobFilter", _DATED + f"_{newest}_*.parquet")
-    name = F.col("_metadata.file_name")
-    return rows.parquet(folder).filter(sync_epoch(name) == newest)
+    parts = read_lake(spark, folder, f"{_DATED}_{newest}_*.parquet", one_schema=False)
+    return parts.filter(sync_epoch(F.col("_metadata.file_name")) == newest)
 
 
 def sync_file_history(spark: SparkSession, folder: str) -> DataFrame:

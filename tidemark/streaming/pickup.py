@@ -21,7 +21,8 @@ def pickup_new_files(
 
     Each file is taken exactly once however often this runs: the checkpoint
     remembers the files, and the target's own log the batches. Returns the rows
-    picked up so far, with their ``source_file``. A backlog is worked off in
+    picked up so far, with their ``source_file``. Only the columns of ``schema`` are
+    copied; a file whose types do not fit it fails the run. A backlog is worked off in
     batches of ``files_per_batch`` files.
     """
     rows = (
