@@ -234,14 +234,15 @@ def profile_info(spark, sf_dir):
 
 
 def stream_shape(spark, sf_dir):
-    return _long(tm.stream_shapes({t: _table(spark, sf_dir, t) for t in TABLES}))
+    return _long(tm.stream_shapes(tm.read_streams(spark, _lake(sf_dir), TABLES)))
 
 
 def column_list(spark, sf_dir):
+    tables = tm.read_streams(spark, _lake(sf_dir), TABLES)
     return _long(
         _union(
-            tm.column_list(_table(spark, sf_dir, t)).withColumn("stream", F.lit(t))
-            for t in TABLES
+            tm.column_list(df).withColumn("stream", F.lit(name))
+            for name, df in tables.items()
         )
     )
 

@@ -48,6 +48,7 @@ from tidemark.sources.streams import (
     high_water_mark,
     read_incremental,
     read_stream,
+    read_streams,
     source_mark,
 )
 from tidemark.streaming.pickup import pickup_new_files
@@ -89,6 +90,7 @@ __all__ = [
     "read_lake",
     "read_log",
     "read_stream",
+    "read_streams",
     "read_table",
     "reconcile",
     "require_cursor",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,16 @@ def read_stream(
         raise UnknownStream(f"no stream {stream!r} in schema {schema!r}") from error
 
 
+def read_streams(
+    spark: SparkSession, src: Source, streams: Iterable[str], schema: str | None = None
+) -> dict[str, DataFrame]:
+    """Several streams by name; their schemas are looked up side by side."""
+    names = list(streams)
+    with ThreadPoolExecutor(8) as pool:
+        frames = pool.map(lambda n: read_stream(spark, src, n, schema=schema), names)
+        return dict(zip(names, frames, strict=True))
+
+
 def high_water_mark(df: DataFrame, cursor: str) -> DataFrame:
     """One row: the cursor's maximum and the number of rows."""
     return df.agg(
