@@ -66,6 +66,9 @@ def test_stride_and_split_reads():
     assert got["partitionColumn"] == "ID"
     assert (got["lowerBound"], got["upperBound"]) == ("0", "1000")
     assert got["numPartitions"] == "64"
+    exact = tm.Stride("ID", Decimal("0E-10"), 10.5, 2)
+    got = tm.read_stream(Recorder(), SRC, "T", exact)
+    assert (got["lowerBound"], got["upperBound"]) == ("0", "10")
     got = tm.read_stream(Recorder(), SRC, 'odd"name', tm.key_split("ID", 3))
     assert len(got["predicates"]) == 3
     assert got["dbtable"] == '"SALES"."odd""name"'
@@ -289,6 +292,10 @@ def test_whole_flow_on_a_stand_in_database(spark, stand_in, root, orders):
 def test_stride_bounds_come_from_the_database(spark, stand_in):
     stride = jdbc.stride_for(spark, SRC, "SALES", "2023_ORDERS", "o_orderkey", 8)
     assert (stride.column, stride.lower, stride.partitions) == ("o_orderkey", "0", 8)
+    stride = jdbc.stride_for(spark, SRC, "SALES", "2023_ORDERS", "o_totalprice", 8)
+    assert stride.lower.isdigit() and stride.upper.isdigit()
+    stride = jdbc.stride_for(spark, SRC, "SALES", "2023_ORDERS", "o_orderdate", 8)
+    assert (stride.lower[:4], len(stride.upper)) == ("1995", 19)
 
 
 def test_reads_are_cut_by_what_is_known(spark, stand_in, root, orders):

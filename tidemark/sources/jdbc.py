@@ -10,6 +10,7 @@ stays even when one range or one cursor value holds a large share of the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -124,6 +125,11 @@ def table_name(schema: str, stream: str) -> str:
     return f"{quoted(schema)}.{quoted(stream)}"
 
 
+def _stride_bound(value) -> str:
+    """Spark reads numeric bounds as whole numbers; they only set the width."""
+    return str(math.floor(value) if isinstance(value, (float, Decimal)) else value)
+
+
 def read_table(
     spark: SparkSession,
     src: JdbcSource,
@@ -140,8 +146,8 @@ def read_table(
     if isinstance(partition, Stride):
         options |= {
             "partitionColumn": partition.column,
-            "lowerBound": str(partition.lower),
-            "upperBound": str(partition.upper),
+            "lowerBound": _stride_bound(partition.lower),
+            "upperBound": _stride_bound(partition.upper),
             "numPartitions": str(partition.partitions),
         }
     return (
@@ -172,11 +178,13 @@ def stride_for(
     partitions: int,
 ) -> Stride | None:
     """A stride over the column's present range; None for an empty table."""
-    row = (
-        read_table(spark, src, stride_query(schema, stream, key))
-        .select(F.col("lower").cast("string"), F.col("upper").cast("string"))
-        .first()
-    )
+    found = read_table(spark, src, stride_query(schema, stream, key))
+    lower, upper = F.col("lower"), F.col("upper")
+    if isinstance(found.schema["lower"].dataType, T.NumericType):
+        lower, upper = F.floor(lower), F.ceil(upper)
+    row = found.select(
+        lower.cast("string").alias("lower"), upper.cast("string").alias("upper")
+    ).first()
     if row is None or row["lower"] is None:
         return None
     return Stride(key, row["lower"], row["upper"], partitions)
