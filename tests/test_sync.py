@@ -324,7 +324,11 @@ def test_null_cursors(spark, root, db):
     assert tm.read_incremental(spark, src, "t", "amount").count() == 0
     with pytest.raises(tm.CursorRefused, match="unset in 2 rows"):
         tm.require_cursor(df, "amount")
-    tm.require_cursor(df, "id")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        tm.require_cursor(df, "id")
+    with pytest.warns(UserWarning, match="1 ties; sync with inclusive"):
+        tm.require_cursor(df.fillna({"id": 1}).select((F.col("id") * 0).alias("z")), "z")
     plan = tm.StreamPlan("t", "incremental", "amount")
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -102,11 +103,15 @@ def cursor_profile(df: DataFrame, cursor: str) -> DataFrame:
 
 
 def require_cursor(df: DataFrame, cursor: str) -> None:
-    """Refuse a cursor with NULL or NaN values; ties are fine, see ``inclusive``."""
-    at = column(cursor)
-    bad = at.isNull()
-    if isinstance(cursor_type(df, cursor), (T.FloatType, T.DoubleType)):
-        bad = bad | F.isnan(at)
-    n = df.filter(bad).count()
-    if n:
-        raise CursorRefused(f"{cursor!r} is unset in {n} rows; only a full sync sees them")
+    """Refuse a cursor with NULL or NaN values; warn of one with ties."""
+    found = cursor_profile(df, cursor).first()
+    if found["n_unset"]:
+        raise CursorRefused(
+            f"{cursor!r} is unset in {found['n_unset']} rows; only a full sync sees them"
+        )
+    if found["n_ties"]:
+        warnings.warn(
+            f"{cursor!r} has {found['n_ties']} ties; sync with inclusive=True, or late"
+            " rows at the last value are missed",
+            stacklevel=2,
+        )
