@@ -73,6 +73,10 @@ def test_stride_and_split_reads():
     assert len(got["predicates"]) == 3
     assert got["dbtable"] == '"SALES"."odd""name"'
     assert got["password"] == "s3cret"
+    assert tm.rowid_split(2).predicates == (
+        "ORA_HASH(ROWID, 1) = 0",
+        "ORA_HASH(ROWID, 1) = 1",
+    )
 
 
 def test_the_schema_must_be_clear():

@@ -325,7 +325,7 @@ def test_null_cursors(spark, root, db):
     with pytest.raises(tm.CursorRefused, match="unset in 2 rows"):
         tm.require_cursor(df, "amount")
     with warnings.catch_warnings():
-        warnings.simplefilter("error")
+        warnings.simplefilter("error", UserWarning)
         tm.require_cursor(df, "id")
     with pytest.warns(UserWarning, match="1 ties; sync with inclusive"):
         tm.require_cursor(df.fillna({"id": 1}).select((F.col("id") * 0).alias("z")), "z")

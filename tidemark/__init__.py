@@ -42,7 +42,14 @@ from tidemark.operators.sync import StreamPlan, configured_catalog, sync
 from tidemark.operators.synclog import read_log
 from tidemark.session import build_session, scratch_dir
 from tidemark.sources.catalog import discover, select
-from tidemark.sources.jdbc import Split, Stride, balanced_cuts, key_split, range_split
+from tidemark.sources.jdbc import (
+    Split,
+    Stride,
+    balanced_cuts,
+    key_split,
+    range_split,
+    rowid_split,
+)
 from tidemark.sources.lake import list_objects, read_lake
 from tidemark.sources.streams import (
     high_water_mark,
@@ -94,6 +101,7 @@ __all__ = [
     "read_table",
     "reconcile",
     "require_cursor",
+    "rowid_split",
     "scratch_dir",
     "select",
     "snapshot_history",

@@ -46,8 +46,8 @@ class StreamPlan:
     ``incremental`` falls back to a full sync while the stream has none.
     ``inclusive`` also picks up late rows at the last seen cursor value.
     ``target`` is the stream's name in the lake, if it should differ. A database
-    read is one task unless ``partition`` or an integer or decimal ``split_by``
-    column, cut for ``tasks`` readers, says how to share it out.
+    read is one task unless ``partition`` or ``split_by``, an integer or decimal
+    column with nearly unique values cut for ``tasks`` readers, shares it out.
     """
 
     stream: str

@@ -4,8 +4,9 @@ A plain JDBC read is one task. ``Stride`` lets Spark cut a numeric, date or
 timestamp column into equal ranges; that is uneven when values cluster.
 ``Split`` carries explicit predicates that together match every row exactly
 once: ``range_split`` over given cut points (``balanced_cuts`` finds equal-sized
-ones from an earlier copy), or ``key_split`` over the remainder of a key, which
-stays even when one range or one cursor value holds a large share of the rows.
+ones from an earlier copy), ``key_split`` over the remainder of a nearly unique
+key, which stays even when one range or one cursor value holds a large share of
+the rows, or Oracle's ``rowid_split`` where no such key exists.
 """
 
 from __future__ import annotations
@@ -80,6 +81,17 @@ def key_split(key: str, partitions: int) -> Split:
     )
 
 
+def rowid_split(partitions: int) -> Split:
+    """Rows of an Oracle table by their address; even whatever the columns hold.
+
+    For tables without a key that is nearly unique. Every task has the database
+    look at all rows its filters leave, so ranges suit a full read better.
+    """
+    return Split(
+        tuple(f"ORA_HASH(ROWID, {partitions - 1}) = {i}" for i in range(partitions))
+    )
+
+
 def range_split(key: str, cuts: Sequence) -> Split:
     """Rows by half-open ranges between cut points; NULLs go with the first."""
     plain = [c for c in cuts if not isinstance(c, SqlLiteral)]
