@@ -54,8 +54,7 @@ def decoded(column: Column) -> Column:
 
 def sync_epoch(file_name: Column | str) -> Column:
     """Epoch milliseconds in a sync file's name; NULL for any other name."""
-    digits = F.regexp_extract(file_name, SYNC_FILE, 1)
-    return F.when(digits != "", digits.cast("bigint"))
+    return F.regexp_extract(file_name, SYNC_FILE, 1).try_cast("bigint")
 
 
 def utc_time(epoch_ms: Column | str) -> Column:

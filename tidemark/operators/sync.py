@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -222,7 +222,7 @@ def each_stream(
     A failing stream gets a ``failed`` row and the others go on; the call then
     ends in ``SyncFailed``.
     """
-    paths, failures = [], {}
+    commits, failures = [], {}
 
     def in_own_pool(name: str, job: Callable[[], Commit]) -> Commit:
         # Streams share the cluster fairly where the scheduler mode is FAIR.
@@ -237,8 +237,7 @@ def each_stream(
         }
         for name, job in running.items():
             try:
-                commit = job.result()
-                paths.append(synclog.log_entry(root, commit))
+                commits.append(astuple(job.result()))
             except Exception as error:
                 why = redact(first_line(error))
                 failures[name] = why
@@ -246,7 +245,7 @@ def each_stream(
                 synclog.append(spark, root, Commit(name, ms, FAILED, error=why))
     if failures:
         raise SyncFailed(failures)
-    return spark.read.schema(LOG).parquet(*paths)
+    return small_frame(spark, commits, LOG)
 
 
 def sync(
