@@ -52,8 +52,14 @@ def test_incremental_chain_equals_full_and_reruns_add_nothing(spark, root, order
         (again,) = tm.sync(spark, src, root, [plan]).collect()
         assert first.n_rows > 0 and again.n_rows == 0 and again.hwm == first.hwm
     assert equal(orders, tm.current(spark, root, "orders"))
+    assert len(tm.current(spark, root, "orders").inputFiles()) >= 4
+    tm.compact(spark, root, "orders", files=1)
+    assert equal(orders, tm.current(spark, root, "orders"))
+    assert len(tm.current(spark, root, "orders").inputFiles()) == 1
+    (row,) = tm.sync(spark, src, root, [plan]).collect()
+    assert (row.n_rows, row.hwm) == (0, again.hwm)
     modes = tm.read_log(spark, root, "orders").groupBy("mode").count().collect()
-    assert {r["mode"]: r["count"] for r in modes} == {"full": 1, "incremental": 7}
+    assert {r["mode"]: r["count"] for r in modes} == {"full": 2, "incremental": 8}
 
 
 ARRIVALS = st.lists(

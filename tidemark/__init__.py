@@ -38,7 +38,7 @@ from tidemark.operators.snapshots import (
     snapshot_history,
     sync_file_history,
 )
-from tidemark.operators.sync import StreamPlan, configured_catalog, sync
+from tidemark.operators.sync import StreamPlan, compact, configured_catalog, sync
 from tidemark.operators.synclog import read_log
 from tidemark.session import build_session, scratch_dir
 from tidemark.sources.catalog import discover, select
@@ -75,6 +75,7 @@ __all__ = [
     "balanced_cuts",
     "build_session",
     "column_list",
+    "compact",
     "configured_catalog",
     "current",
     "cursor_profile",

@@ -173,6 +173,23 @@ def sync_stream(
     )
 
 
+def compact(
+    spark: SparkSession, root: str, stream: str, files: int | None = None
+) -> Commit:
+    """Land a stream's present rows anew as one full sync, without the source.
+
+    Many small increments make many small files; ``files`` is how many tasks, and
+    so files, to merge them into. The mark stays where it is.
+    """
+    last = synclog.last_commit(spark, root, stream)
+    rows = current(spark, root, stream)
+    if files:
+        rows = rows.coalesce(files)
+    return land(
+        rows, root, stream, cursor=last["cursor"], hwm=last["hwm"], last=last
+    )
+
+
 def _nothing_newer(
     spark: SparkSession, root: str, plan: StreamPlan, last, sync_ms: int | None
 ) -> Commit:
