@@ -103,6 +103,9 @@ def test_store_settings():
     conf = tm.store_conf("store:9000", "key", "secret")
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert not any("commit" in key for key in conf)
+    conf = tm.store_conf("s:1", "key", "secret", direct_commit=True)
+    assert conf["spark.hadoop.fs.s3a.committer.name"] == "magic"
     conf = tm.store_conf("https://store", "key", "secret", path_style=False)
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "false"

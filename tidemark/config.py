@@ -107,21 +107,37 @@ class LakeSource:
         return text
 
 
+# Spark's documented settings for the S3A committers.
+_DIRECT_COMMIT = {
+    "spark.hadoop.fs.s3a.committer.name": "magic",
+    "spark.sql.sources.commitProtocolClass": (
+        "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol"
+    ),
+    "spark.sql.parquet.output.committer.class": (
+        "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter"
+    ),
+}
+
+
 def store_conf(
     endpoint: str,
     access_key: str,
     secret_key: str,
     region: str = "us-east-1",
     path_style: bool = True,
+    direct_commit: bool = False,
 ) -> dict[str, str]:
     """Session settings that let ``s3a://`` paths reach an S3-compatible store.
 
     Needs the hadoop-aws module on the cluster. An endpoint without a scheme is
-    taken as plain http.
+    taken as plain http. By default a job's files are written aside and renamed at
+    the end, which on an object store copies every byte again; ``direct_commit``
+    completes uploads in place instead and needs the spark-hadoop-cloud module too.
     """
     if "://" not in endpoint:
         endpoint = f"http://{endpoint}"
-    return {
+    commit = _DIRECT_COMMIT if direct_commit else {}
+    return commit | {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.endpoint.region": region,
         "spark.hadoop.fs.s3a.access.key": access_key,
