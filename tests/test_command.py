@@ -15,6 +15,7 @@ def test_commands(spark, root, tmp_path, capsys):
     assert catalog.count() == 63
     (log,) = main(
         ["migrate", root, *lake, "--stream", "orders", "--cursor", "orders=o_orderdate"]
+        + ["--split-by", "orders=o_orderkey", "--tasks", "2"]
     )
     assert [(r.stream, r.n_rows, r.cursor) for r in log.collect()] == [
         ("orders", 1500, "o_orderdate")

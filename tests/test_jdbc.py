@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import tidemark as tm
+from tidemark.plans import migrate
 from tidemark.sources import jdbc
 
 SRC = tm.JdbcSource.oracle(
@@ -326,6 +327,14 @@ def test_reads_are_cut_by_what_is_known(spark, stand_in, root, orders):
     assert (same.n_target, same.missing, same.extra) == (1500, 0, 0)
 
 
+def test_migrate_shares_out_its_reads(spark, stand_in, root):
+    arrive, asked = stand_in
+    migrate(spark, SRC, root, ["2023_ORDERS"], split_by={"2023_ORDERS": "o_orderkey"}, tasks=5)
+    assert [p for _, p in asked if p] == [tm.Stride("o_orderkey", "0", "1499", 5)]
+    with pytest.raises(ValueError, match="not selected: ..nope"):
+        migrate(spark, SRC, root, ["2023_ORDERS"], split_by={"nope": "x"})
+
+
 def test_unknown_owner_fails_by_name(spark, stand_in):
     with pytest.raises(tm.UnknownStream, match="'sales'"):
         tm.discover(spark, SRC, schemas=["SALES", "sales"])

@@ -37,6 +37,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     moving.add_argument("root")
     moving.add_argument("--stream", action="append", help="default: all")
     moving.add_argument("--cursor", action="append", default=[], metavar="STREAM=COLUMN")
+    moving.add_argument("--split-by", action="append", default=[], metavar="STREAM=KEY")
+    moving.add_argument("--tasks", type=int, default=64, help="readers per split table")
     moving.add_argument("--full-refresh", action="store_true")
     moving.add_argument("--parallel", type=int, default=4)
 
@@ -78,7 +80,10 @@ def main(argv: Sequence[str] | None = None) -> list[DataFrame]:
         found = tm.discover(spark, _source(given))
         results = [found.orderBy("schema_name", "stream", "ordinal")]
     elif given.command == "migrate":
-        cursors = dict(pair.split("=", 1) for pair in given.cursor)
+        cursors, keys = (
+            dict(pair.split("=", 1) for pair in pairs)
+            for pairs in (given.cursor, given.split_by)
+        )
         log = migrate(
             spark,
             _source(given),
@@ -87,6 +92,8 @@ def main(argv: Sequence[str] | None = None) -> list[DataFrame]:
             cursors,
             given.full_refresh,
             given.parallel,
+            keys,
+            given.tasks,
         )
         results = [log.drop("schema_json", "error").orderBy("stream")]
     elif given.command == "show":

@@ -29,12 +29,14 @@ def _plans(
     streams: Sequence[str] | None,
     cursors: Mapping[str, str],
     full_refresh: bool,
+    split_by: Mapping[str, str],
+    tasks: int,
 ) -> list[StreamPlan]:
     chosen = select(discover(spark, src), streams)
     pairs = chosen.select("schema_name", "stream").distinct().collect()
-    unknown = set(cursors) - {p["stream"] for p in pairs}
+    unknown = (set(cursors) | set(split_by)) - {p["stream"] for p in pairs}
     if unknown:
-        raise ValueError(f"cursors for streams that are not selected: {sorted(unknown)}")
+        raise ValueError(f"columns for streams that are not selected: {sorted(unknown)}")
     holders = Counter(p["stream"] for p in pairs)
     plans = [
         StreamPlan(
@@ -43,6 +45,8 @@ def _plans(
             cursors.get(stream),
             schema,
             target=f"{schema}.{stream}" if holders[stream] > 1 else None,
+            split_by=split_by.get(stream),
+            tasks=tasks,
         )
         for schema, stream in sorted((p["schema_name"], p["stream"]) for p in pairs)
     ]
@@ -58,13 +62,18 @@ def migrate(
     cursors: Mapping[str, str] | None = None,
     full_refresh: bool = False,
     parallel: int = 4,
+    split_by: Mapping[str, str] | None = None,
+    tasks: int = 64,
 ) -> DataFrame:
     """Discover, select and land streams; returns the log rows.
 
     Streams with a cursor are synced incrementally unless ``full_refresh``. A name
-    that several schemas hold is landed as ``<schema>.<stream>``.
+    that several schemas hold is landed as ``<schema>.<stream>``. ``split_by`` names
+    the columns that share out database reads over ``tasks``, see ``StreamPlan``.
     """
-    plans = _plans(spark, src, streams, cursors or {}, full_refresh)
+    plans = _plans(
+        spark, src, streams, cursors or {}, full_refresh, split_by or {}, tasks
+    )
     return sync(spark, src, root, plans, parallel=parallel)
 
 
@@ -76,12 +85,14 @@ def extract(
     streams: Sequence[str],
     cursors: Mapping[str, str] | None = None,
     parallel: int = 4,
+    split_by: Mapping[str, str] | None = None,
+    tasks: int = 64,
 ) -> dict[str, DataFrame]:
     """Land streams in full, write each as CSV too, and return them by name.
 
     The source is read once; the CSV and the results come from the landed copy.
     """
-    migrate(spark, src, root, streams, cursors, full_refresh=True, parallel=parallel)
+    migrate(spark, src, root, streams, cursors, True, parallel, split_by, tasks)
     tables = {name: snapshots.current(spark, root, name) for name in streams}
     for name, df in tables.items():
         write_csv(df, uri(csv_root, path_segment(name)))
