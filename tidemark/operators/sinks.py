@@ -53,11 +53,7 @@ def land(
         unlike = differences(before, df.schema)
         if unlike:
             raise SchemaDrift(f"{stream!r} changed: {'; '.join(unlike)}; do a full sync")
-    if sync_ms is None:
-        sync_ms = synclog.next_sync_ms(last)
-    elif last is not None and sync_ms <= last["sync_ms"]:
-        raise ValueError(f"{stream!r} already has a sync at {last['sync_ms']}")
-
+    sync_ms = synclog.next_sync_ms(last, sync_ms)
     path = synclog.snapshot_path(root, stream, sync_ms)
     df.write.mode("errorifexists").option("compression", "snappy").option(
         "maxRecordsPerFile", max_records_per_file

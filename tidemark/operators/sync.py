@@ -196,7 +196,7 @@ def _nothing_newer(
     """A log row without a snapshot."""
     commit = Commit(
         plan.name,
-        synclog.next_sync_ms(last) if sync_ms is None else sync_ms,
+        synclog.next_sync_ms(last, sync_ms),
         INCREMENTAL,
         plan.cursor,
         last["hwm"],

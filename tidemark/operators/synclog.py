@@ -107,7 +107,11 @@ def live(spark: SparkSession, root: str, stream: str) -> DataFrame:
     return log.filter(F.col("sync_ms") >= base)
 
 
-def next_sync_ms(last: Row | None) -> int:
-    """Now, but always after the stream's last commit."""
-    now = int(time.time() * 1000)
-    return max(now, last["sync_ms"] + 1) if last else now
+def next_sync_ms(last: Row | None, wanted: int | None = None) -> int:
+    """The wanted time or now, but always after the stream's last commit."""
+    if wanted is None:
+        now = int(time.time() * 1000)
+        return max(now, last["sync_ms"] + 1) if last else now
+    if last and wanted <= last["sync_ms"]:
+        raise ValueError(f"{last['stream']!r} already has a sync at {last['sync_ms']}")
+    return wanted
