@@ -186,6 +186,15 @@ def test_predicates_run_on_another_engine():
         assert sum(sizes) == 1500
 
 
+def test_a_split_reads_something():
+    with pytest.raises(ValueError, match="no row"):
+        tm.key_split("id", 0)
+    with pytest.raises(ValueError, match="no row"):
+        tm.rowid_split(0)
+    with pytest.raises(ValueError, match="positive"):
+        tm.StreamPlan("t", split_by="id", tasks=0)
+
+
 def test_cut_points_must_increase():
     with pytest.raises(ValueError, match="increase"):
         tm.range_split("id", [5, 5])

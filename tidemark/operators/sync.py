@@ -66,6 +66,8 @@ class StreamPlan:
             raise ValueError(f"mode must be {FULL!r} or {INCREMENTAL!r}")
         if self.mode == INCREMENTAL and not self.cursor:
             raise ValueError(f"an incremental sync of {self.stream!r} needs a cursor")
+        if self.tasks < 1:
+            raise ValueError(f"tasks must be positive, not {self.tasks}")
 
     @property
     def name(self) -> str:

@@ -41,6 +41,10 @@ class Split:
 
     predicates: tuple[str, ...]
 
+    def __post_init__(self):
+        if not self.predicates:
+            raise ValueError("no predicate would read no row")
+
 
 class SqlLiteral(str):
     """Text that is already a SQL literal."""
