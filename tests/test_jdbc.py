@@ -80,6 +80,16 @@ def test_stride_and_split_reads():
     )
 
 
+def test_spark_fails_before_any_row_where_the_driver_is_missing(spark, root):
+    for cut in (None, tm.Stride("ID", 0, 9, 2), tm.key_split("ID", 2)):
+        with pytest.raises(Exception, match="oracle.jdbc.OracleDriver"):
+            tm.read_stream(spark, SRC, "T", cut)
+    with pytest.raises(tm.SyncFailed, match="OracleDriver") as failed:
+        tm.sync(spark, SRC, root, ["T"])
+    assert "s3cret" not in str(failed.value)
+    assert tm.read_log(spark, root, "T").first()["mode"] == "failed"
+
+
 def test_the_schema_must_be_clear():
     both = tm.JdbcSource("jdbc:x:y", schemas=("A", "B"))
     with pytest.raises(ValueError, match="name the schema"):

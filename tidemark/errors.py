@@ -36,6 +36,8 @@ def condition(error: Exception) -> str | None:
 
 
 def first_line(error: Exception) -> str:
-    """One line of an error, without the JVM stack."""
-    text = str(error).strip() or type(error).__name__
-    return text.splitlines()[0]
+    """The telling line of an error, without the JVM stack."""
+    lines = str(error).strip().splitlines() or [type(error).__name__]
+    if lines[0].startswith("An error occurred while calling") and lines[1:]:
+        return lines[1].lstrip(": ")  # the JVM's own message
+    return lines[0]
