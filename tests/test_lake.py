@@ -1,6 +1,7 @@
 """Listings, catalogs, raw folders, sync files and caches."""
 
 import glob
+import re
 import shutil
 from types import SimpleNamespace
 
@@ -145,12 +146,16 @@ def test_raw_folders_keep_equal_basenames_apart(spark, tmp_path, orders):
 
 def test_raw_files_that_disagree_fail_by_name(spark, tmp_path):
     raw, out = f"file:{tmp_path}/raw", f"file:{tmp_path}/out"
-    spark.sql("SELECT 1 AS a").write.parquet(f"{raw}/mixed")
-    spark.sql("SELECT 'x' AS a").write.mode("append").parquet(f"{raw}/mixed")
+    spark.sql("SELECT 1 AS a, 1 AS `b c`, 1 AS d").write.parquet(f"{raw}/mixed")
+    spark.sql("SELECT 'x' AS a, 1L AS `b c`").write.mode("append").parquet(f"{raw}/mixed")
     spark.sql("SELECT 1 AS a").write.parquet(f"{raw}/grown")
     spark.sql("SELECT 2 AS a, 3 AS b").write.mode("append").parquet(f"{raw}/grown")
-    with pytest.raises(tm.SyncFailed, match="dataset 'mixed'"):
+    with pytest.raises(tm.SyncFailed, match="dataset 'mixed'") as failed:
         tm.land_raw(spark, raw, out)
+    for name, types in (("a", {"int", "string"}), ("b c", {"int", "bigint"})):
+        (found,) = re.findall(rf"{name}: (\w+) against (\w+)", str(failed.value))
+        assert set(found) == types
+    assert " d: " not in str(failed.value)
     grown = tm.current(spark, out, "grown").orderBy("a").collect()
     assert grown == [(1, None), (2, 3)]
 

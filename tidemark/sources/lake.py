@@ -8,9 +8,11 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.errors import NoData, SchemaDrift, condition
+from tidemark.errors import NoData, SchemaDrift, condition, first_line
 from tidemark.functions.keys import decoded, has_extension, uri
+from tidemark.functions.schemas import differences
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 
@@ -88,5 +90,19 @@ def read_lake(
         raise
     except Exception as error:
         if "CANNOT_MERGE" in str(error):
-            raise SchemaDrift(f"files at {path} disagree: {error}") from error
+            raise SchemaDrift(f"files at {path} disagree: {_conflict(error)}") from error
         raise
+
+
+def _conflict(error: Exception) -> str:
+    """The columns of a failed schema merge, from the two schemas Spark reports."""
+    found = re.findall(r'^"(STRUCT<.*>)"', str(error), re.MULTILINE)
+    try:
+        left, right = (T.DataType.fromDDL(text) for text in found)
+    except Exception:  # not two schemas that can be read back
+        return first_line(error)
+    both = set(left.names) & set(right.names)
+    left, right = (
+        T.StructType([f for f in s.fields if f.name in both]) for s in (left, right)
+    )
+    return "; ".join(differences(left, right)) or first_line(error)
