@@ -4,10 +4,13 @@ import glob
 import os
 import shutil
 import time
+from collections import Counter
 
 import pandas as pd
 import pytest
 from conftest import SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import tidemark as tm
@@ -50,6 +53,30 @@ def test_csv_comes_back(spark, tmp_path, columns):
     assert (row.n_source, row.n_target, row.missing, row.extra) == (12, 12, 0, 0)
 
 
+AWKWARD = ["a", '"', ",", "\n", "\r", "\\", " ", "\t", "#", "'", "é", "\ufeff", "\x00"]
+AWKWARD += ["\x01", "|", ";", "\u2028", "\x0b", "\x0c", "😀", "\x85", "\xa0", "="]
+TEXTS = st.none() | st.text(st.sampled_from(AWKWARD), max_size=6)
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    rows=st.integers(1, 3).flatmap(
+        lambda width: st.lists(st.tuples(*[TEXTS] * width), min_size=60, max_size=120)
+    )
+)
+def test_any_text_in_csv(spark, tmp_path_factory, rows):
+    """The bytes of pandas, and back without loss."""
+    folder = tmp_path_factory.mktemp("any")
+    columns = [f"c{i}" for i in range(len(rows[0]))]
+    schema = ", ".join(f"{c} string" for c in columns)
+    df = spark.createDataFrame(rows, schema).coalesce(1)
+    tm.write_csv(df, f"file:{folder}/csv")
+    want = pd.DataFrame(rows, columns=columns).to_csv(index=False)
+    assert csv_bytes(folder) == want.encode("utf-8-sig")
+    back = tm.read_csv(spark, f"file:{folder}/csv", schema).collect()
+    assert Counter(map(tuple, back)) == Counter(tuple(v or None for v in r) for r in rows)
+
+
 def test_csv_of_every_type(spark, tmp_path):
     df = spark.sql(
         "SELECT 1 AS i, 1.5D AS d, cast(2.50 AS decimal(9,2)) AS m, true AS t,"

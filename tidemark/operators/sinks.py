@@ -103,6 +103,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 BOM = "\ufeff"
+_NEVER = "\uffff"  # no character of any text
 _TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
@@ -139,7 +140,7 @@ def write_csv(
         .option("encoding", "UTF-8")
         .option("escape", '"')
         # The writer would quote a leading "#" as if it began a comment.
-        .option("comment", "\x01")
+        .option("comment", _NEVER)
         .option("emptyValue", empty)
         .option("nullValue", empty)
         .option("ignoreLeadingWhiteSpace", False)
@@ -161,6 +162,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')
+        # With the default, zero characters in quoted values are lost.
+        .option("charToEscapeQuoteEscaping", _NEVER)
         .option("multiLine", True)
         .option("timestampFormat", _TIME)
         .option("timestampNTZFormat", _TIME)
