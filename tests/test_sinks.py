@@ -81,18 +81,26 @@ def test_csv_of_every_type(spark, tmp_path):
     df = spark.sql(
         "SELECT 1 AS i, 1.5D AS d, cast(2.50 AS decimal(9,2)) AS m, true AS t,"
         " date'2020-01-02' AS day, timestamp_ntz'2020-01-02 03:04:05.678901' AS at,"
-        " timestamp'2020-01-02 03:04:05' AS ts, array(1, 2) AS v, map('k', 1) AS p"
+        " timestamp'2020-01-02 03:04:05' AS ts, array(1, 2) AS v, map('k', 1) AS p,"
+        " struct(timestamp_ntz'2020-01-02 03:04:05.678901' AS x, cast(NULL AS int) AS y) AS q"
     )
     tm.write_csv(df, f"file:{tmp_path}/csv")
     line = csv_bytes(tmp_path).decode("utf-8-sig").splitlines()[1]
     assert line == (
         "1,1.5,2.50,true,2020-01-02,2020-01-02 03:04:05.678901,"
-        '2020-01-02 03:04:05.000000,"[1,2]","{""k"":1}"'
+        '2020-01-02 03:04:05.000000+00:00,"[1,2]","{""k"":1}",'
+        '"{""x"":""2020-01-02 03:04:05.678901"",""y"":null}"'
     )
-    plain = df.drop("v", "p")
+    plain = df.drop("v", "p", "q")
     tm.write_csv(plain, f"file:{tmp_path}/plain")
-    back = tm.read_csv(spark, f"file:{tmp_path}/plain", plain.schema)
-    assert back.collect() == plain.collect()
+    want = plain.selectExpr("*", "unix_micros(ts) AS us").collect()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        back = tm.read_csv(spark, f"file:{tmp_path}/plain", plain.schema)
+        assert back.selectExpr("*", "unix_micros(ts) AS us").collect() == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_empty_csv_still_has_its_header(spark, tmp_path):

@@ -105,6 +105,12 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 BOM = "\ufeff"
 _NEVER = "\uffff"  # no character of any text
 _TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# JSON's own defaults drop microseconds and NULL fields.
+_JSON = {
+    "timestampFormat": _TIME + "xxx",
+    "timestampNTZFormat": _TIME,
+    "ignoreNullFields": "false",
+}
 
 
 def write_csv(
@@ -117,7 +123,8 @@ def write_csv(
     """A folder of CSV files, each with a header and, by default, a UTF-8 BOM.
 
     NULL and the empty string are both written empty; quotes are doubled; blanks
-    around values stay. Nested columns are written as JSON. A file is read back by
+    around values stay. Nested columns are written as JSON, instants with their
+    offset, so that a session in another zone reads the same ones. A file is read back by
     one task, so long ones are cut. ``single_file`` sends all rows through one task
     and is meant for small results.
     """
@@ -125,7 +132,7 @@ def write_csv(
     empty = '""' if len(df.columns) == 1 else ""
     nested = (T.ArrayType, T.MapType, T.StructType)
     fields = [
-        (F.to_json(column(f.name)) if isinstance(f.dataType, nested) else column(f.name)).alias(
+        (F.to_json(column(f.name), _JSON) if isinstance(f.dataType, nested) else column(f.name)).alias(
             BOM + f.name if bom and i == 0 else f.name
         )
         for i, f in enumerate(df.schema.fields)
@@ -145,7 +152,7 @@ def write_csv(
         .option("nullValue", empty)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("timestampFormat", _TIME)
+        .option("timestampFormat", _TIME + "xxx")
         .option("timestampNTZFormat", _TIME)
         .csv(path)
     )
@@ -165,7 +172,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
         # With the default, zero characters in quoted values are lost.
         .option("charToEscapeQuoteEscaping", _NEVER)
         .option("multiLine", True)
-        .option("timestampFormat", _TIME)
+        .option("timestampFormat", _TIME + "xxx")
         .option("timestampNTZFormat", _TIME)
         .option("mode", "FAILFAST")
         .csv(path)
