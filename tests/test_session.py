@@ -13,6 +13,16 @@ def built(**arguments):
         return {c.args[0]: c.args[1] for c in builder.config.call_args_list}
 
 
+def test_tasks_of_a_shuffle(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session.shuffle_tasks(spark) == 8
+    spark.conf.set(name, "30")
+    try:
+        assert session.shuffle_tasks(spark) == 30
+    finally:
+        spark.conf.unset(name)
+
+
 def test_defaults_give_way_to_the_caller():
     conf = built(conf={"spark.sql.session.timeZone": "Asia/Tokyo", "x": "y"})
     assert conf["spark.sql.session.timeZone"] == "Asia/Tokyo"

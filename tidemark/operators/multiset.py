@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import SchemaDrift
 from tidemark.functions.cursors import column
 from tidemark.functions.schemas import differences
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, shuffle_tasks
 
 LEFT, RIGHT = "__left", "__right"
 COPIES_PER_STEP = 100_000
@@ -68,12 +68,11 @@ def subtract_all(
     if most <= step:
         return few.select(*columns)
     # A given partition count: by size the runs would be merged into one task again.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = F.explode(F.expr(f"sequence(0L, (__n - 1) div {step}L)"))
     many = (
         surplus.filter(n > step)
         .select(*columns, n, runs.alias("__run"))
-        .repartition(tasks, "__run")
+        .repartition(shuffle_tasks(spark), "__run")
         .select(
             *columns,
             F.explode(F.sequence(first, F.least(F.lit(step), n - run * step))).alias(

@@ -62,6 +62,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """How many tasks a shuffle of this session starts with."""
+    plain = spark.conf.get("spark.sql.shuffle.partitions")
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    return max(int(plain), int(spark.conf.get(name, None) or 0))
+
+
 @cache
 def _local_dir() -> str:
     return "file:" + tempfile.mkdtemp(prefix="tidemark-")
