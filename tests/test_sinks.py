@@ -208,6 +208,15 @@ def test_migrate_from_two_schemas(spark, root):
         tm.configured_catalog(catalog, [tm.StreamPlan("labels", schema="sf0.1")])
 
 
+def test_extract_from_two_schemas(spark, root, tmp_path):
+    both = tm.LakeSource("/root/testdata", ("sf0.001", "sf0.01"))
+    tables = extract(spark, both, root, f"file:{tmp_path}/csv", ["labels"])
+    assert {name: df.count() for name, df in tables.items()} == {
+        "sf0.001.labels": 87,
+        "sf0.01.labels": 399,
+    }
+
+
 def test_extract_keys_results_by_name(spark, root, tmp_path):
     streams = ["orders", "documents"]
     tables = extract(spark, SRC, root, f"file:{tmp_path}/csv", streams)

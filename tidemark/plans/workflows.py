@@ -88,12 +88,13 @@ def extract(
     split_by: Mapping[str, str] | None = None,
     tasks: int = 64,
 ) -> dict[str, DataFrame]:
-    """Land streams in full, write each as CSV too, and return them by name.
+    """Land streams in full, write each as CSV too, and return them by landed name.
 
     The source is read once; the CSV and the results come from the landed copy.
     """
-    migrate(spark, src, root, streams, cursors, True, parallel, split_by, tasks)
-    tables = {name: snapshots.current(spark, root, name) for name in streams}
+    log = migrate(spark, src, root, streams, cursors, True, parallel, split_by, tasks)
+    landed = [r["stream"] for r in log.select("stream").collect()]
+    tables = {name: snapshots.current(spark, root, name) for name in landed}
     for name, df in tables.items():
         write_csv(df, uri(csv_root, path_segment(name)))
     return tables
