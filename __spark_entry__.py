@@ -6,6 +6,7 @@ a fresh folder below the one the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -357,10 +358,30 @@ _QUERIES = (
 )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in _QUERIES}
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the optional subpackage, if it is there."""
+    found, sql = {}, {}
+    if importlib.util.find_spec("tidemark.llm"):
+        from tidemark.llm import queries as llm
+
+        found, sql = dict(llm.QUERIES), dict(llm.SQL)
+    if importlib.util.find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | _llm()[0]
+
+
 def _per_table(line: str) -> str:
     return " UNION ALL ".join(line.format(t=t) for t in TABLES)
 
@@ -378,6 +399,10 @@ _DTYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
 
 
 def oracle_sql() -> dict[str, str]:
+    return core_sql() | _llm()[1]
+
+
+def core_sql() -> dict[str, str]:
     orders = "SELECT * FROM orders"
     objects = "SELECT table_name || '.parquet' AS object_name FROM information_schema.tables WHERE "
     columns = "CAST(ordinal_position AS BIGINT) AS ordinal, column_name"

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry_point
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = entry_point.core_queries(), entry_point.core_sql()
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +47,8 @@ def test_query_equals_its_sql(spark, tables, name):
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert SQL.keys() <= entry_point.oracle_sql().keys()
 
 
 def test_entry(spark):
