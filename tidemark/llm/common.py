@@ -131,7 +131,7 @@ def put(location: str, data: bytes | memoryview) -> None:
     fs, path = opened(location)
     fs.create_dir(os.path.dirname(path), recursive=True)
     name = f"{path}.{uuid.uuid4().hex}.tmp"
-    with fs.open_output_stream(name) as out:
+    with fs.open_output_stream(name, compression=None) as out:
         out.write(data)
     fs.move(name, path)
 
@@ -157,7 +157,7 @@ def mapped(location: str, kind: str) -> np.ndarray:
     if isinstance(fs, pafs.LocalFileSystem):
         return np.memmap(path, kind, "r")
     handle, copy = tempfile.mkstemp()
-    with os.fdopen(handle, "wb") as out, fs.open_input_stream(path) as data:
+    with os.fdopen(handle, "wb") as out, fs.open_input_stream(path, compression=None) as data:
         while block := data.read(1 << 24):
             out.write(block)
     array = np.memmap(copy, kind, "r")

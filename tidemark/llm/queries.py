@@ -2,32 +2,77 @@
 
 from __future__ import annotations
 
-from tidemark.llm import kneser_ney, langid, quality
+import os
+
+from tidemark.llm import (
+    kneser_ney,
+    langid,
+    licenses,
+    main_text,
+    pieces,
+    quality,
+    token_files,
+    warc,
+)
+
+# Where the files of public tokenizers are, on every machine.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+def vocabulary(name: str) -> str:
+    return os.path.join(TOKENIZERS, name)
 
 
 def _table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_main_text(spark, sf_dir):
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_kneser_ney(spark, sf_dir):
     return kneser_ney.lm_scores(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark, sf_dir):
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op5_license_digests(spark, sf_dir):
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_pieces(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return pieces.digests(docs, vocabulary("piece_bpe_32k.model"))
+
+
 def op8_language_mixture(spark, sf_dir):
     return langid.predicted_languages(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.round_trip(docs, vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_main_text,
         op2_kneser_ney,
+        op4_warc,
+        op5_license_digests,
         op6_quality_rules,
+        op7_pieces,
         op8_language_mixture,
+        op9_token_files,
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_license_digests": licenses.sql()}
