@@ -45,7 +45,7 @@ from tidemark.llm.common import (
 BITS = np.uint64((1 << 48) - 1)
 START, END = np.uint64(1), np.uint64(2)
 # Bytes of text a task counts at once, and per slice.
-TEXT_AT_ONCE, TEXT_PER_SLICE = 24 << 20, 32 << 20
+TEXT_AT_ONCE, TEXT_PER_SLICE = 12 << 20, 16 << 20
 # A word with this share of a task's tokens, or more, is frequent: at most its inverse
 # of them per task, and overall no more words than tasks have in common.
 FREQUENT = 1 / 500
