@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 
 from tidemark.llm import (
+    decontaminate,
     kneser_ney,
     langid,
     licenses,
     main_text,
+    ngram_join,
     pieces,
     quality,
     token_files,
@@ -35,6 +37,10 @@ def op2_kneser_ney(spark, sf_dir):
     return kneser_ney.lm_scores(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark, sf_dir):
+    return ngram_join.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -61,17 +67,24 @@ def op9_token_files(spark, sf_dir):
     return token_files.round_trip(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op10_benchmark_leaks(spark, sf_dir):
+    docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.leaks(docs, items)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_main_text,
         op2_kneser_ney,
+        op3_ngram_jaccard,
         op4_warc,
         op5_license_digests,
         op6_quality_rules,
         op7_pieces,
         op8_language_mixture,
         op9_token_files,
+        op10_benchmark_leaks,
     )
 }
 
