@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import columns, mix, prepare, stash, windows, word_hashes, word_list
 
@@ -39,6 +40,8 @@ FRAGMENTS, COLUMNS = 4, 4096
 # A bitmap of this size says which keys or sets are worth posting again. It only spares
 # work: what it lets through is joined exactly, and a full one lets all through.
 BITS = 1 << 25
+# Rows of ids that are sent to every task.
+MOST_SENT = 300_000
 
 
 def sets_of(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -162,22 +165,24 @@ def posted(docs: DataFrame, size: int, groups: Groups, only: _Bitmap | None = No
 
 
 def identified(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, sid, n) of every row; sid is NULL for empty sets."""
+    """(doc_id, sid, n) of every row, and its other columns but the text; sid is NULL for
+    empty sets."""
+    others = [f for f in docs.schema if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = sets_of(columns(batch, "text")[0], size)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(batch.schema.get_field_index("doc_id")),
+                    *(batch.column(batch.schema.get_field_index(f.name)) for f in others),
                     pa.array([set_id(s) if len(s) else None for s in found], pa.int64()),
                     pa.array([len(s) for s in found], pa.int64()),
                 ],
-                names=["doc_id", "sid", "n"],
+                names=[*(f.name for f in others), "sid", "n"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, sid long, n long")
+    made = [T.StructField(c, T.LongType()) for c in ("sid", "n")]
+    return docs.mapInArrow(run, T.StructType([*others, *made]))
 
 
 def grams_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
@@ -329,8 +334,11 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+def classes(
+    docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, *carried: str
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, and the columns ``carried``, of every row of
+    ``docs`` (doc_id, text).
 
     Sets of distinct n-grams of ``size`` words (the whole text, if it has fewer words)
     are linked where ``den * |intersection| >= num * |union|``. component_id is the
@@ -340,9 +348,9 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> Da
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.select("doc_id", "text")
     groups = Groups(num, den)
-    base = stash(identified(docs, size), "sets")
+    base = stash(identified(docs.select("doc_id", "text", *carried), size), "sets")
+    docs = docs.select("doc_id", "text")
     reps = base.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"))
 
     shared = stash(
@@ -404,19 +412,38 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> Da
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.coalesce("first", "rep", "doc_id").alias("component_id"),
+            *carried,
         )
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with their columns; of
-    rows with the same doc_id and text, one. Rows without a doc_id are kept if their
-    component has no other."""
-    found = classes(docs, size, num, den)
-    kept = (
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_id"))
-        .distinct()
-    )
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return rows.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    """The rows of ``docs`` whose doc_id names their component, with their columns.
+
+    Of rows alike in doc_id and text one stays; rows alike in doc_id alone are one
+    document and stay or go by their own texts. A NULL doc_id stays if its component
+    has no other. The ids that go are sent to every task while they are MOST_SENT or
+    fewer, and joined by a shuffle beyond that.
+    """
+    marked = docs.withColumn("_h", F.xxhash64("text"))
+    found = stash(classes(marked, size, num, den, "_h"), "classes")
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_g")).distinct()
+    again = found.groupBy("doc_id", "_h").agg(F.count("*").alias("m")).filter("m > 1")
+    again = again.join(gone, _same(again, gone), "left_anti")
+    again = again.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_g"))
+
+    def without(rows: DataFrame, ids: DataFrame, how: str = "left_anti") -> DataFrame:
+        ids = stash(ids, "ids")
+        sent = F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+        return rows.join(sent, _same(rows, sent), how)
+
+    kept = without(marked, gone)
+    if again.isEmpty():
+        return kept.drop("_h")
+    copies = without(kept, again, "left_semi").dropDuplicates(["doc_id", "_h"])
+    return without(kept, again).unionByName(copies).drop("_h")
+
+
+def _same(rows: DataFrame, ids: DataFrame):
+    return rows["doc_id"].eqNullSafe(ids["_id"]) & rows["_h"].eqNullSafe(ids["_g"])
