@@ -50,6 +50,7 @@ class Index:
 
     def __init__(self, items: list[tuple]):
         self.ids: list = []
+        self.run: list[int] = []  # words of an item's runs
         self.question: list[np.ndarray] = []
         self.answer: list[np.ndarray] = []
         parts: list[list[bytes]] = []
@@ -62,6 +63,7 @@ class Index:
             self.ids.append(item_id)
             cut = [m.end() for m in SENTENCE.finditer(text)]
             head = len(plain_words(text[: cut[-1]])) if cut else 0
+            self.run.append(min(SHINGLE, len(words)))
             runs = windows(word_hashes(words), SHINGLE)
             # a run belongs to the answer if a word of the last sentence is in it
             first = max(0, min(head - SHINGLE + 1, len(runs)))
@@ -190,12 +192,12 @@ class Index:
             by_text[k].append((item, score))
         for k in sorted(by_text):
             hashes = word_hashes(texts[k])
-            runs = {SHINGLE: np.unique(windows(hashes, SHINGLE))}
+            runs: dict[int, np.ndarray] = {}
             for item, score in sorted(by_text[k]):
-                q, a = self.question[item], self.answer[item]
-                here = runs[SHINGLE]
-                if not len(q) and len(a) == 1 and len(hashes) >= SHINGLE:
-                    here = self._short(item, hashes, here)
+                q, a, n = self.question[item], self.answer[item], self.run[item]
+                if n not in runs:
+                    runs[n] = windows(hashes, n) if len(hashes) >= n else hashes[:0]
+                here = runs[n]
                 in_q = int(np.isin(q, here).sum())
                 in_a = int(np.isin(a, here).sum())
                 overlap = (in_q + in_a) / (len(q) + len(a))
@@ -212,10 +214,6 @@ class Index:
                     )
         return out
 
-    def _short(self, item: int, hashes: np.ndarray, here: np.ndarray) -> np.ndarray:
-        """Runs of an item with fewer than SHINGLE words, whatever their length."""
-        return np.concatenate([here, *(windows(hashes, n) for n in range(1, SHINGLE))])
-
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes over all items, of ITEMS_AT_ONCE items or so each."""

@@ -417,6 +417,32 @@ def classes(
     )
 
 
+def sql() -> str:
+    """``classes`` of documents in another engine's words, by all pairs that share one."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    END) AS s FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b
+  ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM sets s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.s)"""
+
+
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component, with their columns.
 

@@ -88,4 +88,7 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {"op5_license_digests": licenses.sql()}
+SQL: dict[str, str] = {
+    "op3_ngram_jaccard": ngram_join.sql(),
+    "op5_license_digests": licenses.sql(),
+}
