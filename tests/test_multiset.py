@@ -85,3 +85,48 @@ def test_one_shuffle_of_rows(spark, orders):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize(
+    "left,right",
+    [
+        ("array(1, 2) AS a, array(3) AS b", "array(1) AS a, array(2, 3) AS b"),
+        ("array(1, NULL) AS a", "array(NULL, 1) AS a"),
+        ("cast(array() AS array<int>) AS a", "array(cast(NULL AS int)) AS a"),
+        ("cast(NULL AS array<int>) AS a", "cast(array() AS array<int>) AS a"),
+        ("struct(1 AS x, cast(NULL AS int) AS y) AS s", "struct(cast(NULL AS int) AS x, 1 AS y) AS s"),
+        ("array(struct('a' AS x, 'b' AS y)) AS s", "array(struct('b' AS x, 'a' AS y)) AS s"),
+        ("array(array(1), array(2, 3)) AS a", "array(array(1, 2), array(3)) AS a"),
+    ],
+)
+def test_unlike_nested_rows_have_unlike_hashes(spark, left, right):
+    for digest in (False, True):
+        rows = (spark.sql(f"SELECT {x}") for x in (left, right))
+        (row,) = reconcile(*rows, digest).collect()
+        assert (row.missing, row.extra) == (1, 1)
+
+
+def test_maps_below_other_values(spark):
+    query = "SELECT struct(map('a', array({0}), 'b', NULL) AS m) AS s, array(map(1, {0})) AS v"
+    one, two = (spark.sql(query.format(k)) for k in (1, 2))
+    turned = spark.sql(
+        "SELECT struct(map('b', cast(NULL AS array<int>), 'a', array(1)) AS m) AS s,"
+        " array(map(1, 1)) AS v"
+    )
+    for left, right, unlike in ((one, two, 1), (one, one, 0), (one, turned, 0)):
+        (row,) = reconcile(left, right, digest=True).collect()
+        assert (row.missing, row.extra) == (unlike, unlike)
+
+
+NESTED = st.tuples(
+    st.none() | st.lists(st.none() | st.integers(0, 1), max_size=2),
+    st.none() | st.tuples(st.none() | st.integers(0, 1), st.none() | st.lists(st.integers(0, 1), max_size=2)),
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(NESTED, max_size=8), st.lists(NESTED, max_size=8))
+def test_digests_agree_with_rows(spark, left, right):
+    schema = "a array<int>, s struct<x:int,y:array<int>>"
+    frames = [spark.createDataFrame(rows, schema) for rows in (left, right)]
+    assert reconcile(*frames, digest=True).collect() == reconcile(*frames).collect()
