@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,3 +75,43 @@ def from_text(text: str, dtype: T.DataType) -> Column:
     if text == "NaN":
         raise CursorRefused("the cursor's maximum is NaN, which bounds nothing")
     return _literal(text, dtype)
+
+
+def _next(value: Column, dtype: T.DataType) -> Column | None:
+    """The next value the type can hold; None where it ends, and for other types."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return value + F.expr("interval 1 microsecond")
+    if not isinstance(dtype, T.DecimalType):
+        return None
+    # Spark's own sum of 38 digits would lose the last one.
+    spark = SparkSession.active()
+    known = spark.range(0, 1, 1, 1).select(value.cast(dtype)).first()[0]
+    if known is None:
+        return None
+    with localcontext(prec=60):
+        after = known + Decimal(1).scaleb(-dtype.scale)
+        if after.scaleb(dtype.scale) >= Decimal(10) ** dtype.precision:
+            return None
+    return F.lit(str(after)).cast(dtype)
+
+
+def upto(at: Column, mark: Column, dtype: T.DataType) -> Column:
+    """``at <= mark``, also where ``at`` is evaluated by a database.
+
+    A database may hold times and numbers finer than Spark's type, and compares those;
+    a mark has lost the rest. Everything below the next mark is therefore taken.
+    """
+    after = _next(mark, dtype)
+    return at <= mark if after is None else at < after
+
+
+def beyond(at: Column, mark: Column, dtype: T.DataType) -> Column:
+    """The rows that ``upto`` leaves, NULLs aside."""
+    after = _next(mark, dtype)
+    return at > mark if after is None else at >= after
+
+
+def within(at: Column, mark: Column, dtype: T.DataType) -> Column:
+    """``at == mark`` as Spark sees it: from the mark up to the next."""
+    after = _next(mark, dtype)
+    return at == mark if after is None else (at >= mark) & (at < after)

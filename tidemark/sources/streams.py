@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 
 from tidemark.config import JdbcSource, Source
 from tidemark.errors import NoData, UnknownStream
-from tidemark.functions.cursors import bound, column, cursor_type, from_text, to_text
+from tidemark.functions.cursors import (
+    beyond,
+    bound,
+    column,
+    cursor_type,
+    from_text,
+    to_text,
+    upto,
+    within,
+)
 from tidemark.operators.multiset import subtract_all
 from tidemark.sources import jdbc
 from tidemark.sources.lake import read_lake
@@ -88,10 +97,10 @@ def source_mark(
         # MAX may come back wider than the column it was taken from.
         found = found.select(F.col("mark").cast(dtype))
         if above is not None:
-            found = found.filter(F.col("mark") > from_text(above, dtype))
+            found = found.filter(beyond(F.col("mark"), from_text(above, dtype), dtype))
     else:
         if above is not None:
-            df = df.filter(column(cursor) > from_text(above, dtype))
+            df = df.filter(beyond(column(cursor), from_text(above, dtype), dtype))
         found = df.agg(F.max(column(cursor)).alias("mark"))
     row = found.select(to_text(F.col("mark"), dtype).alias("mark")).first()
     return row["mark"] if row else None
@@ -107,16 +116,17 @@ def newer_rows(
 ) -> DataFrame:
     """Rows of ``df`` with ``lo < cursor <= hi``, see ``read_incremental``."""
     dtype, at = cursor_type(df, cursor), column(cursor)
-    upto = at <= bound(hi, dtype)
+    in_time = upto(at, bound(hi, dtype), dtype)
     if lo is None:
-        return df.filter(upto)
+        return df.filter(in_time)
     lo = bound(lo, dtype)
-    newer = df.filter((at > lo) & upto)
+    newer = df.filter(beyond(at, lo, dtype) & in_time)
     if not inclusive:
         return newer
     if landed is None:
         raise ValueError("inclusive needs the rows landed so far")
-    return newer.unionByName(subtract_all(df.filter(at == lo), landed.filter(at == lo)))
+    tied = within(at, lo, dtype)
+    return newer.unionByName(subtract_all(df.filter(tied), landed.filter(at == lo)))
 
 
 def read_incremental(
@@ -135,7 +145,8 @@ def read_incremental(
 
     ``hi`` is fixed before the rows are read, so rows that arrive meanwhile are
     left to the next read. Rows with a NULL cursor come only with a full read, and
-    updates or deletes that do not move the cursor are not seen.
+    updates or deletes that do not move the cursor are not seen. Where a database holds
+    finer values than Spark's type, a bound stands for all values that Spark reads as it.
 
     A row may arrive late with a cursor value already seen. ``inclusive=True``
     also takes the rows at ``lo`` that ``landed`` does not hold yet, copies counted.
