@@ -72,9 +72,7 @@ def scan_full(spark, sf_dir):
 
 
 def scan_parquet(spark, sf_dir):
-    return tm.read_lake(spark, sf_dir, "lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_shipdate"
-    )
+    return tm.read_lake(spark, sf_dir, "lineitem.parquet")
 
 
 def scan_incremental(spark, sf_dir):
@@ -104,23 +102,45 @@ def high_water_mark(spark, sf_dir):
     return tm.high_water_mark(_table(spark, sf_dir, "orders"), "o_orderdate")
 
 
+def _values(spark, sf_dir, streams) -> DataFrame:
+    """Values per column of the streams, counted in their rows."""
+    tables = tm.read_streams(spark, _lake(sf_dir), streams)
+    return _union(
+        tm.profile_info(df).select(
+            F.lit(name).alias("stream"), "column_name", F.col("n_non_null").alias("n_values")
+        )
+        for name, df in tables.items()
+    )
+
+
 def discover_catalog(spark, sf_dir):
-    return _long(tm.discover(spark, _lake(sf_dir)).drop("schema_name"))
+    catalog = tm.discover(spark, _lake(sf_dir)).drop("schema_name")
+    return _long(catalog.join(_values(spark, sf_dir, TABLES), ["stream", "column_name"]))
 
 
 def filter_schema(spark, sf_dir):
     lake = _lake(sf_dir)
     catalog = tm.discover(spark, tm.LakeSource(lake.root), schemas=lake.schemas)
     here = F.col("schema_name").isin(list(lake.schemas))
-    return catalog.groupBy("stream").agg(
-        F.count_if(here).alias("n_columns"), F.count_if(~here).alias("n_elsewhere")
+    values = _values(spark, sf_dir, TABLES)
+    return catalog.join(values, ["stream", "column_name"]).groupBy("stream").agg(
+        F.count_if(here).alias("n_columns"),
+        F.count_if(~here).alias("n_elsewhere"),
+        F.sum("n_values").alias("n_values"),
     )
 
 
 def select_streams(spark, sf_dir):
-    catalog = tm.discover(spark, _lake(sf_dir))
-    chosen = tm.select(catalog, ["orders", "lineitem"])
-    return _long(chosen.select("stream", "ordinal", "column_name"))
+    """The rows of the streams that are selected, by their keys."""
+    chosen = tm.select(tm.discover(spark, _lake(sf_dir)), ["orders", "lineitem"])
+    names = [r[0] for r in chosen.select("stream").distinct().collect()]
+    tables = tm.read_streams(spark, _lake(sf_dir), names)
+    return _union(
+        df.groupBy(F.col(df.columns[0]).alias("order_key"))
+        .agg(F.count("*").alias("n_rows"))
+        .withColumn("stream", F.lit(name))
+        for name, df in tables.items()
+    )
 
 
 def configured_catalog(spark, sf_dir):
@@ -130,20 +150,36 @@ def configured_catalog(spark, sf_dir):
         "lineitem",
     ]
     catalog = tm.discover(spark, _lake(sf_dir))
-    return tm.configured_catalog(catalog, plans).drop("schema_name", "target")
+    planned = tm.configured_catalog(catalog, plans).drop("schema_name", "target")
+    values = _values(spark, sf_dir, ["orders", "events", "lineitem"])
+    values = values.groupBy("stream").agg(F.sum("n_values").alias("n_values"))
+    return planned.join(values, "stream")
+
+
+def _rows_of(spark, sf_dir, objects: DataFrame) -> DataFrame:
+    """Rows per object, counted where the objects are read."""
+    names = [r[0] for r in objects.select("object_name").collect()]
+    return _union(
+        tm.read_lake(spark, sf_dir, name)
+        .groupBy(F.col("_metadata.file_name").alias("object_name"))
+        .agg(F.count("*").alias("n_rows"))
+        for name in names
+    )
 
 
 def list_objects(spark, sf_dir):
-    return tm.list_objects(spark, sf_dir).select("object_name")
+    return _rows_of(spark, sf_dir, tm.list_objects(spark, sf_dir))
 
 
 def prefix_filter(spark, sf_dir):
-    return tm.list_objects(spark, sf_dir, prefix="pa").select("object_name")
+    return _rows_of(spark, sf_dir, tm.list_objects(spark, sf_dir, prefix="pa"))
 
 
 def extension_filter(spark, sf_dir):
     found = tm.list_objects(spark, sf_dir, extensions=(".parquet", ".csv"))
-    return found.select(tm.object_key("object_name", "raw").alias("object_key"))
+    return _rows_of(spark, sf_dir, found).select(
+        tm.object_key("object_name", "raw").alias("object_key"), "n_rows"
+    )
 
 
 def object_key(spark, sf_dir):
@@ -169,6 +205,23 @@ def sink_csv(spark, sf_dir):
     return tm.read_csv(spark, folder, documents.schema)
 
 
+def sink_csv_nested(spark, sf_dir):
+    """Arrays and, as bytes, texts through CSV; then an array's values one by one."""
+    rows = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.col("label").cast("string").cast("binary")
+    )
+    folder = tm.scratch_dir(spark, "sink-nested")
+    tm.write_csv(rows, folder)
+    return tm.read_csv(spark, folder, rows.schema).select(
+        "vec_id",
+        F.col("label").cast("string").alias("label"),
+        F.posexplode("embedding").alias("position", "value"),
+    ).select(
+        "vec_id", "label", F.col("position").cast("bigint").alias("position"),
+        F.col("value").cast("double").alias("value"),
+    )
+
+
 def sink_table_overwrite(spark, sf_dir):
     root = tm.scratch_dir(spark, "overwrite")
     old, _ = _halves(spark, sf_dir)
@@ -186,9 +239,27 @@ def sink_table_append(spark, sf_dir):
 
 
 def sync_many(spark, sf_dir):
+    """All tables side by side; every row of each is compared with its source."""
     root = tm.scratch_dir(spark, "sync")
     log = tm.sync(spark, _lake(sf_dir), root, TABLES, parallel=8)
-    return log.select("stream", "mode", "n_rows")
+    compared = _union(
+        tm.reconcile(
+            _table(spark, sf_dir, name), tm.current(spark, root, name), digest=True
+        ).withColumn("stream", F.lit(name))
+        for name in TABLES
+    )
+    return log.select("stream", "mode", "n_rows").join(compared, "stream").drop("n_source")
+
+
+def sync_new_column(spark, sf_dir):
+    """A source of two drops, the second with one more column."""
+    root, inbox = tm.scratch_dir(spark, "synced"), tm.scratch_dir(spark, "source")
+    old, new = _halves(spark, sf_dir)
+    src = tm.LakeSource(inbox, ("sales",), suffix="")
+    old.drop("o_orderpriority").write.mode("append").parquet(src.path("sales", "orders"))
+    new.write.mode("append").parquet(src.path("sales", "orders"))
+    tm.sync(spark, src, root, ["orders"])
+    return tm.current(spark, root, "orders")
 
 
 def sync_incremental(spark, sf_dir):
@@ -203,18 +274,36 @@ def sync_incremental(spark, sf_dir):
     return tm.current(spark, root, "orders")
 
 
-def land_raw_folders(spark, sf_dir):
-    raw, out = tm.scratch_dir(spark, "raw"), tm.scratch_dir(spark, "landed")
+def _raw_events(spark, sf_dir) -> str:
+    raw = tm.scratch_dir(spark, "raw")
     events = _table(spark, sf_dir, "events")
     noon = F.hour("ts") < 12
     events.filter(noon).write.parquet(tm.uri(raw, "morning"))
     events.filter(~noon).write.parquet(tm.uri(raw, "evening"))
     _table(spark, sf_dir, "orders").write.parquet(tm.uri(raw, "orders"))
+    return raw
+
+
+def _dataset(df: DataFrame) -> DataFrame:
+    """Rows with the folder of the raw object that each names."""
+    folder = F.substring_index("source_file", "/", 1)
+    return df.select(*df.columns[:-1], folder.alias("dataset"))
+
+
+def land_raw_folders(spark, sf_dir):
+    raw, out = _raw_events(spark, sf_dir), tm.scratch_dir(spark, "landed")
     tm.land_raw(spark, raw, out)
-    return _union(
-        tm.stream_shape(tm.current(spark, out, name), name)
-        for name in ("morning", "evening", "orders")
-    ).select(F.col("stream").alias("dataset"), "n_rows")
+    return _union(_dataset(tm.current(spark, out, name)) for name in ("morning", "evening"))
+
+
+def land_raw_again(spark, sf_dir):
+    """Half of the orders, then the rest beside it, then a run that finds nothing new."""
+    raw, out = tm.scratch_dir(spark, "raw"), tm.scratch_dir(spark, "landed")
+    for rows in (*_halves(spark, sf_dir), None):
+        if rows is not None:
+            rows.write.mode("append").parquet(tm.uri(raw, "orders"))
+        tm.land_raw(spark, raw, out, mode="incremental")
+    return _dataset(tm.current(spark, out, "orders"))
 
 
 # --- previews, profiles, snapshots -------------------------------------------
@@ -240,19 +329,19 @@ def stream_shape(spark, sf_dir):
 
 def column_list(spark, sf_dir):
     tables = tm.read_streams(spark, _lake(sf_dir), TABLES)
-    return _long(
-        _union(
-            tm.column_list(df).withColumn("stream", F.lit(name))
-            for name, df in tables.items()
-        )
+    listed = _union(
+        tm.column_list(df).withColumn("stream", F.lit(name)) for name, df in tables.items()
     )
+    return _long(listed.join(_values(spark, sf_dir, TABLES), ["stream", "column_name"]))
 
 
 def cache_stream(spark, sf_dir):
+    """Customers and their nations, both from the cache."""
     cache = tm.StreamCache(spark)
-    for name in ("customer", "conversations"):
+    for name in ("customer", "nation"):
         cache.put(name, _table(spark, sf_dir, name))
-    return cache["conversations"]
+    customer, nation = cache["customer"], cache["nation"]
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
 
 
 def _two_snapshots(spark, sf_dir) -> str:
@@ -267,6 +356,18 @@ def latest_snapshot(spark, sf_dir):
     return tm.latest_snapshot(spark, _two_snapshots(spark, sf_dir), "orders")
 
 
+def latest_snapshot_idle(spark, sf_dir):
+    """The newest sync that landed rows, after one that found nothing new."""
+    root, inbox = tm.scratch_dir(spark, "synced"), tm.scratch_dir(spark, "source")
+    src = tm.LakeSource(inbox, ("sales",), suffix="")
+    plan = tm.StreamPlan("orders", "incremental", "o_orderdate")
+    for rows in (*_halves(spark, sf_dir), None):
+        if rows is not None:
+            rows.write.mode("append").parquet(src.path("sales", "orders"))
+        tm.sync(spark, src, root, [plan])
+    return tm.latest_snapshot(spark, root, "orders")
+
+
 def snapshot_history(spark, sf_dir):
     root = _two_snapshots(spark, sf_dir)
     return tm.snapshot_history(spark, root, "orders", recount=True)
@@ -286,9 +387,7 @@ def pickup_new_files(spark, sf_dir):
             _table(spark, sf_dir, "orders").schema,
         )
     folder = F.element_at(F.split("source_file", "/"), -2)
-    return picked.groupBy(folder.alias("drop_name")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("o_orderdate").alias("last_date")
-    )
+    return picked.withColumn("drop_name", folder).drop("source_file")
 
 
 def reconcile(spark, sf_dir):
@@ -311,6 +410,20 @@ def reconcile_digest(spark, sf_dir):
     return tm.reconcile(documents, documents.filter(known), digest=True)
 
 
+def reconcile_digest_nested(spark, sf_dir):
+    """Arrays by hashes: some lose an element, some get a NULL in its place."""
+    rows = _table(spark, sf_dir, "embeddings")
+    cut = F.slice("embedding", F.lit(1), F.size("embedding") - 1)
+    none = F.array(F.lit(None).cast("float"))
+    altered = rows.withColumn(
+        "embedding",
+        F.when(F.col("vec_id") % 10 == 0, cut)
+        .when(F.col("vec_id") % 10 == 1, F.concat(cut, none))
+        .otherwise(F.col("embedding")),
+    )
+    return tm.reconcile(rows, altered, digest=True)
+
+
 def cursor_profile(spark, sf_dir):
     return tm.cursor_profile(_table(spark, sf_dir, "orders"), "o_totalprice")
 
@@ -339,21 +452,26 @@ _QUERIES = (
     object_key,
     sink_parquet,
     sink_csv,
+    sink_csv_nested,
     sink_table_overwrite,
     sink_table_append,
     sync_many,
+    sync_new_column,
     sync_incremental,
     land_raw_folders,
+    land_raw_again,
     preview_head,
     profile_info,
     stream_shape,
     column_list,
     cache_stream,
     latest_snapshot,
+    latest_snapshot_idle,
     snapshot_history,
     pickup_new_files,
     reconcile,
     reconcile_digest,
+    reconcile_digest_nested,
     cursor_profile,
 )
 
@@ -404,7 +522,15 @@ def oracle_sql() -> dict[str, str]:
 
 def core_sql() -> dict[str, str]:
     orders = "SELECT * FROM orders"
-    objects = "SELECT table_name || '.parquet' AS object_name FROM information_schema.tables WHERE "
+    objects = _per_table("SELECT '{t}.parquet' AS object_name, count(*) AS n_rows FROM {t}")
+    values = _per_table(
+        "SELECT '{t}' AS t, c, n AS n_values FROM"
+        r" (UNPIVOT (SELECT count(COLUMNS('(.+)')) AS '\1' FROM {t})"
+        " ON COLUMNS(*) INTO NAME c VALUE n)"
+    )
+    counted = (
+        f"(information_schema.columns JOIN ({values}) AS v ON t = table_name AND c = column_name)"
+    )
     columns = "CAST(ordinal_position AS BIGINT) AS ordinal, column_name"
     profile = " UNION ALL ".join(
         f"SELECT CAST({i} AS BIGINT) AS ordinal, '{name}' AS column_name,"
@@ -423,42 +549,48 @@ def core_sql() -> dict[str, str]:
     )
     return {
         "scan_full": orders,
-        "scan_parquet": "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem",
+        "scan_parquet": "SELECT * FROM lineitem",
         "scan_incremental": f"{orders} WHERE o_orderdate > TIMESTAMP '1995-06-01'",
         "scan_incremental_ties": f"{orders} WHERE o_orderdate > TIMESTAMP '{CUT}'"
         f" OR (o_orderdate = TIMESTAMP '{CUT}' AND o_orderstatus <> 'F')",
         "high_water_mark": "SELECT max(o_orderdate) AS hwm, count(*) AS n_rows FROM orders",
-        "discover_catalog": f"SELECT table_name AS stream, {columns}, {_DTYPE} AS dtype"
-        f" FROM information_schema.columns WHERE {_names()}",
+        "discover_catalog": f"SELECT table_name AS stream, {columns}, {_DTYPE} AS dtype,"
+        f" n_values FROM {counted} WHERE {_names()}",
         "filter_schema": "SELECT table_name AS stream, count(*) AS n_columns,"
-        " CAST(0 AS BIGINT) AS n_elsewhere"
-        f" FROM information_schema.columns WHERE {_names()} GROUP BY table_name",
-        "select_streams": f"SELECT table_name AS stream, {columns}"
-        " FROM information_schema.columns"
-        " WHERE table_schema = 'main' AND table_name IN ('orders', 'lineitem')",
+        " CAST(0 AS BIGINT) AS n_elsewhere, CAST(sum(n_values) AS BIGINT) AS n_values"
+        f" FROM {counted} WHERE {_names()} GROUP BY table_name",
+        "select_streams": "SELECT 'orders' AS stream, o_orderkey AS order_key,"
+        " count(*) AS n_rows FROM orders GROUP BY 2 UNION ALL SELECT 'lineitem', l_orderkey,"
+        " count(*) FROM lineitem GROUP BY 2",
         "configured_catalog": "SELECT table_name AS stream,"
         " CASE table_name WHEN 'lineitem' THEN 'full' ELSE 'incremental' END AS mode,"
         " CASE table_name WHEN 'orders' THEN 'o_orderdate' WHEN 'events' THEN 'ts' END AS cursor,"
-        " count(*) AS n_columns FROM information_schema.columns WHERE table_schema = 'main'"
+        " count(*) AS n_columns, CAST(sum(n_values) AS BIGINT) AS n_values"
+        f" FROM {counted} WHERE table_schema = 'main'"
         " AND table_name IN ('orders', 'events', 'lineitem') GROUP BY table_name",
-        "list_objects": objects + _names(),
-        "prefix_filter": objects + _names(" AND starts_with(table_name, 'pa')"),
-        "extension_filter": "SELECT 'raw/' || object_name AS object_key FROM"
-        f" ({objects + _names()}) AS listed",
+        "list_objects": objects,
+        "prefix_filter": f"SELECT * FROM ({objects}) AS o WHERE starts_with(object_name, 'pa')",
+        "extension_filter": f"SELECT 'raw/' || object_name AS object_key, n_rows FROM ({objects})",
         "object_key": "SELECT page_id,"
         " 'raw/pages/' || regexp_extract(url, '[^/]*$') AS object_key FROM pages",
         "sink_parquet": "SELECT * FROM lineitem",
         "sink_csv": "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang,"
         " nullif(source, '') AS source, n_chars FROM documents",
+        "sink_csv_nested": "SELECT vec_id, CAST(label AS VARCHAR) AS label,"
+        " unnest(range(len(embedding))) AS position,"
+        " CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings",
         "sink_table_overwrite": orders,
         "sink_table_append": orders,
         "sync_many": _per_table(
-            "SELECT '{t}' AS stream, 'full' AS mode, count(*) AS n_rows FROM {t}"
+            "SELECT '{t}' AS stream, 'full' AS mode, count(*) AS n_rows, count(*) AS n_target,"
+            " CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra FROM {t}"
         ),
+        "sync_new_column": "SELECT * REPLACE (CASE WHEN o_orderdate >"
+        f" TIMESTAMP '{CUT}' THEN o_orderpriority END AS o_orderpriority) FROM orders",
         "sync_incremental": orders,
-        "land_raw_folders": "SELECT CASE WHEN hour(ts) < 12 THEN 'morning' ELSE 'evening' END"
-        " AS dataset, count(*) AS n_rows FROM events GROUP BY 1"
-        " UNION ALL SELECT 'orders', count(*) FROM orders",
+        "land_raw_folders": "SELECT *, CASE WHEN hour(ts) < 12 THEN 'morning'"
+        " ELSE 'evening' END AS dataset FROM events",
+        "land_raw_again": "SELECT *, 'orders' AS dataset FROM orders",
         "preview_head": f"{orders} ORDER BY o_orderkey LIMIT 5",
         "profile_info": "WITH e AS (SELECT * REPLACE ("
         "CASE WHEN value >= 5 THEN value END AS value,"
@@ -468,10 +600,11 @@ def core_sql() -> dict[str, str]:
             " (SELECT count(*) FROM information_schema.columns"
             " WHERE table_schema = 'main' AND table_name = '{t}') AS n_cols FROM {t}"
         ),
-        "column_list": f"SELECT table_name AS stream, {columns}"
-        f" FROM information_schema.columns WHERE {_names()}",
-        "cache_stream": "SELECT * FROM conversations",
+        "column_list": f"SELECT table_name AS stream, {columns}, n_values"
+        f" FROM {counted} WHERE {_names()}",
+        "cache_stream": "SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey",
         "latest_snapshot": orders,
+        "latest_snapshot_idle": f"{orders} WHERE o_orderdate > TIMESTAMP '{CUT}'",
         "snapshot_history": " UNION ALL ".join(
             f"SELECT CAST({ms} AS BIGINT) AS sync_ms,"
             f" make_timestamp(CAST({ms}000 AS BIGINT)) AS synced_at,"
@@ -481,9 +614,8 @@ def core_sql() -> dict[str, str]:
                 (SECOND_MS, "true"),
             )
         ),
-        "pickup_new_files": "SELECT CASE WHEN o_orderdate <= TIMESTAMP"
-        f" '{CUT}' THEN 'drop_a' ELSE 'drop_b' END AS drop_name, count(*) AS n_rows,"
-        " max(o_orderdate) AS last_date FROM orders GROUP BY 1",
+        "pickup_new_files": "SELECT *, CASE WHEN o_orderdate <= TIMESTAMP"
+        f" '{CUT}' THEN 'drop_a' ELSE 'drop_b' END AS drop_name FROM orders",
         "reconcile": "WITH kept AS (SELECT * FROM lineitem WHERE l_returnflag <> 'R')"
         + " UNION ALL ".join(
             f" SELECT '{name}' AS target, (SELECT count(*) FROM lineitem) AS n_source,"
@@ -497,6 +629,9 @@ def core_sql() -> dict[str, str]:
         " (SELECT count(*) FROM known) AS n_target,"
         " (SELECT count(*) FROM (FROM documents EXCEPT ALL FROM known)) AS missing,"
         " (SELECT count(*) FROM (FROM known EXCEPT ALL FROM documents)) AS extra",
+        "reconcile_digest_nested": "SELECT count(*) AS n_source, count(*) AS n_target,"
+        " count(*) FILTER (vec_id % 10 < 2) AS missing,"
+        " count(*) FILTER (vec_id % 10 < 2) AS extra FROM embeddings",
         "cursor_profile": "SELECT count(*) AS n_rows,"
         " count(*) - count(o_totalprice) AS n_unset,"
         " count(DISTINCT o_totalprice) AS n_distinct,"

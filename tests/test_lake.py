@@ -8,6 +8,7 @@ from types import SimpleNamespace
 import pytest
 
 import tidemark as tm
+from tidemark.operators import synclog
 from tidemark.session import shared_dir
 from tidemark.sources.lake import glob_escape
 
@@ -63,9 +64,35 @@ def test_listing_reads_no_content_and_prunes(spark):
     found = tm.list_objects(spark, LAKE.root, "sf0.001/pa")
     plan = found._jdf.queryExecution().executedPlan()
     assert "ReadSchema: struct<>" in plan.toString()
-    plan.executeCollect()
-    scan = plan.collectLeaves().apply(0)
-    assert scan.metrics().get("numFiles").get().value() == 2
+    assert len(found.inputFiles()) == 2
+    assert names(found) == ["sf0.001/pages.parquet", "sf0.001/part.parquet"]
+
+
+def test_empty_objects_are_listed(spark, tree):
+    (tree / "deep" / "nothing é.parquet").write_bytes(b"")
+    found = {r.object_name: r.length for r in tm.list_objects(spark, f"file:{tree}").collect()}
+    assert found.pop("deep/nothing é.parquet") == 0 and set(found.values()) == {5}
+    only = tm.list_objects(spark, f"file:{tree}", "deep/n", extensions=(".parquet",))
+    assert names(only) == ["deep/nothing é.parquet"]
+
+
+def test_columns_of_all_files_are_read(spark, tmp_path):
+    """Whichever footer comes first; a folder, a glob, a stream and its catalog."""
+    lake = f"file:{tmp_path}/lake"
+    for name, query in (("a", "SELECT 1L AS id"), ("b", "SELECT 2L AS id, 'x' AS extra")):
+        spark.sql(query).coalesce(1).write.mode("append").parquet(f"{lake}/s/t")
+        spark.sql(query).coalesce(1).write.parquet(f"{lake}/x/u/{name}")
+    src = tm.LakeSource(lake, ("s",), suffix="")
+    want = [(1, None), (2, "x")]
+    assert tm.read_stream(spark, src, "t").orderBy("id").collect() == want
+    assert tm.read_lake(spark, lake, "x/u/*").orderBy("id").collect() == want
+    columns = tm.discover(spark, src).filter("stream = 't'").orderBy("ordinal").collect()
+    assert [r.column_name for r in columns] == ["id", "extra"]
+    tm.sync(spark, src, f"{lake}/out", ["t"])
+    assert tm.current(spark, f"{lake}/out", "t").orderBy("id").collect() == want
+    spark.sql("SELECT 'z' AS id").write.mode("append").parquet(f"{lake}/s/t")
+    with pytest.raises(tm.SchemaDrift, match="id: "):
+        tm.read_stream(spark, src, "t")
 
 
 def test_keys(spark):
@@ -120,8 +147,8 @@ def test_pushdown_and_pruning(spark):
     ).select("o_orderkey")
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = rows._jdf.queryExecution().explainString(mode)
-    assert "GreaterThan(o_orderdate,1995-06-01T00:00)" in text
-    assert "LessThanOrEqual(o_orderdate,1996-01-01T00:00)" in text
+    assert "GreaterThanOrEqual(o_orderdate,1995-06-01T00:00:00.000001)" in text
+    assert "LessThan(o_orderdate,1996-01-01T00:00:00.000001)" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
 
 
@@ -140,6 +167,18 @@ def test_raw_folders_keep_equal_basenames_apart(spark, tmp_path, orders):
     log = tm.land_raw(spark, raw, out, prefix="raw")
     assert {r.stream: r.n_rows for r in log.collect()} == {"a {1}": 20, "b": 40}
     assert tm.current(spark, f"{out}/raw", "b").count() == 40
+    files = {r[0] for r in tm.current(spark, f"{out}/raw", "a {1}").select("source_file").collect()}
+    assert len(files) == 2 and "a {1}/same.parquet" in files
+    for _ in range(2):  # the same files again, then one more
+        log = tm.land_raw(spark, raw, out, prefix="raw", mode="incremental")
+        assert {r.n_rows for r in log.collect()} == {0}
+    spark.range(3).coalesce(1).write.mode("append").parquet(f"{raw}/b")
+    log = tm.land_raw(spark, raw, out, prefix="raw", mode="incremental")
+    assert {r.stream: r.n_rows for r in log.collect()} == {"a {1}": 0, "b": 3}
+    assert tm.current(spark, f"{out}/raw", "b").count() == 43
+    spark.range(1).selectExpr("id", "'x' AS source_file").write.parquet(f"{raw}/c")
+    with pytest.raises(tm.SyncFailed, match="source_file"):
+        tm.land_raw(spark, raw, out, prefix="raw", mode="incremental")
     with pytest.raises(tm.NoData, match=".csv"):
         tm.land_raw(spark, raw, out, ext=".csv")
 
@@ -157,7 +196,7 @@ def test_raw_files_that_disagree_fail_by_name(spark, tmp_path):
         assert set(found) == types
     assert " d: " not in str(failed.value)
     grown = tm.current(spark, out, "grown").orderBy("a").collect()
-    assert grown == [(1, None), (2, 3)]
+    assert [(r.a, r.b) for r in grown] == [(1, None), (2, 3)]
 
 
 # --- sync files ----------------------------------------------------------------
@@ -236,6 +275,17 @@ def test_readers_list_only_the_live_snapshots(spark, root, orders):
     assert len(tm.latest_snapshot(spark, root, "orders").inputFiles()) == 1
 
 
+def test_superseded_commits_cost_no_scan(spark, root, orders):
+    scanned = []
+    for _ in range(3):
+        tm.land(orders.limit(1), root, "orders")
+        tm.land(orders.limit(1), root, "orders", mode="incremental")
+        scanned.append(len(synclog.live(spark, root, "orders").inputFiles()))
+        assert tm.current(spark, root, "orders").count() == 2
+    assert scanned == [2, 2, 2]
+    assert tm.read_log(spark, root, "orders").count() == 6
+
+
 # --- cache ---------------------------------------------------------------------
 
 

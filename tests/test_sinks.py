@@ -82,16 +82,23 @@ def test_csv_of_every_type(spark, tmp_path):
         "SELECT 1 AS i, 1.5D AS d, cast(2.50 AS decimal(9,2)) AS m, true AS t,"
         " date'2020-01-02' AS day, timestamp_ntz'2020-01-02 03:04:05.678901' AS at,"
         " timestamp'2020-01-02 03:04:05' AS ts, array(1, 2) AS v, map('k', 1) AS p,"
-        " struct(timestamp_ntz'2020-01-02 03:04:05.678901' AS x, cast(NULL AS int) AS y) AS q"
+        " struct(timestamp_ntz'2020-01-02 03:04:05.678901' AS x, cast(NULL AS int) AS y) AS q,"
+        " X'00FF6162' AS b, array(X'00', NULL) AS n"
     )
     tm.write_csv(df, f"file:{tmp_path}/csv")
     line = csv_bytes(tmp_path).decode("utf-8-sig").splitlines()[1]
     assert line == (
         "1,1.5,2.50,true,2020-01-02,2020-01-02 03:04:05.678901,"
         '2020-01-02 03:04:05.000000+00:00,"[1,2]","{""k"":1}",'
-        '"{""x"":""2020-01-02 03:04:05.678901"",""y"":null}"'
+        '"{""x"":""2020-01-02 03:04:05.678901"",""y"":null}",AP9hYg==,"[""AA=="",null]"'
     )
-    plain = df.drop("v", "p", "q")
+    back = tm.read_csv(spark, f"file:{tmp_path}/csv", df.schema)
+    assert back.dtypes == df.dtypes and back.collect() == df.collect()
+    odd = spark.sql("SELECT map(1, 'x') AS m, 1 AS i")
+    tm.write_csv(odd, f"file:{tmp_path}/odd")
+    with pytest.raises(ValueError, match="'m'.*text keys"):
+        tm.read_csv(spark, f"file:{tmp_path}/odd", odd.schema)
+    plain = df
     tm.write_csv(plain, f"file:{tmp_path}/plain")
     want = plain.selectExpr("*", "unix_micros(ts) AS us").collect()
     zone = spark.conf.get("spark.sql.session.timeZone")

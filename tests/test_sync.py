@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import tidemark as tm
+from tidemark.functions import cursors
 from tidemark.operators import synclog
 
 CUT = "1998-01-01"
@@ -59,7 +60,70 @@ def test_incremental_chain_equals_full_and_reruns_add_nothing(spark, root, order
     (row,) = tm.sync(spark, src, root, [plan]).collect()
     assert (row.n_rows, row.hwm) == (0, again.hwm)
     modes = tm.read_log(spark, root, "orders").groupBy("mode").count().collect()
-    assert {r["mode"]: r["count"] for r in modes} == {"full": 2, "incremental": 8}
+    # syncs that find nothing leave no row
+    assert {r["mode"]: r["count"] for r in modes} == {"full": 2, "incremental": 3}
+
+
+def test_the_newest_rows_after_an_idle_sync(spark, root, orders, db):
+    src, arrive = db
+    plan = tm.StreamPlan("orders", "incremental", "o_orderkey")
+    for low, n in ((0, 5), (5, 3)):
+        arrive("orders", orders.orderBy("o_orderkey").offset(low).limit(n))
+        for _ in range(2):
+            tm.sync(spark, src, root, [plan])
+            assert tm.latest_snapshot(spark, root, "orders").count() == n
+    history = tm.snapshot_history(spark, root, "orders").orderBy("sync_ms").collect()
+    assert [r.n_rows for r in history] == [5, 3]
+    tm.land(orders.limit(0), root, "orders", cursor="o_orderkey")
+    assert tm.latest_snapshot(spark, root, "orders").count() == 0
+    for recount in (False, True):
+        history = tm.snapshot_history(spark, root, "orders", recount).orderBy("sync_ms")
+        assert [r.n_rows for r in history.collect()] == [5, 3, 0]
+
+
+@pytest.mark.parametrize(
+    "fine,coarse,values",
+    [
+        ("decimal(38,12)", "decimal(38,10)", ["1.000000000049", "1.000000000051", "0.5"]),
+        ("decimal(38,12)", "decimal(38,10)", ["1.000000000051", "1.000000000099"]),
+        ("decimal(20,12)", "timestamp_ntz", ["1.000000999", "1.000001001", "0.1"]),
+    ],
+)
+def test_marks_cover_values_finer_than_their_type(spark, fine, coarse, values):
+    """A database compares its own values with a mark that Spark has rounded."""
+    if coarse == "timestamp_ntz":  # a database's nanoseconds, as seconds
+        at = F.col("c")
+        seen = F.timestamp_micros(F.floor(at * 1_000_000).cast("bigint")).cast(coarse)
+        mark_of = lambda v: F.lit(str(v)).cast(coarse)
+    else:
+        seen = F.col("c").cast(coarse)
+        mark_of = lambda v: F.lit(v).cast(coarse)
+    rows = spark.createDataFrame([(Decimal(v),) for v in values], f"c {fine}")
+    dtype = rows.select(seen.alias("m")).schema["m"].dataType
+    mark = mark_of(rows.select(F.max(seen)).first()[0])
+    spot = F.col("c")
+    if coarse == "timestamp_ntz":
+        # the bound as the database sees it, in its own unit
+        def number(value):
+            return F.unix_micros(value.cast("timestamp")).cast("decimal(20,0)") / 1_000_000
+
+        after = number(cursors._next(mark, dtype))
+        assert rows.filter(spot < after).count() == len(values)
+        assert rows.filter(spot >= after).count() == 0
+        return
+    assert rows.filter(cursors.upto(spot, mark, dtype)).count() == len(values)
+    assert rows.filter(cursors.beyond(spot, mark, dtype)).count() == 0
+    tied = rows.filter(seen == mark).count()
+    assert rows.filter(cursors.within(spot, mark, dtype)).count() >= tied
+
+
+def test_bounds_at_the_end_of_a_type(spark):
+    rows = spark.sql("SELECT cast(c AS decimal(3,1)) AS c FROM VALUES (99.9), (1.0) AS t(c)")
+    mark, dtype = F.lit(Decimal("99.9")).cast("decimal(3,1)"), rows.schema["c"].dataType
+    assert rows.filter(cursors.upto(F.col("c"), mark, dtype)).count() == 2
+    assert rows.filter(cursors.beyond(F.col("c"), mark, dtype)).count() == 0
+    plan = rows.filter(cursors.upto(F.col("c"), F.lit(Decimal("5.0")).cast("decimal(3,1)"), dtype))
+    assert "CASE" not in plan._jdf.queryExecution().optimizedPlan().toString()
 
 
 ARRIVALS = st.lists(
@@ -236,6 +300,7 @@ def test_drifted_snapshots_fail_by_name(spark, root):
             "incremental",
             n_rows=1,
             schema_json=other.schema.json(),
+            full_ms=commit.full_ms,
         ),
     )
     with pytest.raises(tm.SchemaDrift, match="a: string against bigint"):
@@ -248,7 +313,7 @@ def test_empty_streams(spark, root, orders):
     empty = tm.current(spark, root, "orders")
     assert (empty.count(), empty.columns) == (0, orders.columns)
     assert tm.latest_snapshot(spark, root, "orders").count() == 0
-    assert tm.snapshot_history(spark, root, "orders").count() == 0
+    assert [r.n_rows for r in tm.snapshot_history(spark, root, "orders").collect()] == [0]
     with pytest.raises(tm.NoData, match="'nope'"):
         tm.current(spark, root, "nope")
 
@@ -366,6 +431,32 @@ def test_delta_is_used_where_it_is_set_up(spark, root, orders, monkeypatch):
             job()
 
 
+def test_tables_keep_their_format(spark, root, orders, tmp_path, monkeypatch):
+    (tmp_path / "lake" / "d" / "_delta_log").mkdir(parents=True)
+    for job in (
+        lambda: tm.write_table(orders, root, "d", mode="append"),
+        lambda: tm.read_table(spark, root, "d"),
+    ):
+        with pytest.raises(ValueError, match="'d' is a Delta table"):
+            job()
+    tm.write_table(orders.limit(4), root, "t")
+    monkeypatch.setattr("tidemark.operators.sinks.delta_enabled", lambda spark: True)
+    tm.write_table(orders.limit(4), root, "t", mode="append")  # as it was begun
+    assert tm.read_table(spark, root, "t").count() == 8
+
+
+def test_failures_are_told_where_the_log_cannot_be_written(spark, root, orders, db, monkeypatch):
+    src, arrive = db
+    arrive("orders", orders)
+
+    def refuse(*_):
+        raise OSError("log is full")
+
+    monkeypatch.setattr(synclog, "append", refuse)
+    with pytest.raises(tm.SyncFailed, match="orders: log is full .not logged"):
+        tm.sync(spark, src, root, ["orders"])
+
+
 def test_decimals_are_landed_as_they_are(spark, root):
     df = spark.sql("SELECT cast(12345678901234.5678 AS decimal(18,4)) AS amount")
     tm.land(df, root, "t")

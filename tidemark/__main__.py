@@ -25,7 +25,7 @@ from tidemark.plans import land_folders, migrate, read_back
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark")
-    parser.add_argument("--rows", type=int, default=100, help="rows to print")
+    parser.add_argument("--rows", type=int, default=20, help="rows of a preview")
     commands = parser.add_subparsers(dest="command", required=True)
 
     source = argparse.ArgumentParser(add_help=False)
@@ -107,8 +107,8 @@ def main(argv: Sequence[str] | None = None) -> list[DataFrame]:
     else:
         log = land_folders(spark, given.raw_root, given.out_root, given.prefix)
         results = [log.select("stream", "sync_ms", "n_rows").orderBy("stream")]
-    for df in results:
-        df.show(given.rows, truncate=False)
+    for df in results:  # a preview is as long as asked for, the rest is shown whole
+        df.show(df.count(), truncate=False)
     return results
 
 

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import NoData, SchemaDrift, first_line
 from tidemark.functions.keys import uri
+from tidemark.operators import synclog
 from tidemark.operators.sinks import land
-from tidemark.operators.sync import each_stream
-from tidemark.operators.synclog import FULL
-from tidemark.sources.lake import glob_escape, list_objects, read_lake
+from tidemark.operators.snapshots import current
+from tidemark.operators.sync import each_stream, idle
+from tidemark.operators.synclog import FULL, INCREMENTAL, Commit
+from tidemark.sources.lake import glob_escape, list_objects, object_name, read_files
+
+SOURCE_FILE = "source_file"
 
 
 def raw_datasets(spark: SparkSession, raw_root: str, ext: str = ".parquet") -> list[str]:
@@ -36,23 +40,47 @@ def land_raw(
 ) -> DataFrame:
     """Land every ``<raw_root>/<dataset>/*<ext>`` as a stream; returns the log rows.
 
-    Datasets may differ in schema, the files of one may not disagree on a
-    column's type. A column only some files have is kept, NULL elsewhere. Rows of
-    files with equal names in different folders stay apart.
+    Each row keeps the name of its raw object, ``<dataset>/<file>``, as SOURCE_FILE.
+    ``incremental`` adds the files whose names have not landed yet, so a repeated run
+    adds nothing; a dataset seen for the first time is landed in full. Datasets may
+    differ in schema, the files of one may not disagree on a column's type. A column
+    only some files have is kept, NULL elsewhere. Rows of files with equal names in
+    different folders stay apart.
     """
     names = raw_datasets(spark, raw_root, ext)
     if not names:
         raise NoData(f"no folder with *{ext} files under {raw_root}")
     target = uri(out_root, prefix)
 
-    def job(name: str):
-        files = uri(raw_root, glob_escape(name), "*" + glob_escape(ext))
+    def job(name: str) -> Commit:
+        last = synclog.last_commit(spark, target, name)
+        adds = mode == INCREMENTAL and last is not None
+        paths = [uri(raw_root, glob_escape(name), "*" + glob_escape(ext))]
+        if adds:
+            paths = _new_files(spark, raw_root, name, ext, current(spark, target, name))
+            if not paths:
+                return idle(name, last)
         try:
-            df = read_lake(spark, files, one_schema=False)
+            df = read_files(spark, paths)
         except SchemaDrift as error:
             raise SchemaDrift(f"dataset {name!r}: {first_line(error)}") from error
-        return land(df, target, name, mode=mode)
+        if SOURCE_FILE in df.columns:
+            raise SchemaDrift(f"dataset {name!r} has a column {SOURCE_FILE!r} of its own")
+        df = df.withColumn(SOURCE_FILE, object_name(raw_root))
+        return land(df, target, name, mode=INCREMENTAL if adds else FULL, last=last)
 
     return each_stream(
         spark, target, {n: (lambda n=n: job(n)) for n in names}, parallel
     )
+
+
+def _new_files(
+    spark: SparkSession, raw_root: str, name: str, ext: str, landed: DataFrame
+) -> list[str]:
+    """Paths of a dataset's files that have not landed. The driver holds their names,
+    as the scan of them would."""
+    seen = landed.select(F.col(SOURCE_FILE).alias("object_name")).distinct()
+    here = F.size(F.split("object_name", "/")) == 2
+    found = list_objects(spark, raw_root, f"{name}/", extensions=(ext,)).filter(here)
+    new = found.join(seen, "object_name", "left_anti").select("object_name").collect()
+    return sorted(uri(raw_root, glob_escape(r[0])) for r in new)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from tidemark.functions.schemas import differences, nullable
 from tidemark.operators import synclog
 from tidemark.operators.snapshots import current
 from tidemark.operators.synclog import FULL, INCREMENTAL, Commit
+from tidemark.sources.lake import child_names
 
 _LOOK_UP = object()
 
@@ -67,7 +68,14 @@ def land(
             stacklevel=2,
         )
     commit = Commit(
-        stream, sync_ms, mode, cursor, hwm, n_rows, nullable(df.schema).json()
+        stream,
+        sync_ms,
+        mode,
+        cursor,
+        hwm,
+        n_rows,
+        nullable(df.schema).json(),
+        full_ms=sync_ms if mode == FULL else last["full_ms"],
     )
     synclog.append(spark, root, commit)
     return commit
@@ -77,16 +85,30 @@ def delta_enabled(spark: SparkSession) -> bool:
     return "io.delta" in (spark.conf.get("spark.sql.extensions", "") or "")
 
 
+def _is_delta(spark: SparkSession, root: str, table: str) -> bool:
+    """A table is what its folder says it is, whatever this session can do.
+
+    A new table becomes a Delta table where the session has that extension.
+    """
+    path, able = synclog.stream_path(root, table), delta_enabled(spark)
+    if "_delta_log" in child_names(spark, path):
+        if not able:
+            raise ValueError(f"{table!r} is a Delta table; this session has no Delta")
+        return True
+    return able and synclog.last_commit(spark, root, table) is None
+
+
 def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
-    """Replace or extend a table under ``root``.
+    """Replace or extend a table under ``root``, in the format it has.
 
-    A Delta table where the session has that extension, otherwise snapshots that
-    ``current`` reads; both replace atomically. ``read_table`` reads either.
+    A new one becomes a Delta table where the session has that extension, otherwise
+    snapshots that ``current`` reads; both replace atomically. ``read_table`` reads
+    either. A Delta table in a session without Delta fails by name.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
     spark = df.sparkSession
-    if delta_enabled(spark):
+    if _is_delta(spark, root, table):
         path = synclog.stream_path(root, table)
         df.write.format("delta").mode(mode).save(path)
         return
@@ -97,7 +119,7 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """What ``write_table`` wrote."""
-    if delta_enabled(spark):
+    if _is_delta(spark, root, table):
         return spark.read.format("delta").load(synclog.stream_path(root, table))
     return current(spark, root, table)
 
@@ -113,6 +135,37 @@ _JSON = {
 }
 
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _as_text(field: T.StructField) -> Column:
+    """Nested and binary values as text, others as they are."""
+    value = column(field.name)
+    if isinstance(field.dataType, _NESTED):
+        return F.to_json(value, _JSON)
+    return F.base64(value) if isinstance(field.dataType, T.BinaryType) else value
+
+
+def _from_text(field: T.StructField) -> Column:
+    """The inverse of ``_as_text``."""
+    value = column(field.name)
+    if isinstance(field.dataType, _NESTED):
+        if _odd_keys(field.dataType):
+            raise ValueError(f"{field.name!r}: maps are read back from CSV by text keys only")
+        value = F.from_json(value, field.dataType, _JSON | {"mode": "FAILFAST"})
+    elif isinstance(field.dataType, T.BinaryType):
+        value = F.unbase64(value)
+    return value.alias(field.name)
+
+
+def _odd_keys(kind: T.DataType) -> bool:
+    if isinstance(kind, T.MapType):
+        return not isinstance(kind.keyType, T.StringType) or _odd_keys(kind.valueType)
+    if isinstance(kind, T.ArrayType):
+        return _odd_keys(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_odd_keys(f.dataType) for f in kind)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -123,18 +176,16 @@ def write_csv(
     """A folder of CSV files, each with a header and, by default, a UTF-8 BOM.
 
     NULL and the empty string are both written empty; quotes are doubled; blanks
-    around values stay. Nested columns are written as JSON, instants with their
-    offset, so that a session in another zone reads the same ones. A file is read back by
-    one task, so long ones are cut. ``single_file`` sends all rows through one task
+    around values stay. Nested columns are written as JSON, binary values in Base64,
+    instants with their offset, so that a session in another zone reads the same ones.
+    Maps need text keys to be read back. A file is read back by one task, so long ones
+    are cut. ``single_file`` sends all rows through one task
     and is meant for small results.
     """
     # A lone empty value would make a blank line, which readers skip.
     empty = '""' if len(df.columns) == 1 else ""
-    nested = (T.ArrayType, T.MapType, T.StructType)
     fields = [
-        (F.to_json(column(f.name), _JSON) if isinstance(f.dataType, nested) else column(f.name)).alias(
-            BOM + f.name if bom and i == 0 else f.name
-        )
+        _as_text(f).alias(BOM + f.name if bom and i == 0 else f.name)
         for i, f in enumerate(df.schema.fields)
     ]
     out = df.select(*fields)
@@ -164,8 +215,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     Values may hold line breaks, so a file is one task: the writer's partitions
     set the parallelism.
     """
-    return (
-        spark.read.schema(schema)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    coded = (*_NESTED, T.BinaryType)
+    plain = T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if isinstance(f.dataType, coded) else f.dataType)
+            for f in schema
+        ]
+    )
+    rows = (
+        spark.read.schema(plain)
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')
@@ -177,3 +237,4 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    return rows if plain == schema else rows.select(*map(_from_text, schema))

@@ -20,6 +20,8 @@ from tidemark.functions.schemas import differences
 from tidemark.operators import synclog
 from tidemark.sources.lake import list_objects, read_lake
 
+# Syncs that say what the stream held: those with rows, and full ones.
+_TELLS = f"n_rows > 0 OR mode = '{synclog.FULL}'"
 _DATED = "[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9]"
 
 
@@ -59,19 +61,26 @@ def current(
     spark: SparkSession, root: str, stream: str, with_sync_ms: bool = False
 ) -> DataFrame:
     """The stream's present rows: its last full sync and what was added since."""
-    rows = synclog.live(spark, root, stream).collect()
+    filled = F.when(F.col("n_rows") > 0, F.col("sync_ms"))
+    rows = (  # one per distinct schema
+        synclog.live(spark, root, stream)
+        .groupBy("schema_json")
+        .agg(F.min("sync_ms").alias("first_ms"), F.collect_list(filled).alias("filled"))
+        .orderBy("first_ms")
+        .collect()
+    )
     if not rows:
         raise NoData(f"no committed sync of {stream!r} under {root}")
-    rows.sort(key=lambda r: r["sync_ms"])
-    firsts = {r["schema_json"]: r["sync_ms"] for r in reversed(rows)}
-    schema = _agreed_schema(stream, sorted((ms, text) for text, ms in firsts.items()))
-    sync_ids = [r["sync_ms"] for r in rows if r["n_rows"]]
+    schema = _agreed_schema(stream, [(r["first_ms"], r["schema_json"]) for r in rows])
+    sync_ids = sorted(ms for r in rows for ms in r["filled"])
     return _read(spark, root, stream, sync_ids, schema, with_sync_ms)
 
 
 def latest_snapshot(spark: SparkSession, root: str, stream: str) -> DataFrame:
-    """The rows of the newest committed sync alone."""
-    last = synclog.last_commit(spark, root, stream)
+    """The rows of the newest committed sync that landed any, or of a full sync that
+    found the source empty."""
+    log = synclog.live(spark, root, stream).filter(_TELLS)
+    last = log.orderBy(F.desc("sync_ms")).first()
     if last is None:
         raise NoData(f"no committed sync of {stream!r} under {root}")
     schema = T.StructType.fromJson(json.loads(last["schema_json"]))
@@ -82,17 +91,20 @@ def latest_snapshot(spark: SparkSession, root: str, stream: str) -> DataFrame:
 def snapshot_history(
     spark: SparkSession, root: str, stream: str, recount: bool = False
 ) -> DataFrame:
-    """Rows per sync that landed any, with the sync's UTC time.
+    """Rows per sync that landed any, or was full, with the sync's UTC time.
 
     The log has the counts taken at the commit; ``recount`` takes them anew from
     the footers of all snapshots.
     """
-    log = synclog.committed(spark, root, stream).filter(F.col("n_rows") > 0)
+    log = synclog.committed(spark, root, stream).filter(_TELLS)
     counts = log.select("sync_ms", "n_rows")
     if recount:
-        sync_ids = sorted(r["sync_ms"] for r in counts.collect())
+        sync_ids = sorted(r["sync_ms"] for r in counts.filter("n_rows > 0").collect())
         rows = _read(spark, root, stream, sync_ids, T.StructType(), True)
-        counts = rows.groupBy("sync_ms").agg(F.count(F.lit(1)).alias("n_rows"))
+        found = rows.groupBy("sync_ms").agg(F.count(F.lit(1)).alias("found"))
+        counts = counts.join(found, "sync_ms", "left").select(
+            "sync_ms", F.coalesce("found", F.lit(0).cast("bigint")).alias("n_rows")
+        )
     return counts.select("sync_ms", utc_time("sync_ms").alias("synced_at"), "n_rows")
 
 
@@ -115,7 +127,7 @@ def latest_sync_files(spark: SparkSession, folder: str) -> DataFrame:
     newest = _sync_files(spark, folder).agg(F.max("sync_ms")).first()[0]
     if newest is None:
         raise NoData(f"no sync file in {folder}")
-    parts = read_lake(spark, folder, f"{_DATED}_{newest}_*.parquet", one_schema=False)
+    parts = read_lake(spark, folder, f"{_DATED}_{newest}_*.parquet")
     return parts.filter(sync_epoch(F.col("_metadata.file_name")) == newest)
 
 

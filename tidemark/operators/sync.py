@@ -14,7 +14,7 @@ from pyspark.sql.utils import is_remote
 
 from tidemark.config import JdbcSource, Source
 from tidemark.errors import CursorRefused, SyncFailed, UnknownStream, first_line
-from tidemark.functions.cursors import column, cursor_type, from_text
+from tidemark.functions.cursors import column, cursor_type, from_text, upto
 from tidemark.functions.frames import small_frame
 from tidemark.operators import synclog
 from tidemark.operators.sinks import land
@@ -47,7 +47,9 @@ class StreamPlan:
     ``inclusive`` also picks up late rows at the last seen cursor value.
     ``target`` is the stream's name in the lake, if it should differ. A database
     read is one task unless ``partition`` or ``split_by``, an integer or decimal
-    column with nearly unique values cut for ``tasks`` readers, shares it out.
+    column with nearly unique values cut for ``tasks`` readers, shares it out. Every
+    reader of an increment filters the same rows by the cursor: give the cursor an
+    index in the database, or each of them scans the table.
     """
 
     stream: str
@@ -146,13 +148,13 @@ def sync_stream(
         if plan.cursor:
             unset = at.isNull()
             df = df.filter(
-                unset if mark is None else (at <= from_text(mark, dtype)) | unset
+                unset if mark is None else upto(at, from_text(mark, dtype), dtype) | unset
             )
     else:
         inclusive = plan.inclusive and since is not None
         if mark is None:
             if not inclusive:
-                return _nothing_newer(spark, root, plan, last, sync_ms)
+                return idle(plan.name, last)
             mark = since
         df = newer_rows(
             df,
@@ -192,21 +194,18 @@ def compact(
     )
 
 
-def _nothing_newer(
-    spark: SparkSession, root: str, plan: StreamPlan, last, sync_ms: int | None
-) -> Commit:
-    """A log row without a snapshot."""
-    commit = Commit(
-        plan.name,
-        synclog.next_sync_ms(last, sync_ms),
+def idle(stream: str, last) -> Commit:
+    """What the log says already: a sync that finds nothing leaves no trace in it."""
+    return Commit(
+        stream,
+        last["sync_ms"],
         INCREMENTAL,
-        plan.cursor,
+        last["cursor"],
         last["hwm"],
         0,
         last["schema_json"],
+        full_ms=last["full_ms"],
     )
-    synclog.append(spark, root, commit)
-    return commit
 
 
 def _partition(
@@ -261,7 +260,10 @@ def each_stream(
                 why = redact(first_line(error))
                 failures[name] = why
                 ms = synclog.next_sync_ms(None)
-                synclog.append(spark, root, Commit(name, ms, FAILED, error=why))
+                try:
+                    synclog.append(spark, root, Commit(name, ms, FAILED, error=why))
+                except Exception as unlogged:  # the streams' own failures come first
+                    failures[name] += f" (not logged: {redact(first_line(unlogged))})"
     if failures:
         raise SyncFailed(failures)
     return small_frame(spark, commits, LOG)

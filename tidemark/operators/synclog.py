@@ -2,11 +2,15 @@
 
 Layout under a lake root::
 
-    <root>/<stream>/sync_ms=<epoch ms>/part-*.parquet   immutable snapshots
-    <root>/_sync_log/<stream>/<epoch ms>/               one row per commit
-
-Each commit writes a folder of its own, so streams can be synced side by side
-and no writer touches files another one reads. One writer per stream is assumed.
+    <root>/<stream>/sync_ms=<epoch ms>/part-*.parquet         immutable snapshots
+    <root>/_sync_log/<stream>/<full ms>/<epoch ms>/           one row per commit
+    <root>/_sync_log/<stream>/failed/<epoch ms>/              one row per failure
+
+A full sync opens a folder, increments add to it. Readers of the present state list
+the names of a stream's full syncs and read the newest one's folder, so superseded
+commits cost a name in a listing at most. Each commit writes a folder of its own, so
+streams can be synced side by side and no writer touches files another one reads.
+One writer per stream is assumed.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import types as T
 from tidemark.errors import condition
 from tidemark.functions.frames import empty_frame
 from tidemark.functions.keys import path_segment, uri
+from tidemark.sources.lake import child_names
 
 FULL, INCREMENTAL, FAILED = "full", "incremental", "failed"
 
@@ -35,6 +40,7 @@ LOG = T.StructType(
         T.StructField("n_rows", T.LongType()),
         T.StructField("schema_json", T.StringType()),
         T.StructField("error", T.StringType()),
+        T.StructField("full_ms", T.LongType()),
     ]
 )
 
@@ -51,6 +57,7 @@ class Commit:
     n_rows: int | None = None
     schema_json: str | None = None
     error: str | None = None
+    full_ms: int | None = None  # the full sync it adds to, or is
 
 
 def snapshot_path(root: str, stream: str, sync_ms: int) -> str:
@@ -67,8 +74,8 @@ def _log_path(root: str, stream: str | None = None) -> str:
 
 def log_entry(root: str, commit: Commit) -> str:
     """The folder of one log row."""
-    name = str(commit.sync_ms) + ("-failed" if commit.mode == FAILED else "")
-    return uri(_log_path(root, commit.stream), name)
+    below = "failed" if commit.mode == FAILED else str(commit.full_ms)
+    return uri(_log_path(root, commit.stream), below, str(commit.sync_ms))
 
 
 def append(spark: SparkSession, root: str, commit: Commit) -> None:
@@ -81,10 +88,14 @@ def append(spark: SparkSession, root: str, commit: Commit) -> None:
 
 
 def read_log(spark: SparkSession, root: str, stream: str | None = None) -> DataFrame:
-    """The log of one stream, or of all; empty where nothing was synced yet."""
+    """The whole log of one stream, or of all; empty where nothing was synced yet."""
+    return _rows(spark, _log_path(root, stream))
+
+
+def _rows(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.schema(LOG).option("recursiveFileLookup", True)
     try:
-        return reader.parquet(_log_path(root, stream))
+        return reader.parquet(path)
     except AnalysisException as error:
         if condition(error) != "PATH_NOT_FOUND":
             raise
@@ -92,19 +103,22 @@ def read_log(spark: SparkSession, root: str, stream: str | None = None) -> DataF
 
 
 def committed(spark: SparkSession, root: str, stream: str) -> DataFrame:
-    """Log rows whose snapshots count."""
+    """All log rows whose snapshots count or once did."""
     return read_log(spark, root, stream).filter(F.col("mode").isin(FULL, INCREMENTAL))
 
 
-def last_commit(spark: SparkSession, root: str, stream: str) -> Row | None:
-    return committed(spark, root, stream).orderBy(F.desc("sync_ms")).first()
-
-
 def live(spark: SparkSession, root: str, stream: str) -> DataFrame:
     """Log rows that make up the stream's present state: the last full one onwards."""
-    log = committed(spark, root, stream)
-    base = log.filter(F.col("mode") == FULL).agg(F.max("sync_ms")).scalar()
-    return log.filter(F.col("sync_ms") >= base)
+    folder = _log_path(root, stream)
+    for name in sorted(filter(str.isdigit, child_names(spark, folder)), key=int, reverse=True):
+        found = _rows(spark, uri(folder, name))
+        if not found.isEmpty():  # a full sync that died while it wrote its row has none
+            return found
+    return empty_frame(spark, LOG)
+
+
+def last_commit(spark: SparkSession, root: str, stream: str) -> Row | None:
+    return live(spark, root, stream).orderBy(F.desc("sync_ms")).first()
 
 
 def next_sync_ms(last: Row | None, wanted: int | None = None) -> int:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import Source
@@ -95,8 +97,14 @@ def extract(
     log = migrate(spark, src, root, streams, cursors, True, parallel, split_by, tasks)
     landed = [r["stream"] for r in log.select("stream").collect()]
     tables = {name: snapshots.current(spark, root, name) for name in landed}
-    for name, df in tables.items():
-        write_csv(df, uri(csv_root, path_segment(name)))
+    copy = inheritable_thread_target(spark)(write_csv)
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        jobs = [
+            pool.submit(copy, df, uri(csv_root, path_segment(name)))
+            for name, df in tables.items()
+        ]
+    for job in jobs:
+        job.result()
     return tables
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import NoData, SchemaDrift, condition, first_line
+from tidemark.functions.frames import empty_frame, small_frame
 from tidemark.functions.keys import decoded, has_extension, uri
 from tidemark.functions.schemas import differences
 
@@ -28,6 +30,30 @@ def _root_path(root: str) -> str:
     return path
 
 
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names right below a folder, files and folders alike; none if it is missing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(path)]
+
+
+OBJECTS = T.StructType(
+    [
+        T.StructField("object_name", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified_at", T.TimestampType()),
+    ]
+)
+
+
+def object_name(root: str) -> Column:
+    """The name, relative to ``root``, of the file a row came from."""
+    path = F.regexp_replace(decoded(F.col("_metadata.file_path")), _SCHEME, "")
+    return F.substr(path, F.lit(len(_root_path(root)) + 2))
+
+
 def list_objects(
     spark: SparkSession,
     root: str,
@@ -35,13 +61,14 @@ def list_objects(
     glob: str | None = None,
     extensions: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Every object under ``root`` whose name starts with ``prefix``.
-
-    Names are relative to the root. The folder part of the prefix picks what is
-    listed, ``glob`` and ``extensions`` drop files from the listing, and the rest
-    of the prefix prunes on file metadata, so no content is read and dropped files
-    are not touched. A prefix that matches nothing gives no rows; a missing root
-    fails. Objects named with a leading ``_`` or ``.`` are markers and not listed.
+    """Every object under ``root`` whose name starts with ``prefix``, empty ones too
+    (without a time).
+
+    Names are relative to the root. The prefix picks what is listed: its folder, and in
+    it only names that go on from it. ``glob`` and ``extensions`` drop files from the
+    listing, so dropped files are not touched, and no content is read. A prefix that
+    matches nothing gives no rows; a missing root fails. Objects named with a leading
+    ``_`` or ``.`` are markers and not listed.
     """
     extensions = tuple(extensions) if extensions is not None else None
     if glob is None and extensions:
@@ -50,19 +77,31 @@ def list_objects(
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    folder = prefix.rpartition("/")[0]
+    start = uri(root, glob_escape(prefix)) if prefix else root
+    if prefix.endswith("/"):
+        start += "/"
+    if prefix:
+        start += "*"
     try:
-        found = reader.load(uri(root, folder) if folder else root)
+        found = reader.load(start)
     except AnalysisException as error:
-        if condition(error) != "PATH_NOT_FOUND" or not folder:
+        if condition(error) != "PATH_NOT_FOUND":
+            raise
+        if not prefix or not child_names(spark, root):
             raise NoData(f"nothing at {root}") from error
-        found = reader.load(root)
-    path = F.regexp_replace(decoded(F.col("_metadata.file_path")), _SCHEME, "")
-    objects = found.select(
-        F.substr(path, F.lit(len(_root_path(root)) + 2)).alias("object_name"),
+        return empty_frame(spark, OBJECTS)
+    # A scan has no task for an empty object; the listing behind it has its name.
+    drop = len(_root_path(root)) + 1
+    names = [(unquote(re.sub(_SCHEME, "", f))[drop:],) for f in found.inputFiles()]
+    listed = small_frame(spark, names, T.StructType([OBJECTS["object_name"]]))
+    scanned = found.select(
+        object_name(root).alias("object_name"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
     )
+    objects = listed.join(scanned, "object_name", "left").select(
+        "object_name", F.coalesce("length", F.lit(0).cast("bigint")).alias("length"), "modified_at"
+    )
     if prefix:
         objects = objects.filter(F.col("object_name").startswith(prefix))
     if extensions is not None:
@@ -71,26 +110,34 @@ def list_objects(
 
 
 def read_lake(
-    spark: SparkSession, root: str, key: str = "", one_schema: bool = True
+    spark: SparkSession, root: str, key: str = "", one_schema: bool = False
 ) -> DataFrame:
     """Parquet at ``root/key``: a file, a folder or a glob.
 
-    By default Spark takes the schema from one footer, which is right for a
-    single object or a folder written by one job. ``one_schema=False`` reads all
-    footers as a job of its own: columns that only some files have are kept, and
-    a column whose type differs between files fails by name.
+    The job that finds the schema reads the footers of all files, side by side:
+    columns that only some files have are kept, NULL elsewhere, and a column whose
+    type differs between files fails by name. ``one_schema=True`` looks at one footer
+    alone and suits large folders that one job wrote; columns which that file lacks
+    are then not read.
     """
-    path = uri(root, key) if key else root
+    return read_files(spark, [uri(root, key) if key else root], one_schema)
+
+
+def read_files(
+    spark: SparkSession, paths: Sequence[str], one_schema: bool = False
+) -> DataFrame:
+    """Parquet at several paths, see ``read_lake``."""
     reader = spark.read.option("mergeSchema", not one_schema)
+    where = paths[0] if len(paths) == 1 else f"{len(paths)} paths such as {paths[0]}"
     try:
-        return reader.parquet(path)
+        return reader.parquet(*paths)
     except AnalysisException as error:
         if condition(error) in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise NoData(f"no Parquet data at {path}") from error
+            raise NoData(f"no Parquet data at {where}") from error
         raise
     except Exception as error:
         if "CANNOT_MERGE" in str(error):
-            raise SchemaDrift(f"files at {path} disagree: {_conflict(error)}") from error
+            raise SchemaDrift(f"files at {where} disagree: {_conflict(error)}") from error
         raise
 
 

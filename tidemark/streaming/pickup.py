@@ -16,7 +16,6 @@ def pickup_new_files(
     checkpoint: str,
     schema: T.StructType,
     files_per_batch: int = 10_000,
-    max_file_age: str = "36500d",
 ) -> DataFrame:
     """Copy the rows of new Parquet files below ``inbox`` to ``target``; then stop.
 
@@ -24,11 +23,8 @@ def pickup_new_files(
     remembers the files, and the target's own log the batches. Returns the rows
     picked up so far, with their ``source_file``. Only the columns of ``schema`` are
     copied; a file whose types do not fit it fails the run. A backlog is worked off in
-    batches of ``files_per_batch`` files.
-
-    The driver keeps the names of files seen. Where an inbox gains many millions
-    and none comes late, a smaller ``max_file_age`` lets it forget old ones; a file
-    that much older than the newest is then passed over.
+    batches of ``files_per_batch`` files, late files included. The driver keeps the
+    names of files seen.
     """
     rows = (
         spark.readStream.schema(schema)
@@ -36,7 +32,7 @@ def pickup_new_files(
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
         # Spark's default would pass over a file a week older than the newest one.
-        .option("maxFileAge", max_file_age)
+        .option("maxFileAge", "36500d")
         .parquet(inbox)
         .withColumn("source_file", decoded(F.col("_metadata.file_path")))
     )
