@@ -29,10 +29,19 @@ TASK_BYTES, MOST_READERS, MOST_WRITERS = 256 << 20, 50_000, 100_000
 SCAN_BYTES, MOST_SCAN_BYTES = 128 << 20, 1 << 30
 
 
-def sized_for(largest_shuffle: int) -> dict[str, str]:
-    """Scan and shuffle task sizes for so many bytes."""
-    readers = min(MOST_READERS, max(200, -(-largest_shuffle // TASK_BYTES)))
-    scan = min(MOST_SCAN_BYTES, max(SCAN_BYTES, largest_shuffle // MOST_WRITERS))
+def sized_for(
+    largest_shuffle: int,
+    most_readers: int = MOST_READERS,
+    most_writers: int = MOST_WRITERS,
+    most_scan_bytes: int = MOST_SCAN_BYTES,
+) -> dict[str, str]:
+    """Scan and shuffle task sizes for so many bytes.
+
+    By default tasks grow past 256 MiB beyond 12 TiB, to 2 GiB at 100 TB; a cluster
+    whose shuffle service copes with more blocks may allow for more tasks.
+    """
+    readers = min(most_readers, max(200, -(-largest_shuffle // TASK_BYTES)))
+    scan = min(most_scan_bytes, max(SCAN_BYTES, largest_shuffle // most_writers))
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(readers),
         "spark.sql.files.maxPartitionBytes": str(scan),
