@@ -262,6 +262,13 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, ...]:
     return tuple(min(max(d, 0.0), k) for k, d in enumerate(found, 1))
 
 
+def _parts(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each value that occurs, with its places in order."""
+    order = np.argsort(part, kind="stable")
+    values, starts = np.unique(part[order], return_index=True)
+    yield from zip(values.tolist(), np.split(order, starts[1:]), strict=False)
+
+
 def _binary(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(cols)
 
@@ -309,11 +316,9 @@ def learn(training: DataFrame, text: str = "text") -> Model:
             ones = np.ones(len(hashes), np.int64)
             first, second, n = summed([before(hashes, sizes), hashes], ones)
             part = slices_of(first, second, frequent, n_slices)
-            for k in range(n_slices):
-                mine = part == k
-                if mine.any():
-                    data = packed_pairs(first[mine], second[mine], n[mine])
-                    yield _binary(slice=pa.array([k]), data=pa.array([data], pa.binary()))
+            for k, mine in _parts(part):
+                data = packed_pairs(first[mine], second[mine], n[mine])
+                yield _binary(slice=pa.array([k]), data=pa.array([data], pa.binary()))
 
     def merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, blobs in by_slice(batches):
@@ -339,18 +344,16 @@ def learn(training: DataFrame, text: str = "text") -> Model:
             table[np.searchsorted(words, words_b), 4] = n_b
             often = np.bincount(np.minimum(n, 5), minlength=6)[1:5].tolist()
             part = (mix(words) % np.uint64(n_slices)).astype(np.int64)
-            for j in range(n_slices):
-                mine = part == j
-                if mine.any():
-                    body = [struct.pack("<q", int(mine.sum())), six(words[mine])]
-                    body += [small(table[mine, i]) for i in range(5)]
-                    yield _binary(
-                        slice=pa.array([j]),
-                        data=pa.array([b"".join(body)], pa.binary()),
-                        often=pa.array([often], pa.list_(pa.int64())),
-                        pairs=pa.array([len(n)]),
-                    )
-                    often, n = [0] * 4, n[:0]
+            for j, mine in _parts(part):
+                body = [struct.pack("<q", len(mine)), six(words[mine])]
+                body += [small(table[mine, i]) for i in range(5)]
+                yield _binary(
+                    slice=pa.array([j]),
+                    data=pa.array([b"".join(body)], pa.binary()),
+                    often=pa.array([often], pa.list_(pa.int64())),
+                    pairs=pa.array([len(n)]),
+                )
+                often, n = [0] * 4, n[:0]  # told once per slice
 
     def merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, blobs in by_slice(batches):

@@ -3,10 +3,11 @@
 Each document gets a few shares (symbols, capitals, repeated lines, repeated words) and
 its mean word length. Per language and source, per language and over all documents a
 mergeable quantile sketch of each is kept; the sketches of the wider levels are merged
-from the narrower ones. A document passes if it stays inside every fence
-``q75 + reach * (q75 - q25)`` (word length: on both sides) of the levels that hold enough
-rows. ``SLACK`` says up to where a value is never held against a document, however
-uniform its group is.
+from the narrower ones. A document passes if it stays below every fence
+``q75 + max(REACH * (q75 - q25), SPREAD)`` (word length: also above the like one) of its
+group and of its language; levels with too few rows are not heard, and where neither is,
+all documents together are. ``SPREAD`` keeps groups of nearly equal documents from
+rejecting one another.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ SYMBOLS = "#*$%&|<>"
 WHITE = "\t\n\x0b\x0c\r "
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper n_lower".split()
 SIGNALS = "symbol_share upper_share dup_line_share repeat_share word_length".split()
-# A value up to this passes in any group; for word_length also one down to SHORT.
-SLACK = dict(zip(SIGNALS, (0.05, 0.3, 0.5, 0.4, 15.0), strict=True))
-SHORT = 2.0
+# The least distance from the quartiles at which a fence stands.
+SPREAD = dict(zip(SIGNALS, (0.05, 0.3, 0.5, 0.45, 6.0), strict=True))
+SPREAD_DOWN = 3.0
 # Quartile distances beyond the quartiles, and rows a level needs to be heard.
 REACH, LEAST_ROWS = 3.0, 100
 # Groups whose limits are sent to every task; more of them are joined by a shuffle.
@@ -111,8 +112,7 @@ def limits(measured: DataFrame, lang: str = "lang", source: str = "source") -> D
 
     Sketches are built beside the scan, merged in one shuffle of sketches, and merged
     again for the wider levels; no row reaches another task. NULL is a language and a
-    source of its own. Levels with fewer than LEAST_ROWS rows are not heard, unless
-    even all rows together are fewer.
+    source of its own. The limits over all documents are one row, read by the driver.
     """
     keys = [F.col(lang).alias("_lang"), F.col(source).alias("_source")]
     groups = stash(
@@ -138,41 +138,31 @@ def limits(measured: DataFrame, lang: str = "lang", source: str = "source") -> D
             q = F.when(
                 some, F.kll_sketch_get_quantile_double(s, F.array(F.lit(0.25), F.lit(0.75)))
             )
-            reach = REACH * (q[1] - q[0])
+            reach = F.greatest(REACH * (q[1] - q[0]), F.lit(SPREAD[s]))
             out.append((q[1] + reach).alias(f"{s}_{name}"))
             if s == "word_length":
-                out.append((q[0] - reach).alias(f"short_{name}"))
+                down = F.greatest(REACH * (q[1] - q[0]), F.lit(SPREAD_DOWN))
+                out.append((q[0] - down).alias(f"short_{name}"))
         return level.select(*out)
 
-    levels = ("group", "lang", "all")
-    joined = (
-        fenced(groups, "group", "_lang", "_source")
-        .alias("g")
-        .join(
-            fenced(merged("_lang"), "lang", "_lang").withColumnRenamed("_lang", "_l"),
-            F.col("g._lang").eqNullSafe(F.col("_l")),
-        )
-        .join(F.broadcast(fenced(merged(), "all")))  # one row
+    every = fenced(merged(), "all").first()
+    by_lang = fenced(merged("_lang"), "lang", "_lang").withColumnRenamed("_lang", "_l")
+    joined = fenced(groups, "group", "_lang", "_source").join(
+        by_lang, F.col("_lang").eqNullSafe(F.col("_l"))
     )
 
     def heard(value: str, level: str) -> Column:
-        enough = F.col(f"n_{level}") >= LEAST_ROWS
-        if level == "all":
-            enough |= F.lit(True)
-        return F.when(enough, F.col(f"{value}_{level}"))
+        return F.when(F.col(f"n_{level}") >= LEAST_ROWS, F.col(f"{value}_{level}"))
+
+    def limit(value: str, strictest) -> Column:
+        own = strictest(heard(value, "group"), heard(value, "lang"))
+        return F.coalesce(own, F.lit(every[f"{value}_all"] if every else None))
 
     return joined.select(
         "_lang",
         "_source",
-        *(
-            F.greatest(
-                F.lit(SLACK[s]), F.least(*(heard(s, level) for level in levels))
-            ).alias(f"most_{s}")
-            for s in SIGNALS
-        ),
-        F.least(
-            F.lit(SHORT), F.greatest(*(heard("short", level) for level in levels))
-        ).alias("least_word_length"),
+        *(limit(s, F.least).alias(f"most_{s}") for s in SIGNALS),
+        limit("short", F.greatest).alias("least_word_length"),
     )
 
 
