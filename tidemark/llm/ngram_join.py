@@ -7,12 +7,15 @@ by their sizes. Cut into F = D + 1 + SPARE fragments, all but D of them are alik
 sets, SPARE + 1 at least, so a set posts a key per fragment: the fragment's hash. (A set
 with more than SPARE empty fragments also posts which SPARE + 1 of them are empty, so
 that pairs alike in empty fragments only are found as well.) Sizes are grouped so that
-linked sets are in the same group or in neighbouring ones, and a set posts to both.
+linked sets are in the same group or in neighbouring ones, and a set posts to both. Pairs
+that share a key, and whose sketches do not rule a link out, are candidates. Keys with
+many sets never become pairs of rows: their sets are dealt into blocks, and each two
+blocks pass on a spanning forest of their candidates.
 
-Links. The pairs that share a key are verified by vertical partitioning: per fragment of
-the order the partial overlaps are counted by themselves, then summed per pair. Keys with
-many sets never become pairs of rows: their sets are dealt into blocks, and each pair of
-blocks sums its partial overlaps as matrix products and passes on a spanning forest.
+Links. Components of the candidates are clusters, each linked pair within one. A cluster's
+sets are dealt into blocks, and for each two blocks the partial overlaps of all pairs are
+counted fragment by fragment of the order, as matrix products, and summed per pair. A
+spanning forest of the links that this gives is passed on; its components are the result.
 
 Equal sets are one set from the first batch on. The result is exact up to collisions of
 64-bit hashes.
@@ -21,7 +24,7 @@ Equal sets are one set from the first batch on. The result is exact up to collis
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +36,12 @@ from pyspark.sql import types as T
 from tidemark.llm.common import columns, mix, prepare, stash, windows, word_hashes, word_list
 
 SPARE = 3
-# Sets of a key that become pairs of rows; sets of a block beyond that.
-FEW, BLOCK_SETS = 24, 256
-# Fragments in which overlaps of pairs are counted, distinct n-grams of a matrix product.
-FRAGMENTS, COLUMNS = 4, 4096
+# Sets of a key that become pairs of rows; beyond that, sets of a block of sketches.
+FEW, BLOCK_SKETCHES = 8, 1024
+# Sets of a block in a cluster, and distinct n-grams of one fragment there.
+BLOCK_SETS, COLUMNS = 256, 4096
+# Bits of a set's sketch.
+SKETCH = 512
 # A bitmap of this size says which keys or sets are worth posting again. It only spares
 # work: what it lets through is joined exactly, and a full one lets all through.
 BITS = 1 << 25
@@ -45,7 +50,22 @@ MOST_SENT = 300_000
 
 
 def sets_of(texts: list[str | None], size: int) -> list[np.ndarray]:
-    return [np.unique(windows(word_hashes(word_list(t)), size)) for t in texts]
+    """The sorted n-gram hashes of each text."""
+    words = [word_list(t) for t in texts]
+    hashes = word_hashes(list(chain.from_iterable(words)))
+    grams = windows(hashes, size)  # of all texts in a row; those over an end are passed by
+    out, at = [], 0
+    for found in words:
+        n = len(found)
+        if n >= size:
+            mine = np.sort(grams[at : at + n - size + 1])
+            new = np.ones(len(mine), bool)
+            np.not_equal(mine[1:], mine[:-1], out=new[1:])
+            out.append(mine[new])
+        else:
+            out.append(windows(hashes[at : at + n], size))
+        at += n
+    return out
 
 
 def set_id(grams: np.ndarray) -> int:
@@ -143,56 +163,112 @@ def bitmap(values: DataFrame, column: str) -> _Bitmap:
     return _Bitmap(words)
 
 
-def posted(docs: DataFrame, size: int, groups: Groups, only: _Bitmap | None = None) -> DataFrame:
-    """(key, sid, n): every key of every set, each set once per batch."""
-    sent = docs.sparkSession.sparkContext.broadcast(only)  # BITS bits
+def posted(docs: DataFrame, size: int, groups: Groups) -> DataFrame:
+    """(key, mark): every key of every set, each set once per batch. Two sets have the
+    same mark for a key with a chance of 2**-32, anew for every key they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {set_id(s): s for s in sets_of(columns(batch, "text")[0], size) if len(s)}
             ids = np.fromiter(found, np.int64, len(found))
             key, who = keys_of(list(found.values()), groups)
-            key = key.view(np.int64)
-            if sent.value is not None:
-                hit = sent.value.hits(key)
-                key, who = key[hit], who[hit]
-            n = np.array([len(s) for s in found.values()], np.int64)
+            mark = mix(ids[who].view(np.uint64) ^ key).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(ids[who]), pa.array(n[who])], names=["key", "sid", "n"]
+                [pa.array(key.view(np.int64)), pa.array(mark)], names=["key", "mark"]
             )
 
-    return docs.mapInArrow(run, "key long, sid long, n long")
+    return docs.select("text").mapInArrow(run, "key long, mark int")
 
 
-def identified(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, sid, n) of every row, and its other columns but the text; sid is NULL for
-    empty sets."""
-    others = [f for f in docs.schema if f.name != "text"]
+def identified(docs: DataFrame, size: int, groups: Groups, only: _Bitmap) -> DataFrame:
+    """Two kinds of rows. With a NULL key: a row of ``docs`` (its columns but the text),
+    its set's id (NULL for an empty one), size and sketch. With a key: a set that posts
+    it, if ``only`` lets the key through."""
+    # NULL in the rows of keys, even where the input has no NULL
+    others = [T.StructField(f.name, f.dataType) for f in docs.schema if f.name != "text"]
+    sent = docs.sparkSession.sparkContext.broadcast(only)  # BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = sets_of(columns(batch, "text")[0], size)
+            sets = sets_of(columns(batch, "text")[0], size)
+            ids = [set_id(s) if len(s) else None for s in sets]
+            own = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
+            names = [*(f.name for f in others), "key", "sid", "n", "sketch"]
+            sketch = sketches(sets)
+            offsets = np.arange(0, sketch.size + 1, sketch.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *own,
+                    pa.nulls(len(sets), pa.int64()),
+                    pa.array(ids, pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.ListArray.from_arrays(offsets, pa.array(sketch.reshape(-1))),
+                ],
+                names=names,
+            )
+            found = {k: s for k, s in zip(ids, sets, strict=True) if k is not None}
+            key, who = keys_of(list(found.values()), groups)
+            key = key.view(np.int64)
+            hit = sent.value.hits(key)
+            key, who = key[hit], who[hit]
+            n = np.array([len(s) for s in found.values()], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(batch.schema.get_field_index(f.name)) for f in others),
-                    pa.array([set_id(s) if len(s) else None for s in found], pa.int64()),
-                    pa.array([len(s) for s in found], pa.int64()),
+                    *(pa.nulls(len(key), c.type) for c in own),
+                    pa.array(key),
+                    pa.array(np.fromiter(found, np.int64, len(found))[who]),
+                    pa.array(n[who]),
+                    pa.nulls(len(key), pa.list_(pa.int64())),
                 ],
-                names=[*(f.name for f in others), "sid", "n"],
+                names=names,
             )
 
-    made = [T.StructField(c, T.LongType()) for c in ("sid", "n")]
+    made = [T.StructField(c, T.LongType()) for c in ("key", "sid", "n")]
+    made.append(T.StructField("sketch", T.ArrayType(T.LongType())))
     return docs.mapInArrow(run, T.StructType([*others, *made]))
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set, SKETCH bits: whether an odd number of its n-grams falls on each. Two sets
+    differ in at least as many n-grams as their sketches in bits."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if not sizes.sum():
+        return np.zeros((len(sets), SKETCH // 64), np.int64)
+    bit = mix(np.concatenate(sets) ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(SKETCH)
+    cell = np.repeat(np.arange(len(sets)), sizes) * SKETCH + bit.astype(np.int64)
+    odd = (np.bincount(cell, minlength=len(sets) * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sets), -1)
+
+
+def near(pairs: DataFrame, sketched: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b, na, nb) whose sketches do not rule a link out."""
+    one = sketched.select(F.col("sid").alias("a"), F.col("sketch").alias("sa"))
+    two = sketched.select(F.col("sid").alias("b"), F.col("sketch").alias("sb"))
+    unlike = F.aggregate(
+        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    most = (F.col("na") + F.col("nb")) * (den - num)
+    return (
+        pairs.join(one, "a")
+        .join(two, "b")
+        .filter(unlike * (den + num) <= most)
+        .select("a", "b", "na", "nb")
+    )
+
+
 def grams_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """(sid, grams): the sorted n-grams of the sets in ``wanted`` (sid), once each."""
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "sid"))
+    """(sid, grams): the sorted n-grams of the sets in ``wanted`` (sid, rep), once each;
+    ``rep`` is a document that has the set."""
+    hashed = F.xxhash64("rep").alias("h")
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(hashed), "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {set_id(s): s for s in sets_of(columns(batch, "text")[0], size) if len(s)}
-            found = {k: s for k, s in found.items() if k in sent.value}
+            hit = sent.value.hits(batch.column(batch.schema.get_field_index("h")).to_numpy())
+            some = batch.filter(pa.array(hit))
+            found = {set_id(s): s for s in sets_of(columns(some, "text")[0], size) if len(s)}
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(found), pa.int64()),
@@ -201,112 +277,147 @@ def grams_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
                 names=["sid", "grams"],
             )
 
-    rows = docs.mapInArrow(run, "sid long, grams array<long>")
-    return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+    rows = docs.select(F.xxhash64("doc_id").alias("h"), "text")
+    rows = rows.mapInArrow(run, "sid long, grams array<long>")
+    return rows.join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that are linked: partial overlaps per fragment, summed."""
+def forest(linked: np.ndarray, sids: np.ndarray) -> pa.RecordBatch:
+    """(a, b): edges that connect what ``linked``, a symmetric matrix, connects."""
+    n = len(sids)
+    label = np.arange(n)
+    while True:
+        least = np.where(linked, label[None, :], n).min(axis=1)
+        least = np.minimum(least, label)
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    some = np.flatnonzero(label != np.arange(n))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(sids[some], pa.int64()), pa.array(sids[label[some]], pa.int64())],
+        names=["a", "b"],
+    )
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sid, part, grams = [], [], []
-            for k, values in zip(*columns(batch, "sid", "grams"), strict=True):
-                values = np.array(values, np.int64)
-                place = (values.view(np.uint64) >> np.uint64(60)) * np.uint64(FRAGMENTS) >> np.uint64(4)
-                for f in range(FRAGMENTS):
-                    mine = values[place == f]
-                    if len(mine):
-                        sid.append(k)
-                        part.append(f)
-                        grams.append(mine)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sid, pa.int64()), pa.array(part, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
-                names=["sid", "part", "grams"],
-            )
 
-    pieces = sets.mapInArrow(cut, "sid long, part long, grams array<long>")
-    one = pieces.select(F.col("sid").alias("a"), "part", F.col("grams").alias("grams_a"))
-    two = pieces.select(F.col("sid").alias("b"), "part", F.col("grams").alias("grams_b"))
-    return (
-        pairs.join(one, "a")
-        .join(two, ["b", "part"])
-        .select("a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).alias("o"))
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("o").alias("o"))
-        .filter(den * F.col("o") >= num * (F.col("na") + F.col("nb") - F.col("o")))
-        .select("a", "b")
-    )
+def by_sketch(sketch: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs of sets may be linked, by what their sketches tell."""
+    unlike = np.zeros((len(n), len(n)), np.int64)
+    for word in sketch.T.view(np.uint64):
+        unlike += np.bitwise_count(word[:, None] ^ word[None, :])
+    return unlike * (den + num) <= (n[:, None] + n[None, :]) * (den - num)
 
 
-def forest(sids: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Edges that connect just the sets that links among these connect."""
+def by_overlap(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which pairs of sets are linked: overlaps in fragments of the order, summed."""
     sizes = np.array([len(s) for s in sets], np.int64)
     grams, place = np.unique(np.concatenate(sets), return_inverse=True)
     row = np.repeat(np.arange(len(sets)), sizes)
-    overlap = np.zeros((len(sets), len(sets)), np.float64)
     order = np.argsort(place, kind="stable")
     place, row = place[order], row[order]
-    for low in range(0, len(grams), COLUMNS):  # fragments of the order
+    overlap = np.zeros((len(sets), len(sets)), np.int64)
+    for low in range(0, len(grams), COLUMNS):
         a, b = np.searchsorted(place, [low, low + COLUMNS])
         part = np.zeros((len(sets), min(COLUMNS, len(grams) - low)), np.float32)
         part[row[a:b], place[a:b] - low] = 1
-        overlap += part @ part.T
-    overlap = overlap.astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - overlap
-    linked = den * overlap >= num * union
-    label = np.arange(len(sets))
-    while True:
-        near = np.where(linked, label[None, :], len(sets)).min(axis=1)
-        near = np.minimum(near, label)
-        near = near[near]
-        if (near == label).all():
-            break
-        label = near
-    return [(int(sids[k]), int(sids[label[k]])) for k in np.flatnonzero(label != np.arange(len(sets)))]
+        overlap += (part @ part.T).astype(np.int64)
+    return den * overlap >= num * (sizes[:, None] + sizes[None, :] - overlap)
+
 
+def in_blocks(grouped: DataFrame, size: int, solve) -> DataFrame:
+    """(a, b): ``solve(rows)`` for every two blocks of every group of ``grouped``.
 
-def block_links(crowded: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) for keys with many sets (key, sid, m): blocks of sets, two at a time."""
-    blocks = F.ceil(F.col("m") / BLOCK_SETS).cast("long")
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    ``grouped`` has a group's key, its number of sets m, a sid and what ``solve`` needs.
+    A group's sets are dealt into m / size blocks by a hash; each two blocks are a task's
+    work, whose size does not depend on the group's.
+    """
+    blocks = F.ceil(F.col("m") / size).cast("long")
+    own = F.pmod(F.xxhash64("sid"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    more = [c for c in grouped.columns if c not in ("key", "m")]
     dealt = (
-        crowded.withColumn("blocks", blocks)
-        .select("key", "sid", own.alias("own"), other.alias("other"))
+        grouped.select("key", *more, own.alias("own"), other.alias("other"))
         .select(
-            F.xxhash64(
-                "key", F.least("own", "other"), F.greatest("own", "other")
-            ).alias("task"),
-            "sid",
+            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
+            *more,
         )
-        .join(sets, "sid")
         .repartition("task")
         .sortWithinPartitions("task", "sid")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(sids: list[int], sets: list) -> pa.RecordBatch:
-            found = forest(np.array(sids), sets, num, den)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
-            )
-
-        at, sids, sets = None, [], []
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for task, sid, grams in zip(*columns(batch, "task", "sid", "grams"), strict=True):
-                if task != at and sids:
-                    yield solved(sids, sets)
-                    sids, sets = [], []
-                at = task
-                sids.append(sid)
-                sets.append(np.array(grams, np.int64).view(np.uint64))
-        if sids:
-            yield solved(sids, sets)
+            task = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                if low == high:
+                    continue
+                if held and held[-1].column(0)[0].as_py() != task[low]:
+                    yield solve(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield solve(pa.Table.from_batches(held).combine_chunks())
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def lists_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The values of each list of 64-bit numbers, without copies."""
+    column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = column.chunk(0)
+    ends = column.offsets.to_numpy()
+    values = column.values.to_numpy()
+    return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def candidates(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): edges that connect all candidate pairs of ``members`` (key, sid, n)."""
+    sized = stash(
+        members.join(members.groupBy("key").agg(F.count("*").alias("m")), "key"), "sized"
+    )
+    few = (
+        sized.filter(F.col("m") <= FEW)
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "sid"))).alias("sets"))
+        .select("sets")
+        .distinct()  # copies of a text share many keys, with the same sets
+    )
+    pairs = (
+        few.select(F.posexplode("sets").alias("at", "x"), "sets")
+        .select("x", F.explode(F.slice("sets", F.col("at") + 2, F.lit(FEW))).alias("y"))
+        .filter(num * F.col("y.n") <= den * F.col("x.n"))
+        .select(
+            F.col("x.sid").alias("a"),
+            F.col("y.sid").alias("b"),
+            F.col("x.n").alias("na"),
+            F.col("y.n").alias("nb"),
+        )
+        .distinct()
+    )
+
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        sketch = np.stack(lists_of(rows.column("sketch")))
+        n = rows.column("n").to_numpy()
+        return forest(by_sketch(sketch, n, num, den), rows.column("sid").to_numpy())
+
+    crowded = sized.filter(F.col("m") > FEW).join(reps.select("sid", "sketch"), "sid")
+    found = in_blocks(crowded, BLOCK_SKETCHES, solve)
+    return near(pairs, reps, num, den).select("a", "b").unionByName(found)
+
+
+def links_in(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): edges that connect all links within ``clusters`` (key, sid, m)."""
+
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        grams = [x.view(np.uint64) for x in lists_of(rows.column("grams"))]
+        return forest(by_overlap(grams, num, den), rows.column("sid").to_numpy())
+
+    return in_blocks(clusters.join(sets, "sid"), BLOCK_SETS, solve)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node that is reachable, for every node of ``links``
     (a, b). Stars are contracted by turns, each round written to the shared folder."""
@@ -334,6 +445,12 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def _whole(labels: DataFrame) -> DataFrame:
+    """(sid, label) of all nodes of components, the labels themselves among them."""
+    own = labels.select(F.col("label").alias("sid"), "label").distinct()
+    return labels.withColumnRenamed("node", "sid").unionByName(own)
+
+
 def classes(
     docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, *carried: str
 ) -> DataFrame:
@@ -349,60 +466,37 @@ def classes(
     spark = docs.sparkSession
     prepare(spark)
     groups = Groups(num, den)
-    base = stash(identified(docs.select("doc_id", "text", *carried), size), "sets")
-    docs = docs.select("doc_id", "text")
-    reps = base.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"))
-
+    whole, docs = docs.select("doc_id", "text", *carried), docs.select("doc_id", "text")
     shared = stash(
         posted(docs, size, groups)
         .groupBy("key")
-        .agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+        .agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"))
         .filter("lo < hi")
         .select("key"),
         "keys",
     )
+    posts = stash(identified(whole, size, groups, bitmap(shared, "key")), "posts")
+    base = posts.filter("key is null").drop("key")
+    reps = stash(
+        base.filter("sid is not null")
+        .groupBy("sid")
+        .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")),
+        "reps",
+    )
     members = stash(
-        posted(docs, size, groups, bitmap(shared, "key"))
+        posts.filter("key is not null")
+        .select("key", "sid", "n")
         .join(shared, "key", "left_semi")
         .distinct(),
         "members",
     )
-    sized = members.join(members.groupBy("key").agg(F.count("*").alias("m")), "key")
-    few = (
-        sized.filter(F.col("m") <= FEW)
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "sid"))).alias("sets"))
-        .select("sets")
-        .distinct()  # copies of a text share many keys, with the same sets
-    )
-    pairs = stash(
-        few.select(F.posexplode("sets").alias("at", "x"), "sets")
-        .select("x", F.explode(F.slice("sets", F.col("at") + 2, F.lit(FEW))).alias("y"))
-        .filter(num * F.col("y.n") <= den * F.col("x.n"))
-        .select(
-            F.col("x.sid").alias("a"),
-            F.col("y.sid").alias("b"),
-            F.col("x.n").alias("na"),
-            F.col("y.n").alias("nb"),
-        )
-        .distinct(),
-        "pairs",
-    )
-    crowded = stash(sized.filter(F.col("m") > FEW).select("key", "sid", "m"), "crowded")
-    wanted = stash(
-        pairs.select(F.col("a").alias("sid"))
-        .unionByName(pairs.select(F.col("b").alias("sid")))
-        .unionByName(crowded.select("sid"))
-        .distinct(),
-        "wanted",
-    )
-    sets = stash(grams_of(docs, size, wanted), "grams")
-    links = verified(pairs, sets, num, den).unionByName(block_links(crowded, sets, num, den))
-    labels = components(links)
+    edges = candidates(members, reps, num, den)
+    clusters = stash(_whole(components(edges)), "clusters").withColumnRenamed("label", "key")
+    sets = stash(grams_of(docs, size, clusters.join(reps, "sid").select("sid", "rep")), "grams")
+    sized = clusters.join(clusters.groupBy("key").agg(F.count("*").alias("m")), "key")
+    every = _whole(components(links_in(sized, sets, num, den)))
     # a label is a component's smallest set; the component's smallest doc_id follows
-    every = labels.unionByName(
-        labels.select(F.col("label").alias("node"), "label").distinct()
-    ).withColumnRenamed("node", "sid")
+    reps = reps.drop("sketch")
     first = every.join(reps, "sid").groupBy("label").agg(F.min("rep").alias("first"))
     named = every.join(first, "label").select("sid", "first")
     return (
