@@ -6,6 +6,7 @@ columns, whatever their names, do no harm.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -39,14 +40,13 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(ROWS_CONF, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_tidemark_sent", None) is None:
-        package = Path(__file__).resolve().parent.parent
-        # the driver serves it for as long as the application runs
-        context._tidemark_sent = tempfile.TemporaryDirectory()
-        name = os.path.join(context._tidemark_sent.name, "tidemark.zip")
-        with zipfile.ZipFile(name, "w") as out:
+        package, data = Path(__file__).resolve().parent.parent, io.BytesIO()
+        with zipfile.ZipFile(data, "w") as out:
             for file in sorted(package.rglob("*.py")):
                 out.write(file, file.relative_to(package.parent))
-        context.addPyFile(name)
+        context._tidemark_sent = uri(scratch_dir(spark, "package"), "tidemark.zip")
+        put(context._tidemark_sent, data.getvalue())
+        context.addPyFile(context._tidemark_sent)
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
@@ -184,5 +184,3 @@ def pooled(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[
     if held:
         yield pa.Table.from_batches(held)
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["uri", "scratch_dir"]

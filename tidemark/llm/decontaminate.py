@@ -14,12 +14,15 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.frames import empty_frame
 from tidemark.llm.common import columns, prepare, windows, word_hashes
 
 K1, B = 1.2, 0.75
@@ -241,10 +244,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, score double,"
         " overlap double, question_overlap double, answer_overlap double"
     )
-    out = docs.sparkSession.createDataFrame([], schema)
-    for index in indexes(benchmark):
-        out = out.unionByName(docs.mapInArrow(_finder(index, docs), schema))
-    return out
+    found = [docs.mapInArrow(_finder(i, docs), schema) for i in indexes(benchmark)]
+    if not found:
+        return empty_frame(docs.sparkSession, T.StructType.fromDDL(schema))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _finder(index: Index, docs: DataFrame):
