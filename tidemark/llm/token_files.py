@@ -32,8 +32,10 @@ BLOCK = 1024
 LAYOUT = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10)]
 LAYOUT += [(5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = 15
-# Ids after which a file is closed, bytes of text per file's partition.
-IDS_PER_FILE, TEXT_PER_TASK = 24_000_000, 64 << 20
+# Ids after which a file is closed, bytes of text per task.
+IDS_PER_FILE, TEXT_PER_TASK = 16_000_000, 32 << 20
+# Ids that are packed or unpacked together, a multiple of BLOCK.
+PACKED_AT_ONCE = 1 << 20
 WORDS_KEPT = 400_000
 
 
@@ -141,23 +143,68 @@ def unpack(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return out
 
 
-def file_bytes(doc_ids: np.ndarray, n_tokens: np.ndarray, ids: np.ndarray) -> bytes:
-    words, starts, sizes = pack(ids)
-    numbers = (doc_ids, n_tokens, starts, sizes, [len(doc_ids), len(starts), len(words)])
-    tail = [np.asarray(x, "<i8").tobytes() for x in numbers]
-    return b"".join([words.astype("<u8").tobytes(), *tail, MAGIC])
+class Packer:
+    """One file's bytes, packed while ids arrive: whole blocks as soon as PACKED_AT_ONCE
+    ids wait, so that little more than the packed words is held."""
+
+    def __init__(self):
+        self.doc_ids: list[int] = []
+        self.counts: list[int] = []
+        self.n_ids = self.n_words = self.n_waiting = 0
+        self.waiting: list[bytes] = []
+        self.words: list[bytes] = []
+        self.starts: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+
+    def add(self, doc_id: int, ids: bytes) -> None:
+        """``ids`` are little-endian 32-bit."""
+        n = len(ids) // 4
+        self.doc_ids.append(doc_id)
+        self.counts.append(n)
+        self.waiting.append(ids)
+        self.n_ids += n
+        self.n_waiting += n
+        if self.n_waiting >= PACKED_AT_ONCE:
+            self._pack(self.n_waiting // BLOCK * BLOCK)
+
+    def _pack(self, n: int) -> None:
+        ids = np.frombuffer(b"".join(self.waiting), "<u4")
+        for low in range(0, n, PACKED_AT_ONCE):
+            words, starts, sizes = pack(ids[low : min(low + PACKED_AT_ONCE, n)])
+            self.words.append(words.astype("<u8").tobytes())
+            self.starts.append(starts + self.n_words)
+            self.sizes.append(sizes)
+            self.n_words += len(words)
+        self.waiting = [ids[n:].tobytes()]
+        self.n_waiting -= n
+
+    def close(self) -> bytes:
+        self._pack(self.n_waiting)
+        none = [np.zeros(0, np.int64)]
+        starts, sizes = (np.concatenate(x or none) for x in (self.starts, self.sizes))
+        size = [len(self.doc_ids), len(starts), self.n_words]
+        tail = (self.doc_ids, self.counts, starts, sizes, size)
+        return b"".join([*self.words, *(np.asarray(x, "<i8").tobytes() for x in tail), MAGIC])
 
 
 def parsed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc ids, id counts and all ids of a file."""
+    """doc ids, id counts and all ids (32-bit) of a file."""
     if data[-8:] != MAGIC:
         raise ValueError("not a token file")
-    docs, blocks, words = np.frombuffer(data[-32:-8], "<i8")
-    body = np.frombuffer(data[: 8 * words], "<u8")
-    rest = np.frombuffer(data[8 * words : -32], "<i8")
-    doc_ids, n_tokens = rest[:docs], rest[docs : 2 * docs]
+    docs, blocks, n_words = np.frombuffer(data[-32:-8], "<i8").tolist()
+    body = np.frombuffer(data, "<u8", n_words)
+    rest = np.frombuffer(data, "<i8", 2 * (docs + blocks), 8 * n_words)
+    doc_ids, counts = rest[:docs], rest[docs : 2 * docs]
     starts, sizes = rest[2 * docs : 2 * docs + blocks], rest[2 * docs + blocks :]
-    return doc_ids, n_tokens, unpack(body, starts, sizes)
+    bounds = np.append(starts, n_words)
+    out = np.empty(int(sizes.sum()), np.uint32)
+    step = PACKED_AT_ONCE // BLOCK
+    for low in range(0, blocks, step):  # blocks stand by themselves
+        high = min(low + step, blocks)
+        words = body[bounds[low] : bounds[high]]
+        ids = unpack(words, starts[low:high] - bounds[low], sizes[low:high])
+        out[low * BLOCK : low * BLOCK + len(ids)] = ids
+    return doc_ids, counts, out
 
 
 # --- tokens -------------------------------------------------------------------------
@@ -222,8 +269,8 @@ def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
     Texts are range-partitioned by doc_id and sorted; each task encodes its own and
     closes a file whenever it holds IDS_PER_FILE ids. Rows without a doc_id come first;
     rows that share one keep all their tokens, ordered by text. A file has its name only
-    when it is complete, and the returned manifest (part, file, first doc_id, documents,
-    ids), one row per file, names just the files of the attempts that succeeded.
+    when it is complete, and the returned manifest (part, number, file, n_nulls, n_docs,
+    n_ids), one row per file, names just the files of the attempts that succeeded.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -238,39 +285,31 @@ def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
         part, attempt = context.partitionId(), context.taskAttemptId()
         model = encoder(path)
         end = np.array([end_id], "<u4").tobytes()
-        doc_ids, blobs, held, number = [], [], 0, 0
+        packer, n_nulls, number = Packer(), 0, 0
 
         def close() -> pa.RecordBatch:
-            nonlocal number
-            ids = np.frombuffer(b"".join(blobs), "<u4")
-            counts = np.array([len(b) // 4 for b in blobs], np.int64)
             # NULL doc_ids are told apart in the manifest: they are the first ones
-            plain = [0 if d is None else d for d in doc_ids]
             name = f"part-{part:05d}-{number:04d}-{attempt}.s8b"
-            put(uri(root, name), file_bytes(np.array(plain, np.int64), counts, ids))
-            row = pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array([part], pa.int64()),
-                    "number": pa.array([number], pa.int64()),
-                    "file": [name],
-                    "n_nulls": pa.array([sum(d is None for d in doc_ids)], pa.int64()),
-                    "n_docs": pa.array([len(doc_ids)], pa.int64()),
-                    "n_ids": pa.array([len(ids)], pa.int64()),
-                }
-            )
-            number += 1
-            return row
+            put(uri(root, name), packer.close())
+            row = {
+                "part": part,
+                "number": number,
+                "file": name,
+                "n_nulls": n_nulls,
+                "n_docs": len(packer.doc_ids),
+                "n_ids": packer.n_ids,
+            }
+            return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
             ids, texts = columns(batch, "doc_id", "text")
             for doc_id, blob in zip(ids, map(model.encode, texts), strict=True):
-                doc_ids.append(doc_id)
-                blobs.append(blob + end)
-                held += len(blob) // 4 + 1
-                if held >= IDS_PER_FILE:
+                packer.add(0 if doc_id is None else doc_id, blob + end)
+                n_nulls += doc_id is None
+                if packer.n_ids >= IDS_PER_FILE:
                     yield close()
-                    doc_ids, blobs, held = [], [], 0
-        if doc_ids:
+                    packer, n_nulls, number = Packer(), 0, number + 1
+        if packer.doc_ids:
             yield close()
 
     dealt = docs.repartitionByRange(n, "doc_id", F.xxhash64("text"))
@@ -303,7 +342,6 @@ def read(manifest: DataFrame, root: str) -> DataFrame:
                 fs, path = opened(uri(root, name))
                 with fs.open_input_stream(path, compression=None) as stream:
                     doc_ids, counts, ids = parsed(stream.read())
-                ids = ids.astype("<u4")
                 ends = np.cumsum(counts)
                 known = np.arange(len(doc_ids)) >= n_nulls
                 rows = iter(range(len(doc_ids)))
