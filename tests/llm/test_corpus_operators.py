@@ -144,10 +144,11 @@ def plain_classes(rows, size, num, den):
     return Counter((i, len(sets[k]), least[root(k)]) for k, (i, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("size,num,few,block", [(3, 90, 24, 256), (5, 80, 2, 3), (2, 60, 3, 4)])
+@pytest.mark.parametrize("size,num,few,block", [(3, 90, 8, 256), (5, 80, 2, 3), (2, 70, 1, 4)])
 def test_classes_equal_all_pairs(spark, monkeypatch, size, num, few, block):
     monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SKETCHES", block + 1)
     rng = random.Random(size)
     words = [f"w{k}" for k in range(400)]
     rows = [(None, None), (1, ""), (2, "one"), (3, "one"), (4, "one two"), (4, "one two")]
@@ -167,10 +168,13 @@ def test_classes_equal_all_pairs(spark, monkeypatch, size, num, few, block):
 
 def test_no_linked_pair_is_without_a_key():
     rng = random.Random(3)
-    for num in (60, 80, 90):
-        for _ in range(400):
-            n = rng.randint(1, 60)
-            base = np.array(rng.sample(range(1 << 62), n + 40), np.uint64)
+    with pytest.raises(ValueError, match="between"):
+        ngram_join.Groups(69, 100)
+    for num in (70, 80, 90):
+        for most in [60] * 400 + [2000] * 30:
+            n = rng.randint(1, most)
+            base = np.array(rng.sample(range(1 << 62), n + n // 2 + 9), np.uint64)
+            base <<= np.uint64(2)  # hashes fill their range
             cut = rng.randint(0, n // 5)
             a, b = np.sort(base[:n]), np.sort(base[cut : n + rng.randint(0, n // 5)])
             both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
@@ -181,6 +185,25 @@ def test_no_linked_pair_is_without_a_key():
             assert set(key[who == 0].tolist()) & set(key[who == 1].tolist())
 
 
+def test_sketches_rule_out_no_link():
+    rng = random.Random(4)
+    for num in (60, 80, 90):
+        base = rng.sample(range(1 << 62), 400)
+        sets = []
+        for _ in range(40):
+            n = rng.randint(1, 300)
+            own = base[: n - n // 8] + rng.sample(range(1 << 62), n // 8)
+            sets.append(np.sort(np.array(own, np.uint64)))
+        n = np.array([len(s) for s in sets])
+        linked = ngram_join.by_overlap(sets, num, 100)
+        for a in range(40):
+            for b in range(40):
+                both, either = (len(f(sets[a], sets[b])) for f in (np.intersect1d, np.union1d))
+                assert linked[a, b] == (100 * both >= num * either)
+        near = ngram_join.by_sketch(ngram_join.sketches(sets), n, num, 100)
+        assert not (linked & ~near).any() and (~near).sum() > 100
+
+
 def test_classes_equal_their_sql(spark, documents):
     connection = duckdb.connect()
     connection.execute(
@@ -454,10 +477,13 @@ def test_words_encode_as_texts_do(library):
     rng = random.Random(6)
     parts = list("abcde'st  .,\n\t\r\x00é你1 2\xa0 \x1c\x85") + ["'s", " the", "  ", "<|endoftext|>"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(5000)]
+    texts += [" ", "a ", " a", "a  b", "a \n b", "a b\n", "a b\n\nc d", "\n\n a", "a b\nc d\r\ne"]
+    texts += ["\x1c", "a\x1c b", "\u2003x \u3000y", "don't we'll it's'", "A. b?\"", "<|endoftext|>"]
     encoder = token_files.Encoder(IDS)
-    for text in [*texts, " ", "a ", " a", "a  b", "a \n b"]:
+    for text in [*texts, *texts[::-1]]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert encoder.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+    assert encoder.encode(None) == b""
 
 
 def test_token_files_give_back_what_was_written(spark, documents, library, monkeypatch):

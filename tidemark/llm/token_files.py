@@ -12,7 +12,6 @@ all of them at once.
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
 from functools import cache
@@ -20,6 +19,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,8 @@ ESCAPE = 15
 IDS_PER_FILE, TEXT_PER_TASK = 16_000_000, 32 << 20
 # Ids that are packed or unpacked together, a multiple of BLOCK.
 PACKED_AT_ONCE = 1 << 20
-WORDS_KEPT = 400_000
+# Words, and pieces of words, that a worker remembers.
+WORDS_KEPT, PIECES_KEPT = 300_000, 900_000
 
 
 # --- the code ---------------------------------------------------------------------
@@ -45,65 +46,59 @@ WORDS_KEPT = 400_000
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, first word of each block, ids of each block.
 
-    All blocks are packed side by side: one step writes the next word of every block.
     A word takes as many of the next ids as fit; the last word of a block may have room.
+    Where words begin is found for all blocks side by side, one word of each at a time;
+    then all words with the same selector are put together at once.
     """
-    ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     blocks = -(-n // BLOCK)
     sizes = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
+    if not blocks:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes
     padded = np.zeros((blocks, BLOCK + 60), np.uint64)
-    for k in range(0, blocks):
-        padded[k, : sizes[k]] = ids[k * BLOCK : k * BLOCK + sizes[k]]
-    # how many ids from each place on fit into one word: 0 calls for an escape
-    fits = np.zeros((blocks, BLOCK), np.int8)
+    whole = n // BLOCK
+    padded[:whole, :BLOCK] = np.asarray(ids[: whole * BLOCK]).reshape(whole, BLOCK)
+    if whole < blocks:
+        padded[whole, : sizes[whole]] = ids[whole * BLOCK :]
+    # from each place on: the layout that packs the most ids, and how many
+    step = np.ones((blocks, BLOCK), np.int64)
     chosen = np.full((blocks, BLOCK), ESCAPE, np.int8)
     for selector in range(len(LAYOUT) - 1, -1, -1):
         count, bits = LAYOUT[selector]
-        small = padded < np.uint64(1 << bits)
-        run = small[:, :BLOCK].copy()
+        run = padded < np.uint64(1 << bits)
         width = 1
-        while width < count:  # runs of ``count`` small ids, by doubling
-            step = min(width, count - width)
-            small = small[:, : small.shape[1] - step] & small[:, step:]
-            width += step
-        run = small[:, :BLOCK]
-        fits[run] = count
-        chosen[run] = selector
-    at = np.zeros(blocks, np.int64)
-    rows = np.arange(blocks)
-    out_words: list[np.ndarray] = []
-    out_rows: list[np.ndarray] = []
+        while width < count and run.any():  # runs of ``count`` small ids, by doubling
+            more = min(width, count - width)
+            run = run[:, : run.shape[1] - more] & run[:, more:]
+            width += more
+        if width == count:
+            run = run[:, :BLOCK]
+            step[run] = count
+            chosen[run] = selector
+    at, rows, starts = np.zeros(blocks, np.int64), np.arange(blocks), []
     while len(rows):
-        here = at[rows]
-        selector = chosen[rows, here]
-        word = np.zeros(len(rows), np.uint64)
-        step = np.ones(len(rows), np.int64)
-        for s in np.unique(selector):
-            mine = np.flatnonzero(selector == s)
-            if s == ESCAPE:
-                word[mine] = np.uint64(ESCAPE) << np.uint64(60)
-                continue
-            count, bits = LAYOUT[s]
-            value = np.full(len(mine), np.uint64(int(s)) << np.uint64(60))
+        starts.append(rows * BLOCK + at)
+        at = at + step.reshape(-1)[starts[-1]]
+        inside = at < sizes[rows]
+        rows, at = rows[inside], at[inside]
+    place = np.sort(np.concatenate(starts))  # block by block
+    row = place // BLOCK
+    selector = chosen.reshape(-1)[place]
+    raw = selector == ESCAPE
+    word = np.arange(len(place)) + np.cumsum(raw) - raw
+    out = np.zeros(len(place) + int(raw.sum()), np.uint64)
+    source = row * padded.shape[1] + place % BLOCK
+    values = padded.reshape(-1)
+    for s, (count, bits) in enumerate(LAYOUT):
+        mine = np.flatnonzero(selector == s)
+        if len(mine):
+            value = np.full(len(mine), np.uint64(s) << np.uint64(60))
             for k in range(count):
-                value |= padded[rows[mine], here[mine] + k] << np.uint64(k * bits)
-            word[mine] = value
-            step[mine] = count
-        out_words.append(word)
-        out_rows.append(rows)
-        raw = selector == ESCAPE
-        if raw.any():
-            out_words.append(padded[rows[raw], here[raw]])
-            out_rows.append(rows[raw])
-        at[rows] += step
-        rows = rows[at[rows] < sizes[rows]]
-    if not blocks:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes
-    owner = np.concatenate(out_rows)
-    order = np.argsort(owner, kind="stable")
-    starts = np.searchsorted(owner[order], np.arange(blocks))
-    return np.concatenate(out_words)[order], starts, sizes
+                value |= values[source[mine] + k] << np.uint64(k * bits)
+            out[word[mine]] = value
+    out[word[raw]] = np.uint64(ESCAPE) << np.uint64(60)
+    out[word[raw] + 1] = values[source[raw]]
+    return out, word[np.searchsorted(row, np.arange(blocks))], sizes
 
 
 def unpack(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -209,50 +204,85 @@ def parsed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # --- tokens -------------------------------------------------------------------------
 
-# A blank beside other white space, where blank-led words are not cut apart.
-ODD = re.compile(r" \s|\s ")
+# Fixed values of byte-level vocabularies: white space, and the rule that cuts a text.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CUT = regex.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
+    rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+)
+# Signs that end a word without being part of it.
+TAIL = ".,:;!?#$%&*|)]}\""
 
 
-class _Words(dict):
-    def __init__(self, encode):
-        self.encode = encode
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it can be seen, else the next of
+    those from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
-    def __missing__(self, word: str) -> bytes:
-        value = self[word] = self.encode(word)
+
+class _Remembered(dict):
+    """What was found once."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.find(key)
         return value
 
 
 class Encoder:
-    """The tokenizers library, asked once per distinct blank-led word.
+    """The tokenizers library's model, asked once per distinct piece of a text.
 
-    This vocabulary's rule starts a new token at every single blank between two words,
-    so the ids of a text are those of its words in turn. Texts with blanks beside other
-    white space go to the library whole.
+    The vocabulary's rule starts a new piece at every single blank between two words, so
+    the ids of a text are those of its words in turn; words and pieces are remembered.
+    Texts with blanks beside other white space are cut by the rule itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.words = _Words(self._asked)
+        self.model = Tokenizer.from_file(path).model
+        self.letters = _byte_letters()
+        self.pieces = _Remembered(self._piece)
+        self.words = _Remembered(self._word)
 
-    def _asked(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
+    def _piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _cut(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a blank and the word; None if white space stands beside the blanks."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        core = word.rstrip(TAIL)
+        if not core.isalpha():
+            return self._cut(" " + word)
+        ids = self.pieces[" " + core]
+        return ids + self.pieces[word[len(core) :]] if len(core) < len(word) else ids
+
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         if not text:
             return b""
-        if ODD.search(text):
-            return self._asked(text)
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        known = self.words.__getitem__
-        first, *rest = text.split(" ")
-        found = b"".join(map(known, map(" ".__add__, rest)))
-        return known(first) + found if first else found
+        for held, most in ((self.words, WORDS_KEPT), (self.pieces, PIECES_KEPT)):
+            if len(held) > most:
+                held.clear()
+        words = text.split(" ")
+        first = words[0]
+        try:
+            ids = b"".join(map(self.words.__getitem__, islice(words, 1, None)))
+        except TypeError:  # a word without ids of its own
+            return self._cut(text)
+        if first[-1:].isspace():
+            return self._cut(text)
+        return self._cut(first) + ids
 
 
 @cache
