@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
@@ -45,7 +45,7 @@ from tidemark.llm.common import (
 BITS = np.uint64((1 << 48) - 1)
 START, END = np.uint64(1), np.uint64(2)
 # Bytes of text a task counts at once, and per slice.
-TEXT_AT_ONCE, TEXT_PER_SLICE = 12 << 20, 16 << 20
+TEXT_AT_ONCE, TEXT_PER_SLICE = 8 << 20, 12 << 20
 # A word with this share of a task's tokens, or more, is frequent: at most its inverse
 # of them per task, and overall no more words than tasks have in common.
 FREQUENT = 1 / 500
@@ -187,11 +187,10 @@ class Model:
     def _found(self, name: str, keys: np.ndarray, part: np.ndarray, width: int) -> np.ndarray:
         out = np.zeros((len(keys), width), np.int64)
         order = np.lexsort((keys, part))
-        bounds = np.searchsorted(part[order], np.arange(self.n_slices + 1))
-        for k in range(self.n_slices):
-            mine = order[bounds[k] : bounds[k + 1]]
+        held, starts = np.unique(part[order], return_index=True)
+        for k, mine in zip(held.tolist(), np.split(order, starts[1:]), strict=False):
             table = self.array(f"{name}-key", k, "<u8")
-            if not len(mine) or not len(table):
+            if not len(table):
                 continue
             at = np.minimum(np.searchsorted(table, keys[mine]), len(table) - 1)
             hit = table[at] == keys[mine]
@@ -375,7 +374,7 @@ def learn(training: DataFrame, text: str = "text") -> Model:
             )
 
     if not rows:
-        _fill(model)
+        _fill(spark, model)
         return model
     pairs = _dealt(texts.mapInArrow(count, "slice long, data binary"), n_slices)
     merged = pairs.mapInArrow(
@@ -397,7 +396,7 @@ def learn(training: DataFrame, text: str = "text") -> Model:
     model.word_discounts = discounts(*by_count[:4])
     taken = np.array(by_count[:2] + [sum(by_count[2:])]) @ np.array(model.word_discounts)
     model.rest = float(taken) / model.n_pairs
-    _fill(model)
+    _fill(spark, model)
     return model
 
 
@@ -424,13 +423,20 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _fill(model: Model) -> None:
+def _fill(spark: SparkSession, model: Model) -> None:
     """Empty arrays for slices that got no rows."""
-    for name in ("pairs-key", "pairs-n", "pairs-big", "words-key", "words-row"):
-        for k in range(model.n_slices):
-            fs, path = opened(uri(model.root, f"{name}-{k:05d}"))
-            if not fs.get_file_info(path).is_file:
-                put(uri(model.root, f"{name}-{k:05d}"), b"")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in columns(batch, "id")[0]:
+                for name in ("pairs-key", "pairs-n", "pairs-big", "words-key", "words-row"):
+                    location = uri(model.root, f"{name}-{k:05d}")
+                    fs, path = opened(location)
+                    if not fs.get_file_info(path).is_file:
+                        put(location, b"")
+            yield batch
+
+    spark.range(model.n_slices).mapInArrow(run, "id long").count()
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -467,7 +473,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) under a model of those outside the held-out
-    seventh."""
+    seventh: crc32 of doc_id as text, of the empty text for NULL. NULL texts are empty."""
     rest = crc_rest("doc_id", 7)
     model = learn(docs.filter(rest != 2))
     return scored(docs.select("doc_id", "text", (rest == 2).alias("held_out")), model)
