@@ -3,10 +3,10 @@
 N-grams stand in one global order, that of their hashes, and are cut into fragments.
 
 Candidates. Two sets with Jaccard similarity of at least t differ in at most D n-grams,
-by their sizes. Cut into F = D + 1 + SPARE fragments, all but D of them are alike in both
-sets, SPARE + 1 at least, so a set posts a key per fragment: the fragment's hash. (A set
-with more than SPARE empty fragments also posts which SPARE + 1 of them are empty, so
-that pairs alike in empty fragments only are found as well.) Sizes are grouped so that
+by their sizes. Cut into F > D fragments, all but D of them are alike in both sets, F - D
+at least, so a set posts a key per fragment that is not empty: the fragment's hash. (A set
+with as many empty fragments as that, which F makes rare, also posts which F - D of them
+are empty, so that pairs alike in empty fragments only are found as well.) Sizes are grouped so that
 linked sets are in the same group or in neighbouring ones, and a set posts to both. Pairs
 that share a key, and whose sketches do not rule a link out, are candidates. Keys with
 many sets never become pairs of rows: their sets are dealt into blocks, and each two
@@ -23,6 +23,7 @@ Equal sets are one set from the first batch on. The result is exact up to collis
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain, combinations
 
@@ -35,7 +36,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import columns, mix, prepare, stash, windows, word_hashes, word_list
 
-SPARE = 3
+# Fragments beyond those that may differ, at least; sets of MANY n-grams get so many that
+# empty ones do not use them up, but for chances of DEVIATIONS standard deviations.
+SPARE, MANY, DEVIATIONS = 3, 48, 4
 # Sets of a key that become pairs of rows; beyond that, sets of a block of sketches.
 FEW, BLOCK_SKETCHES = 8, 1024
 # Sets of a block in a cluster, and distinct n-grams of one fragment there.
@@ -73,27 +76,50 @@ def set_id(grams: np.ndarray) -> int:
 
 
 class Groups:
-    """Size groups for similarity ``num / den``, and their numbers of fragments."""
+    """Size groups for similarity ``num / den``, and their numbers of fragments.
+
+    For each group, as that of a pair's smaller set: D, the most n-grams a linked pair
+    there may differ in, and F, the number of fragments. F is so large that sets have
+    more than D fragments that are not empty; all but a few among those of over MANY
+    n-grams, by DEVIATIONS standard deviations.
+    """
 
     def __init__(self, num: int, den: int):
+        if not 0 < num <= den or 10 * num < 7 * den:
+            raise ValueError("the similarity must be between 0.7 and 1")
         self.num, self.den = num, den
         self.starts = [1]
+        self.differ: list[int] = []
+        self.cuts: list[int] = []
 
     def _grow(self, most: int) -> None:
         while self.starts[-1] <= most:
-            self.starts.append(self.starts[-1] * self.den // self.num + 1)
+            first = self.starts[-1]
+            self.starts.append(first * self.den // self.num + 1)
+            small = self.starts[-1] - 1
+            large = small * self.den // self.num
+            differ = (small + large) * (self.den - self.num) // (self.den + self.num)
+            self.differ.append(differ)
+            self.cuts.append(self._fragments(differ, first) if differ else 0)
+
+    def _fragments(self, differ: int, first: int) -> int:
+        cuts = differ + 1 + SPARE
+        while MANY <= first and cuts < 20 * first:
+            load = first / cuts
+            none = math.exp(-load)  # the share of fragments that are empty
+            spread = math.sqrt(cuts * (none - (1 + load) * none * none))
+            if cuts * (1 - none) - DEVIATIONS * spread > differ:
+                break
+            cuts += 1 + cuts // 200
+        return cuts
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         self._grow(int(sizes.max(initial=0)))
-        self._grow(self.starts[-1])
         return np.searchsorted(self.starts, sizes, "right") - 1
 
-    def fragments(self, group: np.ndarray) -> np.ndarray:
-        """For pairs whose smaller set is in ``group``; 0 if only equal sets are linked."""
-        small = np.array(self.starts)[group + 1] - 1
-        large = small * self.den // self.num
-        differ = (small + large) * (self.den - self.num) // (self.den + self.num)
-        return np.where(differ > 0, differ + 1 + SPARE, 0)
+    def most(self, group: np.ndarray) -> np.ndarray:
+        """The largest size in each group."""
+        return np.array(self.starts)[group + 1] - 1
 
 
 def keys_of(sets: list[np.ndarray], groups: Groups) -> tuple[np.ndarray, np.ndarray]:
@@ -106,9 +132,11 @@ def keys_of(sets: list[np.ndarray], groups: Groups) -> tuple[np.ndarray, np.ndar
     out, who = [], []
     for lower in (0, 1):
         home = group - lower  # the group of the pair's smaller set
-        most = np.array(groups.starts)[home + 1] - 1
-        fits = (home >= 0) & (sizes > 0) & (sizes * groups.num <= most * groups.den)
-        cuts = np.where(fits, groups.fragments(np.maximum(home, 0)), 0)
+        fits = (home >= 0) & (sizes > 0)
+        home = np.maximum(home, 0)
+        fits &= sizes * groups.num <= groups.most(home) * groups.den
+        cuts = np.where(fits, np.array(groups.cuts)[home], 0)
+        spare = cuts - np.array(groups.differ)[home] - 1
         here = cuts[owner] > 0
         if not here.any():
             continue
@@ -118,18 +146,18 @@ def keys_of(sets: list[np.ndarray], groups: Groups) -> tuple[np.ndarray, np.ndar
         new = np.ones(len(mine), bool)
         new[1:] = (mine[1:] != mine[:-1]) | (place[1:] != place[:-1])
         first = np.flatnonzero(new)
-        sums = np.add.reduceat(value, first)
-        mark = mix((home[mine[first]].astype(np.uint64) << np.uint64(32)) | place[first])
         poster = mine[first]
+        sums = np.add.reduceat(value, first)
+        mark = mix((home[poster].astype(np.uint64) << np.uint64(32)) | place[first])
         out.append(mix(sums ^ mark))
         who.append(poster)
-        filled = np.bincount(poster, minlength=len(sets))
-        for k in np.flatnonzero(cuts - filled > SPARE):
+        empty = cuts - np.bincount(poster, minlength=len(sets))
+        for k in np.flatnonzero((cuts > 0) & (empty > spare)):
             used = set(place[first[poster == k]].tolist())
-            empty = [p for p in range(int(cuts[k])) if p not in used]
+            rest = [p for p in range(int(cuts[k])) if p not in used]
             marks = [
                 xxhash.xxh3_64_intdigest(f"empty {home[k]} {chosen}")
-                for chosen in combinations(empty, SPARE + 1)
+                for chosen in combinations(rest, int(spare[k]) + 1)
             ]
             out.append(np.array(marks, np.uint64))
             who.append(np.full(len(marks), k))
