@@ -427,6 +427,19 @@ def test_archives_give_back_what_was_written(spark, monkeypatch, pages, least):
     assert not [f for f in files if f.base_name.endswith(".tmp")]
 
 
+def test_archives_equal_their_sql(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(k, f"u{k}", rng.choice([None, "", "a", "é" * k, f"page {k % 7}"])) for k in range(90)]
+    spark.createDataFrame(rows, PAGE).write.parquet(f"file:{tmp_path}/pages")
+    pages = spark.read.parquet(f"file:{tmp_path}/pages")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    got = warc.round_trip(pages)
+    want = connection.sql(SQL["op4_warc"]).select(*got.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
+    assert "revisit" in {r[3] for r in want.fetchall()}
+
+
 def test_archive_order_and_damage(spark, pages):
     root = scratch_dir(spark, "warc")
     manifest = warc.write(spark.createDataFrame(pages, PAGE), root)

@@ -90,5 +90,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op3_ngram_jaccard": ngram_join.sql(),
+    "op4_warc": warc.sql(),
     "op5_license_digests": licenses.sql(),
 }

@@ -291,3 +291,18 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` and say what the archives hold, page by page."""
     root = scratch_dir(pages.sparkSession, "warc")
     return read(write(pages, root), root).drop("url", "payload")
+
+
+def sql() -> str:
+    """``round_trip`` of pages in another engine's words: 40 bits give eight letters."""
+    bits = "CAST('0x' || substr(sha, 10 * (i // 8) + 1, 10) AS UBIGINT)"
+    letter = f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({bits} >> (35 - 5 * (i % 8))) & 31 AS INT) + 1, 1)"
+    return (
+        "WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),"
+        " d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,"
+        " sha1(html) AS sha, min(page_id) OVER (PARTITION BY html) AS first FROM p)"
+        " SELECT page_id, payload_bytes,"
+        f" array_to_string(list_transform(range(32), lambda i: {letter}), '') AS payload_digest,"
+        " CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,"
+        " CASE WHEN page_id <> first THEN first END AS refers_to FROM d"
+    )
