@@ -188,10 +188,10 @@ def test_no_linked_pair_is_without_a_key():
 def test_sketches_rule_out_no_link():
     rng = random.Random(4)
     for num in (60, 80, 90):
-        base = rng.sample(range(1 << 62), 400)
+        base = rng.sample(range(1 << 62), 3000)
         sets = []
-        for _ in range(40):
-            n = rng.randint(1, 300)
+        for k in range(40):
+            n = rng.randint(1, 300) if k < 30 else rng.randint(900, 3000)
             own = base[: n - n // 8] + rng.sample(range(1 << 62), n // 8)
             sets.append(np.sort(np.array(own, np.uint64)))
         n = np.array([len(s) for s in sets])

@@ -30,7 +30,7 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,10 +40,10 @@ from tidemark.llm.common import columns, mix, prepare, stash, windows, word_hash
 # empty ones do not use them up, but for chances of DEVIATIONS standard deviations.
 SPARE, MANY, DEVIATIONS = 3, 48, 4
 # Sets of a key that become pairs of rows; beyond that, sets of a block of sketches.
-FEW, BLOCK_SKETCHES = 8, 1024
+FEW, BLOCK_SKETCHES = 8, 512
 # Sets of a block in a cluster, and distinct n-grams of one fragment there.
 BLOCK_SETS, COLUMNS = 256, 4096
-# Bits of a set's sketch.
+# Bits of a set's sketch, at least.
 SKETCH = 512
 # A bitmap of this size says which keys or sets are worth posting again. It only spares
 # work: what it lets through is joined exactly, and a full one lets all through.
@@ -222,15 +222,13 @@ def identified(docs: DataFrame, size: int, groups: Groups, only: _Bitmap) -> Dat
             ids = [set_id(s) if len(s) else None for s in sets]
             own = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
             names = [*(f.name for f in others), "key", "sid", "n", "sketch"]
-            sketch = sketches(sets)
-            offsets = np.arange(0, sketch.size + 1, sketch.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *own,
                     pa.nulls(len(sets), pa.int64()),
                     pa.array(ids, pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(sketch.reshape(-1))),
+                    pa.array(sketches(sets), pa.list_(pa.int64())),
                 ],
                 names=names,
             )
@@ -256,24 +254,37 @@ def identified(docs: DataFrame, size: int, groups: Groups, only: _Bitmap) -> Dat
     return docs.mapInArrow(run, T.StructType([*others, *made]))
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Per set, SKETCH bits: whether an odd number of its n-grams falls on each. Two sets
-    differ in at least as many n-grams as their sketches in bits."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    if not sizes.sum():
-        return np.zeros((len(sets), SKETCH // 64), np.int64)
-    bit = mix(np.concatenate(sets) ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(SKETCH)
-    cell = np.repeat(np.arange(len(sets)), sizes) * SKETCH + bit.astype(np.int64)
-    odd = (np.bincount(cell, minlength=len(sets) * SKETCH) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).reshape(len(sets), -1)
+def sketches(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Per set, a bit for each of 2**k values: whether an odd number of its n-grams falls
+    on it. There are as many bits as n-grams or more, SKETCH at least. Two sets differ in
+    at least as many n-grams as their sketches in bits; the longer of two is folded."""
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sets)
+    widths = np.array([max(SKETCH, 1 << (len(s) - 1).bit_length()) if len(s) else 0 for s in sets])
+    for width in np.unique(widths[widths > 0]).tolist():
+        mine = np.flatnonzero(widths == width)
+        some = [sets[k] for k in mine]
+        bit = mix(np.concatenate(some) ^ np.uint64(0xA5A5A5A5A5A5A5A5)) & np.uint64(width - 1)
+        row = np.repeat(np.arange(len(some)), [len(s) for s in some])
+        odd = np.bincount(row * width + bit.astype(np.int64), minlength=len(some) * width) & 1
+        words = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(some), -1)
+        for k, sketch in zip(mine, words, strict=True):
+            out[k] = sketch
+    return out
 
 
 def near(pairs: DataFrame, sketched: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose sketches do not rule a link out."""
     one = sketched.select(F.col("sid").alias("a"), F.col("sketch").alias("sa"))
     two = sketched.select(F.col("sid").alias("b"), F.col("sketch").alias("sb"))
+    size = F.least(F.size("sa"), F.size("sb"))
+
+    def folded(name: str) -> Column:  # linked sets differ by one doubling at most
+        halves = F.slice(name, F.lit(1), size), F.slice(name, size + 1, size)
+        whole = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(name) > size, whole).otherwise(F.col(name))
+
     unlike = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.zip_with(folded("sa"), folded("sb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
         lambda total, n: total + n,
     )
@@ -328,10 +339,15 @@ def forest(linked: np.ndarray, sids: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def by_sketch(sketch: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndarray:
+def by_sketch(sketch: list[np.ndarray], n: np.ndarray, num: int, den: int) -> np.ndarray:
     """Which pairs of sets may be linked, by what their sketches tell."""
+    size = min(map(len, sketch))
+    while max(map(len, sketch)) > size:
+        sketch = [
+            x if len(x) == size else x[: len(x) // 2] ^ x[len(x) // 2 :] for x in sketch
+        ]
     unlike = np.zeros((len(n), len(n)), np.int64)
-    for word in sketch.T.view(np.uint64):
+    for word in np.stack(sketch).T.copy().view(np.uint64):
         unlike += np.bitwise_count(word[:, None] ^ word[None, :])
     return unlike * (den + num) <= (n[:, None] + n[None, :]) * (den - num)
 
@@ -427,9 +443,8 @@ def candidates(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataF
     )
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
-        sketch = np.stack(lists_of(rows.column("sketch")))
-        n = rows.column("n").to_numpy()
-        return forest(by_sketch(sketch, n, num, den), rows.column("sid").to_numpy())
+        n, sid = rows.column("n").to_numpy(), rows.column("sid").to_numpy()
+        return forest(by_sketch(lists_of(rows.column("sketch")), n, num, den), sid)
 
     crowded = sized.filter(F.col("m") > FEW).join(reps.select("sid", "sketch"), "sid")
     found = in_blocks(crowded, BLOCK_SKETCHES, solve)
