@@ -37,7 +37,7 @@ IDS_PER_FILE, TEXT_PER_TASK = 16_000_000, 32 << 20
 # Ids that are packed or unpacked together, a multiple of BLOCK.
 PACKED_AT_ONCE = 1 << 20
 # Words, and pieces of words, that a worker remembers.
-WORDS_KEPT, PIECES_KEPT = 300_000, 900_000
+WORDS_KEPT, PIECES_KEPT = 400_000, 900_000
 
 
 # --- the code ---------------------------------------------------------------------
@@ -55,17 +55,21 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     if not blocks:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes
-    padded = np.zeros((blocks, BLOCK + 60), np.uint64)
+    most = int(ids.max())
+    padded = np.zeros((blocks, BLOCK + 60), np.uint16 if most < 1 << 16 else np.uint64)
     whole = n // BLOCK
     padded[:whole, :BLOCK] = np.asarray(ids[: whole * BLOCK]).reshape(whole, BLOCK)
     if whole < blocks:
         padded[whole, : sizes[whole]] = ids[whole * BLOCK :]
     # from each place on: the layout that packs the most ids, and how many
-    step = np.ones((blocks, BLOCK), np.int64)
+    step = np.ones((blocks, BLOCK), np.int8)
     chosen = np.full((blocks, BLOCK), ESCAPE, np.int8)
     for selector in range(len(LAYOUT) - 1, -1, -1):
         count, bits = LAYOUT[selector]
-        run = padded < np.uint64(1 << bits)
+        if most < 1 << bits:  # any ids fit
+            step[:], chosen[:] = count, selector
+            continue
+        run = padded < padded.dtype.type(1 << bits)
         width = 1
         while width < count and run.any():  # runs of ``count`` small ids, by doubling
             more = min(width, count - width)
@@ -94,7 +98,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(mine):
             value = np.full(len(mine), np.uint64(s) << np.uint64(60))
             for k in range(count):
-                value |= values[source[mine] + k] << np.uint64(k * bits)
+                here = values[source[mine] + k].astype(np.uint64, copy=False)
+                value |= here << np.uint64(k * bits)
             out[word[mine]] = value
     out[word[raw]] = np.uint64(ESCAPE) << np.uint64(60)
     out[word[raw] + 1] = values[source[raw]]
@@ -222,17 +227,50 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class _Remembered(dict):
-    """What was found once."""
+class _Pieces(dict):
+    """Ids of pieces, as the library's model finds them."""
 
-    def __init__(self, find):
-        self.find = find
+    def __init__(self, model):
+        self.tokenize = model.tokenize
+        self.letters = _byte_letters()
 
-    def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.find(key)
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.tokenize(letters)]
+        value = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return value
 
 
+class _Words(dict):
+    """Ids of words with a blank before them; None if white space stands beside it. A
+    word is remembered from its second time on: most rare words never come again."""
+
+    def __init__(self, pieces: _Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes | None:
+        core = word.rstrip(TAIL)
+        if core.isalpha():
+            piece = " " + core
+            value = self.pieces.get(piece)
+            seen = value is not None
+            if not seen:
+                value = self.pieces[piece]
+            if len(core) < len(word):
+                value += self.pieces[word[len(core) :]]
+            if not seen:
+                return value
+        elif not word or word[0].isspace() or word[-1].isspace():
+            value = None
+        else:
+            value = self.pieces_of(" " + word)
+        self[word] = value
+        return value
+
+    def pieces_of(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
+
+
 class Encoder:
     """The tokenizers library's model, asked once per distinct piece of a text.
 
@@ -244,28 +282,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path).model
-        self.letters = _byte_letters()
-        self.pieces = _Remembered(self._piece)
-        self.words = _Remembered(self._word)
-
-    def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        ids = [token.id for token in self.model.tokenize(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _cut(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
-
-    def _word(self, word: str) -> bytes | None:
-        """Ids of a blank and the word; None if white space stands beside the blanks."""
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
-        core = word.rstrip(TAIL)
-        if not core.isalpha():
-            return self._cut(" " + word)
-        ids = self.pieces[" " + core]
-        return ids + self.pieces[word[len(core) :]] if len(core) < len(word) else ids
+        self.pieces = _Pieces(Tokenizer.from_file(path).model)
+        self.words = _Words(self.pieces)
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
@@ -275,14 +293,13 @@ class Encoder:
             if len(held) > most:
                 held.clear()
         words = text.split(" ")
-        first = words[0]
         try:
             ids = b"".join(map(self.words.__getitem__, islice(words, 1, None)))
         except TypeError:  # a word without ids of its own
-            return self._cut(text)
-        if first[-1:].isspace():
-            return self._cut(text)
-        return self._cut(first) + ids
+            return self.words.pieces_of(text)
+        if words[0][-1:].isspace():
+            return self.words.pieces_of(text)
+        return self.words.pieces_of(words[0]) + ids
 
 
 @cache
