@@ -116,6 +116,7 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
 def _filesystem(scheme: str, host: str):
     if scheme in ("", "file"):
         return pafs.LocalFileSystem()
+    scheme = "s3" if scheme == "s3a" else scheme  # Hadoop's name for it
     return pafs.FileSystem.from_uri(f"{scheme}://{host}/")[0]
 
 
