@@ -106,6 +106,25 @@ def test_limits_follow_their_group(spark):
     assert not kept[600] and kept[601] and sum(kept.values()) == 601
 
 
+def test_quantiles_set_every_fence(spark):
+    def text(k, length=5, upper=0, lines=0):
+        letters = str.maketrans("0123456789", "abcdefghij")
+        words = [f"{k:04d}{j:04d}".translate(letters) for j in range(100)]
+        words = [w[-length - (j + k) % 3 :] for j, w in enumerate(words)]
+        words = [w.upper() if j < upper + k % 4 else w for j, w in enumerate(words)]
+        body = [" ".join(words[j : j + 10]) for j in range(0, 100, 10)]
+        return "\n".join(body + body[:1] * lines)
+
+    rows = [(k, text(k)) for k in range(400)]
+    rows += [(400, text(400, upper=20)), (401, text(401, lines=2)), (402, text(402))]
+    rows += [(403, " ".join(w + "abc" for w in text(403).split()))]  # 9 letters for 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' as lang", "'a' as source"
+    )
+    rejected = {r.doc_id for r in quality.quality_report(docs).filter("not kept").collect()}
+    assert rejected == {400, 401, 403}
+
+
 def test_quality_of_nothing(spark, odd):
     assert quality.quality_report(odd.limit(0)).collect() == []
     assert quality.keep_good(odd.limit(0)).columns == odd.columns

@@ -2,12 +2,16 @@
 
 Each document gets a few shares (symbols, capitals, repeated lines, repeated words) and
 its mean word length. Per language and source, per language and over all documents a
-mergeable quantile sketch of each is kept; the sketches of the wider levels are merged
-from the narrower ones. A document passes if it stays below every fence
-``q75 + max(REACH * (q75 - q25), SPREAD)`` (word length: also above the like one) of its
-group and of its language; levels with too few rows are not heard, and where neither is,
-all documents together are. ``SPREAD`` keeps groups of nearly equal documents from
-rejecting one another.
+mergeable quantile sketch of each is kept, of the documents that pass the base rules; the
+sketches of the wider levels are merged from the narrower ones. A document passes if it
+stays below every fence (word length: also above the like one) of its group and of its
+language; levels with too few rows are not heard, and where neither is, all documents
+together are. A fence is set by the sketch alone:
+
+* ``q75 + REACH * (q75 - q25) * sqrt(N / n)``, where N is the level's median number of
+  words and n the document's, if smaller: a short text's means scatter more.
+* Where a quarter of the rows share one value (most have no symbols, no repeats), quartiles
+  say nothing. There it is as far beyond the quantile TAIL as that lies beyond q75.
 """
 
 from __future__ import annotations
@@ -26,11 +30,12 @@ SYMBOLS = "#*$%&|<>"
 WHITE = "\t\n\x0b\x0c\r "
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper n_lower".split()
 SIGNALS = "symbol_share upper_share dup_line_share repeat_share word_length".split()
-# The least distance from the quartiles at which a fence stands.
-SPREAD = dict(zip(SIGNALS, (0.05, 0.3, 0.5, 0.45, 6.0), strict=True))
-SPREAD_DOWN = 3.0
+# Quantiles taken for the tail: more than one text in a hundred is full of symbols.
+TAIL = dict(zip(SIGNALS, (0.9, 0.99, 0.99, 0.99, 0.99), strict=True))
 # Quartile distances beyond the quartiles, and rows a level needs to be heard.
 REACH, LEAST_ROWS = 3.0, 100
+# Room for rounding, and size of a sketch: ranks err by 0.3 % or so.
+FLOOR, SKETCH = 1e-6, 1000
 # Groups whose limits are sent to every task; more of them are joined by a shuffle.
 MOST_SENT = 100_000
 
@@ -108,62 +113,75 @@ def base_failed() -> Column:
 
 
 def limits(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row per language and source with the limits that hold there.
+    """One row per language and source with ``_levels``, the fences of each level heard.
 
     Sketches are built beside the scan, merged in one shuffle of sketches, and merged
     again for the wider levels; no row reaches another task. NULL is a language and a
     source of its own. The limits over all documents are one row, read by the driver.
     """
     keys = [F.col(lang).alias("_lang"), F.col(source).alias("_source")]
+    sketched = [*SIGNALS, "n_words"]
     groups = stash(
-        measured.select(*keys, *signals())
+        measured.filter(~base_failed())
+        .select(*keys, *signals(), F.col("_quality.n_words").cast("double").alias("n_words"))
         .groupBy("_lang", "_source")
         .agg(
             F.count("*").alias("n"),
-            *(F.kll_sketch_agg_double(s).alias(s) for s in SIGNALS),
+            *(F.kll_sketch_agg_double(s, SKETCH).alias(s) for s in sketched),
         ),
         "sketches",
     )
 
     def merged(*by: str) -> DataFrame:
         return groups.groupBy(*by).agg(
-            F.sum("n").alias("n"), *(F.kll_merge_agg_double(s).alias(s) for s in SIGNALS)
+            F.sum("n").alias("n"), *(F.kll_merge_agg_double(s, SKETCH).alias(s) for s in sketched)
         )
 
+    def quantiles(s: str, *ranks: float) -> Column:
+        # an empty sketch has no quantiles
+        found = F.kll_sketch_get_quantile_double(s, F.array(*map(F.lit, ranks)))
+        return F.when(F.kll_sketch_get_n_double(s) > 0, found)
+
     def fenced(level: DataFrame, name: str, *by: str) -> DataFrame:
-        out = [F.col(b) for b in by] + [F.col("n").alias(f"n_{name}")]
+        """Per signal where its fences start, and how far beyond the unscaled ones are."""
+        out = [quantiles("n_words", 0.5)[0].alias("typical")]
         for s in SIGNALS:
-            # an empty sketch has no quantiles
-            some = F.kll_sketch_get_n_double(s) > 0
-            q = F.when(
-                some, F.kll_sketch_get_quantile_double(s, F.array(F.lit(0.25), F.lit(0.75)))
+            low, q25, q50, q75, high = (
+                quantiles(s, 1 - TAIL[s], 0.25, 0.5, 0.75, TAIL[s])[k] for k in range(5)
             )
-            reach = F.greatest(REACH * (q[1] - q[0]), F.lit(SPREAD[s]))
-            out.append((q[1] + reach).alias(f"{s}_{name}"))
-            if s == "word_length":
-                down = F.greatest(REACH * (q[1] - q[0]), F.lit(SPREAD_DOWN))
-                out.append((q[0] - down).alias(f"short_{name}"))
-        return level.select(*out)
-
-    every = fenced(merged(), "all").first()
+            spread = (q25 < q50) & (q50 < q75)
+            out += [
+                F.when(spread, q75).otherwise(2 * high - q75 + FLOOR).alias(f"most_{s}"),
+                F.when(spread, q25).otherwise(2 * low - q25 - FLOOR).alias(f"least_{s}"),
+                F.when(spread, REACH * (q75 - q25)).otherwise(0.0).alias(f"reach_{s}"),
+            ]
+        return level.select(*by, F.col("n").alias(f"n_{name}"), F.struct(*out).alias(name))
+
+    every = F.broadcast(fenced(merged(), "all"))
     by_lang = fenced(merged("_lang"), "lang", "_lang").withColumnRenamed("_lang", "_l")
-    joined = fenced(groups, "group", "_lang", "_source").join(
-        by_lang, F.col("_lang").eqNullSafe(F.col("_l"))
+    joined = (
+        fenced(groups, "group", "_lang", "_source")
+        .join(by_lang, F.col("_lang").eqNullSafe(F.col("_l")))
+        .crossJoin(every)
     )
+    heard = F.array_compact(
+        F.array(*(F.when(F.col(f"n_{k}") >= LEAST_ROWS, F.col(k)) for k in ("group", "lang")))
+    )
+    levels = F.when(F.size(heard) > 0, heard).otherwise(F.array("all"))
+    return joined.select("_lang", "_source", levels.alias("_levels"))
 
-    def heard(value: str, level: str) -> Column:
-        return F.when(F.col(f"n_{level}") >= LEAST_ROWS, F.col(f"{value}_{level}"))
-
-    def limit(value: str, strictest) -> Column:
-        own = strictest(heard(value, "group"), heard(value, "lang"))
-        return F.coalesce(own, F.lit(every[f"{value}_all"] if every else None))
 
-    return joined.select(
-        "_lang",
-        "_source",
-        *(limit(s, F.least).alias(f"most_{s}") for s in SIGNALS),
-        limit("short", F.greatest).alias("least_word_length"),
-    )
+def within(level: Column) -> Column:
+    """Whether a measured row is inside all fences of one level."""
+    n = F.col("_quality.n_words")
+    scale = F.sqrt(F.greatest(F.lit(1.0), level["typical"] / F.greatest(n, F.lit(1))))
+    inside = F.lit(True)
+    for s, signal in zip(SIGNALS, signals(), strict=True):
+        reach = level[f"reach_{s}"] * scale
+        inside &= F.coalesce(signal <= level[f"most_{s}"] + reach, F.lit(True))
+        if s == "word_length":
+            inside &= F.coalesce(signal >= level[f"least_{s}"] - reach, F.lit(True))
+    return inside
 
 
 def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -172,22 +190,14 @@ def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> D
     if found.count() <= MOST_SENT:
         found = F.broadcast(found)
     names = measured.columns
-    inside = [
-        F.coalesce(signal <= F.col(f"most_{s}"), F.lit(True))
-        for s, signal in zip(SIGNALS, signals(), strict=True)
-    ]
-    long_enough = F.coalesce(
-        signals()[-1] >= F.col("least_word_length"), F.lit(True)
-    )
-    kept = ~base_failed() & long_enough
-    for one in inside:
-        kept &= one
     joined = measured.join(
         found,
         measured[lang].eqNullSafe(found["_lang"])
         & measured[source].eqNullSafe(found["_source"]),
         "left",
     )
+    # groups without a document that passes the base rules have no limits
+    kept = ~base_failed() & F.coalesce(F.forall("_levels", within), F.lit(True))
     return joined.select(*(measured[c] for c in names), kept.alias("_kept"))
 
 
