@@ -234,6 +234,42 @@ def test_licence_texts_in_other_guises(spark, odd):
     assert licenses.scan(docs, {}).filter("license is not null").count() == 0
 
 
+def test_licence_files_as_they_come(spark):
+    owner = "Copyright (c) 2020, Some One\nAll rights reserved.\n\n"
+    mit, bsd = licenses.TEXTS["MIT"], licenses.TEXTS["BSD-3-Clause"]
+    bullets = re.sub(r"(?m)^[123]\. ", "  * ", bsd)
+    apache, gpl, boost, zlib, mpl = (
+        (licenses.FOLDER / f"{n}.txt").read_text()
+        for n in ("Apache-2.0", "GPL-3.0", "BSL-1.0", "Zlib", "MPL-2.0")
+    )
+    cases = [
+        ("MIT", f"MIT License\n\n{owner}{mit}\n"),
+        ("MIT", f"# The MIT License (MIT)\n{owner}{mit}"),
+        ("BSD-3-Clause", f"BSD 3-Clause License\n\n{owner}{bsd}"),
+        ("BSD-3-Clause", f"{owner}{bullets}"),
+        ("BSD-2-Clause", re.sub(r"(?m)^([12])\. ", r"(\1) ", licenses.TEXTS["BSD-2-Clause"])),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Some One")),
+        ("Apache-2.0", apache[: apache.index("   APPENDIX")]),
+        ("Apache-2.0", apache.replace("http://", "https://").replace("\n", "\r\n")),
+        ("GPL-3.0", gpl),
+        ("BSL-1.0", boost),
+        ("Zlib", f"zlib License\n\n{owner}{zlib}"),
+        ("MPL-2.0", mpl),
+        (None, f"Some other License\n\n{owner}{mit}"),
+        (None, apache.replace("perpetual", "temporary")),
+    ]
+    docs = spark.createDataFrame(
+        [(k, t) for k, (_, t) in enumerate(cases)], "doc_id long, text string"
+    )
+    found = licenses.scan(docs).orderBy("doc_id").collect()
+    assert [r.license for r in found] == [n for n, _ in cases]
+    header = '# Licensed under the Apache License, Version 2.0 (the "License");\nx'
+    marks = "// SPDX-License-Identifier: GPL-2.0-only\n/* SPDX-License-Identifier: MIT */"
+    docs = spark.createDataFrame([(1, header), (2, marks)], docs.schema)
+    lines = {r.doc_id: r.line_licenses for r in licenses.scan(docs).collect()}
+    assert lines == {1: "Apache-2.0", 2: "GPL-2.0-only,MIT"}
+
+
 def test_licences_stay_in_the_engine(spark, documents):
     plan = licenses.scan(documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|RDD", plan)

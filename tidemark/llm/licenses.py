@@ -2,19 +2,24 @@
 
 A text is lower-cased, its copyright lines are dropped, everything but letters and digits
 becomes one blank, equivalent spellings become one, and the whole is hashed. Documents
-are hash-joined to the digests of known licence texts; single lines are looked up among
-the short notices. Spark's own functions only; no row leaves its task.
+are hash-joined to the digests of known licence texts, each in its usual guises (with and
+without title, with other list markers); single lines are looked up among the short
+notices. Spark's own functions only; no row leaves its task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+import re
+from collections.abc import Iterator, Mapping
+from functools import cache, reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Public licence texts, without their titles, and usual short notices.
+# Public licence texts, without their titles, and usual short notices. Longer
+# texts, with their titles, are the files of FOLDER, named by licence.
+FOLDER = Path(__file__).parent / "license_texts"
 _AS_IS = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,'
     " INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
@@ -71,6 +76,61 @@ TEXTS = {
     " used to endorse or promote products derived from this software without specific prior"
     " written permission.\n\n" + _HOLDERS,
 }
+# Titles that may stand above a text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"),
+    "0BSD": (
+        "BSD Zero Clause License",
+        "Zero-Clause BSD",
+        "BSD Zero Clause License (0BSD)",
+        "Zero-Clause BSD (0BSD)",
+        "0BSD",
+    ),
+    "BSD-2-Clause": (
+        "BSD 2-Clause License",
+        "The BSD 2-Clause License",
+        "The 2-Clause BSD License",
+        'BSD 2-Clause "Simplified" License',
+        "Simplified BSD License",
+        "FreeBSD License",
+        "BSD License",
+        "The BSD License",
+        "BSD-2-Clause",
+    ),
+    "BSD-3-Clause": (
+        "BSD 3-Clause License",
+        "The BSD 3-Clause License",
+        "The 3-Clause BSD License",
+        'BSD 3-Clause "New" or "Revised" License',
+        "New BSD License",
+        "The New BSD License",
+        "Modified BSD License",
+        "BSD License",
+        "The BSD License",
+        "BSD-3-Clause",
+    ),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "Zlib"),
+    "Unlicense": ("The Unlicense", "Unlicense", "The Unlicense (Unlicense)"),
+}
+MARKER = re.compile(r"(?m)^[ \t]*([1-9])\. ")
+# What a text's numbered items may begin with instead.
+MARKERS = ("{n}. ", "* ", "{letter}. ", "{roman}. ")
+# Passages that some copies have in other words.
+WORDINGS = (
+    ("permission notice shall", "permission notice (including the next paragraph) shall"),
+    ("modify, and/or distribute", "modify, and distribute"),
+    ("http://", "https://"),
+    ("https://", "http://"),
+)
+# Appendices after this line are often left out.
+END = "END OF TERMS AND CONDITIONS"
+SPDX = (
+    "0BSD AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0"
+    " CC-BY-4.0 CC-BY-NC-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0 GPL-2.0-only GPL-2.0-or-later"
+    " GPL-3.0 GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later"
+    " LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib"
+).split()
 NOTICES = {
     "Released under the MIT License.": "MIT",
     "Licensed under the MIT License.": "MIT",
@@ -80,7 +140,23 @@ NOTICES = {
     "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
     "Licensed under CC BY 4.0.": "CC-BY-4.0",
     "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
-}
+    # first lines, or those with the version, of the headers that licences recommend
+    'Licensed under the Apache License, Version 2.0 (the "License");': "Apache-2.0",
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not': "Apache-2.0",
+    "License, v. 2.0. If a copy of the MPL was not distributed with this": "MPL-2.0",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.":
+        "CC-BY-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International"
+    " License.": "CC-BY-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International"
+    " License.": "CC-BY-NC-4.0",
+    "Licensed under the ISC License.": "ISC",
+    "Licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
+    "Licensed under the GNU General Public License, version 2.": "GPL-2.0",
+    "Licensed under the BSD 2-Clause License.": "BSD-2-Clause",
+    "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+} | {f"SPDX-License-Identifier: {name}": name for name in SPDX}
 # Spellings made one after normalising; every notice holds HINT, whatever its spelling.
 SPELLINGS = {
     "licence": "license",
@@ -110,20 +186,47 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, texts: Mapping[str, str]) -> DataFrame:
-    """(digest, license): a row per known text, as many as the caller names."""
-    known = [
-        F.struct(F.lit(b).alias("body"), F.lit(n).alias("license")) for b, n in texts.items()
-    ]
-    none = F.array().cast("array<struct<body:string,license:string>>")
-    rows = spark.range(1).select(F.inline(F.array(*known) if known else none))
-    return (
-        rows.groupBy(digest(F.col("body")).alias("digest"))
-        .agg(F.min("license").alias("license"))
-    )
+    """(digest, license): a row per known text, as many as the caller names.
+
+    Digests are taken beforehand, so that plans hold them and not the texts.
+    """
+
+    def inlined(rows: Mapping[str, str], name: str) -> DataFrame:
+        known = [
+            F.struct(F.lit(b).alias(name), F.lit(n).alias("license")) for b, n in rows.items()
+        ]
+        none = F.array().cast(f"array<struct<{name}:string,license:string>>")
+        return spark.range(1).select(F.inline(F.array(*known) if known else none))
+
+    found: dict[str, str] = {}
+    for row in inlined(texts, "body").select(digest(F.col("body")), "license").collect():
+        found[row[0]] = min(row[1], found.get(row[0], row[1]))
+    return inlined(found, "digest")
+
+
+def guises(name: str, body: str) -> Iterator[str]:
+    """The forms in which a licence text usually comes."""
+    forms = [body, *(body.replace(a, b) for a, b in WORDINGS if a in body)]
+    forms += [f[: f.index(END)] + cut for f in forms if END in f for cut in ("", END)]
+    # in one line per paragraph no line begins with "copyright" by chance
+    forms.append(re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", body))
+    for form in forms:
+        for kind in MARKERS if MARKER.search(form) and name in TITLES else MARKERS[:1]:
+            marked = MARKER.sub(
+                lambda m: kind.format(n=m[1], letter=chr(96 + int(m[1])), roman="i" * int(m[1])),
+                form,
+            )
+            yield marked
+            for title in TITLES.get(name, ()):
+                yield f"{title}\n\n{marked}"
 
 
+@cache
 def known_texts() -> dict[str, str]:
-    return {body: name for name, body in TEXTS.items()} | NOTICES
+    """Every guise of the known texts, and the notices, to the licence."""
+    files = {f.stem: f.read_text("utf-8") for f in sorted(FOLDER.glob("*.txt"))}
+    out = {g: name for name, body in (TEXTS | files).items() for g in guises(name, body)}
+    return out | NOTICES
 
 
 def scan(docs: DataFrame, texts: Mapping[str, str] | None = None) -> DataFrame:
