@@ -374,6 +374,36 @@ def test_marked_parts_go_and_article_parts_stay(spark):
     assert got[2] == got[3] == ""
 
 
+def test_class_words_do_not_lose_articles(spark):
+    article = "<article><h1>Title</h1><p>The text of it all.</p></article>"
+    rest = "<nav>Menu</nav><div class='sidebar'>Other things to read</div>"
+    around = [
+        '<div class="content no-sidebar">%s</div>',
+        '<div id="page" class="has-sidebar">%s</div>',
+        '<section class="post social-science">%s</section>',
+        '<div class="share"><div class="search widget"><div>%s</div></div></div>',
+        '<ul><li class="notice">%s</ul>',
+        '<div class="entry comments-open">%s</div>',
+        '<div class="comments">%s</div>',  # there is nothing else
+    ]
+    pages = [(k, "http://x.example/", rest + a % article) for k, a in enumerate(around)]
+    plain = "<div class='widget'><p>The text of it all,</p><p>in full.</p></div><p>Bye</p>"
+    pages.append((20, "http://y.example/", rest + plain))
+    said = "<div id='comments'><article>First! And much more to say.</article></div>"
+    pages.append((21, "http://y.example/", f"<div>Short text</div>{said}"))
+    odd = """<article><p>One <span class="sponsored">buy <b>it</b></span>two<br>
+      <a class="share" href="x">Share</a></p><p class="advert">Buy<p>three <img class="ad">four
+      <ul><li class="comment"><p>First!</p><ul><li>Second!</li></ul></li><li>five</ul>
+      <h2 class="related">More</h2><p>six <span class="ad">torn<p>seven</p>
+      <a class="promo"><div>Win</div>now</a>eight</article>"""
+    pages.append((22, "http://z.example/", odd))
+    got = extracted(spark, pages)
+    assert [got[k] for k in range(len(around))] == ["Title\nThe text of it all."] * len(around)
+    assert got[20] == "The text of it all,\nin full.\nBye"
+    assert got[21] == "Short text"
+    assert got[22] == "One two\nthree four\nfive\nsix\nseven\neight"
+
+
 def test_torn_markup_and_no_pages(spark):
     torn = ["<p>a<", "<p>a</p", "<!-- a", "a &lt b &a", "<div class='x", "<p><b>a<i>b</p>c", "<"]
     got = extracted(spark, [(k, "http://x.example", t) for k, t in enumerate(torn)] * 2)
