@@ -273,6 +273,35 @@ def test_leaks_equal_all_pairs(spark, documents):
     )
 
 
+def test_recased_items_are_found_in_every_language(spark):
+    import unicodedata
+
+    benchmark = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    items = [tuple(r) for r in benchmark.collect() if not r.text.isascii()]
+    assert len(items) > 50
+    forms = [
+        str.upper,
+        str.title,
+        str.lower,
+        lambda t: unicodedata.normalize("NFD", t),
+        lambda t: "»" + t.replace(" ", "\u201c \u2014\u2026"),
+    ]
+    planted = {
+        (100_000 + 1000 * n + k, item, f"before it {form(text)} and after")
+        for n, form in enumerate(forms)
+        for k, (item, text) in enumerate(items)
+    }
+    rows = [(i, text) for i, _, text in planted]
+    # words are cut at marks alone: letters beyond ASCII stay whole
+    assert decontaminate.plain_words("„STRASSE“ – Straße, ÉTÉ\u00a0été\ud800") == [
+        w.encode() for w in "strasse strasse été été".split()
+    ]
+    docs = table(spark, rows)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert {(i, item) for i, item, _ in planted} <= found
+    assert decontaminate.drop_leaks(docs, benchmark).collect() == []
+
+
 def test_all_items_above_the_threshold_are_retrieved():
     rng = random.Random(2)
     words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)]

@@ -12,6 +12,7 @@ the answer (the last one) together.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -37,15 +38,23 @@ BLOCK = 4
 ITEMS_AT_ONCE = 20_000
 WORDS_AT_ONCE, CELLS = 400_000, 4_000_000
 SENTENCE = re.compile(r"(?<=[.?!])\s+(?=\S)|\n+(?=\s*\S)")
-# Upper case becomes lower case, and ASCII punctuation a blank.
+# In ASCII upper case becomes lower case, and what is no letter or digit a blank.
 PLAIN = bytes(
     ord(chr(b).lower()) if chr(b).isalnum() or b > 127 else 32 if b < 128 else b
     for b in range(128)
 ) + bytes(range(128, 256))
+# Beyond ASCII, what is no letter or digit.
+OTHER = re.compile(r"[^\x00-\x7f\w]+")
 
 
 def plain_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(PLAIN).split()
+    """Runs of letters and digits, in compatible forms made one and without case."""
+    text = text or ""
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text).casefold()
+        # folding may leave forms that can be composed
+        text = OTHER.sub(" ", unicodedata.normalize("NFKC", text))
+    return text.encode("utf-8").translate(PLAIN).split()
 
 
 class Index:
