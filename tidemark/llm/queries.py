@@ -5,15 +5,18 @@ from __future__ import annotations
 import os
 
 from tidemark.llm import (
+    alignment,
     decontaminate,
     kneser_ney,
     langid,
     licenses,
     main_text,
     ngram_join,
+    periodic_runs,
     pieces,
     quality,
     token_files,
+    toxicity,
     warc,
 )
 
@@ -72,6 +75,21 @@ def op10_benchmark_leaks(spark, sf_dir):
     return decontaminate.leaks(docs, items)
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    files = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    return alignment.alignment_report(docs, *files)
+
+
+def op13_toxicity(spark, sf_dir):
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.toxicity(docs, labels)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +103,9 @@ QUERIES = {
         op8_language_mixture,
         op9_token_files,
         op10_benchmark_leaks,
+        op11_periodic_runs,
+        op12_token_alignment,
+        op13_toxicity,
     )
 }
 
