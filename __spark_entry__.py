@@ -6,9 +6,9 @@ a fresh folder below the one the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
+import warnings
 from collections.abc import Callable
 from functools import reduce
 
@@ -274,6 +274,43 @@ def sync_incremental(spark, sf_dir):
     return tm.current(spark, root, "orders")
 
 
+def _versions(spark, sf_dir) -> list[DataFrame]:
+    """Orders in three drops: the old half; the new one, with an update of every fifth
+    old order; a second update of every tenth. An update moves the cursor."""
+    old, new = _halves(spark, sf_dir)
+
+    def updated(every: int, days: int, status: str) -> DataFrame:
+        later = F.col("o_orderdate") + F.make_dt_interval(F.lit(days))
+        rows = old.filter(F.col("o_orderkey") % every == 0)
+        return rows.withColumns({"o_orderdate": later, "o_orderstatus": F.lit(status)})
+
+    return [old, new.unionByName(updated(5, 4000, "U")), updated(10, 8000, "V")]
+
+
+def sync_upsert(spark, sf_dir):
+    """Of an order that was updated, the last version is present, and only that."""
+    root, inbox = tm.scratch_dir(spark, "synced"), tm.scratch_dir(spark, "source")
+    src = tm.LakeSource(inbox, ("sales",), suffix="")
+    plan = tm.StreamPlan("orders", "incremental", "o_orderdate", key=("o_orderkey",))
+    for rows in _versions(spark, sf_dir):
+        rows.write.mode("append").parquet(src.path("sales", "orders"))
+        tm.sync(spark, src, root, [plan])
+    return tm.current(spark, root, "orders")
+
+
+def sync_widened(spark, sf_dir):
+    """An increment with one more column, and a wider type, than the full sync had."""
+    root = tm.scratch_dir(spark, "synced")
+    old, _ = _halves(spark, sf_dir)
+    first = old.drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    plan = tm.StreamPlan("orders", "incremental", "o_orderdate")
+    for rows in (first, _table(spark, sf_dir, "orders")):
+        src = tm.LakeSource(tm.scratch_dir(spark, "source"), ("sales",), suffix="")
+        rows.write.parquet(src.path("sales", "orders"))
+        tm.sync(spark, src, root, [plan])
+    return tm.current(spark, root, "orders")
+
+
 def _raw_events(spark, sf_dir) -> str:
     raw = tm.scratch_dir(spark, "raw")
     events = _table(spark, sf_dir, "events")
@@ -458,6 +495,8 @@ _QUERIES = (
     sync_many,
     sync_new_column,
     sync_incremental,
+    sync_upsert,
+    sync_widened,
     land_raw_folders,
     land_raw_again,
     preview_head,
@@ -481,19 +520,17 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _llm() -> tuple[dict, dict]:
-    """Queries and SQL of the optional subpackage, if it is there."""
-    found, sql = {}, {}
-    if importlib.util.find_spec("tidemark.llm"):
-        from tidemark.llm import queries as llm
-
-        found, sql = dict(llm.QUERIES), dict(llm.SQL)
-    if importlib.util.find_spec("corpus_pipeline"):
+    """Queries and SQL of the optional subpackage, if it and all it needs are there."""
+    try:
         import corpus_pipeline
-
-        found["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return found, sql
+        from tidemark.llm import queries as llm
+    except ImportError as error:
+        warnings.warn(f"without the queries of tidemark.llm: {error}", stacklevel=2)
+        return {}, {}
+    sql = dict(llm.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -588,6 +625,17 @@ def core_sql() -> dict[str, str]:
         "sync_new_column": "SELECT * REPLACE (CASE WHEN o_orderdate >"
         f" TIMESTAMP '{CUT}' THEN o_orderpriority END AS o_orderpriority) FROM orders",
         "sync_incremental": orders,
+        "sync_upsert": "WITH v AS (FROM orders UNION ALL "
+        + " UNION ALL ".join(
+            f"SELECT * REPLACE (o_orderdate + INTERVAL {days} DAY AS o_orderdate,"
+            f" '{status}' AS o_orderstatus) FROM orders WHERE o_orderdate <= TIMESTAMP '{CUT}'"
+            f" AND o_orderkey % {every} = 0"
+            for every, days, status in ((5, 4000, "U"), (10, 8000, "V"))
+        )
+        + ") SELECT * FROM v QUALIFY row_number()"
+        " OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1",
+        "sync_widened": "SELECT * REPLACE (CASE WHEN o_orderdate >"
+        f" TIMESTAMP '{CUT}' THEN o_orderpriority END AS o_orderpriority) FROM orders",
         "land_raw_folders": "SELECT *, CASE WHEN hour(ts) < 12 THEN 'morning'"
         " ELSE 'evening' END AS dataset FROM events",
         "land_raw_again": "SELECT *, 'orders' AS dataset FROM orders",

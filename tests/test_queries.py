@@ -1,6 +1,7 @@
 """Every registered query against its SQL, as whole multisets of rows."""
 
 import os
+import sys
 from collections import Counter
 
 import duckdb
@@ -51,6 +52,17 @@ def test_every_query_has_its_sql():
     assert SQL.keys() <= entry_point.oracle_sql().keys()
 
 
+@pytest.mark.parametrize("hidden", ["tidemark.llm", "corpus_pipeline"])
+def test_the_rest_stands_without_the_optional_queries(monkeypatch, hidden):
+    for name in [m for m in sys.modules if m.startswith(hidden) or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, hidden, None)
+    with pytest.warns(UserWarning, match="tidemark.llm"):
+        assert entry_point.queries().keys() == QUERIES.keys()
+    with pytest.warns(UserWarning, match="tidemark.llm"):
+        assert entry_point.oracle_sql().keys() == SQL.keys()
+
+
 def test_entry(spark):
     (row,) = entry_point.entry(spark).collect()
     assert (row.stream, row.n_rows, row.n_cols) == ("orders", 1500, 6)

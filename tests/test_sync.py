@@ -462,3 +462,144 @@ def test_decimals_are_landed_as_they_are(spark, root):
     tm.land(df, root, "t")
     assert tm.current(spark, root, "t").dtypes == [("amount", "decimal(18,4)")]
     assert tm.current(spark, root, "t").first().amount == Decimal("12345678901234.5678")
+
+
+# --- last versions ---------------------------------------------------------------
+
+
+VERSIONS = st.lists(
+    st.lists(
+        st.tuples(
+            st.sampled_from([1, 2, 3, None]), st.sampled_from(["a", None]), st.integers(1, 2)
+        ),
+        max_size=6,
+    ),
+    min_size=2,
+    max_size=4,
+)
+
+
+def plain_versions(drops):
+    """Present rows: those of the first drop that no later one replaces, and per key the
+    last of the others. Rows are (k, l, cursor, text); a NULL in the key names nothing."""
+    first, *rest = drops
+    added = [(row, n) for n, rows in enumerate(rest) for row in rows]
+    named = {}
+    for row, n in added:
+        if None not in row[:2]:
+            best = named.get(row[:2])
+            if best is None or (row[2], n) > best[0]:
+                named[row[:2]] = ((row[2], n), row)
+    kept = [r for r in first if r[:2] not in named]
+    return kept + [r for _, r in named.values()] + [r for r, _ in added if None in r[:2]]
+
+
+@settings(max_examples=6, deadline=None)
+@given(steps=VERSIONS)
+def test_the_last_version_of_a_key_is_present(spark, tmp_path_factory, steps):
+    folder = f"file:{tmp_path_factory.mktemp('keyed')}"
+    src = tm.LakeSource(f"{folder}/source", ("sales",), suffix="")
+    plan = tm.StreamPlan("t", "incremental", "c", key=("k", "l"))
+    top, drops = 0, []
+    for n, step in enumerate(steps):
+        # cursors are distinct, so that versions have an order
+        rows = [(k, name, top + i * 2 + up, f"{n}") for i, (k, name, up) in enumerate(step)]
+        top = max([top, *(r[2] for r in rows)]) + 1
+        frame = spark.createDataFrame(rows, "k int, l string, c bigint, s string").coalesce(1)
+        frame.write.mode("append").parquet(src.path("sales", "t"))
+        tm.sync(spark, src, f"{folder}/lake", [plan])
+        # a sync that finds nothing is no drop
+        if rows or not drops:
+            drops.append(rows)
+        found = tm.current(spark, f"{folder}/lake", "t").collect()
+        assert Counter(map(tuple, found)) == Counter(plain_versions(drops))
+
+
+def test_updates_reconcile_with_their_source(spark, root, orders, tmp_path):
+    """The verdict of a source whose rows change in place."""
+    plan = tm.StreamPlan("orders", "incremental", "o_orderdate", key=["o_orderkey"])
+    moved = F.col("o_orderkey") % 7 == 0
+    later = F.col("o_orderdate") + F.expr("interval 9000 days")
+    changed = orders.withColumn("o_orderdate", F.when(moved, later).otherwise(F.col("o_orderdate")))
+    for n, rows in enumerate((orders, changed)):
+        src = tm.LakeSource(f"file:{tmp_path}/source{n}", ("sales",), suffix="")
+        rows.write.parquet(src.path("sales", "orders"))
+        tm.sync(spark, src, root, [plan])
+    assert equal(changed, tm.current(spark, root, "orders"))
+    assert "sync_ms" in tm.current(spark, root, "orders", with_sync_ms=True).columns
+    tm.compact(spark, root, "orders", files=2)
+    assert equal(changed, tm.current(spark, root, "orders"))
+    assert tm.sync(spark, src, root, [plan]).first().n_rows == 0
+    other = tm.StreamPlan("orders", "incremental", "o_orderdate", key=["o_custkey"])
+    with pytest.raises(tm.SyncFailed, match="by key"):
+        tm.sync(spark, src, root, [other])
+
+
+def test_a_key_with_a_third_of_all_versions(spark, root):
+    """They are merged before they are shuffled: no task gets them all."""
+    n = 9000
+    full = spark.range(n).selectExpr("id AS k", "0L AS c", "'old' AS s")
+    tm.land(full, root, "t", cursor="c", hwm="0", key=["k"])
+    added = spark.range(n, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 5, id + 100) AS k", "id + 1 AS c", "cast(id AS string) AS s"
+    )
+    tm.land(added, root, "t", mode="incremental", cursor="c", hwm=str(n))
+    present = tm.current(spark, root, "t")
+    assert present.filter("k = 5").collect() == [(5, n - 2, str(n - 3))]
+    assert present.groupBy("k").count().filter("count > 1").isEmpty()
+    assert present.count() == present.select("k").distinct().count()
+    with pytest.raises(ValueError, match="no key columns"):
+        tm.land(full, root, "t", key=["nope"])
+    with pytest.raises(ValueError, match="list of column names"):
+        tm.StreamPlan("t", "incremental", "c", key="k")
+
+
+# --- wider schemas -------------------------------------------------------------------
+
+
+def test_an_increment_may_widen_the_schema(spark, root):
+    steps = [
+        ("id int, c int, d decimal(4,2)", [(1, 1, Decimal("1.50")), (2, 1, None)]),
+        ("c bigint, id int, `new col` string, d decimal(6,2)", [(5_000_000_000, 3, "x", None)]),
+        ("c bigint, id int, `new col` string, d decimal(8,4)", [(6_000_000_000, 4, None, None)]),
+    ]
+    for n, (schema, rows) in enumerate(steps):
+        df = spark.createDataFrame(rows, schema)
+        tm.land(df, root, "t", mode="incremental" if n else "full", cursor="c")
+    present = tm.current(spark, root, "t")
+    kinds = dict(present.dtypes)
+    assert kinds == {"id": "int", "c": "bigint", "new col": "string", "d": "decimal(8,4)"}
+    rows = {r["id"]: r.asDict() for r in present.collect()}
+    assert rows[1] == {"id": 1, "c": 1, "new col": None, "d": Decimal("1.5000")}
+    assert rows[3]["new col"] == "x" and rows[4]["c"] == 6_000_000_000
+    assert tm.current(spark, root, "t", with_sync_ms=True).select("sync_ms").distinct().count() == 3
+    for narrow in ("id int, c int, d decimal(8,4), `new col` string", "id int, c bigint"):
+        df = spark.createDataFrame([], narrow)
+        with pytest.raises(tm.SchemaDrift, match="full sync"):
+            tm.land(df, root, "t", mode="incremental", cursor="c")
+    assert tm.compact(spark, root, "t").n_rows == 4
+
+
+@pytest.mark.parametrize(
+    "old,new,fits",
+    [
+        ("int", "bigint", True),
+        ("bigint", "int", False),
+        ("float", "double", True),
+        ("int", "double", True),
+        ("bigint", "double", False),
+        ("int", "decimal(10,0)", True),
+        ("bigint", "decimal(20,2)", False),
+        ("decimal(5,2)", "decimal(6,3)", True),
+        ("decimal(5,2)", "decimal(6,4)", False),
+        ("date", "timestamp_ntz", True),
+        ("string", "int", False),
+        ("array<int>", "array<bigint>", False),
+    ],
+)
+def test_which_types_hold_all_values_of_others(old, new, fits):
+    from pyspark.sql import types as T
+
+    from tidemark.functions.schemas import widens
+
+    assert widens(T.DataType.fromDDL(old), T.DataType.fromDDL(new)) is fits

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.cursors import column
+from tidemark.functions.hashes import row_hash
 from tidemark.operators.multiset import LEFT, RIGHT, copy_counts, same_columns
 
 
@@ -38,37 +38,6 @@ def reconcile(source: DataFrame, target: DataFrame, digest: bool = False) -> Dat
     )
 
 
-def _hashed(value: Column, kind: T.DataType, seed: int) -> Column:
-    """A hash that is never NULL and tells apart what is nested: hashing a nested value
-    itself runs over its parts without their bounds and skips those that are NULL."""
-    unset, start = value.isNull(), F.lit(seed)
-    if isinstance(kind, T.ArrayType):
-        inner = F.transform(value, lambda x: _hashed(x, kind.elementType, seed))
-        return F.xxhash64(start, unset, F.size(value), inner)
-    if isinstance(kind, T.MapType):
-        entries = F.transform(
-            F.map_entries(value),
-            lambda x: F.xxhash64(
-                start,
-                _hashed(x["key"], kind.keyType, seed),
-                _hashed(x["value"], kind.valueType, seed),
-            ),
-        )
-        return F.xxhash64(start, unset, F.size(value), F.array_sort(entries))
-    if isinstance(kind, T.StructType):
-        # an outer NULL makes every field NULL, so its own flag tells the two apart
-        fields = [_hashed(value.getField(f.name), f.dataType, seed) for f in kind.fields]
-        return F.xxhash64(start, unset, *fields)
-    return F.xxhash64(start, unset, value)
-
-
 def _digests(df: DataFrame) -> DataFrame:
     """Two hashes per row, of the hashes of its columns."""
-    return df.select(
-        *(
-            F.xxhash64(
-                F.lit(n), *(_hashed(column(f.name), f.dataType, n) for f in df.schema)
-            ).alias(f"hash{n}")
-            for n in (1, 2)
-        )
-    )
+    return df.select(*(row_hash(df, n).alias(f"hash{n}") for n in (1, 2)))

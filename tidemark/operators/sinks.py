@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import SchemaDrift
 from tidemark.functions.cursors import column
-from tidemark.functions.schemas import differences, nullable
+from tidemark.functions.schemas import differences, narrowings, nullable
 from tidemark.operators import synclog
 from tidemark.operators.snapshots import current
 from tidemark.operators.synclog import FULL, INCREMENTAL, Commit
@@ -30,6 +31,7 @@ def land(
     hwm: str | None = None,
     max_records_per_file: int = 0,
     last=_LOOK_UP,
+    key: Sequence[str] | None = None,
 ) -> Commit:
     """Write a snapshot of a stream as SNAPPY Parquet and commit it.
 
@@ -39,6 +41,11 @@ def land(
     of the old state are not disturbed. Row counts come from the landed files,
     without a cursor from their footers alone, never from the source again.
 
+    An increment may bring new columns, and types that hold all values of the old ones;
+    a column that is missing or narrower fails by name. With ``key``, columns that name
+    a row, an added row stands for all earlier ones of its key, see ``current``; a
+    stream's increments keep the key it has.
+
     One task writes one file per partition of ``df``; ``max_records_per_file``
     cuts the file of an oversized one.
     """
@@ -51,9 +58,17 @@ def land(
         if last is None:
             raise ValueError(f"{stream!r} has no full sync to add to")
         before = T.StructType.fromJson(json.loads(last["schema_json"]))
-        unlike = differences(before, df.schema)
-        if unlike:
-            raise SchemaDrift(f"{stream!r} changed: {'; '.join(unlike)}; do a full sync")
+        if narrowings(before, df.schema):
+            unlike = "; ".join(differences(before, df.schema))
+            raise SchemaDrift(f"{stream!r} changed: {unlike}; do a full sync")
+        had = json.loads(last["key_json"] or "null")
+        if key is not None and had is not None and list(key) != had:
+            raise ValueError(f"{stream!r} was synced by key {had}; do a full sync")
+        key = had if key is None else key
+    if key is not None:
+        absent = [name for name in key if name not in df.columns]
+        if absent or not key:
+            raise ValueError(f"{stream!r} has no key columns {absent or list(key)}")
     sync_ms = synclog.next_sync_ms(last, sync_ms)
     path = synclog.snapshot_path(root, stream, sync_ms)
     df.write.mode("errorifexists").option("compression", "snappy").option(
@@ -76,6 +91,7 @@ def land(
         n_rows,
         nullable(df.schema).json(),
         full_ms=sync_ms if mode == FULL else last["full_ms"],
+        key_json=None if key is None else json.dumps(list(key)),
     )
     synclog.append(spark, root, commit)
     return commit

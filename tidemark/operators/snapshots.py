@@ -8,15 +8,19 @@ per sync, less than the file listing any scan keeps there.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import NoData, SchemaDrift
+from tidemark.functions.cursors import column
 from tidemark.functions.frames import empty_frame
+from tidemark.functions.hashes import row_hash
 from tidemark.functions.keys import sync_epoch, utc_time
-from tidemark.functions.schemas import differences
+from tidemark.functions.schemas import as_schema, narrowings
 from tidemark.operators import synclog
 from tidemark.sources.lake import list_objects, read_lake
 
@@ -44,36 +48,99 @@ def _read(
     return reader.parquet(*(synclog.snapshot_path(root, stream, s) for s in sync_ids))
 
 
-def _agreed_schema(stream: str, schemas: list[tuple[int, str]]) -> T.StructType:
-    """The schema all syncs share; the first that differs is named."""
-    first_ms, text = schemas[0]
-    first = T.StructType.fromJson(json.loads(text))
-    for sync_ms, other in schemas[1:]:
-        unlike = differences(first, T.StructType.fromJson(json.loads(other)))
-        if unlike:
+def _widest(stream: str, schemas: list[tuple[int, T.StructType]]) -> T.StructType:
+    """The schema that holds the rows of all syncs, from the first to the last; a sync
+    that would narrow it is named."""
+    first_ms, widest = schemas[0]
+    for sync_ms, schema in schemas[1:]:
+        unlike = narrowings(widest, schema)
+        if unlike and narrowings(schema, widest):
             raise SchemaDrift(
                 f"{stream!r}: sync {first_ms} against {sync_ms}: {'; '.join(unlike)}"
             )
-    return first
+        if not unlike:
+            widest = schema
+    return widest
 
 
 def current(
     spark: SparkSession, root: str, stream: str, with_sync_ms: bool = False
 ) -> DataFrame:
-    """The stream's present rows: its last full sync and what was added since."""
+    """The stream's present rows: its last full sync and what was added since.
+
+    A snapshot with fewer columns or narrower types than later ones is read by its own
+    schema and widened. Where the stream has a key, an added row stands for all earlier
+    rows of its key, see ``_last_versions``; without one, an updated row is there twice.
+    """
     filled = F.when(F.col("n_rows") > 0, F.col("sync_ms"))
     rows = (  # one per distinct schema
         synclog.live(spark, root, stream)
         .groupBy("schema_json")
-        .agg(F.min("sync_ms").alias("first_ms"), F.collect_list(filled).alias("filled"))
+        .agg(
+            F.min("sync_ms").alias("first_ms"),
+            F.collect_list(filled).alias("filled"),
+            F.min("full_ms").alias("full_ms"),
+            F.max_by(F.struct("key_json", "cursor"), "sync_ms").alias("last"),
+            F.max("sync_ms").alias("last_ms"),
+        )
         .orderBy("first_ms")
         .collect()
     )
     if not rows:
         raise NoData(f"no committed sync of {stream!r} under {root}")
-    schema = _agreed_schema(stream, [(r["first_ms"], r["schema_json"]) for r in rows])
-    sync_ids = sorted(ms for r in rows for ms in r["filled"])
-    return _read(spark, root, stream, sync_ids, schema, with_sync_ms)
+    schemas = [T.StructType.fromJson(json.loads(r["schema_json"])) for r in rows]
+    firsts = [r["first_ms"] for r in rows]
+    widest = _widest(stream, list(zip(firsts, schemas, strict=True)))
+    last = max(rows, key=lambda r: r["last_ms"])["last"]
+    full_ms = rows[0]["full_ms"]
+
+    def read(wanted: Callable[[int], bool], with_ms: bool) -> DataFrame:
+        to = T.StructType([*widest.fields, T.StructField("sync_ms", T.LongType())])
+        parts = []
+        for row, schema in zip(rows, schemas, strict=True):
+            ids = sorted(filter(wanted, row["filled"]))
+            if ids:
+                part = _read(spark, root, stream, ids, schema, with_ms)
+                same = schema.fields == widest.fields
+                parts.append(part if same else as_schema(part, to if with_ms else widest))
+        return reduce(DataFrame.unionByName, parts) if parts else empty_frame(
+            spark, to if with_ms else widest
+        )
+
+    if not last["key_json"]:
+        return read(lambda ms: True, with_sync_ms)
+    found = _last_versions(
+        read(lambda ms: ms == full_ms, True),
+        read(lambda ms: ms != full_ms, True),
+        json.loads(last["key_json"]),
+        last["cursor"],
+    )
+    return found if with_sync_ms else found.select(*(column(c) for c in widest.names))
+
+
+def _last_versions(
+    full: DataFrame, added: DataFrame, key: list[str], cursor: str | None
+) -> DataFrame:
+    """Rows of a full sync that no added row stands for, and of each key's added rows the
+    one with the greatest cursor, of equal ones that of the latest sync.
+
+    Rows with a NULL in their key name nothing: they stand for themselves alone. Two rows
+    of one sync with the same key and cursor are versions nobody can order; the one with
+    the greater hash stays, at every read the same. Only the added rows are grouped, a
+    partial result per key first, so a key with very many versions is no burden; of the
+    full sync's rows, Spark compares the keys with those added, which it broadcasts where
+    they are few.
+    """
+    names = [column(k) for k in key]
+    keyed = reduce(lambda a, b: a & b, (c.isNotNull() for c in names))
+    row = F.struct(*(column(c) for c in added.columns))
+    order = [column(cursor)] if cursor else []
+    order = F.struct(*order, column("sync_ms"), row_hash(added))
+    newest = added.filter(keyed).groupBy(*names).agg(F.max_by(row, order).alias("__row"))
+    newest = newest.select("__row.*")
+    added_keys = added.filter(keyed).select(*names).distinct()
+    kept = full.join(added_keys, key, "left_anti").select(*(column(c) for c in full.columns))
+    return kept.unionByName(newest).unionByName(added.filter(~keyed))
 
 
 def latest_snapshot(spark: SparkSession, root: str, stream: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
@@ -13,9 +14,16 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import is_remote
 
 from tidemark.config import JdbcSource, Source
-from tidemark.errors import CursorRefused, SyncFailed, UnknownStream, first_line
+from tidemark.errors import (
+    CursorRefused,
+    SchemaDrift,
+    SyncFailed,
+    UnknownStream,
+    first_line,
+)
 from tidemark.functions.cursors import column, cursor_type, from_text, upto
 from tidemark.functions.frames import small_frame
+from tidemark.functions.schemas import as_schema, narrowings
 from tidemark.operators import synclog
 from tidemark.operators.sinks import land
 from tidemark.operators.snapshots import current
@@ -45,6 +53,8 @@ class StreamPlan:
 
     ``incremental`` falls back to a full sync while the stream has none.
     ``inclusive`` also picks up late rows at the last seen cursor value.
+    ``key``, columns that name a row, makes an increment's row take the place of earlier
+    ones: an update that moves the cursor is then there once. Deletes are not seen.
     ``target`` is the stream's name in the lake, if it should differ. A database
     read is one task unless ``partition`` or ``split_by``, an integer or decimal
     column with nearly unique values cut for ``tasks`` readers, shares it out. Every
@@ -62,12 +72,15 @@ class StreamPlan:
     max_records_per_file: int = 0
     split_by: str | None = None
     tasks: int = 64
+    key: Sequence[str] | None = None
 
     def __post_init__(self):
         if self.mode not in (FULL, INCREMENTAL):
             raise ValueError(f"mode must be {FULL!r} or {INCREMENTAL!r}")
         if self.mode == INCREMENTAL and not self.cursor:
             raise ValueError(f"an incremental sync of {self.stream!r} needs a cursor")
+        if isinstance(self.key, str) or (self.key is not None and not self.key):
+            raise ValueError(f"key must be a list of column names, not {self.key!r}")
         if self.tasks < 1:
             raise ValueError(f"tasks must be positive, not {self.tasks}")
 
@@ -136,6 +149,9 @@ def sync_stream(
             f"{plan.name!r} was synced by {last['cursor']!r}, not {plan.cursor!r};"
             " do a full sync"
         )
+    had = json.loads(last["key_json"] or "null") if adds else None
+    if had is not None and plan.key is not None and list(plan.key) != had:
+        raise ValueError(f"{plan.name!r} was synced by key {had}; do a full sync")
     partition = _partition(spark, src, root, plan, last, adds)
     df = read_stream(spark, src, plan.stream, partition, plan.schema)
     mark = since = last["hwm"] if adds else None
@@ -156,13 +172,21 @@ def sync_stream(
             if not inclusive:
                 return idle(plan.name, last)
             mark = since
+        landed = None
+        if inclusive:  # the rows of a narrower schema, as this one has them
+            landed = current(spark, root, plan.name)
+            unlike = narrowings(landed.schema, df.schema)
+            if unlike:
+                changed = "; ".join(unlike)
+                raise SchemaDrift(f"{plan.name!r} changed: {changed}; do a full sync")
+            landed = as_schema(landed, df.schema)
         df = newer_rows(
             df,
             plan.cursor,
             None if since is None else from_text(since, dtype),
             from_text(mark, dtype),
             inclusive,
-            current(spark, root, plan.name) if inclusive else None,
+            landed,
         )
     return land(
         df,
@@ -174,6 +198,7 @@ def sync_stream(
         mark,
         plan.max_records_per_file,
         last,
+        plan.key,
     )
 
 
@@ -189,8 +214,9 @@ def compact(
     rows = current(spark, root, stream)
     if files:
         rows = rows.coalesce(files)
+    key = json.loads(last["key_json"] or "null")
     return land(
-        rows, root, stream, cursor=last["cursor"], hwm=last["hwm"], last=last
+        rows, root, stream, cursor=last["cursor"], hwm=last["hwm"], last=last, key=key
     )
 
 
@@ -205,6 +231,7 @@ def idle(stream: str, last) -> Commit:
         0,
         last["schema_json"],
         full_ms=last["full_ms"],
+        key_json=last["key_json"],
     )
 
 

@@ -41,6 +41,7 @@ LOG = T.StructType(
         T.StructField("schema_json", T.StringType()),
         T.StructField("error", T.StringType()),
         T.StructField("full_ms", T.LongType()),
+        T.StructField("key_json", T.StringType()),
     ]
 )
 
@@ -58,6 +59,7 @@ class Commit:
     schema_json: str | None = None
     error: str | None = None
     full_ms: int | None = None  # the full sync it adds to, or is
+    key_json: str | None = None  # names of the columns of which the last version wins
 
 
 def snapshot_path(root: str, stream: str, sync_ms: int) -> str:
