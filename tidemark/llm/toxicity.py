@@ -108,9 +108,9 @@ FEATURES = (
 STEMS, STEM_TEXTS, STEM_ODDS, STEMS_KEPT = range(3, 9), 5, 3.0, 20_000
 # Distinct beginnings a worker counts before it passes them on.
 STEMS_COUNTED = 1_000_000
-# Labelled rows that trees and calibration see at most, as a rule: beyond that number a
-# part of that size is chosen by a hash of the doc_id.
-TRAINING_ROWS = 2_000_000
+# Labelled documents that teach the lexicon, and those that trees and calibration see, at
+# most: of more, so many are chosen by a hash of the doc_id.
+TEACHING_ROWS, TRAINING_ROWS = 20_000, 2_000_000
 TREES = {"maxIter": 20, "maxDepth": 3, "stepSize": 0.3, "maxBins": 32, "seed": 7}
 # Margins are rounded for the calibration, so that it sees a bounded number of them.
 MARGIN_DIGITS = 3
@@ -307,6 +307,15 @@ def learned_lexicon(labelled: DataFrame, text: str = "text") -> dict[str, int]:
     return {r["stem"]: r["odds"] for r in found.collect()}
 
 
+def bounded(rows: DataFrame, most: int) -> DataFrame:
+    """All rows, or of more than ``most`` about so many, chosen by a hash of the doc_id."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    draw = F.pmod(F.xxhash64(F.lit("bounded"), F.col("doc_id")), F.lit(1 << 30))
+    return rows.filter(draw < int((1 << 30) * most / n))
+
+
 # A worker's words, by the lexicon they were looked up in.
 _HELD: dict[str, Words] = {}
 
@@ -351,13 +360,12 @@ class ToxicityModel:
             array_to_vector("features").alias("features"),
             F.col("label").cast("double").alias("label"),
             fold.alias("calibrates"),
-            F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("draw"),
+            "doc_id",
         )
         n, mean = rows.agg(F.count("label"), F.avg("label")).first()
         if not n or mean in (0.0, 1.0):
             return cls(constant=mean or 0.0)
-        if n > training_rows:
-            kept = kept.filter(F.col("draw") < int((1 << 30) * training_rows / n))
+        kept = bounded(kept, training_rows)
         grown = kept.filter(~F.col("calibrates"))
         if grown.select("label").distinct().count() < 2:
             return cls(constant=mean)
@@ -396,24 +404,32 @@ def _margins(trees, rows: DataFrame) -> DataFrame:
     return found.drop("rawPrediction", "probability", "prediction")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    teaching_rows: int = TEACHING_ROWS,
+    training_rows: int = TRAINING_ROWS,
+) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): ``doc_id``, ``held_out``, ``score`` and
     ``predicted`` (1 from a score of 0.5 on), learned from ``labels`` (doc_id, toxic) of
     rows outside the held-out fifth.
 
     NULL and empty texts have features of 0 and the score of such. Rows with a NULL toxic
     teach nothing; where label rows of one doc_id disagree, it counts as toxic. Repeated
-    documents teach and are scored row by row. Without labels all score 0; with labels of
+    documents teach and are scored row by row. At most about ``teaching_rows`` labels
+    teach the lexicon and ``training_rows`` the trees. Without labels all score 0; with labels of
     one kind, all get that kind's.
     """
     rest = crc_rest("doc_id", 5)
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
-    teaching = docs.select("doc_id", "text").filter(rest.isin(2, 3))
-    learned = learned_lexicon(teaching.join(known, "doc_id"))
+    # teaching_rows bounds what is broadcast: a doc_id and a label each
+    teachers = F.broadcast(bounded(known.filter(rest.isin(2, 3)), teaching_rows))
+    learned = learned_lexicon(docs.select("doc_id", "text").join(teachers, "doc_id"))
     rows = stash(features(docs, learned), "toxicity-features")
     training = rows.filter(rest.isin(1, 4)).join(known, "doc_id")
-    model = ToxicityModel.learn(stash(training, "toxicity-training"), rest == 1)
+    training = stash(training, "toxicity-training")
+    model = ToxicityModel.learn(training, rest == 1, training_rows)
     return model.score(rows).select(
         "doc_id",
         (rest == 0).alias("held_out"),
