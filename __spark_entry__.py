@@ -461,6 +461,18 @@ def reconcile_digest_nested(spark, sf_dir):
     return tm.reconcile(rows, altered, digest=True)
 
 
+def reconcile_ranges(spark, sf_dir):
+    """The very rows by which a landed copy of lineitem departs: some are lost, some
+    altered, some there twice."""
+    root = tm.scratch_dir(spark, "ranges")
+    lineitem = _table(spark, sf_dir, "lineitem")
+    order = F.col("l_orderkey")
+    more = F.when(order % 100 == 3, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    copy = lineitem.filter(order % 100 != 7).withColumn("l_quantity", more)
+    tm.land(copy.unionAll(lineitem.filter(order % 100 == 5)), root, "lineitem")
+    return tm.reconcile_ranges(lineitem, tm.current(spark, root, "lineitem"), "l_orderkey")
+
+
 def cursor_profile(spark, sf_dir):
     return tm.cursor_profile(_table(spark, sf_dir, "orders"), "o_totalprice")
 
@@ -511,6 +523,7 @@ _QUERIES = (
     reconcile,
     reconcile_digest,
     reconcile_digest_nested,
+    reconcile_ranges,
     cursor_profile,
 )
 
@@ -680,6 +693,13 @@ def core_sql() -> dict[str, str]:
         "reconcile_digest_nested": "SELECT count(*) AS n_source, count(*) AS n_target,"
         " count(*) FILTER (vec_id % 10 < 2) AS missing,"
         " count(*) FILTER (vec_id % 10 < 2) AS extra FROM embeddings",
+        "reconcile_ranges": "WITH copy AS (SELECT * REPLACE (CASE WHEN l_orderkey % 100 = 3"
+        " THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM lineitem"
+        " WHERE l_orderkey % 100 <> 7 UNION ALL FROM lineitem WHERE l_orderkey % 100 = 5)"
+        " SELECT *, count(*) AS missing, CAST(0 AS BIGINT) AS extra"
+        " FROM (FROM lineitem EXCEPT ALL FROM copy) GROUP BY ALL"
+        " UNION ALL SELECT *, CAST(0 AS BIGINT), count(*)"
+        " FROM (FROM copy EXCEPT ALL FROM lineitem) GROUP BY ALL",
         "cursor_profile": "SELECT count(*) AS n_rows,"
         " count(*) - count(o_totalprice) AS n_unset,"
         " count(DISTINCT o_totalprice) AS n_distinct,"

@@ -1,14 +1,20 @@
 """Differences of row multisets against brute force."""
 
+import sys
 from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+import tidemark as tm
+import tidemark.operators.reconcile  # noqa: F401
 from tidemark import SchemaDrift, reconcile
 from tidemark.operators.multiset import subtract_all
 
+reconciling = sys.modules["tidemark.operators.reconcile"]
+
 ROWS = st.lists(
     st.tuples(st.sampled_from([1, 2, None]), st.sampled_from(["x", "", None])),
     max_size=25,
@@ -130,3 +136,71 @@ def test_digests_agree_with_rows(spark, left, right):
     schema = "a array<int>, s struct<x:int,y:array<int>>"
     frames = [spark.createDataFrame(rows, schema) for rows in (left, right)]
     assert reconcile(*frames, digest=True).collect() == reconcile(*frames).collect()
+
+
+# --- by ranges ------------------------------------------------------------------------
+
+KEYED = st.lists(
+    st.tuples(st.sampled_from([None, -7, 0, 1, 5, 900]), st.sampled_from(["x", None])),
+    max_size=20,
+)
+
+
+@settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    left=KEYED,
+    right=KEYED,
+    kind=st.sampled_from(["int", "double", "string", "decimal(9,2)", "date", "timestamp_ntz"]),
+    at_once=st.sampled_from([0, 10**6]),
+)
+def test_ranges_against_counters(spark, left, right, kind, at_once):
+    def side(rows):
+        df = spark.createDataFrame(rows, "k int, `s t` string").coalesce(1)
+        if kind in ("date", "timestamp_ntz"):
+            return df.withColumn("k", F.date_add(F.lit("2020-01-01"), F.col("k")).cast(kind))
+        value = F.col("k").cast(kind)
+        if kind == "double":
+            value = F.when(F.col("k") == 900, F.lit(float("nan"))).otherwise(value)
+        return df.withColumn("k", value)
+
+    a, b = Counter(left), Counter(right)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(reconciling, "ROWS_AT_ONCE", at_once)
+        found = tm.reconcile_ranges(side(left), side(right).select("`s t`", "k"), "k", 4).collect()
+    assert sum(r["missing"] for r in found) == (a - b).total()
+    assert sum(r["extra"] for r in found) == (b - a).total()
+    assert Counter((r["s t"], r["missing"], r["extra"]) for r in found) == Counter(
+        (row[1], (a - b)[row], (b - a)[row]) for row in (a - b) + (b - a)
+    )
+
+
+def test_only_unlike_ranges_are_compared(spark, tmp_path):
+    folder = f"file:{tmp_path}"
+    rows = spark.range(100_000).selectExpr("id AS k", "cast(id % 7 AS string) AS s")
+    rows.write.parquet(f"{folder}/a")
+    rows.filter("k != 41").unionAll(rows.filter("k = 99000")).write.parquet(f"{folder}/b")
+    a, b = (spark.read.parquet(f"{folder}/{x}") for x in "ab")
+    assert tm.reconcile_ranges(a, a, "k").rdd.getNumPartitions() <= 1
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(reconciling, "ROWS_AT_ONCE", 10)
+        found = tm.reconcile_ranges(a, b, "k", 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan
+    assert sorted(map(tuple, found.collect())) == [(41, "6", 1, 0), (99_000, "6", 0, 1)]
+    with pytest.raises(SchemaDrift, match="missing"):
+        both = a.withColumn("missing", F.lit(1))
+        tm.reconcile_ranges(both, both, "k")
+
+
+def test_ranges_of_a_hot_and_wide_key(spark):
+    """A third of the rows share a key; others lie 10**17 apart."""
+    df = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 7L, id * 100000000000000) AS k", "id % 5 AS v"
+    )
+    other = df.withColumn("v", F.expr("if(k = 7 AND v = 1, 2L, v)"))
+    found = {tuple(r) for r in tm.reconcile_ranges(df, other, "k").collect()}
+    assert found == {(7, 1, 200, 0), (7, 2, 0, 200)}

@@ -23,7 +23,7 @@ from tidemark.operators.profile import (
     stream_shapes,
 )
 from tidemark.operators.raw import land_raw
-from tidemark.operators.reconcile import reconcile
+from tidemark.operators.reconcile import reconcile, reconcile_ranges
 from tidemark.operators.sinks import (
     land,
     read_csv,
@@ -101,6 +101,7 @@ __all__ = [
     "read_streams",
     "read_table",
     "reconcile",
+    "reconcile_ranges",
     "require_cursor",
     "rowid_split",
     "scratch_dir",
