@@ -1,14 +1,17 @@
 """Listings, catalogs, raw folders, sync files and caches."""
 
 import glob
+import os
 import re
 import shutil
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import tidemark as tm
-from tidemark.operators import synclog
+from tidemark.operators import ledger, synclog
 from tidemark.session import shared_dir
 from tidemark.sources.lake import glob_escape
 
@@ -354,3 +357,98 @@ def test_profile_plans(orders):
     assert "ReadSchema: struct<o_totalprice:double>" in plan(
         tm.cursor_profile(orders, "o_totalprice")
     )
+
+
+# --- which raw files have landed ------------------------------------------------------
+
+
+def _log_of(spark, out, name):
+    return tm.read_log(spark, out, name).filter("mode != 'failed'").count()
+
+
+def test_empty_and_replaced_raw_files(spark, tmp_path, orders):
+    raw, out = f"file:{tmp_path}/raw", f"file:{tmp_path}/out"
+
+    def put(name, rows):
+        pq.write_table(rows.toArrow(), f"{tmp_path}/raw/set/{name}.parquet")
+
+    def run():
+        tm.land_raw(spark, raw, out, mode="incremental")
+        return tm.current(spark, out, "set").drop("source_file")
+
+    def equal(rows, wanted):
+        found = tm.reconcile(rows, wanted).first()
+        return (found.missing, found.extra) == (0, 0)
+
+    (tmp_path / "raw/set").mkdir(parents=True)
+    first, second = orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1")
+    put("a", first)
+    put("none", orders.limit(0))
+    for _ in range(4):
+        assert equal(run(), first)
+    assert _log_of(spark, out, "set") == 1
+    put("nothing", orders.limit(0))  # alone, it is no reason for a commit
+    for _ in range(2):
+        assert equal(run(), first)
+    assert _log_of(spark, out, "set") == 1
+    put("b", second)
+    for _ in range(2):
+        assert equal(run(), orders)
+    assert _log_of(spark, out, "set") == 2
+    noted = ledger.taken(spark, out, "set").collect()
+    assert {r.object_name: r.n_rows for r in noted} == {
+        "set/a.parquet": first.count(),
+        "set/b.parquet": second.count(),
+        "set/none.parquet": 0,
+        "set/nothing.parquet": 0,
+    }
+    size = {r.object_name: r.length for r in noted}["set/a.parquet"]
+    assert size == (tmp_path / "raw/set/a.parquet").stat().st_size
+    tm.compact(spark, out, "set")
+    assert equal(run(), orders) and _log_of(spark, out, "set") == 3
+    put("b", second.limit(3))
+    with pytest.warns(UserWarning, match="set/b.parquet"):
+        assert equal(run(), first.unionAll(second.limit(3)))
+    assert equal(run(), first.unionAll(second.limit(3)))
+    assert _log_of(spark, out, "set") == 4
+    # the same bytes at another time are a replacement too
+    os.utime(tmp_path / "raw/set/a.parquet", (1, 1))
+    with pytest.warns(UserWarning, match="set/a.parquet"):
+        run()
+
+
+def test_raw_streams_without_a_ledger(spark, tmp_path, orders):
+    """As earlier versions landed them."""
+    raw, out = f"file:{tmp_path}/raw", f"file:{tmp_path}/out"
+    orders.coalesce(1).write.parquet(f"{raw}/set")
+    landed = tm.read_lake(spark, f"{raw}/set").withColumn(
+        "source_file", F.concat(F.lit("set/"), F.col("_metadata.file_name"))
+    )
+    tm.land(landed, out, "set")
+    assert ledger.taken(spark, out, "set") is None
+    tm.land_raw(spark, raw, out, mode="incremental")
+    assert _log_of(spark, out, "set") == 1
+    orders.limit(2).coalesce(1).write.mode("append").parquet(f"{raw}/set")
+    tm.land_raw(spark, raw, out, mode="incremental")
+    assert tm.current(spark, out, "set").count() == orders.count() + 2
+
+
+def test_a_run_that_died_before_its_log_row_counts_for_nothing(spark, tmp_path, orders, monkeypatch):
+    raw, out = f"file:{tmp_path}/raw", f"file:{tmp_path}/out"
+    orders.limit(4).coalesce(1).write.parquet(f"{raw}/set")
+    tm.land_raw(spark, raw, out, mode="incremental")
+    orders.limit(2).coalesce(1).write.mode("append").parquet(f"{raw}/set")
+    with monkeypatch.context() as patch:
+        append = synclog.append
+
+        def dies(session, root, commit):
+            if commit.mode != "failed":
+                raise RuntimeError("lost")
+            append(session, root, commit)
+
+        patch.setattr(synclog, "append", dies)
+        with pytest.raises(tm.SyncFailed, match="lost"):
+            tm.land_raw(spark, raw, out, mode="incremental")
+    assert tm.current(spark, out, "set").count() == 4
+    tm.land_raw(spark, raw, out, mode="incremental")
+    assert tm.current(spark, out, "set").count() == 6

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ def land(
     max_records_per_file: int = 0,
     last=_LOOK_UP,
     key: Sequence[str] | None = None,
+    before_commit: Callable[[Commit], None] | None = None,
 ) -> Commit:
     """Write a snapshot of a stream as SNAPPY Parquet and commit it.
 
@@ -47,7 +48,8 @@ def land(
     stream's increments keep the key it has.
 
     One task writes one file per partition of ``df``; ``max_records_per_file``
-    cuts the file of an oversized one.
+    cuts the file of an oversized one. ``before_commit`` is called between the data and
+    the log row: what it writes is there once the commit is.
     """
     spark = df.sparkSession
     if mode not in (FULL, INCREMENTAL):
@@ -93,6 +95,8 @@ def land(
         full_ms=sync_ms if mode == FULL else last["full_ms"],
         key_json=None if key is None else json.dumps(list(key)),
     )
+    if before_commit is not None:
+        before_commit(commit)
     synclog.append(spark, root, commit)
     return commit
 

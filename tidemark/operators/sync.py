@@ -24,7 +24,7 @@ from tidemark.errors import (
 from tidemark.functions.cursors import column, cursor_type, from_text, upto
 from tidemark.functions.frames import small_frame
 from tidemark.functions.schemas import as_schema, narrowings
-from tidemark.operators import synclog
+from tidemark.operators import ledger, synclog
 from tidemark.operators.sinks import land
 from tidemark.operators.snapshots import current
 from tidemark.operators.synclog import FAILED, FULL, INCREMENTAL, LOG, Commit
@@ -215,8 +215,21 @@ def compact(
     if files:
         rows = rows.coalesce(files)
     key = json.loads(last["key_json"] or "null")
+    objects = ledger.taken(spark, root, stream)
+
+    def keep(commit: Commit) -> None:
+        if objects is not None:
+            ledger.record(objects, root, stream, commit.full_ms, commit.sync_ms)
+
     return land(
-        rows, root, stream, cursor=last["cursor"], hwm=last["hwm"], last=last, key=key
+        rows,
+        root,
+        stream,
+        cursor=last["cursor"],
+        hwm=last["hwm"],
+        last=last,
+        key=key,
+        before_commit=keep,
     )
 
 
