@@ -20,11 +20,12 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import columns, opened, prepare, put, scratch_dir, stash, uri
+from tidemark.session import MOST_READERS
 
 MAGIC = b"TOKS8B01"
 BLOCK = 1024
@@ -274,21 +275,28 @@ class _Words(dict):
 class Encoder:
     """The tokenizers library's model, asked once per distinct piece of a text.
 
-    The vocabulary's rule starts a new piece at every single blank between two words, so
-    the ids of a text are those of its words in turn; words and pieces are remembered.
+    A text that holds one of the vocabulary's added tokens, such as its end mark, is left
+    to the library as a whole, which gives such a token its own id. In others the rule
+    starts a new piece at every single blank between two words, so the ids of a text are
+    those of its words in turn; words and pieces are remembered.
     Texts with blanks beside other white space are cut by the rule itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.pieces = _Pieces(Tokenizer.from_file(path).model)
+        self.library = Tokenizer.from_file(path)
+        self.pieces = _Pieces(self.library.model)
         self.words = _Words(self.pieces)
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         if not text:
             return b""
+        if any(token in text for token in self.added):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         for held, most in ((self.words, WORDS_KEPT), (self.pieces, PIECES_KEPT)):
             if len(held) > most:
                 held.clear()
@@ -313,8 +321,8 @@ def encoder(path: str) -> Encoder:
 def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
     """Encode ``docs`` (doc_id long, text) and write the files below ``root``.
 
-    Texts are range-partitioned by doc_id and sorted; each task encodes its own and
-    closes a file whenever it holds IDS_PER_FILE ids. Rows without a doc_id come first;
+    Texts are range-partitioned by doc_id, over MOST_READERS tasks at most, and sorted;
+    each task encodes its own and closes a file whenever it holds IDS_PER_FILE ids. Rows without a doc_id come first;
     rows that share one keep all their tokens, ordered by text. A file has its name only
     when it is complete, and the returned manifest (part, number, file, n_nulls, n_docs,
     n_ids), one row per file, names just the files of the attempts that succeeded.
@@ -323,7 +331,7 @@ def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // TEXT_PER_TASK))
+    n = min(MOST_READERS, max(1, -(-size // TEXT_PER_TASK)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -368,18 +376,19 @@ def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
 def read(manifest: DataFrame, root: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids (little-endian 32-bit).
 
-    A file's place among all ids is the sum of the files before it; that sum runs over
-    the manifest, which has a row per file.
+    A file's place among all ids is the sum of the parts before its own, of which there
+    are MOST_READERS at most, and of the files before it in its part.
     """
     spark = manifest.sparkSession
     prepare(spark)
-    rows = manifest.select("part", "number", "file", "n_nulls", "n_ids").orderBy("part", "number")
-    at, placed = 0, []
-    for row in rows.toLocalIterator():
-        placed.append((row.file, row.n_nulls, at))
-        at += row.n_ids
-    schema = "file string, n_nulls long, first long"
-    files = spark.createDataFrame(placed, schema).repartition(max(1, len(placed)))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    parts = parts.select("part", F.sum("n").over(before).alias("before"))
+    inside = Window.partitionBy("part").orderBy("number")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce("before", F.lit(0)) + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))
+    files = manifest.join(parts, "part").select("file", "n_nulls", first.alias("first"))
+    files = files.repartition(min(MOST_READERS, max(1, manifest.count())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
