@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from tidemark.operators import ledger, synclog
+from tidemark.sources import lake
 from tidemark.session import shared_dir
 from tidemark.sources.lake import glob_escape
 
@@ -63,12 +64,57 @@ def test_missing_and_empty_roots_differ(spark, tmp_path):
         tm.list_objects(spark, ".")
 
 
-def test_listing_reads_no_content_and_prunes(spark):
-    found = tm.list_objects(spark, LAKE.root, "sf0.001/pa")
-    plan = found._jdf.queryExecution().executedPlan()
-    assert "ReadSchema: struct<>" in plan.toString()
-    assert len(found.inputFiles()) == 2
-    assert names(found) == ["sf0.001/pages.parquet", "sf0.001/part.parquet"]
+def test_listing_reads_no_content_and_prunes(spark, tmp_path):
+    for name in ("pa/x.bin", "pa/deep/y.bin", "other/z.bin", "path.bin"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"1234")
+        os.utime(tmp_path / name, ns=(0, 1_700_000_000_123_456_789))
+    found = tm.list_objects(spark, f"file:{tmp_path}", "pa")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and not any(str(tmp_path) in f for f in found.inputFiles())
+    assert names(found) == ["pa/deep/y.bin", "pa/x.bin", "path.bin"]
+    assert [r.t for r in found.selectExpr("unix_millis(modified_at) t").distinct().collect()] == [
+        1_700_000_000_123
+    ]
+    listed = [f for f in found.inputFiles()]
+    seen = spark.read.parquet(*{f.rpartition("/")[0] for f in listed}).select("path").collect()
+    assert not any("/other/" in r.path for r in seen)
+
+
+@pytest.mark.parametrize("glob", ["o*.p?rquet", "{one,two}.parquet", "[a-o]ne.*", "[!x]ne.p*t"])
+def test_globs(spark, tree, glob):
+    want = ["deep/er/one.parquet"]
+    assert names(tm.list_objects(spark, f"file:{tree}", glob=glob)) == want
+    indexed = lake._indexed(spark, f"file:{tree}", "", glob.replace("!", "^"))
+    assert names(indexed) == want
+
+
+def test_both_ways_to_list_agree(spark, tree, monkeypatch):
+    (tree / "deep" / "nothing é.parquet").write_bytes(b"")
+    (tree / ".hidden").mkdir()
+    (tree / ".hidden" / "x").write_bytes(b"1")
+    (tree / "_k=1").mkdir()
+    (tree / "_k=1" / "y").write_bytes(b"1")
+    for prefix in ("", "a b/", "de", "deep/n", "zzz", "none/of/it"):
+        own = tm.list_objects(spark, f"file:{tree}", prefix).collect()
+        with monkeypatch.context() as patch:
+            patch.setattr(lake, "opener", lambda *_: None)
+            other = tm.list_objects(spark, f"file:{tree}", prefix).collect()
+        assert {(r.object_name, r.length) for r in own} == {(r.object_name, r.length) for r in other}
+        times = {r.object_name: r.modified_at for r in own}
+        assert all(times[r.object_name] == r.modified_at for r in other if r.length)
+
+
+def test_many_folders(spark, tmp_path):
+    """More folders than one task lists, three levels deep."""
+    for k in range(60):
+        folder = tmp_path / f"a{k % 3}" / f"b{k}"
+        folder.mkdir(parents=True)
+        (folder / f"{k}.bin").write_bytes(b"x" * k)
+    found = tm.list_objects(spark, f"file:{tmp_path}").collect()
+    assert {(r.object_name, r.length) for r in found} == {
+        (f"a{k % 3}/b{k}/{k}.bin", k) for k in range(60)
+    }
 
 
 def test_empty_objects_are_listed(spark, tree):

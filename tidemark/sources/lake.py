@@ -15,6 +15,7 @@ from tidemark.errors import NoData, SchemaDrift, condition, first_line
 from tidemark.functions.frames import empty_frame, small_frame
 from tidemark.functions.keys import decoded, has_extension, uri
 from tidemark.functions.schemas import differences
+from tidemark.sources.listing import listed, opener
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 
@@ -54,6 +55,38 @@ def object_name(root: str) -> Column:
     return F.substr(path, F.lit(len(_root_path(root)) + 2))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
+def _mask(glob: str) -> str:
+    """A glob of file names as a regular expression."""
+    out, depth, k = "", 0, 0
+    while k < len(glob):
+        c = glob[k]
+        if c == "\\" and k + 1 < len(glob):
+            k += 1
+            out += re.escape(glob[k])
+        elif c == "[":
+            end = glob.find("]", k + 2)
+            if end < 0:
+                raise ValueError(f"an open bracket in {glob!r}")
+            inside = glob[k + 1 : end].replace("\\", "\\\\")
+            out += "[" + ("^" + inside[1:] if inside[0] in "^!" else inside) + "]"
+            k = end
+        elif c == "{":
+            depth, out = depth + 1, out + "(?:"
+        elif c == "}" and depth:
+            depth, out = depth - 1, out + ")"
+        elif c == "," and depth:
+            out += "|"
+        else:
+            out += {"*": ".*", "?": "."}.get(c) or re.escape(c)
+        k += 1
+    return f"^(?:{out})$"
+
+
 def list_objects(
     spark: SparkSession,
     root: str,
@@ -61,19 +94,44 @@ def list_objects(
     glob: str | None = None,
     extensions: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Every object under ``root`` whose name starts with ``prefix``, empty ones too
-    (without a time).
+    """Every object under ``root`` whose name starts with ``prefix``, empty ones too.
 
     Names are relative to the root. The prefix picks what is listed: its folder, and in
-    it only names that go on from it. ``glob`` and ``extensions`` drop files from the
-    listing, so dropped files are not touched, and no content is read. A prefix that
-    matches nothing gives no rows; a missing root fails. Objects named with a leading
-    ``_`` or ``.`` are markers and not listed.
+    it only names that go on from it. ``glob`` fits file names. Tasks list the folders,
+    a level at a time, when this is called; no content is read and no list of names comes
+    to the driver. A prefix that matches nothing gives no rows; a missing root fails.
+    Objects named with a leading ``_`` or ``.`` are markers and not listed.
+
+    On file systems that tasks cannot open by themselves Spark's own listing is asked,
+    whose names the driver holds.
     """
     extensions = tuple(extensions) if extensions is not None else None
-    if glob is None and extensions:
-        masks = ["*" + glob_escape(e) for e in extensions]
-        glob = masks[0] if len(masks) == 1 else "{" + ",".join(masks) + "}"
+    start = _root_path(root)
+    if not exists(spark, root):
+        raise NoData(f"nothing at {root}")
+    how = opener(spark, root)
+    if how is None:
+        objects = _indexed(spark, root, prefix, glob)
+    else:
+        if how["scheme"] == "s3":  # the bucket is the first part of a path there
+            start = re.sub(r"^[^:]*://", "", root).strip("/")
+        folder, _, first = prefix.rpartition("/")
+        folder = f"{start}/{folder}".rstrip("/")
+        found = listed(spark, how, folder or "/", first)
+        name = F.substr("path", F.lit(len(start) + 2))
+        objects = found.select(name.alias("object_name"), "length", "modified_at")
+        if glob:
+            last = F.substring_index("object_name", "/", -1)
+            objects = objects.filter(last.rlike(_mask(glob)))
+    if prefix:
+        objects = objects.filter(F.col("object_name").startswith(prefix))
+    if extensions is not None:
+        objects = objects.filter(has_extension("object_name", extensions))
+    return objects
+
+
+def _indexed(spark: SparkSession, root: str, prefix: str, glob: str | None) -> DataFrame:
+    """The objects as a scan of them would find them; empty ones have no time."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -87,26 +145,19 @@ def list_objects(
     except AnalysisException as error:
         if condition(error) != "PATH_NOT_FOUND":
             raise
-        if not prefix or not child_names(spark, root):
-            raise NoData(f"nothing at {root}") from error
         return empty_frame(spark, OBJECTS)
     # A scan has no task for an empty object; the listing behind it has its name.
     drop = len(_root_path(root)) + 1
     names = [(unquote(re.sub(_SCHEME, "", f))[drop:],) for f in found.inputFiles()]
-    listed = small_frame(spark, names, T.StructType([OBJECTS["object_name"]]))
+    known = small_frame(spark, names, T.StructType([OBJECTS["object_name"]]))
     scanned = found.select(
         object_name(root).alias("object_name"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
     )
-    objects = listed.join(scanned, "object_name", "left").select(
+    return known.join(scanned, "object_name", "left").select(
         "object_name", F.coalesce("length", F.lit(0).cast("bigint")).alias("length"), "modified_at"
     )
-    if prefix:
-        objects = objects.filter(F.col("object_name").startswith(prefix))
-    if extensions is not None:
-        objects = objects.filter(has_extension("object_name", extensions))
-    return objects
 
 
 def read_lake(
