@@ -4,15 +4,18 @@ import glob
 import os
 import re
 import shutil
+from datetime import date, datetime
+from decimal import Decimal
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import tidemark as tm
 from tidemark.operators import ledger, synclog
-from tidemark.sources import lake
+from tidemark.sources import catalog, lake
 from tidemark.session import shared_dir
 from tidemark.sources.lake import glob_escape
 
@@ -498,3 +501,74 @@ def test_a_run_that_died_before_its_log_row_counts_for_nothing(spark, tmp_path,
     assert tm.current(spark, out, "set").count() == 4
     tm.land_raw(spark, raw, out, mode="incremental")
     assert tm.current(spark, out, "set").count() == 6
+
+
+# --- catalogs from footers -------------------------------------------------------------
+
+
+def _described(spark, src, monkeypatch):
+    """By tasks, and as Spark's reader says."""
+    own = sorted(map(tuple, tm.discover(spark, src).collect()))
+    with monkeypatch.context() as patch:
+        patch.setattr(catalog, "opener", lambda *_: None)
+        other = sorted(map(tuple, tm.discover(spark, src).collect()))
+    assert own == other
+    return own
+
+
+def test_footers_tell_what_spark_reads(spark, tmp_path, monkeypatch):
+    (tmp_path / "lake/s/many").mkdir(parents=True)
+    stamp = pa.timestamp
+    table = pa.table(
+        {
+            "i8": pa.array([1], pa.int8()),
+            "u16": pa.array([1], pa.uint16()),
+            "u32": pa.array([1], pa.uint32()),
+            "u64": pa.array([1], pa.uint64()),
+            "f": pa.array([1.0], pa.float32()),
+            "dec": pa.array([Decimal("1.20")], pa.decimal128(9, 2)),
+            "day": pa.array([date(2020, 1, 1)]),
+            "ms": pa.array([datetime(2020, 1, 1)], stamp("ms")),
+            "us utc": pa.array([datetime(2020, 1, 1)], stamp("us", "UTC")),
+            "b": pa.array([b"x"]),
+            "list": pa.array([[1.5]], pa.list_(pa.float32())),
+            "deep": pa.array([{"a": 1, "b": ["x"]}]),
+            "ok": pa.array([True]),
+        }
+    )
+    pq.write_table(table, tmp_path / "lake/s/arrow.parquet")
+    pq.write_table(table, tmp_path / "lake/s/old.parquet", use_deprecated_int96_timestamps=True)
+    for k, more in enumerate(({"b": ["x"], "a": [1]}, {"z": [1.5], "b": ["y"]}, {"a": [2]})):
+        pq.write_table(pa.table(more), tmp_path / f"lake/s/many/{k}.parquet")
+    rows = spark.sql("SELECT 1 AS id, cast('a' AS varchar(3)) v, map('k', array(1L)) m")
+    rows.write.parquet(f"file:{tmp_path}/lake/s/spark")
+    rows.withColumn("dt", F.lit(7)).write.partitionBy("dt").parquet(f"file:{tmp_path}/lake/t/parted")
+    (tmp_path / "lake/s/spark/_marker").write_bytes(b"no Parquet")
+    src = tm.LakeSource(f"file:{tmp_path}/lake", suffix="")
+    found = _described(spark, src, monkeypatch)
+    assert [r[2:] for r in found if r[1] == "many"] == [
+        (1, "b", "string"), (2, "a", "bigint"), (3, "z", "double"),
+    ]
+    assert ("t", "parted", 4, "dt", "int") in found
+    assert _described(spark, LAKE, monkeypatch)
+
+
+def test_footers_that_disagree(spark, tmp_path):
+    folder = tmp_path / "lake/s/t"
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table({"id": [1], "x": ["a"]}), folder / "a.parquet")
+    pq.write_table(pa.table({"id": ["1"], "x": ["a"]}), folder / "b.parquet")
+    src = tm.LakeSource(f"file:{tmp_path}/lake", ("s",), suffix="")
+    with pytest.raises(tm.SchemaDrift, match="id: "):
+        tm.discover(spark, src)
+    (folder / "b.parquet").write_bytes(b"broken")
+    with pytest.raises(Exception, match="b.parquet"):
+        tm.discover(spark, src)
+
+
+def test_a_catalog_reads_no_stream_on_the_driver(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("read by Spark's reader")
+
+    monkeypatch.setattr(catalog, "read_lake", refuse)
+    assert tm.discover(spark, LAKE).select("stream").distinct().count() == 14

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +14,8 @@ from tidemark.config import LakeSource, Source
 from tidemark.errors import NoData, UnknownStream
 from tidemark.functions.frames import small_frame
 from tidemark.sources.jdbc import dictionary_query, read_table
-from tidemark.sources.lake import list_objects, read_lake
+from tidemark.sources.lake import file_system_path, list_objects, read_lake
+from tidemark.sources.listing import footers, opener
 
 CATALOG = T.StructType(
     [
@@ -25,6 +27,8 @@ CATALOG = T.StructType(
     ]
 )
 
+KEEP = "schema_name, stream, path, object_name"
+
 
 def _first_segments(objects: DataFrame) -> list[str]:
     """Folder or file names right below the listed root: one per stream or schema."""
@@ -35,30 +39,74 @@ def _first_segments(objects: DataFrame) -> list[str]:
 def _lake_catalog(
     spark: SparkSession, src: LakeSource, schemas: Sequence[str]
 ) -> DataFrame:
+    """Files are listed and their footers read by tasks; a row per column comes back."""
     schemas = schemas or sorted(_first_segments(list_objects(spark, src.root)))
-    streams = []
+    how = opener(spark, src.root)
+    parts = []
     for schema in schemas:
         try:
-            names = _first_segments(list_objects(spark, f"{src.root.rstrip('/')}/{schema}"))
+            found = list_objects(spark, f"{src.root.rstrip('/')}/{schema}")
         except NoData as error:
             raise UnknownStream(f"no schema {schema!r} under {src.root}") from error
-        streams += [
-            (schema, n.removesuffix(src.suffix)) for n in names if n.endswith(src.suffix)
-        ]
-
-    def columns(found: tuple[str, str]) -> list[tuple]:
-        fields = read_lake(spark, src.path(*found)).schema.fields
-        return [
-            (*found, i, f.name, f.dataType.simpleString())
-            for i, f in enumerate(fields, start=1)
-        ]
-
-    # One footer per stream; threads only overlap the waiting.
-    with ThreadPoolExecutor(8) as pool:
-        rows = [row for part in pool.map(columns, sorted(streams)) for row in part]
+        name = F.substring_index("object_name", "/", 1)
+        parts.append(
+            found.filter(name.endswith(src.suffix)).select(
+                F.lit(schema).alias("schema_name"),
+                F.substr(name, F.lit(1), F.length(name) - len(src.suffix)).alias("stream"),
+                F.lit(file_system_path(src.root, schema)).alias("root"),
+                "object_name",
+            )
+        )
+    files = reduce(DataFrame.unionAll, parts)
+    if how is None:
+        rows, asked = [], files.select("schema_name", "stream").distinct().collect()
+    else:
+        rows, asked = _columns(spark, how, files)
+    unsure = sorted((r["schema_name"], r["stream"]) for r in asked)
+    if unsure:
+        # of partitioned folders, and types a footer does not tell, Spark's reader decides
+        with ThreadPoolExecutor(8) as pool:
+            frames = pool.map(lambda s: read_lake(spark, src.path(*s)), unsure)
+            for stream, df in zip(unsure, frames, strict=True):
+                rows += [
+                    (*stream, i, f.name, f.dataType.simpleString())
+                    for i, f in enumerate(df.schema.fields, start=1)
+                ]
     return small_frame(spark, rows, CATALOG)
 
 
+def _columns(spark: SparkSession, how: dict[str, str], files: DataFrame):
+    """Catalog rows, and the streams that footers alone do not decide.
+
+    Columns come in the order of the first file, by name, that has them. Where files
+    disagree on a type, or one cannot be read, the stream is among the second: reading it
+    fails with the column's name.
+    """
+    stream = ["schema_name", "stream"]
+    path = F.concat_ws("/", "root", "object_name").alias("path")
+    found = footers(spark, how, files.select(*stream, path, "object_name"), KEEP)
+    parted = F.col("object_name").contains("=")
+    columns = found.groupBy(*stream, "column_name").agg(
+        F.min(F.struct("object_name", "position")).alias("place"),
+        F.min("dtype").alias("dtype"),
+        F.max("dtype").alias("other"),
+        F.bool_or(F.col("dtype").isNull() | F.col("problem").isNotNull() | parted).alias("odd"),
+    )
+    order = Window.partitionBy(*stream).orderBy("place")
+    whole = Window.partitionBy(*stream)
+    odd = F.bool_or(F.col("odd") | (F.col("dtype") != F.col("other"))).over(whole)
+    rows = columns.select(
+        *stream,
+        F.row_number().over(order).alias("ordinal"),
+        "column_name",
+        "dtype",
+        odd.alias("unsure"),
+    ).collect()
+    unsure = {(r["schema_name"], r["stream"]): r for r in rows if r["unsure"]}
+    known = [tuple(r)[:5] for r in rows if not r["unsure"] and r["column_name"] is not None]
+    return known, list(unsure.values())
+
+
 def discover(
     spark: SparkSession, src: Source, schemas: Sequence[str] | None = None
 ) -> DataFrame:

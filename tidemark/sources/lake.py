@@ -55,6 +55,14 @@ def object_name(root: str) -> Column:
     return F.substr(path, F.lit(len(_root_path(root)) + 2))
 
 
+def file_system_path(root: str, *parts: str) -> str:
+    """A path as tasks open it: on object stores the bucket is its first part."""
+    path = _root_path(root)
+    if root.partition(":")[0] in ("s3", "s3a"):
+        path = re.sub(r"^[^:]*://", "", root).strip("/")
+    return "/".join([path, *parts])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
@@ -106,15 +114,13 @@ def list_objects(
     whose names the driver holds.
     """
     extensions = tuple(extensions) if extensions is not None else None
-    start = _root_path(root)
+    start = file_system_path(root)
     if not exists(spark, root):
         raise NoData(f"nothing at {root}")
     how = opener(spark, root)
     if how is None:
         objects = _indexed(spark, root, prefix, glob)
     else:
-        if how["scheme"] == "s3":  # the bucket is the first part of a path there
-            start = re.sub(r"^[^:]*://", "", root).strip("/")
         folder, _, first = prefix.rpartition("/")
         folder = f"{start}/{folder}".rstrip("/")
         found = listed(spark, how, folder or "/", first)
