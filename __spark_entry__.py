@@ -102,6 +102,17 @@ def high_water_mark(spark, sf_dir):
     return tm.high_water_mark(_table(spark, sf_dir, "orders"), "o_orderdate")
 
 
+def high_water_mark_footers(spark, sf_dir):
+    """Marks of several streams without reading a column."""
+    marks = (("orders", "o_orderdate"), ("events", "ts"), ("lineitem", "l_orderkey"))
+    return _union(
+        tm.stream_mark(spark, _lake(sf_dir), stream, cursor).select(
+            F.lit(stream).alias("stream"), F.col("hwm").cast("string").alias("hwm"), "n_rows"
+        )
+        for stream, cursor in marks
+    )
+
+
 def _values(spark, sf_dir, streams) -> DataFrame:
     """Values per column of the streams, counted in their rows."""
     tables = tm.read_streams(spark, _lake(sf_dir), streams)
@@ -491,6 +502,7 @@ _QUERIES = (
     scan_incremental,
     scan_incremental_ties,
     high_water_mark,
+    high_water_mark_footers,
     discover_catalog,
     filter_schema,
     select_streams,
@@ -604,6 +616,13 @@ def core_sql() -> dict[str, str]:
         "scan_incremental_ties": f"{orders} WHERE o_orderdate > TIMESTAMP '{CUT}'"
         f" OR (o_orderdate = TIMESTAMP '{CUT}' AND o_orderstatus <> 'F')",
         "high_water_mark": "SELECT max(o_orderdate) AS hwm, count(*) AS n_rows FROM orders",
+        "high_water_mark_footers": " UNION ALL ".join(
+            f"SELECT '{stream}' AS stream, CAST(max({cursor}) AS VARCHAR) AS hwm,"
+            f" count(*) AS n_rows FROM {stream}"
+            for stream, cursor in (
+                ("orders", "o_orderdate"), ("events", "ts"), ("lineitem", "l_orderkey"),
+            )
+        ),
         "discover_catalog": f"SELECT table_name AS stream, {columns}, {_DTYPE} AS dtype,"
         f" n_values FROM {counted} WHERE {_names()}",
         "filter_schema": "SELECT table_name AS stream, count(*) AS n_columns,"

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from tidemark.operators import ledger, synclog
-from tidemark.sources import catalog, lake
+from tidemark.functions.cursors import from_text
+from tidemark.sources import catalog, lake, streams
 from tidemark.session import shared_dir
 from tidemark.sources.lake import glob_escape
 
@@ -572,3 +573,72 @@ def test_a_catalog_reads_no_stream_on_the_driver(spark, monkeypatch):
 
     monkeypatch.setattr(catalog, "read_lake", refuse)
     assert tm.discover(spark, LAKE).select("stream").distinct().count() == 14
+
+
+# --- marks from footers -----------------------------------------------------------------
+
+
+def test_marks_from_footers(spark, tmp_path):
+    folder = tmp_path / "lake/s/t x"
+    folder.mkdir(parents=True)
+    at = datetime(2024, 2, 29, 1, 2, 3, 456789)
+    columns = {
+        "i": (pa.int32(), [3, -1, None]),
+        "l": (pa.int64(), [None, 1 << 60, 5]),
+        "day": (pa.date32(), [date(1960, 1, 1), date(2020, 5, 5), None]),
+        "ntz": (pa.timestamp("us"), [at, None, datetime(1969, 12, 31, 23, 0, 0, 1)]),
+        "ms": (pa.timestamp("ms"), [datetime(2020, 1, 1, 0, 0, 0, 7000), None, None]),
+        "utc": (pa.timestamp("us", "UTC"), [at, None, None]),
+        "none": (pa.int64(), [None, None, None]),
+        "f": (pa.float64(), [1.5, float("nan"), None]),
+        "s": (pa.string(), ["b", "a", None]),
+    }
+    table = pa.table({n: pa.array(v, k) for n, (k, v) in columns.items()})
+    pq.write_table(table.slice(0, 2), folder / "a é.parquet", row_group_size=1)
+    pq.write_table(table.slice(2, 1), folder / "b.parquet")
+    pq.write_table(table.slice(0, 0), folder / "empty.parquet")
+    pq.write_table(table.select(["s"]), folder / "lacks.parquet")
+    src = tm.LakeSource(f"file:{tmp_path}/lake", ("s",), suffix="")
+    df = tm.read_stream(spark, src, "t x")
+    for name in columns:
+        want = tm.high_water_mark(df, name)
+        got = tm.stream_mark(spark, src, "t x", name)
+        assert got.dtypes == want.dtypes
+        assert str(got.collect()) == str(want.collect())  # NaN is not equal to itself
+        tells = streams._from_footers(spark, df, name, df.schema[name].dataType)
+        assert (tells is None) == (name in ("f", "s"))
+        if tells is not None:
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "parquet" not in plan.lower()
+            assert tells[1] == 6
+            told = tm.source_mark(spark, src, "t x", name)
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(streams, "_from_footers", lambda *_: None)
+                scanned = tm.source_mark(spark, src, "t x", name)
+            dtype = df.schema[name].dataType
+            if told is None:
+                assert scanned is None
+            else:
+                same = spark.range(1).select(from_text(told, dtype) == from_text(scanned, dtype))
+                assert same.first()[0]
+                assert tm.source_mark(spark, src, "t x", name, above=told) is None
+    pq.write_table(table, folder / "mute.parquet", write_statistics=False)
+    df = tm.read_stream(spark, src, "t x")
+    assert streams._from_footers(spark, df, "i", df.schema["i"].dataType) is None
+    assert tm.stream_mark(spark, src, "t x", "i").first().n_rows == 9
+
+
+def test_a_mark_is_that_of_the_files_read(spark, tmp_path, orders):
+    """A file that comes between the read and the mark does not move it."""
+    src = tm.LakeSource(f"file:{tmp_path}", ("s",), suffix="")
+    orders.filter("o_orderkey < 100").write.parquet(src.path("s", "t"))
+    df = tm.read_stream(spark, src, "t")
+    orders.write.mode("append").parquet(src.path("s", "t"))
+    assert int(tm.source_mark(spark, src, "t", "o_orderkey", df=df)) < 100
+
+
+def test_a_mark_of_partition_values(spark, tmp_path):
+    src = tm.LakeSource(f"file:{tmp_path}", ("s",), suffix="")
+    rows = spark.range(9).selectExpr("id", "id % 3 AS k")
+    rows.write.partitionBy("k").parquet(src.path("s", "t"))
+    assert tm.stream_mark(spark, src, "t", "k").first() == (2, 9)

@@ -7,14 +7,18 @@ import time
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import tidemark as tm
 from tidemark.plans import extract, land_folders, migrate, read_back
+from tidemark.streaming import pickup
 
 HARD = pd.DataFrame(
     {
@@ -165,12 +169,13 @@ def test_files_are_picked_up_once(spark, tmp_path, orders):
     assert run() == {"a+b %é.parquet": 25, "b.parquet": 5, "old.parquet": 7}
 
 
-def test_a_file_that_does_not_fit_fails_the_run(spark, tmp_path):
-    spark.sql("SELECT 'x' AS id").write.parquet(f"file:{tmp_path}/box")
+def test_a_file_that_does_not_fit_is_named(spark, tmp_path):
+    spark.sql("SELECT 'x' AS id").coalesce(1).write.parquet(f"file:{tmp_path}/box")
     schema = spark.range(1).schema
     places = [f"file:{tmp_path}/{name}" for name in ("box", "rows", "checkpoint")]
-    with pytest.raises(Exception, match="(?i)parquet"):
-        tm.pickup_new_files(spark, *places, schema)
+    assert tm.pickup_new_files(spark, *places, schema).count() == 0
+    (row,) = tm.refused_files(spark, places[1]).collect()
+    assert row.reason == "id: string against bigint" and "part-" in row.source_file
 
 
 # --- workflows ---------------------------------------------------------------
@@ -256,3 +261,87 @@ def test_land_folders(spark, tmp_path, orders):
     log = land_folders(spark, f"file:{tmp_path}/raw", f"file:{tmp_path}/lake", "raw/orders")
     assert {r.stream: r.n_rows for r in log.collect()} == {"jan": 9, "feb": 9}
     assert tm.current(spark, f"file:{tmp_path}/lake/raw/orders", "feb").count() == 9
+
+
+def _inbox(tmp_path):
+    places = [f"file:{tmp_path}/{n}" for n in ("in box", "rows", "checkpoint")]
+    (tmp_path / "in box").mkdir()
+
+    def put(name, columns):
+        path = tmp_path / "in box" / name
+        path.parent.mkdir(exist_ok=True)
+        if isinstance(columns, bytes):
+            path.write_bytes(columns)
+        else:
+            pq.write_table(pa.table(columns), path)
+
+    return places, put
+
+
+def test_unfit_files_are_set_aside(spark, tmp_path):
+    places, put = _inbox(tmp_path)
+    schema = T.StructType.fromDDL("id bigint, s string")
+    put("good.parquet", {"id": [1], "s": ["a"]})
+    put("more [x].parquet", {"id": [2], "s": ["b"], "extra": [True]})
+    put("deep/other.parquet", {"id": ["3"], "s": [4.5]})
+    put("broken.parquet", b"no Parquet file")
+    put("lacks.parquet", {"s": ["c"]})
+    put("narrow é.parquet", {"id": pa.array([5], pa.int32())})
+    for _ in range(2):
+        picked = tm.pickup_new_files(spark, *places, schema)
+        rows = sorted(picked.drop("source_file").collect(), key=str)
+        assert rows == sorted([(1, "a"), (None, "c"), (5, None)], key=str)
+        names = {r.source_file.rpartition("/")[2] for r in picked.collect()}
+        assert names == {"good.parquet", "lacks.parquet", "narrow é.parquet"}
+        refused = tm.refused_files(spark, places[1]).collect()
+        why = {r.source_file.rpartition("/")[2]: r.reason for r in refused}
+        assert why.pop("broken.parquet").startswith("Parquet")
+        assert why == {
+            "more [x].parquet": "extra: not wanted",
+            "other.parquet": "id: string against bigint; s: double against string",
+        }
+    put("late.parquet", {"id": [9], "s": ["z"]})
+    assert tm.pickup_new_files(spark, *places, schema).count() == 4
+    assert tm.refused_files(spark, places[1]).count() == 3
+
+
+def test_further_columns_are_kept_on_request(spark, tmp_path):
+    places, put = _inbox(tmp_path)
+    schema = T.StructType.fromDDL("id bigint")
+    put("a.parquet", {"id": [1]})
+    put("b.parquet", {"id": [2], "extra": ["x"]})
+    picked = tm.pickup_new_files(spark, *places, schema, extra="keep")
+    assert {tuple(r)[:2] for r in picked.collect()} == {(1, None), (2, "x")}
+    put("c.parquet", {"id": [3], "extra": [7]})
+    put("d.parquet", {"id": [4], "extra": ["y"], "new": [1.5]})
+    picked = tm.pickup_new_files(spark, *places, schema, extra="keep")
+    assert picked.columns == ["id", "extra", "new", "source_file"]
+    assert {tuple(r)[:3] for r in picked.collect()} == {
+        (1, None, None), (2, "x", None), (4, "y", 1.5),
+    }
+    (row,) = tm.refused_files(spark, places[1]).collect()
+    assert row.reason == "extra: bigint against string"
+    with pytest.raises(ValueError, match="refuse"):
+        tm.pickup_new_files(spark, *places, schema, extra="drop")
+
+
+def test_a_batch_run_again_replaces_what_it_wrote(spark, tmp_path):
+    places, put = _inbox(tmp_path)
+    schema = T.StructType.fromDDL("id bigint")
+    put("a.parquet", {"id": [1, 2]})
+    take = pickup._taker(places[0], places[1], schema, False)
+    batch = spark.createDataFrame([(f"{places[0]}/a.parquet",)], "path string")
+    for _ in range(2):
+        take(batch, 0)
+    rows = spark.read.option("recursiveFileLookup", True).parquet(places[1])
+    assert sorted(r.id for r in rows.collect()) == [1, 2]
+
+
+def test_an_empty_inbox(spark, tmp_path):
+    places, put = _inbox(tmp_path)
+    schema = T.StructType.fromDDL("id bigint")
+    assert tm.pickup_new_files(spark, *places, schema).collect() == []
+    assert tm.refused_files(spark, places[1]).collect() == []
+    put("broken.parquet", b"x")
+    assert tm.pickup_new_files(spark, *places, schema).columns == ["id", "source_file"]
+    assert tm.refused_files(spark, places[1]).count() == 1

@@ -57,8 +57,9 @@ from tidemark.sources.streams import (
     read_stream,
     read_streams,
     source_mark,
+    stream_mark,
 )
-from tidemark.streaming.pickup import pickup_new_files
+from tidemark.streaming.pickup import pickup_new_files, refused_files
 
 __all__ = [
     "CursorRefused",
@@ -102,6 +103,7 @@ __all__ = [
     "read_table",
     "reconcile",
     "reconcile_ranges",
+    "refused_files",
     "require_cursor",
     "rowid_split",
     "scratch_dir",
@@ -109,6 +111,7 @@ __all__ = [
     "snapshot_history",
     "source_mark",
     "store_conf",
+    "stream_mark",
     "stream_shape",
     "stream_shapes",
     "sync",

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import JdbcSource, Source
 from tidemark.errors import NoData, UnknownStream
@@ -20,9 +23,11 @@ from tidemark.functions.cursors import (
     upto,
     within,
 )
+from tidemark.functions.frames import small_frame
 from tidemark.operators.multiset import subtract_all
 from tidemark.sources import jdbc
-from tidemark.sources.lake import read_lake
+from tidemark.sources.lake import file_system_path, read_lake
+from tidemark.sources.listing import footers, opener
 
 
 def owner(src: Source, schema: str | None) -> str:
@@ -73,6 +78,64 @@ def high_water_mark(df: DataFrame, cursor: str) -> DataFrame:
     )
 
 
+def stream_mark(
+    spark: SparkSession, src: Source, stream: str, cursor: str, schema: str | None = None
+) -> DataFrame:
+    """``high_water_mark`` of a stream, from the footers of its files where they tell:
+    of whole numbers, dates and times. No column is read then."""
+    df = read_stream(spark, src, stream, schema=schema)
+    dtype = cursor_type(df, cursor)
+    told = None if isinstance(src, JdbcSource) else _from_footers(spark, df, cursor, dtype)
+    if told is None:
+        return high_water_mark(df, cursor)
+    mark, n_rows = told
+    value = F.lit(None).cast(dtype) if mark is None else from_text(mark, dtype)
+    return spark.range(0, 1, 1, 1).select(
+        value.alias("hwm"), F.lit(n_rows).cast("bigint").alias("n_rows")
+    )
+
+
+def _from_footers(
+    spark: SparkSession, df: DataFrame, cursor: str, dtype: T.DataType
+) -> tuple[str | None, int] | None:
+    """The cursor's maximum, as log text, and the rows, of the very files ``df`` reads;
+    None where footers do not tell.
+
+    Tasks read the footers. Text and decimals may be cut off there, and NaN is left out,
+    so only whole numbers, dates and times count; and only if each row group tells.
+    """
+    if not isinstance(dtype, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return None
+    names = df.inputFiles()
+    how = opener(spark, names[0]) if names else None
+    if how is None:
+        return None
+    paths = [(file_system_path(unquote(name)),) for name in names]
+    files = small_frame(spark, paths, T.StructType([T.StructField("path", T.StringType())]))
+    most = F.expr(
+        "CASE unit WHEN 'ms' THEN 1000 * most WHEN 'ns' THEN floor(most / 1000) ELSE most END"
+    )
+    mine = F.col("column_name") == cursor
+    found = (
+        footers(spark, how, files, column=cursor)
+        .agg(
+            F.max(F.when(mine, most)).alias("most"),
+            F.count_if(mine).alias("n_files"),
+            F.count_if(F.col("problem").isNotNull() | (mine & ~F.col("complete"))).alias("n_mute"),
+            F.sum(F.when(F.coalesce("position", F.lit(0)) == 0, F.col("n_rows"))).alias("n_rows"),
+        )
+        .first()
+    )
+    if found["n_mute"] or not found["n_files"]:
+        return None
+    value = found["most"]
+    if value is None or isinstance(dtype, (T.IntegralType, T.TimestampType)):
+        return None if value is None else str(value), found["n_rows"]
+    if isinstance(dtype, T.DateType):
+        return str(date(1970, 1, 1) + timedelta(days=value)), found["n_rows"]
+    return str(datetime(1970, 1, 1) + timedelta(microseconds=value)), found["n_rows"]
+
+
 def source_mark(
     spark: SparkSession,
     src: Source,
@@ -85,8 +148,8 @@ def source_mark(
     """The cursor's maximum now, as log text; None when there is no such value.
 
     With ``above`` only a greater value counts. A database computes the maximum
-    itself; on a lake ``above`` limits the scan to row groups that can hold one.
-    ``df`` is the stream where the caller has read it already.
+    itself. On a lake the footers tell it, where they can; else ``above`` limits the scan
+    to row groups that can hold one. ``df`` is the stream where the caller has read it already.
     """
     if df is None:
         df = read_stream(spark, src, stream, schema=schema)
@@ -98,6 +161,12 @@ def source_mark(
         found = found.select(F.col("mark").cast(dtype))
         if above is not None:
             found = found.filter(beyond(F.col("mark"), from_text(above, dtype), dtype))
+    elif (told := _from_footers(spark, df, cursor, dtype)) is not None:
+        if told[0] is None:
+            return None
+        found = spark.range(0, 1, 1, 1).select(from_text(told[0], dtype).alias("mark"))
+        if above is not None:
+            found = found.filter(beyond(F.col("mark"), from_text(above, dtype), dtype))
     else:
         if above is not None:
             df = df.filter(beyond(column(cursor), from_text(above, dtype), dtype))
