@@ -4,6 +4,7 @@ The options and SQL handed to Spark are checked as text; the SQL and the split
 predicates are then run, on Spark tables that stand in for the database's.
 """
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
@@ -357,3 +358,59 @@ def test_migrate_shares_out_its_reads(spark, stand_in, root):
 def test_unknown_owner_fails_by_name(spark, stand_in):
     with pytest.raises(tm.UnknownStream, match="'sales'"):
         tm.discover(spark, SRC, schemas=["SALES", "sales"])
+
+
+# --- reads as of one moment ------------------------------------------------------
+
+
+def test_all_parts_of_a_read_see_one_moment(spark, monkeypatch, root, orders):
+    """A table that grows between any two reads, of which the database knows all states."""
+    states = {100 + k: orders.filter(f"o_orderkey <= {1000 + 500 * k}") for k in range(40)}
+    clock = iter(sorted(states))
+    asked = []
+
+    def read_table(spark, src, dbtable, partition=None):
+        asked.append(dbtable)
+        now = next(clock)
+        if dbtable == jdbc.MOMENT:
+            return spark.createDataFrame([(Decimal(now),)], "moment decimal(38,0)")
+        found = re.search(r"AS OF SCN (\d+)", dbtable)
+        rows = states[int(found[1]) if found else now]
+        if "MAX(" in dbtable:
+            return rows.agg(F.max("o_orderkey").alias("mark"))
+        if isinstance(partition, tm.Split):
+            parts = []
+            for k in range(len(partition.predicates)):
+                part = rows if found else states[next(clock)]
+                parts.append(part.filter(F.expr(f"o_orderkey % {len(partition.predicates)} = {k}")))
+            return reduce(DataFrame.unionAll, parts)
+        return rows
+
+    monkeypatch.setattr(jdbc, "read_table", read_table)
+    split = tm.key_split("o_orderkey", 3)
+    plan = tm.StreamPlan("T", cursor=None, schema="S", partition=split, one_moment=True)
+    tm.sync(spark, SRC, root, [plan])
+    assert asked == [jdbc.MOMENT, '"S"."T" AS OF SCN 100']
+    found = tm.reconcile(states[100], tm.current(spark, root, "T")).first()
+    assert (found.missing, found.extra) == (0, 0)
+    asked.clear()
+    plan = tm.StreamPlan(
+        "T", "incremental", "o_orderkey", "S", split, target="U", one_moment=True
+    )
+    for _ in range(2):
+        commit = tm.sync(spark, SRC, root, [plan]).first()
+    scns = {re.search(r"SCN (\d+)", q)[1] for q in asked if q != jdbc.MOMENT}
+    assert len(scns) == 2 and all("AS OF SCN" in q for q in asked if q != jdbc.MOMENT)
+    present = tm.current(spark, root, "U")
+    assert present.agg(F.max("o_orderkey")).first()[0] == int(commit.hwm)
+    found = tm.reconcile(states[int(max(scns))], present).first()
+    assert (found.missing, found.extra) == (0, 0)
+
+
+def test_only_oracle_knows_moments(spark):
+    with pytest.raises(ValueError, match="Oracle"):
+        jdbc.moment_of(spark, tm.JdbcSource("jdbc:x", dictionary="ansi"))
+    assert jdbc.as_of('"S"."T"', None) == '"S"."T"'
+    assert jdbc.max_query("S", "T", "C", 7) == (
+        '(SELECT MAX("C") AS "mark" FROM "S"."T" AS OF SCN 7) q'
+    )

@@ -34,6 +34,7 @@ from tidemark.sources.jdbc import (
     Stride,
     balanced_cuts,
     key_split,
+    moment_of,
     range_split,
     stride_for,
 )
@@ -59,7 +60,9 @@ class StreamPlan:
     read is one task unless ``partition`` or ``split_by``, an integer or decimal
     column with nearly unique values cut for ``tasks`` readers, shares it out. Every
     reader of an increment filters the same rows by the cursor: give the cursor an
-    index in the database, or each of them scans the table.
+    index in the database, or each of them scans the table. ``one_moment`` has all readers
+    of an Oracle table, and the maximum of its cursor, see it as of one system change
+    number; the database must keep its undo that long.
     """
 
     stream: str
@@ -73,6 +76,7 @@ class StreamPlan:
     split_by: str | None = None
     tasks: int = 64
     key: Sequence[str] | None = None
+    one_moment: bool = False
 
     def __post_init__(self):
         if self.mode not in (FULL, INCREMENTAL):
@@ -153,12 +157,15 @@ def sync_stream(
     if had is not None and plan.key is not None and list(plan.key) != had:
         raise ValueError(f"{plan.name!r} was synced by key {had}; do a full sync")
     partition = _partition(spark, src, root, plan, last, adds)
-    df = read_stream(spark, src, plan.stream, partition, plan.schema)
+    moment = None
+    if plan.one_moment and isinstance(src, JdbcSource):
+        moment = moment_of(spark, src)
+    df = read_stream(spark, src, plan.stream, partition, plan.schema, moment)
     mark = since = last["hwm"] if adds else None
     if plan.cursor:
         dtype, at = cursor_type(df, plan.cursor), column(plan.cursor)
         mark = source_mark(
-            spark, src, plan.stream, plan.cursor, plan.schema, above=since, df=df
+            spark, src, plan.stream, plan.cursor, plan.schema, since, df, moment
         )
     if not adds:
         if plan.cursor:

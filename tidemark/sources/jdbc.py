@@ -141,6 +141,22 @@ def table_name(schema: str, stream: str) -> str:
     return f"{quoted(schema)}.{quoted(stream)}"
 
 
+# Fixed value: where Oracle says its present system change number.
+MOMENT = f"(SELECT DBMS_FLASHBACK.GET_SYSTEM_CHANGE_NUMBER AS {quoted('moment')} FROM DUAL) q"
+
+
+def moment_of(spark: SparkSession, src: JdbcSource) -> int:
+    """The database's system change number now; only Oracle has one."""
+    if src.dictionary != "oracle":
+        raise ValueError("only Oracle can be read as of one moment")
+    return int(read_table(spark, src, MOMENT).first()["moment"])
+
+
+def as_of(table: str, moment: int | None) -> str:
+    """A table as it was at a system change number, whoever reads it and when."""
+    return table if moment is None else f"{table} AS OF SCN {int(moment)}"
+
+
 def _stride_bound(value) -> str:
     """Spark reads numeric bounds as whole numbers; they only set the width."""
     return str(math.floor(value) if isinstance(value, (float, Decimal)) else value)
@@ -171,9 +187,9 @@ def read_table(
     )
 
 
-def max_query(schema: str, stream: str, cursor: str) -> str:
+def max_query(schema: str, stream: str, cursor: str, moment: int | None = None) -> str:
     """The cursor's maximum, computed by the database: one row crosses the wire."""
-    table = table_name(schema, stream)
+    table = as_of(table_name(schema, stream), moment)
     return f"(SELECT MAX({quoted(cursor)}) AS {quoted('mark')} FROM {table}) q"
 
 

@@ -45,15 +45,18 @@ def read_stream(
     stream: str,
     partition: jdbc.Stride | jdbc.Split | None = None,
     schema: str | None = None,
+    moment: int | None = None,
 ) -> DataFrame:
     """All rows and columns of a stream.
 
     Column pruning and filters put on the result reach the scan on both kinds of
-    source. ``partition`` splits a JDBC read; Parquet splits by file blocks.
+    source. ``partition`` splits a JDBC read; Parquet splits by file blocks. With
+    ``moment``, an Oracle system change number, all parts of the split see the table as
+    it was then.
     """
     schema = owner(src, schema)
     if isinstance(src, JdbcSource):
-        table = jdbc.table_name(schema, stream)
+        table = jdbc.as_of(jdbc.table_name(schema, stream), moment)
         return jdbc.read_table(spark, src, table, partition)
     try:
         return read_lake(spark, src.path(schema, stream))
@@ -144,6 +147,7 @@ def source_mark(
     schema: str | None = None,
     above: str | None = None,
     df: DataFrame | None = None,
+    moment: int | None = None,
 ) -> str | None:
     """The cursor's maximum now, as log text; None when there is no such value.
 
@@ -155,7 +159,7 @@ def source_mark(
         df = read_stream(spark, src, stream, schema=schema)
     dtype = cursor_type(df, cursor)
     if isinstance(src, JdbcSource):
-        query = jdbc.max_query(owner(src, schema), stream, cursor)
+        query = jdbc.max_query(owner(src, schema), stream, cursor, moment)
         found = jdbc.read_table(spark, src, query)
         # MAX may come back wider than the column it was taken from.
         found = found.select(F.col("mark").cast(dtype))
