@@ -486,6 +486,65 @@ def test_archives_give_back_what_was_written(spark, monkeypatch, pages, least):
     assert not [f for f in files if f.base_name.endswith(".tmp")]
 
 
+def contents(root):
+    fs, path = opened(root)
+    selector = __import__("pyarrow").fs.FileSelector(path)
+    found = {}
+    for file in fs.get_file_info(selector):
+        if file.is_file:
+            with fs.open_input_stream(file.path, compression=None) as stream:
+                found[file.base_name] = stream.read()
+    return found
+
+
+def test_equal_pages_make_equal_files(spark, monkeypatch):
+    """Shards of several files each, whatever the partitions; ids far apart and crowded."""
+    rng = random.Random(9)
+    ids = [None, -(1 << 62), *range(400), *(10**15 + 7 * k for k in range(300)), 1 << 62]
+    rows = [(i, f"u{k}", "".join(rng.choices("abcdef <>", k=500))) for k, i in enumerate(ids)]
+    rows += [(50, "again", rows[52][2]), (60, "b", "same"), (60, "a", "same")]
+    monkeypatch.setattr(warc, "HTML_PER_TASK", 40_000)
+    monkeypatch.setattr(warc, "FILE_BYTES", 1000)
+    monkeypatch.setattr(warc, "RANGES", 16)
+    made = []
+    for parts in (1, 5, 13):
+        rng.shuffle(rows)
+        root = scratch_dir(spark, "warc")
+        pages = spark.createDataFrame(rows, PAGE).repartition(parts)
+        manifest = warc.write(pages, root)
+        made.append(contents(root))
+        assert manifest.count() == len(made[0])
+    assert made[0] == made[1] == made[2]
+    files = Counter(name.split("-")[1] for name in made[0])
+    assert len(files) >= 7 and max(files.values()) >= 3
+    # shards follow each other by page_id, and hold what they should
+    ids, sizes = [], Counter()
+    for name in sorted(made[0]):
+        for member in warc._Members(__import__("io").BytesIO(made[0][name])):
+            headers, _ = warc.parse(member)
+            ids.append(int(headers["X-Page-ID"] or -(1 << 63)))
+            sizes[name.split("-")[1]] += int(headers["X-Payload-Length"])
+    assert ids == sorted(ids) and len(ids) == len(rows)
+    assert max(sizes.values()) <= 3 * 40_000
+
+
+def test_a_file_that_is_neither_written_nor_committed(spark, pages, monkeypatch):
+    stash = warc.stash
+
+    def lose(df, label):
+        done = stash(df, label)
+        if label == "warc-files":
+            for row in done.collect():
+                fs, path = opened(uri(root, row.written))
+                fs.delete_file(path)
+        return done
+
+    monkeypatch.setattr(warc, "stash", lose)
+    root = scratch_dir(spark, "warc")
+    with pytest.raises(Exception, match="neither written nor committed"):
+        warc.write(spark.createDataFrame(pages, PAGE), root)
+
+
 def test_archives_equal_their_sql(spark, tmp_path):
     rng = random.Random(8)
     rows = [(k, f"u{k}", rng.choice([None, "", "a", "é" * k, f"page {k % 7}"])) for k in range(90)]

@@ -1,7 +1,9 @@
 """Pages as WARC archives, and back.
 
-Records are range-sorted by page_id; each task writes its range into gzip members, one
-per record, and starts a new file when the compressed bytes pass FILE_BYTES. Equal
+Records are sorted by page_id and cut into shards by the bytes that come before them, so
+the same pages make the same files, however they lie in the input. Each task writes a shard
+into gzip members, one per record, and starts a new file when the compressed bytes pass a
+bound. Equal
 payloads are stored once: the first page (the smallest page_id) holds the response,
 the others a revisit that points at it. Tasks write under names of their attempt; the
 manifest, written after them, names the files of the attempts that succeeded, and those
@@ -14,16 +16,27 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.frames import small_frame
 from tidemark.llm.common import columns, opened, prepare, scratch_dir, stash, uri
-
-# Compressed bytes after which a file is closed, html bytes per task.
-FILE_BYTES, HTML_PER_TASK = 256 << 20, 64 << 20
+from tidemark.session import MOST_READERS
+
+# Html bytes of a shard, at least, and shards at most; compressed bytes after which a file
+# is closed, at least, and so many files' worth of html in a shard.
+HTML_PER_TASK, MOST_SHARDS = 16 << 20, 20_000
+FILE_BYTES, FILES_PER_TASK = 1 << 20, 16
+# Ranges of page_ids whose bytes are summed to find the shards, and finer ones of one that
+# holds too many. Sums of all ranges come to the driver.
+RANGES, FINER = 1 << 16, 1 << 8
+_RANGE = T.StructType([T.StructField("range", T.LongType())])
+_SHARD = T.StructType([*_RANGE, T.StructField("shard", T.IntegerType())])
+ID = "_tidemark_warc_"
 # Record headers.
 VERSION = "WARC/1.1"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -46,7 +59,7 @@ def _header(text: str) -> str:
     return " ".join(text.split()) or "-"
 
 
-def record(page_id, url, payload: bytes, first) -> bytes:
+def record(page_id, url, payload: bytes, first, date: str = DATE) -> bytes:
     """One record; ``first`` is the page that holds an equal payload, or ``...``."""
     sha1 = digest(payload)
     kind = "response" if first is ... else "revisit"
@@ -58,7 +71,7 @@ def record(page_id, url, payload: bytes, first) -> bytes:
         VERSION,
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: {record_name(page_id, sha1) if first is ... else _again(page_id, sha1)}",
-        f"WARC-Date: {DATE}",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {_header(url or '')}",
         "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha1:{sha1}",
@@ -85,20 +98,82 @@ def _gzip(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def write(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFrame:
+def _finest(low: int, high: int, ranges: int) -> int:
+    """Low bits to leave out of page_ids for so many ranges at most."""
+    shift = 0
+    while (high >> shift) - (low >> shift) >= ranges:
+        shift += 1
+    return shift
+
+
+def shards(rows: DataFrame) -> tuple[Callable[[DataFrame], DataFrame], int, int]:
+    """What adds a page's ``shard`` by its page_id, the number of shards, and the html
+    bytes of one, for ``rows`` (page_id, html).
+
+    Bytes are summed exactly per range of page_ids, of a fixed power of two in width, and
+    shards end where the running sum passes a multiple of their size; a range that holds
+    more than two shards is summed by finer ranges. A page_id by itself is not cut: rows
+    that share one are in one shard.
+    """
+    spark = rows.sparkSession
+    size = F.octet_length("html").cast("long")
+    low, high, total = rows.agg(F.min("page_id"), F.max("page_id"), F.sum(size)).first()
+    each = max(HTML_PER_TASK, -(-(total or 0) // MOST_SHARDS))
+    if low is None:
+        return lambda df: df.withColumn("shard", F.lit(0)), 1, each
+    known = F.coalesce("page_id", F.lit(low))  # pages without an id come first
+    shift = _finest(low, high, RANGES)
+    levels: list[tuple[int, list[tuple[int, int]]]] = []  # (range, bytes), by width
+    some = rows.select(known.alias("page_id"), size.alias("size"))
+    while True:
+        sums = some.groupBy(F.shiftright("page_id", shift).alias("range")).agg(F.sum("size"))
+        found = [(r[0], r[1] or 0) for r in sums.collect()]
+        heavy = [r for r, n in found if shift and n > 2 * each]
+        levels.append((shift, [(r, n) for r, n in found if not (shift and n > 2 * each)]))
+        if not heavy:
+            break
+        wide = small_frame(spark, [(r,) for r in heavy], _RANGE)
+        at = F.shiftright("page_id", shift).alias("range")
+        some = some.withColumn("range", at).join(F.broadcast(wide), "range").drop("range")
+        shift = max(0, shift - FINER.bit_length() + 1)
+    # all ranges in order of page_id; no two of them share one
+    order = sorted((r << s, k, r, n) for k, (s, level) in enumerate(levels) for r, n in level)
+    before, numbers = 0, {}
+    held: list[list[tuple[int, int]]] = [[] for _ in levels]
+    for _, k, r, n in order:
+        held[k].append((r, numbers.setdefault(before // each, len(numbers))))
+        before += n
+
+    def assign(df: DataFrame) -> DataFrame:
+        names = df.columns
+        out = df.withColumn(ID, F.coalesce("page_id", F.lit(low)))
+        found = []
+        for k, (s, _) in enumerate(levels):
+            # RANGES rows at most, and FINER for each range that holds too many
+            table = small_frame(spark, held[k], _SHARD).toDF(f"{ID}r{k}", f"{ID}s{k}")
+            out = out.withColumn(f"{ID}r{k}", F.shiftright(ID, s))
+            out = out.join(F.broadcast(table), f"{ID}r{k}", "left")
+            found.append(f"{ID}s{k}")
+        return out.select(*names, F.coalesce(*found).alias("shard"))
+
+    return assign, len(numbers), each
+
+
+def write(pages: DataFrame, root: str, least_bytes: int = 0, date: str = DATE) -> DataFrame:
     """Write ``pages`` (page_id, url, html) below ``root``; returns the manifest
     (file, records, bytes).
 
     Only payloads of at least ``least_bytes`` are stored once. NULL html is an empty
     payload; a NULL page_id sorts before all others. Of rows with equal page_id and
-    payload the first is the response.
+    payload the first is the response. ``date`` is that of all records: pages have none of
+    their own. Equal pages make equal files, whatever their order and partitions.
     """
     spark = pages.sparkSession
     prepare(spark)
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"))
-    size = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    n = max(1, -(-size // HTML_PER_TASK))
+    assign, n, html_bytes = shards(rows)
+    file_bytes = max(FILE_BYTES, html_bytes // FILES_PER_TASK)
 
     # which pages revisit: only digests and ids are shuffled, equal ones met beforehand
     sums = rows.filter(F.octet_length("html") >= least_bytes).select(
@@ -125,7 +200,8 @@ def write(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFrame:
     both = rows.select(
         "page_id", "url", "html", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first")
     ).unionByName(marks)
-    dealt = both.repartitionByRange(n, "page_id").sortWithinPartitions("page_id", "kind", "html")
+    dealt = assign(both).repartitionById(n, "shard")
+    dealt = dealt.sortWithinPartitions("page_id", "kind", "html", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -165,11 +241,12 @@ def write(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFrame:
                     fs, path = opened(uri(root, f"{stem}-{number:04d}.warc.gz.{tag}"))
                     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
                     out = fs.open_output_stream(path, compression=None)
-                data = _gzip(record(page_id, url, payload, marks[key] if revisit else ...))
+                first = marks[key] if revisit else ...
+                data = _gzip(record(page_id, url, payload, first, date))
                 out.write(data)
                 records += 1
                 held += len(data)
-                if held >= FILE_BYTES:
+                if held >= file_bytes:
                     yield closed()
                     out, number, records, held = None, number + 1, 0, 0
         if out is not None:
@@ -183,8 +260,10 @@ def write(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFrame:
             for name, written in zip(*columns(batch, "file", "written"), strict=True):
                 fs, path = opened(uri(root, written))
                 final = opened(uri(root, name))[1]
-                if fs.get_file_info(path).is_file:  # else an earlier attempt did it
+                if fs.get_file_info(path).is_file:
                     fs.move(path, final)
+                elif not fs.get_file_info(final).is_file:  # an earlier attempt's, else lost
+                    raise FileNotFoundError(f"{name}: neither written nor committed")
             yield batch.select(["file", "records", "bytes"])
 
     manifest = done.mapInArrow(commit, "file string, records long, bytes long")
@@ -277,9 +356,8 @@ def read(manifest: DataFrame, root: str) -> DataFrame:
                 if held:
                     yield made(held)
 
-    files = manifest.select("file").repartition(
-        max(1, manifest.count()), "file"
-    )
+    n = min(MOST_READERS, max(1, manifest.count()))
+    files = manifest.select("file").repartition(n, "file")
     return files.mapInArrow(
         run,
         "page_id long, url string, payload_bytes long, payload_digest string,"
