@@ -358,7 +358,7 @@ def test_articles_of_given_pages(spark, monkeypatch):
     import re
     from html import unescape
 
-    monkeypatch.setattr(main_text, "PAGES", 7)  # hosts in several groups
+    monkeypatch.setattr(main_text, "GROUP_BYTES", 20_000)  # hosts in several groups
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     got = {r.page_id: r for r in main_text.extract(pages).collect()}
     rows = pages.collect()
@@ -391,6 +391,124 @@ def test_what_a_host_repeats_goes(spark):
     assert got[10] == got[11] and own[0] in got[10]  # nor do equal pages
 
 
+def test_suffix_arrays_equal_brute_force():
+    rng = random.Random(12)
+    for _ in range(300):
+        n, letters = rng.randrange(60), rng.choice([1, 2, 5])
+        ids = [rng.randrange(-2, letters) for _ in range(n)]
+        if n > 20:
+            ids[10:18] = ids[:8]
+        order, common = main_text.suffix_array(np.array(ids, np.int64))
+        assert order.tolist() == sorted(range(n), key=lambda k: ids[k:])
+        want = [0] * n
+        for k in range(1, n):
+            a, b = ids[order[k - 1] :], ids[order[k] :]
+            while want[k] < min(len(a), len(b)) and a[want[k]] == b[want[k]]:
+                want[k] += 1
+        assert common.tolist() == want
+
+
+def plain_repeated(pages):
+    """Every run of every length, counted in distinct pages."""
+    run, least_run = main_text.RUN, {}
+    distinct = {tuple((b.tag, b.text) for b in p): p for p in pages}
+    streams = [
+        [(t, k) for k, b in enumerate(p) for t in (f"<{b.tag}>", *b.text.split(" "))]
+        for p in distinct.values()
+    ]
+    least = max(2, min(main_text.MANY, math.ceil(main_text.SHARED_BY * len(distinct))))
+    where = defaultdict(set)
+    for i, s in enumerate(streams):
+        for at in range(len(s) - run + 1):
+            where[tuple(t for t, _ in s[at : at + run])].add(i)
+    for key, s in zip(distinct, streams, strict=True):
+        hit = [False] * len(s)
+        for at in range(len(s) - run + 1):
+            if len(where[tuple(t for t, _ in s[at : at + run])]) >= least:
+                hit[at : at + run] = [True] * run
+        marks = []
+        for k, block in enumerate(key):
+            mine = [h for (_, owner), h in zip(s, hit, strict=True) if owner == k]
+            often = sum(block in other for other in distinct)
+            if often >= main_text.EDGE_PAGES:
+                marks.append(2)
+            elif len(mine) < run and often >= least:
+                marks.append(1)
+            else:
+                marks.append(int(sum(mine) >= main_text.COVERED * len(mine)))
+        least_run[key] = marks
+    return [least_run[tuple((b.tag, b.text) for b in p)] for p in pages]
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 40])
+def test_repeated_runs_equal_brute_force(n):
+    rng = random.Random(n)
+    stock = [" ".join(rng.choices("abcdefgh", k=rng.randrange(1, 25))) for _ in range(12)]
+    pages = []
+    for _ in range(n):
+        texts = []
+        for _ in range(rng.randrange(1, 9)):
+            text = rng.choice(stock)
+            if rng.random() < 0.4:
+                text = " ".join(rng.choices("abcdefghijklmnop", k=rng.randrange(1, 20)))
+            if rng.random() < 0.3:
+                text += " " + rng.choice(stock)
+            texts.append(text)
+        pages.append([main_text.Block(rng.choice(["p", "div"]), t, 0, False) for t in texts])
+    pages += pages[:2]
+    assert main_text.repeated(pages) == plain_repeated(pages)
+
+
+def test_a_footer_on_a_fifth_of_a_host(spark):
+    rng = random.Random(3)
+    footer = "All rights to everything said here are kept by those who said it first"
+    pages = []
+    for k in range(200):
+        own = " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60))
+        pages.append((k, f"http://h.example/{k}", f"<p>{own}</p>" + f"<p>{footer}</p>" * (k % 5 == 0)))
+    got = extracted(spark, pages)
+    assert not any(footer in text for text in got.values())
+    assert all(len(text.split()) == 60 for text in got.values())
+
+
+def test_short_blocks_at_the_edges_of_articles(spark):
+    """Lines of the site's go; titles, passages within and long ones stay."""
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen".split()
+    shared = "A passage that every article of this site quotes, and a long one at that, indeed."
+    pages = []
+    for k in range(20):
+        own = f"<p>{' '.join(words[(k + j * 7) % 13] for j in range(30))} {k}</p>"
+        body = f"<p>Share this page</p><h2>News</h2>{own}<p>Share this page</p>{own}"
+        body += f"<p>{shared}</p><p>He said so.</p><div>Read more</div>"
+        pages.append((k, f"http://h.example/{k}", f"<article>{body}</article>"))
+    pages.append((50, "http://few.example/", "<article><p>Share this page</p></article>"))
+    got = extracted(spark, pages)
+    for k in range(20):
+        lines = got[k].split("\n")
+        assert lines[0] == "News" and lines[-2:] == [shared, "He said so."]
+        assert lines.count("Share this page") == 1
+    assert got[50] == "Share this page"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='widget'>x" * 3000 + "</div>" * 3000,
+        "<div class='widget'>x" * 20_000,
+        "<div>" * 10_000 + "<li class='ad'>y" * 10_000,
+        "<li class='x'><ul>" + "<div>" * 10_000 + "<li>z" * 10_000,
+        "<b class='ad'>" * 20_000 + "t" + "</b>" * 20_000,
+        "</section>" * 20_000,
+    ],
+)
+def test_deep_pages_take_time_in_proportion(html):
+    import time
+
+    began = time.process_time()
+    main_text.blocks(html)
+    assert time.process_time() - began < 2
+
+
 def test_marked_parts_go_and_article_parts_stay(spark):
     html = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
     <header>Site</header><nav><a>Menu</a></nav><div class="cookie-notice">We bake</div>
