@@ -131,6 +131,6 @@ def test_no_documents(spark):
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
 
-    assert len(QUERIES) == 10 and SQL.keys() <= QUERIES.keys()
+    assert len(QUERIES) == 13 and SQL.keys() <= QUERIES.keys()
     assert {*QUERIES, "pipeline"} <= entry.queries().keys()
     assert SQL.keys() <= entry.oracle_sql().keys()

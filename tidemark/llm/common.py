@@ -1,7 +1,8 @@
 """What the operators of this subpackage share.
 
-Every operator takes the columns it names from its input and nothing else, so further
-columns, whatever their names, do no harm.
+Every operator takes the columns it names from its input and nothing else, and those that
+hand on whole rows set the others apart, so further columns, whatever their names, do no
+harm.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 from urllib.parse import urlparse
@@ -56,6 +57,17 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``used`` under names that no operator gives to its
+    own, and what brings back the columns as they came."""
+    names = [c if c in used else f"column {k}" for k, c in enumerate(docs.columns)]
+
+    def restore(df: DataFrame) -> DataFrame:
+        return df.select(*(f"`{n}`" for n in names)).toDF(*docs.columns)
+
+    return docs.toDF(*names), restore
+
+
 def crc_rest(column: str, modulus: int):
     """crc32 of a column's text, modulo ``modulus``; of the empty text for NULL."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

@@ -6,6 +6,10 @@ blanks). A document's words come from a mixture of languages; expectation-maximi
 finds the shares. Of the nested sets (the largest share alone, the two largest, ...) the
 one with the highest log-likelihood less ``PENALTY * (size - 1) * ln(words)`` is taken.
 The prediction is the language with the largest share in it, the score is that share.
+
+A pipeline lets go of documents in which no language holds the majority, and of those that
+no learned language tells well: whose log-likelihood per trigram lies far below what the
+documents that taught have, by quantiles per language.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import columns, crc_rest, mix, prepare
+from tidemark.llm.common import apart, columns, crc_rest, mix, prepare, stash
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -29,8 +33,11 @@ BUCKETS, SMOOTH = 1 << 15, 0.5
 # Distinct words a worker counts before it passes them on, and words of one EM run.
 WORDS_COUNTED, WORDS_AT_ONCE = 300_000, 200_000
 ROUNDS, PENALTY = 12, 3.0
-# A pipeline lets a document go if no language holds this share of it.
-LEAST_SCORE = 0.3
+# A pipeline lets a document go if no language holds this share of it, or if its
+# log-likelihood per trigram is REACH times as far below its language's median as the
+# TAIL quantile is; documents of fewer than WORDS_TO_TELL words get more room. Languages
+# with fewer than LEAST_ROWS documents are held to the quantiles of all.
+LEAST_SCORE, REACH, TAIL, WORDS_TO_TELL, LEAST_ROWS = 0.5, 8.0, 0.01, 20, 100
 
 
 def words_of(text: str | None) -> list[str]:
@@ -119,7 +126,14 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text; (UNKNOWN, 0) for one without a letter and
         where no language was learned. Equal shares go to the first name."""
-        out = [(UNKNOWN, 0.0)] * len(texts)
+        return [found[:2] for found in self.assess(texts)]
+
+    def assess(
+        self, texts: list[str | None]
+    ) -> list[tuple[str, float, float | None, int]]:
+        """``predict``, the log-likelihood per trigram under the languages chosen, and the
+        number of words."""
+        out: list = [(UNKNOWN, 0.0, None, 0)] * len(texts)
         if not self.languages:
             return out
         held, n = [], 0
@@ -137,11 +151,12 @@ class LanguageModel:
 
     def _solve(self, held: list[tuple[int, Counter]], out: list) -> None:
         place: dict[str, int] = {}
-        rows, often, sizes = [], [], []
+        rows, often, sizes, lengths = [], [], [], []
         for _, words in held:
             for word, times in words.items():
                 rows.append(place.setdefault(word, len(place)))
                 often.append(times)
+                lengths.append(len(word))  # as many trigrams, with a blank on either side
             sizes.append(len(words))
         log_p = self.word_log_p(list(place))[np.array(rows)]
         often = np.array(often, float)[:, None]
@@ -175,42 +190,53 @@ class LanguageModel:
         share = (rank == 0).astype(float)
         alone = np.add.reduceat(often * log_p, starts)
         best = np.take_along_axis(alone, order[:, :1], 1)[:, 0]
+        like_best = best.copy()  # without the price of the set
         for size in range(2, len(self.languages) + 1):
             # no larger set can win where even all languages together do not
             worth = most - price * (size - 1) > best
             if not worth.any():
                 break
-            found, value = fit((rank < size).astype(float), worth)
-            value -= (price * (size - 1))[worth]
-            better = np.flatnonzero(worth)[value > best[worth]]
-            share[better] = found[value > best[worth]]
-            best[better] = value[value > best[worth]]
+            found, likelihood = fit((rank < size).astype(float), worth)
+            value = likelihood - (price * (size - 1))[worth]
+            wins = value > best[worth]
+            better = np.flatnonzero(worth)[wins]
+            share[better] = found[wins]
+            best[better], like_best[better] = value[wins], likelihood[wins]
+        grams = np.add.reduceat(often[:, 0] * np.array(lengths), starts)
         winner = share.argmax(axis=1)
-        for (k, _), w, s in zip(held, winner, share.max(axis=1), strict=True):
-            out[k] = (self.languages[w], float(min(s, 1.0)))
+        told = like_best / grams
+        rows = zip(held, winner, share.max(axis=1), told, total[:, 0], strict=True)
+        for (k, _), w, s, f, n in rows:
+            out[k] = (self.languages[w], float(min(s, 1.0)), float(f), int(n))
+
+
+FOUND = T.StructType(
+    [
+        T.StructField("_lang_pred", T.StringType()),
+        T.StructField("_score", T.DoubleType()),
+        T.StructField("_told", T.DoubleType()),
+        T.StructField("_words", T.LongType()),
+    ]
+)
 
 
 def label(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``_lang_pred`` and ``_score``."""
+    """``docs`` with the columns of FOUND: language, score, log-likelihood per trigram
+    (NULL without a letter) and words."""
     spark = docs.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(model)  # languages x BUCKETS numbers
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.float64(), pa.float64(), pa.int64()]
         for batch in batches:
-            found = sent.value.predict(columns(batch, text)[0])
-            yield batch.append_column(
-                "_lang_pred", pa.array([f[0] for f in found], pa.string())
-            ).append_column("_score", pa.array([f[1] for f in found], pa.float64()))
-
-    schema = T.StructType(
-        [
-            *docs.schema,
-            T.StructField("_lang_pred", T.StringType()),
-            T.StructField("_score", T.DoubleType()),
-        ]
-    )
-    return docs.mapInArrow(add, schema)
+            found = list(zip(*sent.value.assess(columns(batch, text)[0]), strict=True))
+            for k, kind in enumerate(kinds):
+                values = pa.array(found[k] if found else [], kind)
+                batch = batch.append_column(FOUND.names[k], values)
+            yield batch
+
+    return docs.mapInArrow(add, T.StructType([*docs.schema, *FOUND]))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -235,8 +261,36 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
     )
 
 
+def least_told(found: DataFrame) -> DataFrame:
+    """One row per language of ``found`` (rows of ``label`` that taught): ``lang`` and
+    ``median``, and how far below it a document may lie as ``room``. NULL stands for all
+    languages, and for those with few documents."""
+    quantiles = F.percentile_approx("_told", F.array(F.lit(TAIL), F.lit(0.5)), F.lit(10_000))
+    sizes = found.filter(F.col("_told").isNotNull()).rollup("_lang_pred").agg(
+        quantiles.alias("q"), F.count("*").alias("n")
+    )
+    enough = F.col("_lang_pred").isNull() | (F.col("n") >= LEAST_ROWS)
+    median = F.col("q")[1]
+    return sizes.filter(enough & F.col("q").isNotNull()).select(
+        F.col("_lang_pred").alias("lang"),
+        median.alias("median"),
+        (REACH * (median - F.col("q")[0])).alias("room"),
+    )
+
+
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in a known language, with the columns they came with."""
-    found = label(docs, LanguageModel.learn(training_rows(docs)))
-    good = (F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= LEAST_SCORE)
-    return found.filter(good).select(*docs.columns)
+    plain, restore = apart(docs, "doc_id", "text", "lang")
+    found = stash(label(plain, LanguageModel.learn(training_rows(plain))), "languages")
+    # a row per learned language, which the model holds in memory anyway
+    limits = stash(least_told(training_rows(found).filter(F.col("lang").isNotNull())), "told")
+    own = limits.filter("lang IS NOT NULL").toDF("_lang", "_median", "_room")
+    judged = found.join(F.broadcast(own), found["_lang_pred"] == own["_lang"], "left")
+    every = limits.filter("lang IS NULL").first() or {"median": None, "room": None}
+    median, room = (
+        F.coalesce(f"_{c}", F.lit(every[c]).cast("double")) for c in ("median", "room")
+    )
+    short = F.sqrt(F.greatest(F.lit(1.0), WORDS_TO_TELL / F.greatest("_words", F.lit(1))))
+    told = F.coalesce(F.col("_told") >= median - room * short - 1e-9, F.lit(True))
+    good = (F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= LEAST_SCORE) & told
+    return restore(judged.filter(good))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import columns, mix, prepare, stash, windows, word_hashes, word_list
+from tidemark.llm.common import apart, columns, mix, prepare, stash, windows, word_hashes, word_list
 
 # Fragments beyond those that may differ, at least; sets of MANY n-grams get so many that
 # empty ones do not use them up, but for chances of DEVIATIONS standard deviations.
@@ -588,7 +588,8 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
     has no other. The ids that go are sent to every task while they are MOST_SENT or
     fewer, and joined by a shuffle beyond that.
     """
-    marked = docs.withColumn("_h", F.xxhash64("text"))
+    plain, restore = apart(docs, "doc_id", "text")
+    marked = plain.withColumn("_h", F.xxhash64("text"))
     found = stash(classes(marked, size, num, den, "_h"), "classes")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_g")).distinct()
@@ -603,9 +604,9 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
 
     kept = without(marked, gone)
     if again.isEmpty():
-        return kept.drop("_h")
+        return restore(kept)
     copies = without(kept, again, "left_semi").dropDuplicates(["doc_id", "_h"])
-    return without(kept, again).unionByName(copies).drop("_h")
+    return restore(without(kept, again).unionByName(copies))
 
 
 def _same(rows: DataFrame, ids: DataFrame):

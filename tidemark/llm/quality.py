@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import columns, prepare, stash, windows, word_hashes, word_list
+from tidemark.llm.common import apart, columns, prepare, stash, windows, word_hashes, word_list
 
 SYMBOLS = "#*$%&|<>"
 WHITE = "\t\n\x0b\x0c\r "
@@ -219,5 +219,9 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns they came with."""
-    return judged(measure(docs)).filter("_kept").select(*docs.columns)
+    """The rows of ``docs`` that pass, with the columns they came with.
+
+    Texts are measured once; limits and verdicts are taken from the written rows.
+    """
+    plain, restore = apart(docs, "text", "lang", "source")
+    return restore(judged(stash(measure(plain), "measured")).filter("_kept"))
