@@ -311,3 +311,12 @@ def test_texts_without_letters_and_without_labels(spark, odd):
     assert {r.lang_pred for r in langid.predicted_languages(bare).collect()} == {"und"}
     assert langid.predicted_languages(odd.limit(0)).collect() == []
     assert langid.keep_known(odd).columns == odd.columns
+
+
+def test_known_digests_are_those_of_the_column_function(spark):
+    texts = [*licenses.known_texts(), "", "Ärger © 2020\n  (C) me\nＡ①x", "©\nnon-infringement"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = [r[0] for r in rows.select(licenses.digest(rows["text"])).collect()]
+    assert [licenses.digest_of(t) for t in texts] == want
+    plan = licenses.scan(rows.selectExpr("1 AS doc_id", "text"))
+    assert len(plan._jdf.queryExecution().optimizedPlan().toString()) < 200_000

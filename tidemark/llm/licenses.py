@@ -9,13 +9,18 @@ notices. Spark's own functions only; no row leaves its task.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Mapping
 from functools import cache, reduce
 from pathlib import Path
 
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.frames import small_frame
 
 # Public licence texts, without their titles, and usual short notices. Longer
 # texts, with their titles, are the files of FOLDER, named by licence.
@@ -170,6 +175,9 @@ SPELLINGS = {
 HINT = "licen"
 OWNER_LINE = r"(?i)(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 NO_WORD = r"[^\p{L}\p{N}]+"
+_KNOWN = T.StructType(
+    [T.StructField("digest", T.StringType()), T.StructField("license", T.StringType())]
+)
 
 
 def canonical(text: Column) -> Column:
@@ -185,23 +193,30 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def digest_of(text: str) -> str:
+    """The same of one known text, without a plan that holds it."""
+    plain = re.sub(OWNER_LINE, "\n", text)
+    plain = regex.sub(NO_WORD, " ", plain.lower()).strip(" ")
+    for old, new in SPELLINGS.items():
+        plain = plain.replace(old, new)
+    return hashlib.sha256(plain.encode()).hexdigest()
+
+
 def known_digests(spark: SparkSession, texts: Mapping[str, str]) -> DataFrame:
     """(digest, license): a row per known text, as many as the caller names.
 
     Digests are taken beforehand, so that plans hold them and not the texts.
     """
+    return small_frame(spark, list(digests_of(texts).items()), _KNOWN)
 
-    def inlined(rows: Mapping[str, str], name: str) -> DataFrame:
-        known = [
-            F.struct(F.lit(b).alias(name), F.lit(n).alias("license")) for b, n in rows.items()
-        ]
-        none = F.array().cast(f"array<struct<{name}:string,license:string>>")
-        return spark.range(1).select(F.inline(F.array(*known) if known else none))
 
+def digests_of(texts: Mapping[str, str]) -> dict[str, str]:
+    """Licences by digest; of a form that several have, the first by name."""
     found: dict[str, str] = {}
-    for row in inlined(texts, "body").select(digest(F.col("body")), "license").collect():
-        found[row[0]] = min(row[1], found.get(row[0], row[1]))
-    return inlined(found, "digest")
+    for body, name in texts.items():
+        key = digest_of(body)
+        found[key] = min(name, found.get(key, name))
+    return found
 
 
 def guises(name: str, body: str) -> Iterator[str]:
@@ -221,6 +236,12 @@ def guises(name: str, body: str) -> Iterator[str]:
                 yield f"{title}\n\n{marked}"
 
 
+@cache
+def usual_digests() -> dict[str, str]:
+    """``known_texts`` by digest: the same for every call of a program."""
+    return digests_of(known_texts())
+
+
 @cache
 def known_texts() -> dict[str, str]:
     """Every guise of the known texts, and the notices, to the licence."""
@@ -238,10 +259,14 @@ def scan(docs: DataFrame, texts: Mapping[str, str] | None = None) -> DataFrame:
     text. ``texts`` replaces the known texts; it comes from the caller's program, so
     its size is no matter of the data.
     """
-    known = known_digests(docs.sparkSession, known_texts() if texts is None else texts)
+    spark = docs.sparkSession
+    if texts is None:
+        known = small_frame(spark, list(usual_digests().items()), _KNOWN)
+    else:
+        known = known_digests(spark, texts)
     lines = F.filter(F.split("text", "\n"), lambda x: F.lower(x).contains(HINT))
     notices = F.create_map(
-        *(x for body, name in NOTICES.items() for x in (digest(F.lit(body)), F.lit(name)))
+        *(x for body, name in NOTICES.items() for x in (F.lit(digest_of(body)), F.lit(name)))
     )
     found = F.filter(
         F.transform(lines, lambda x: F.try_element_at(notices, digest(x))),
