@@ -57,10 +57,36 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").translate(PLAIN).split()
 
 
+def parts_of(words: list[bytes]) -> Iterator[list[bytes]]:
+    """An item in parts of PART words; a short rest is joined to some of what stands
+    before it."""
+    for start in range(0, len(words), PART):
+        yield words[max(0, min(start, len(words) - PART // 2)) : start + PART]
+
+
+class Statistics:
+    """What BM25 has to know of all items: parts, their words, and parts by word."""
+
+    def __init__(self):
+        self.parts = self.words = 0
+        self.df: Counter[bytes] = Counter()
+
+    def add(self, items: list[tuple]) -> None:
+        for _, text in items:
+            for part in parts_of(plain_words(text)):
+                self.parts += 1
+                self.words += len(part)
+                self.df.update(set(part))
+
+
 class Index:
-    """BM25 lists of one block of items, whose texts are (item_id, text) rows."""
+    """BM25 lists of some of the items, whose texts are (item_id, text) rows. Impacts come
+    from ``known``, the statistics of all items, so they are the same in any index."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], known: Statistics | None = None):
+        if known is None:
+            known = Statistics()
+            known.add(items)
         self.ids: list = []
         self.run: list[int] = []  # words of an item's runs
         self.question: list[np.ndarray] = []
@@ -81,22 +107,19 @@ class Index:
             first = max(0, min(head - SHINGLE + 1, len(runs)))
             self.question.append(np.unique(runs[:first]))
             self.answer.append(np.unique(runs[first:]))
-            for start in range(0, len(words), PART):
-                # a short rest is joined to some of what stands before it
-                part = words[max(0, min(start, len(words) - PART // 2)) : start + PART]
+            for part in parts_of(words):
                 parts.append(part)
                 self.owner.append(item)
-        self._build(parts)
+        self._build(parts, known)
 
-    def _build(self, parts: list[list[bytes]]) -> None:
+    def _build(self, parts: list[list[bytes]], known: Statistics) -> None:
         self.size = len(parts)
         counts = [Counter(p) for p in parts]
-        df = Counter(w for c in counts for w in c)
-        mean = sum(map(len, parts)) / max(self.size, 1)
+        df, total, mean = known.df, known.parts, known.words / max(known.parts, 1)
         lists: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
         for k, (part, count) in enumerate(zip(parts, counts, strict=True)):
             norm = K1 * (1 - B + B * len(part) / mean)
-            idf = {w: np.log(1 + (self.size - df[w] + 0.5) / (df[w] + 0.5)) for w in count}
+            idf = {w: np.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) for w in count}
             impact = {w: idf[w] * n * (K1 + 1) / (n + norm) for w, n in count.items()}
             whole = sum(impact.values())
             for w, x in impact.items():
@@ -228,13 +251,25 @@ class Index:
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes over all items, of ITEMS_AT_ONCE items or so each."""
+    """Indexes over all items, of ITEMS_AT_ONCE items or so each.
+
+    The items' own words, not the documents', are held by the driver: each group of items
+    is read twice, for the statistics of all and for its index.
+    """
     n = benchmark.count()
     groups = -(-n // ITEMS_AT_ONCE)
     group = F.pmod(F.xxhash64("item_id"), F.lit(max(groups, 1)))
+    known = Statistics()
+
+    def rows(k: int) -> list:
+        return benchmark.filter(group == k).select("item_id", "text").collect()
+
+    held = {0: rows(0)} if groups == 1 else {}
+    for k in range(groups):
+        known.add(held.get(k) or rows(k))
     for k in range(groups):
-        rows = benchmark.filter(group == k).select("item_id", "text").collect()
-        index = Index(sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] or "")))
+        items = sorted(held.get(k) or rows(k), key=lambda r: (r[0] is None, r[0], r[1] or ""))
+        index = Index(items, known)
         if index.size:
             yield index
 
