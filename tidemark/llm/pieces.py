@@ -120,7 +120,15 @@ class Pieces:
             cut = r"(?s).+"
         self.cut = re.compile(cut)
         self.words = _Words(self._encode_word)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.size = [len(t) for t in self.text]
+        self.letters = {t for t in self.ids if len(t) == 1}
+        # by piece: the next shorter one that begins it
+        self.shorter = [
+            next((self.ids[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.ids), -1)
+            for t in self.text
+        ]
+        self.alone = bytearray(len(self.text))  # 1: encodes itself, 2: does not, 0: unknown
 
     def merged(self, text: str) -> list[int]:
         """Merge neighbours, the highest score first and of equal ones the leftmost."""
@@ -137,53 +145,64 @@ class Pieces:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return [self.ids[p] for p in parts]
 
+    def stands(self, piece: int) -> bool:
+        """Whether a piece is the encoding of its own text."""
+        found = self.merged(self.text[piece]) == [piece]
+        self.alone[piece] = 1 if found else 2
+        return found
+
     def fits(self, left: int, right: int) -> bool:
-        """Whether two neighbours stay as they are; ``left`` is -1 at the start."""
-        key = (left, right)
+        """Whether two neighbours stay as they are."""
+        key = left * len(self.text) + right
         found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) > PAIRS_KEPT:
                 self.pairs.clear()
-            if left < 0:
-                found = self.merged(self.text[right]) == [right]
-            else:
-                found = self.merged(self.text[left] + self.text[right]) == [left, right]
+            found = self.merged(self.text[left] + self.text[right]) == [left, right]
             self.pairs[key] = found
         return found
 
     def _backtracked(self, text: str) -> list[int]:
         """Ids of a text whose characters are all pieces."""
-        n = len(text)
-        matches: list[list[int]] = [[] for _ in range(n)]
+        n, size, alone, pairs = len(text), self.size, self.alone, self.pairs
+        shorter, width = self.shorter, len(size)
+        longest = [-1] * n  # the longest piece from each place on
         for end, piece in self.automaton.iter(text):
-            matches[end - len(self.text[piece]) + 1].append(piece)
+            longest[end - size[piece] + 1] = piece
         out: list[int] = []
-        tried: list[int] = []  # per piece of ``out``: its place among the matches
-        closed = 0  # the bitfield of positions that lead nowhere
-        at, choice = 0, len(matches[0]) - 1
+        closed = bytearray((n >> 3) + 1)  # the bitfield of positions that lead nowhere
+        at, last, piece = 0, -1, longest[0]
         while at < n:
-            last = out[-1] if out else -1
-            while choice >= 0:
-                piece = matches[at][choice]
-                end = at + len(self.text[piece])
-                if not closed >> end & 1 and self.fits(-1, piece) and (
-                    last < 0 or self.fits(last, piece)
+            while piece >= 0:
+                state = alone[piece]
+                end = at + size[piece]
+                if (state == 1 or not state and self.stands(piece)) and not (
+                    closed[end >> 3] >> (end & 7) & 1
                 ):
-                    break
-                choice -= 1
-            if choice >= 0:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last * width + piece)
+                    if fits or fits is None and self.fits(last, piece):
+                        break
+                piece = shorter[piece]
+            if piece >= 0:
                 out.append(piece)
-                tried.append(choice)
-                at = end
-                choice = len(matches[at]) - 1 if at < n else -1
+                at, last = end, piece
+                if at < n:
+                    piece = longest[at]
                 continue
-            closed |= 1 << at
-            piece, choice = out.pop(), tried.pop() - 1
-            at -= len(self.text[piece])
+            closed[at >> 3] |= 1 << (at & 7)
+            piece = out.pop()
+            at -= size[piece]
+            last = out[-1] if out else -1
+            piece = shorter[piece]
         return out
 
     def _encode_word(self, word: str) -> bytes:
-        ids: list[int] = []
+        if self.letters.issuperset(word):
+            ids = self._backtracked(word)
+            return struct.pack(f"<{len(ids)}I", *ids)
+        ids = []
         known: list[str] = []
         for char in word:
             if char in self.ids:
