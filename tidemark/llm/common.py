@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -156,9 +156,13 @@ def _forget(path: str) -> None:
         pass
 
 
-@cache
+# Objects a worker maps at once: systems allow some 65,000 maps per process.
+MAPS_KEPT = 8192
+
+
+@lru_cache(MAPS_KEPT)
 def mapped(location: str, kind: str) -> np.ndarray:
-    """An array of a shared object, memory-mapped.
+    """An array of a shared object, memory-mapped; those not used lately are let go.
 
     A folder that is no local mount is read through a private copy, whose name is
     removed once it is mapped: the space goes with the worker.

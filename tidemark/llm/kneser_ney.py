@@ -41,7 +41,9 @@ from tidemark.llm.common import (
     word_list,
 )
 
-# Word hashes have 48 bits, packed into six bytes; two of them are marks.
+# Word hashes have 48 bits, packed into six bytes; two of them are marks. Words that share
+# one are counted as one: V words are expected to have V * V / 2**49 such pairs, the first
+# at some 24 million words and 1,800 at a billion.
 BITS = np.uint64((1 << 48) - 1)
 START, END = np.uint64(1), np.uint64(2)
 # Bytes of text a task counts at once, and per slice.
