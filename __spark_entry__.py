@@ -253,11 +253,8 @@ def sync_many(spark, sf_dir):
     """All tables side by side; every row of each is compared with its source."""
     root = tm.scratch_dir(spark, "sync")
     log = tm.sync(spark, _lake(sf_dir), root, TABLES, parallel=8)
-    compared = _union(
-        tm.reconcile(
-            _table(spark, sf_dir, name), tm.current(spark, root, name), digest=True
-        ).withColumn("stream", F.lit(name))
-        for name in TABLES
+    compared = tm.reconcile_many(
+        {name: (_table(spark, sf_dir, name), tm.current(spark, root, name)) for name in TABLES}
     )
     return log.select("stream", "mode", "n_rows").join(compared, "stream").drop("n_source")
 

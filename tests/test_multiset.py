@@ -204,3 +204,20 @@ def test_ranges_of_a_hot_and_wide_key(spark):
     other = df.withColumn("v", F.expr("if(k = 7 AND v = 1, 2L, v)"))
     found = {tuple(r) for r in tm.reconcile_ranges(df, other, "k").collect()}
     assert found == {(7, 1, 200, 0), (7, 2, 0, 200)}
+
+
+def test_many_streams_at_once(spark):
+    sides = {
+        "a": (spark.range(10), spark.range(3, 12)),
+        "none": (spark.range(0), spark.range(0)),
+        "texts": (
+            frame(spark, [(1, "x"), (1, "x"), (2, None)]),
+            frame(spark, [(1, "x"), (2, None)]).select("`c d`", "`a.b`"),
+        ),
+    }
+    many = tm.reconcile_many(sides)
+    found = {r["stream"]: tuple(r)[1:] for r in many.collect()}
+    assert found == {n: tuple(tm.reconcile(*s, digest=True).first()) for n, s in sides.items()}
+    assert found["none"] == (0, 0, 0, 0)
+    with pytest.raises(SchemaDrift):
+        tm.reconcile_many({"x": (spark.range(1), frame(spark, [(1, "x")]))})

@@ -23,7 +23,11 @@ from tidemark.operators.profile import (
     stream_shapes,
 )
 from tidemark.operators.raw import land_raw
-from tidemark.operators.reconcile import reconcile, reconcile_ranges
+from tidemark.operators.reconcile import (
+    reconcile,
+    reconcile_many,
+    reconcile_ranges,
+)
 from tidemark.operators.sinks import (
     land,
     read_csv,
@@ -102,6 +106,7 @@ __all__ = [
     "read_streams",
     "read_table",
     "reconcile",
+    "reconcile_many",
     "reconcile_ranges",
     "refused_files",
     "require_cursor",

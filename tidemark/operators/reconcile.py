@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import SchemaDrift
 from tidemark.functions.cursors import column, from_text, to_text
-from tidemark.functions.frames import empty_frame
+from tidemark.functions.frames import empty_frame, small_frame
 from tidemark.functions.hashes import row_hash
 from tidemark.operators.multiset import LEFT, RIGHT, copy_counts, same_columns
 
@@ -30,18 +30,57 @@ def reconcile(source: DataFrame, target: DataFrame, digest: bool = False) -> Dat
         same_columns(source, target)
         target = _digests(target.select(*(column(c) for c in source.columns)))
         source = _digests(source)
+    return copy_counts(source, target).agg(*_verdict())
+
+
+def _verdict() -> list[Column]:
+    """Rows on either side and those the other side lacks, of counted rows."""
     here, there = F.col(LEFT), F.col(RIGHT)
     zero = F.lit(0).cast("bigint")
 
     def total(counts):
         return F.coalesce(F.sum(counts), zero)
 
-    return copy_counts(source, target).agg(
+    return [
         total(here).alias("n_source"),
         total(there).alias("n_target"),
         total(F.greatest(here - there, zero)).alias("missing"),
         total(F.greatest(there - here, zero)).alias("extra"),
+    ]
+
+
+_STREAMS = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        *(T.StructField(n, T.LongType()) for n in ("hash1", "hash2", LEFT, RIGHT)),
+    ]
+)
+
+
+def reconcile_many(sides: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``reconcile`` by hashes of several streams, source and target each: a row per
+    ``stream``. All scans are one stage, and all rows go through one exchange."""
+    spark = next(iter(sides.values()))[0].sparkSession
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    # a line that counts nothing keeps streams without rows
+    stacked = small_frame(spark, [(name, 0, 0, 0, 0) for name in sides], _STREAMS)
+    for name, (source, target) in sides.items():
+        same_columns(source, target)
+        target = target.select(*(column(c) for c in source.columns))
+        for df, counts in ((source, (one, none)), (target, (none, one))):
+            stacked = stacked.unionByName(
+                _digests(df).select(
+                    F.lit(name).alias("stream"),
+                    "hash1",
+                    "hash2",
+                    counts[0].alias(LEFT),
+                    counts[1].alias(RIGHT),
+                )
+            )
+    counted = stacked.groupBy("stream", "hash1", "hash2").agg(
+        F.sum(LEFT).alias(LEFT), F.sum(RIGHT).alias(RIGHT)
     )
+    return counted.groupBy("stream").agg(*_verdict())
 
 
 def _digests(df: DataFrame) -> DataFrame:
