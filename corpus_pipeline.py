@@ -17,7 +17,8 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in which no language prevails, go."""
+    """Documents without a letter go, those in which no language holds the majority, and
+    those that no learned language tells well."""
     return langid.keep_known(docs)
 
 
