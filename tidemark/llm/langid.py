@@ -279,11 +279,17 @@ def least_told(found: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in a known language, with the columns they came with."""
+    """The rows of ``docs`` in a known language, with the columns they came with.
+
+    Documents that taught are assessed twice, for the limits and for the verdict: texts
+    that are written aside would cost more disk than a second look costs time.
+    """
     plain, restore = apart(docs, "doc_id", "text", "lang")
-    found = stash(label(plain, LanguageModel.learn(training_rows(plain))), "languages")
+    taught = training_rows(plain).filter(F.col("lang").isNotNull())
+    model = LanguageModel.learn(taught)
+    found = label(plain, model)
     # a row per learned language, which the model holds in memory anyway
-    limits = stash(least_told(training_rows(found).filter(F.col("lang").isNotNull())), "told")
+    limits = stash(least_told(label(taught.select("text"), model)), "told")
     own = limits.filter("lang IS NOT NULL").toDF("_lang", "_median", "_room")
     judged = found.join(F.broadcast(own), found["_lang_pred"] == own["_lang"], "left")
     every = limits.filter("lang IS NULL").first() or {"median": None, "room": None}

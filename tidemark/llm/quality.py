@@ -221,7 +221,8 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns they came with.
 
-    Texts are measured once; limits and verdicts are taken from the written rows.
+    Texts are measured twice, for the limits and for the verdict: written aside they would
+    cost more disk than a second look costs time.
     """
     plain, restore = apart(docs, "text", "lang", "source")
-    return restore(judged(stash(measure(plain), "measured")).filter("_kept"))
+    return restore(judged(measure(plain)).filter("_kept"))
