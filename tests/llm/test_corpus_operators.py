@@ -459,6 +459,28 @@ def test_repeated_runs_equal_brute_force(n):
     assert main_text.repeated(pages) == plain_repeated(pages)
 
 
+def test_texts_do_not_depend_on_what_is_looked_at_together(spark, monkeypatch):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    footer = "All rights to everything said here are kept by those who said it first"
+    rare = "Seven pages alone have these words and so they stay on each of them"
+    pages = []
+    for k in range(200):
+        own = " ".join(rng.choices(letters, k=60))
+        extra = f"<p>{footer}</p>" * (k % 20 == 0) + f"<p>{rare}</p>" * (k < 7)
+        host = f"http://{'ab'[k % 2]}.example/{k}"
+        pages.append((k, host, f"<p>{own}</p>{extra}"))
+        if k < 7:  # equal pages count once, whatever their markup
+            pages += [(1000 * n + k, host, f"<p id=x{n}>{own}</p>{extra}") for n in range(1, 4)]
+    pages += [(500 + k, f"http://c.example/{k}", f"<p>{footer}</p><p>Own {k}.</p>") for k in range(2)]
+    whole = extracted(spark, pages)
+    assert not any(footer in whole[k] for k in range(0, 200, 20))
+    assert all(rare in whole[k] for k in range(7))
+    assert whole[500] == "Own 0."
+    monkeypatch.setattr(main_text, "GROUP_BYTES", 500)
+    assert extracted(spark, pages) == whole
+
+
 def test_a_footer_on_a_fifth_of_a_host(spark):
     rng = random.Random(3)
     footer = "All rights to everything said here are kept by those who said it first"

@@ -1,11 +1,12 @@
 """Main text of web pages, by what the pages of a host have in common.
 
 The pages of a host become token streams: a mark per block (its element), then its words.
-A suffix array over the concatenated streams, with the lengths of common prefixes of
-neighbours, finds every run of RUN tokens or more that enough distinct pages of the host
-share. Blocks covered by such runs are boilerplate, the rest are the page's own; a block
-shorter than a run counts as one if as many pages have just that block. Hosts larger than
-GROUP_BYTES are dealt into groups by a hash of the page; equal pages count once.
+Suffix arrays over the concatenated streams of some pages at a time, with the lengths of
+common prefixes of neighbours, find the runs of RUN tokens and how many pages hold them;
+these counts are added up over all pages of a host, so it does not matter how large a host
+is or which pages are looked at together. Blocks covered by runs that enough distinct pages
+of the host share are boilerplate, the rest are the page's own; a block shorter than a run
+counts as one if as many pages have just that block. Equal pages count once.
 
 What the markup says outright comes before what repetition suggests: an explicit article
 keeps what it holds (passages may well repeat between articles) but for short blocks at its
@@ -27,12 +28,13 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import columns, mix, prepare, stash
+from tidemark.llm.common import columns, mapped, mix, prepare, put, scratch_dir, uri, windows
 
-# Tokens of a shared run, at least, and the share of a group's distinct pages (two at
+# Tokens of a shared run, at least, and the share of a host's distinct pages (two at
 # least) that must hold it, where that is not more than so many pages; a block is
 # boilerplate if this share of its tokens is covered.
 RUN, SHARED_BY, MANY, COVERED = 8, 0.3, 8, 0.8
@@ -40,10 +42,10 @@ RUN, SHARED_BY, MANY, COVERED = 8, 0.3, 8, 0.8
 # sentence, which is the article's own.
 EDGE_PAGES, EDGE_WORDS = 8, 12
 SENTENCE = re.compile(r"[.!?…:;,。！？]\W*$")
-# Html bytes of one group; hosts whose group numbers are sent to every task.
-GROUP_BYTES, MOST_SENT = 3 << 20, 100_000
-# Html bytes of one task, in which groups follow each other.
-HTML_PER_TASK = 32 << 20
+# Html bytes of the pages that are looked at together, and of one bucket of counts.
+GROUP_BYTES, HTML_PER_TASK = 3 << 20, 32 << 20
+# Counts that a task gathers before it hands them on; bits of a hash that are kept.
+GATHERED, BITS = 4_000_000, 56
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -387,60 +389,142 @@ def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(0, common) if n else common
 
 
-def shared_places(ids: np.ndarray, owner: np.ndarray, least: int) -> np.ndarray:
-    """Which items lie in a run of RUN or more items that ``least`` owners have."""
-    order, common = suffix_array(ids)
-    group = np.cumsum(common < RUN)  # suffixes that begin with the same run
-    both = np.unique(group * (int(owner.max()) + 1) + owner[order])
-    often = np.bincount(both // (int(owner.max()) + 1), minlength=int(group[-1]) + 1)
-    starts = order[often[group] >= least]
-    edge = np.zeros(len(ids) + RUN + 1, np.int64)
-    edge[starts] += 1  # runs that go on are made of starts side by side
-    np.add.at(edge, starts + RUN, -1)
-    return np.cumsum(edge)[: len(ids)] > 0
+def _key(kind: str, *parts: str) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join((kind, *parts))) >> (64 - BITS) & ~1
 
 
-def repeated(pages: list[list[Block]]) -> list[list[int]]:
-    """Per block of each page: 0 if it is the page's own, 1 if the pages have it in
-    common, 2 if EDGE_PAGES of them have just this block."""
-    ids: dict[str, int] = {}
-    stream, ends = array("q"), []
-    spans: list[tuple[int, int, int, int]] = []
-    seen: dict[tuple, int] = {}
-    holders: dict[tuple[str, str], set[int]] = {}
-    for k, page in enumerate(pages):
-        key = tuple((b.tag, b.text) for b in page)
-        if key in seen:
-            continue
-        seen[key] = k
-        for n, block in enumerate(page):
-            holders.setdefault(key[n], set()).add(k)
-            words = [f"<{block.tag}>", *block.text.split(" ")]
-            spans.append((k, n, len(stream), len(stream) + len(words)))
-            stream.extend([ids.setdefault(w, len(ids)) for w in words])
+def _page_key(host: str, page: list[Block]) -> int:
+    """Odd, as no other key is."""
+    return _key("page", host, *(f"{b.tag}\0{b.text}" for b in page)) | 1
+
+
+def _block_keys(host: str, page: list[Block]) -> list[int]:
+    return [_key("block", host, b.tag, b.text) for b in page]
+
+
+def _run_keys(hosts: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    return mix(runs ^ hosts) >> np.uint64(64 - BITS) & ~np.uint64(1)
+
+
+def _host_hash(host: str) -> int:
+    return xxhash.xxh3_64_intdigest(host)
+
+
+class _Tokens(dict):
+    """Numbers of tokens, in turn."""
+
+    def __missing__(self, token: str) -> int:
+        value = self[token] = len(self)
+        return value
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self))
+
+    def of(self, page: list[Block]) -> tuple[list[int], list[int]]:
+        """Of a page's tokens, and where its blocks end among them."""
+        found: list[int] = []
+        ends = []
+        for block in page:
+            found.append(self[f"<{block.tag}>"])
+            found.extend(map(self.__getitem__, block.text.split(" ")))
+            ends.append(len(found))
+        return found, ends
+
+
+def tally(pages: list[tuple[str, list[Block]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of what distinct pages (host, blocks) hold, and how many of them hold each: runs
+    of RUN tokens, blocks, and the pages of a host; each page has a key of its own besides."""
+    counts: Counter[int] = Counter()
+    distinct: dict[int, tuple[str, list[Block]]] = {}
+    for host, page in pages:
+        distinct.setdefault(_page_key(host, page), (host, page))
+    tokens, stream, ends, hosts = _Tokens(), array("q"), [], []
+    for k, (host, page) in enumerate(sorted(distinct.values(), key=lambda p: p[0])):
+        counts[_key("pages", host)] += 1
+        counts.update(set(_block_keys(host, page)))
+        stream.extend(tokens.of(page)[0])
         stream.append(-1 - k)  # a page's own end: no run goes over it
         ends.append(len(stream))
-    out = [[0] * len(page) for page in pages]
-    if len(seen) < 2:
-        return out
-    least = max(2, min(MANY, int(np.ceil(SHARED_BY * len(seen)))))
+        hosts.append(_host_hash(host))
+    counts.update(distinct.keys())
+    keys = np.fromiter(counts.keys(), np.uint64, len(counts))
+    often = np.fromiter(counts.values(), np.int32, len(counts))
+    ids = np.frombuffer(stream, np.int64)
+    if len(ids) <= RUN:
+        return keys, often
     owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    covered = shared_places(np.frombuffer(stream, np.int64), owner, least)
-    total = np.append(0, np.cumsum(covered))
-    for k, n, start, end in spans:
-        block = pages[k][n]
-        often = len(holders[block.tag, block.text])
-        if often >= EDGE_PAGES:
-            out[k][n] = 2
-        elif end - start < RUN and often >= least:
-            out[k][n] = 1
-        elif total[end] - total[start] >= COVERED * (end - start):
-            out[k][n] = 1
-    for k, page in enumerate(pages):  # equal pages fare alike
-        out[k] = out[seen[tuple((b.tag, b.text) for b in page)]]
+    order, common = suffix_array(ids)
+    run = np.cumsum(common < RUN)  # suffixes that begin with the same run
+    whole = order + RUN < np.array(ends)[owner[order]]
+    order, run = order[whole], run[whole]
+    both, first = np.unique(run * len(ends) + owner[order], return_index=True)
+    if not len(both):
+        return keys, often
+    place = order[first]
+    host = np.array(hosts, np.uint64)[both % len(ends)]  # pages are in order of hosts
+    run = both // len(ends)
+    new = np.flatnonzero(np.append(True, (np.diff(run) != 0) | (host[1:] != host[:-1])))
+    marks = ids < 0
+    hashes = tokens.hashes()[np.where(marks, 0, ids)]
+    keys = np.append(keys, _run_keys(host[new], windows(hashes, RUN)[place[new]]))
+    return keys, np.append(often, np.diff(np.append(new, len(both))).astype(np.int32))
+
+
+def texts(pages: list[tuple[str, list[Block]]], held) -> list[str]:
+    """The text of each page, where ``held`` tells the counts of keys."""
+    every = [not any(b.depth >= ARTICLE and not b.out for b in page) for _, page in pages]
+    found = marks(pages, held, every)
+    return [chosen(page, common) for (_, page), common in zip(pages, found, strict=True)]
+
+
+def marks(pages: list[tuple[str, list[Block]]], held, every: list[bool]) -> list[list[int]]:
+    """Per block of each page: 0 if it is the page's own, 1 if the pages of its host have
+    it in common, 2 if EDGE_PAGES of them have just this block. Runs are looked up in the
+    pages marked in ``every`` alone, as others are not asked for what is common."""
+    tokens, keys = _Tokens(), []
+    streams = [tokens.of(page) if e else None for (_, page), e in zip(pages, every, strict=True)]
+    hashes = tokens.hashes()
+    for (host, page), stream in zip(pages, streams, strict=True):
+        keys.append(np.array([_key("pages", host), *_block_keys(host, page)], np.uint64))
+        if stream and len(stream[0]) >= RUN:
+            runs = windows(hashes[stream[0]], RUN)
+            keys.append(_run_keys(np.uint64(_host_hash(host)), runs))
+    counts = held(np.concatenate(keys)) if keys else []
+    out, at = [], 0
+    for (_, page), stream in zip(pages, streams, strict=True):
+        # a host's only page may have been left out of the counts: it shares nothing
+        least = max(2, min(MANY, int(np.ceil(SHARED_BY * counts[at]))))
+        often = counts[at + 1 : at + 1 + len(page)]
+        at += 1 + len(page)
+        found = np.where(often >= EDGE_PAGES, 2, 0)
+        if stream:
+            n = len(stream[0])
+            starts = max(0, n - RUN + 1)
+            edge = np.zeros(n + 1, np.int64)
+            edge[:starts] += counts[at : at + starts] >= least
+            edge[n + 1 - starts :] -= counts[at : at + starts] >= least
+            at += starts
+            total = np.append(0, np.cumsum(np.cumsum(edge[:n]) > 0))
+            ends = np.array([0, *stream[1]])
+            size, covered = np.diff(ends), np.diff(total[ends])
+            own = (size < RUN) & (often >= least) | (covered >= COVERED * size)
+            found[(found == 0) & own] = 1
+        out.append(found.tolist())
     return out
 
 
+def repeated(pages: list[list[Block]]) -> list[list[int]]:
+    """The marks of all pages of one host."""
+    mine = [("", page) for page in pages]
+    keys, often = tally(mine)
+    counts = dict(zip(keys.tolist(), often.tolist(), strict=True))
+
+    def held(some: np.ndarray) -> np.ndarray:
+        return np.array([counts.get(k, 0) for k in some.tolist()], np.int64)
+
+    return marks(mine, held, [True] * len(mine))
+
+
 def _is_line(block: Block) -> bool:
     """Whether a block may be a line of the site's: short, no heading and no sentence."""
     if block.tag in HEADS or len(block.text.split()) > EDGE_WORDS:
@@ -468,68 +552,218 @@ def chosen(page: list[Block], common: list[int]) -> str:
     return ""
 
 
+def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
+    return (keys >> np.uint64(BITS - 32)) * np.uint64(n) >> np.uint64(32)
+
+
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, each once, and its counts added up as far as 32 bits go."""
+    keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[new], np.clip(np.add.reduceat(counts, new), -(1 << 31), (1 << 31) - 1)
+
+
+COUNTS = "bucket long, first long, low binary, high binary, often binary"
+
+
+def _sent(found: list[tuple[np.ndarray, np.ndarray]], n: int) -> Iterator[pa.RecordBatch]:
+    """Counts by bucket, their keys in order as differences: the low 32 bits of these are
+    beyond compression, the rest are mostly alike."""
+    keys, counts = _summed(found)
+    bucket = _bucket(keys, n)
+    bounds = np.append(np.flatnonzero(np.diff(bucket, prepend=-1.0)), len(keys)).tolist()
+    step = np.diff(keys, prepend=keys[:1])
+    low = step.astype("<u4")  # modulo 2 ** 32
+    high, often = (step >> np.uint64(32)).astype("<u4"), counts.astype("<i4")
+    for some in range(0, len(bounds) - 1, 100):
+        cuts = list(zip(bounds[some : some + 100], bounds[some + 1 : some + 101], strict=False))
+        begins = [a for a, _ in cuts]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[begins].astype(np.int64)),
+                pa.array(keys[begins].astype(np.int64)),
+                pa.array([low[a:b].tobytes() for a, b in cuts], pa.binary()),
+                *(
+                    pa.array(
+                        [pa.compress(x[a:b].tobytes(), "zstd", asbytes=True) for a, b in cuts],
+                        pa.binary(),
+                    )
+                    for x in (high, often)
+                ),
+            ],
+            names=["bucket", "first", "low", "high", "often"],
+        )
+
+
+def _received(first: int, low: bytes, high: bytes, often: bytes) -> tuple[np.ndarray, np.ndarray]:
+    step = np.frombuffer(low, "<u4").astype(np.uint64)
+    size = 4 * len(step)
+    more = np.frombuffer(pa.decompress(high, size, "zstd"), "<u4").astype(np.uint64)
+    step |= more << np.uint64(32)
+    step[0] = first
+    counts = np.frombuffer(pa.decompress(often, size, "zstd"), "<i4")
+    return np.cumsum(step, dtype=np.uint64), counts
+
+
+def _added(counts: DataFrame, n: int, root: str, least: int | None) -> int:
+    """Add up counts and write the sums below ``root``, those of ``least`` or more if it is
+    given; how many pages were counted more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close() -> int:
+            keys, often = _summed(held)
+            held.clear()
+            if least is not None:
+                keys, often = keys[often >= least], often[often >= least]
+            put(uri(root, f"{at}.counts"), often.astype("<i4").tobytes())
+            put(uri(root, f"{at}.keys"), keys.astype("<u8").tobytes())
+            return int(((keys & np.uint64(1) == 1) & (often > 1)).sum())
+
+        at, held, copies = None, [], 0
+        for batch in batches:
+            names = ("bucket", "first", "low", "high", "often")
+            for bucket, *row in zip(*columns(batch, *names), strict=True):
+                if bucket != at and held:
+                    copies += close()
+                at = bucket
+                held.append(_received(*row))
+        if held:
+            copies += close()
+        yield pa.RecordBatch.from_pydict({"copies": pa.array([copies], pa.int64())})
+
+    dealt = counts.repartition(n, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "copies long").agg(F.sum("copies")).first()[0] or 0
+
+
+def _lookup(roots: list[str], n: int):
+    """What tells the counts of keys, added up over ``roots``."""
+
+    def held(keys: np.ndarray) -> np.ndarray:
+        some, back = np.unique(keys, return_inverse=True)
+        bucket = _bucket(some, n)
+        bounds = np.append(np.flatnonzero(np.diff(bucket, prepend=-1.0)), len(some)).tolist()
+        out = np.zeros(len(some), np.int64)
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            for root in roots:
+                there = mapped(uri(root, f"{bucket[begin]}.keys"), "<u8")
+                if len(there):
+                    counts = mapped(uri(root, f"{bucket[begin]}.counts"), "<i4")
+                    at = np.searchsorted(there, some[begin:end])
+                    at[at == len(there)] = 0
+                    same = there[at] == some[begin:end]
+                    out[begin:end] += np.where(same, counts[at], 0)
+        return out[back]
+
+    return held
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:
+    """Columns of rows with some GROUP_BYTES of html; html is the last column."""
+    rows, size = [], 0
+    for batch in batches:
+        for row in zip(*columns(batch, *names), strict=True):
+            rows.append(row)
+            size += len(row[-1])
+            if size >= GROUP_BYTES:
+                yield list(map(list, zip(*rows, strict=True)))
+                rows, size = [], 0
+    if rows:
+        yield list(map(list, zip(*rows, strict=True)))
+
+
+def _counted(rows: DataFrame, n: int, root: str) -> list[str]:
+    """Count what the pages of each host (host, html) hold, over all of them; where the
+    counts are. Equal pages that several chunks counted are taken back until they count once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for hosts, htmls in _chunks(batches, "host", "html"):
+            found.append(tally(list(zip(hosts, map(blocks, htmls), strict=True))))
+            size += len(found[-1][0])
+            if size >= GATHERED:
+                yield from _sent(found, n)
+                found, size = [], 0
+        if found:
+            yield from _sent(found, n)
+
+    whole, less = uri(root, "whole"), uri(root, "less")
+    if not _added(rows.mapInArrow(count, COUNTS), n, whole, 2):
+        return [whole]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _lookup([whole], n)
+        for hosts, htmls in _chunks(batches, "host", "html"):
+            pages = [_page_key(h, blocks(x)) for h, x in zip(hosts, htmls, strict=True)]
+            often = held(np.array(pages, np.uint64))
+            some = [k for k, x in enumerate(often.tolist()) if x > 1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([pages[k] for k in some], pa.int64()),
+                    pa.array(often[some], pa.int64()),
+                    pa.array([hosts[k] for k in some], pa.string()),
+                    pa.array([htmls[k] for k in some], pa.string()),
+                ],
+                names=["page", "often", "host", "html"],
+            )
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for often, hosts, htmls in _chunks(batches, "often", "host", "html"):
+            for times, host, html in zip(often, hosts, htmls, strict=True):
+                keys, counts = tally([(host, blocks(html))])
+                found.append((keys, counts * np.int32(1 - times)))
+                size += len(keys)
+            if size >= GATHERED:
+                yield from _sent(found, n)
+                found, size = [], 0
+        if found:
+            yield from _sent(found, n)
+
+    copies = rows.mapInArrow(find, "page long, often long, host string, html string")
+    _added(copies.dropDuplicates(["page"]).mapInArrow(take, COUNTS), n, less, None)
+    return [whole, less]
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html).
 
     NULL html and pages without text give an empty text; NULL urls are a host of their
-    own. Pages are dealt to groups by host and, where a host has more than GROUP_BYTES
-    bytes, by a hash of page_id; no page is left out of its group.
+    own. Pages stay where they are read: once to count what those of a host have in common,
+    once to take their texts. What two pages or more have is kept below the shared folder,
+    in buckets of hashes, and each task looks its pages' hashes up there.
     """
     spark = pages.sparkSession
     prepare(spark)
     host = F.lower(F.coalesce(F.regexp_extract("url", r"//([^/?#]+)", 1), F.lit("")))
     rows = pages.select(
-        "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host")
-    )
-    n_bytes = F.sum(F.octet_length("html"))
-    groups = F.greatest(F.lit(1), F.ceil(n_bytes / GROUP_BYTES))
-    hosts = stash(
-        rows.groupBy("host").agg(groups.alias("groups"), n_bytes.alias("n_bytes")), "hosts"
-    )
-    total = hosts.agg(F.sum("n_bytes")).first()[0] or 0
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // HTML_PER_TASK)
+        "page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html")
     )
-    large = hosts.filter("groups > 1").select("host", "groups")
-    if large.count() <= MOST_SENT:
-        large = F.broadcast(large)
-    group = F.pmod(F.xxhash64(F.col("page_id").cast("string")), F.coalesce("groups", F.lit(1)))
+    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // HTML_PER_TASK))
+    roots = _counted(rows.select("host", "html"), n, scratch_dir(spark, "main-text"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    dealt = (
-        rows.join(large, "host", "left")
-        .select("page_id", "url", "html", "host", group.alias("part"))
-        .repartition(tasks, "host", "part")
-        .sortWithinPartitions("host", "part", "page_id")
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(ids: list, urls: list, htmls: list) -> pa.RecordBatch:
-            found = [blocks(h) for h in htmls]
-            texts = [
-                chosen(page, common) for page, common in zip(found, repeated(found), strict=True)
-            ]
-            return pa.RecordBatch.from_arrays(
+        held, pa_kind = _lookup(roots, n), pa.int64()
+
+        def typed() -> Iterator[pa.RecordBatch]:
+            nonlocal pa_kind
+            for batch in batches:
+                pa_kind = batch.schema.field("page_id").type
+                yield batch
+
+        for ids, urls, hosts, htmls in _chunks(typed(), "page_id", "url", "host", "html"):
+            found = texts(list(zip(hosts, map(blocks, htmls), strict=True)), held)
+            yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa_kind),
                     pa.array(urls, pa.string()),
-                    pa.array(texts, pa.string()),
-                    pa.array(list(map(len, texts)), pa.int64()),
+                    pa.array(found, pa.string()),
+                    pa.array(list(map(len, found)), pa.int64()),
                 ],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-        at, held = None, ([], [], [])
-        pa_kind = pa.int64()
-        for batch in batches:
-            pa_kind = batch.schema.field("page_id").type
-            for row in zip(*columns(batch, "page_id", "url", "html", "host", "part"), strict=True):
-                if row[3:] != at and held[0]:
-                    yield solved(*held)
-                    held = ([], [], [])
-                at = row[3:]
-                for values, value in zip(held, row, strict=False):
-                    values.append(value)
-        if held[0]:
-            yield solved(*held)
-
-    return dealt.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
