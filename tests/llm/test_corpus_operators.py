@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import decontaminate, kneser_ney, main_text, ngram_join, token_files, warc
@@ -757,6 +758,22 @@ def test_words_encode_as_texts_do(library):
     assert encoder.encode(None) == b""
 
 
+def test_texts_are_encoded_together(library):
+    rng = random.Random(8)
+    parts = ["word", "Éa", "don't", "x1.", "end!)", "word.", "a\nb", "\n", "", "  ", "<|endoftext|>", "."]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(500)] + [None, ""]
+    encoder = token_files.Encoder(IDS)
+    whole = pa.array(["cut off", *texts, "cut off"])
+    for some in (whole[1:-1], whole[1:8], whole[:0]):
+        ids, counts = encoder.encode_all(some, [2])
+        want = [
+            [*library.encode(t or "", add_special_tokens=False).ids, 2] for t in some.to_pylist()
+        ]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert sorted(encoder.words) == ["end", "word", "Éa"]  # without their signs
+
+
 def test_token_files_give_back_what_was_written(spark, documents, library, monkeypatch):
     monkeypatch.setattr(token_files, "TEXT_PER_TASK", 100_000)
     monkeypatch.setattr(token_files, "IDS_PER_FILE", 20_000)

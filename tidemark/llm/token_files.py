@@ -13,12 +13,14 @@ all of them at once.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ ESCAPE = 15
 IDS_PER_FILE, TEXT_PER_TASK = 16_000_000, 32 << 20
 # Ids that are packed or unpacked together, a multiple of BLOCK.
 PACKED_AT_ONCE = 1 << 20
-# Words, and pieces of words, that a worker remembers.
-WORDS_KEPT, PIECES_KEPT = 400_000, 900_000
+# Words, and pieces of words, that a worker remembers; bytes of text encoded at once.
+WORDS_KEPT, PIECES_KEPT, TEXT_AT_ONCE = 1_200_000, 100_000, 4 << 20
 
 
 # --- the code ---------------------------------------------------------------------
@@ -152,31 +154,30 @@ class Packer:
         self.doc_ids: list[int] = []
         self.counts: list[int] = []
         self.n_ids = self.n_words = self.n_waiting = 0
-        self.waiting: list[bytes] = []
+        self.waiting: list[np.ndarray] = []
         self.words: list[bytes] = []
         self.starts: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
 
-    def add(self, doc_id: int, ids: bytes) -> None:
-        """``ids`` are little-endian 32-bit."""
-        n = len(ids) // 4
-        self.doc_ids.append(doc_id)
-        self.counts.append(n)
+    def add(self, doc_ids: list[int], counts: list[int], ids: np.ndarray) -> None:
+        """Documents, how many ids each has, and all of these, 32-bit."""
+        self.doc_ids.extend(doc_ids)
+        self.counts.extend(counts)
         self.waiting.append(ids)
-        self.n_ids += n
-        self.n_waiting += n
+        self.n_ids += len(ids)
+        self.n_waiting += len(ids)
         if self.n_waiting >= PACKED_AT_ONCE:
             self._pack(self.n_waiting // BLOCK * BLOCK)
 
     def _pack(self, n: int) -> None:
-        ids = np.frombuffer(b"".join(self.waiting), "<u4")
+        ids = np.concatenate([np.zeros(0, np.uint32), *self.waiting])
         for low in range(0, n, PACKED_AT_ONCE):
             words, starts, sizes = pack(ids[low : min(low + PACKED_AT_ONCE, n)])
             self.words.append(words.astype("<u8").tobytes())
             self.starts.append(starts + self.n_words)
             self.sizes.append(sizes)
             self.n_words += len(words)
-        self.waiting = [ids[n:].tobytes()]
+        self.waiting = [ids[n:].copy()]
         self.n_waiting -= n
 
     def close(self) -> bytes:
@@ -235,41 +236,56 @@ class _Pieces(dict):
         self.tokenize = model.tokenize
         self.letters = _byte_letters()
 
-    def __missing__(self, piece: str) -> bytes:
+    def found(self, piece: str) -> list[int]:
         letters = piece.encode().decode("latin-1").translate(self.letters)
-        ids = [token.id for token in self.tokenize(letters)]
+        return [token.id for token in self.tokenize(letters)]
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.found(piece)
         value = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return value
 
+    def of(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, CUT.findall(text)))
+
 
 class _Words(dict):
-    """Ids of words with a blank before them; None if white space stands beside it. A
-    word is remembered from its second time on: most rare words never come again."""
+    """Where the ids of words of letters alone, with a blank before them, and of the signs
+    after them are; -1 for other words. Place 0 has none."""
 
     def __init__(self, pieces: _Pieces):
         self.pieces = pieces
-
-    def __missing__(self, word: str) -> bytes | None:
-        core = word.rstrip(TAIL)
-        if core.isalpha():
-            piece = " " + core
-            value = self.pieces.get(piece)
-            seen = value is not None
-            if not seen:
-                value = self.pieces[piece]
-            if len(core) < len(word):
-                value += self.pieces[word[len(core) :]]
-            if not seen:
-                return value
-        elif not word or word[0].isspace() or word[-1].isspace():
-            value = None
+        self.blank = pieces.letters[ord(" ")]
+        self.empty()
+
+    def empty(self) -> None:
+        self.clear()
+        self.ids, self.ends = array("I"), array("q", [0])
+        self.signs: dict[str, int] = {}
+
+    def put(self, ids: list[int]) -> int:
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        return len(self.ends) - 1
+
+    def __missing__(self, word: str) -> int:
+        if not word.isalpha():
+            return -1
+        if word.isascii():  # these letters stand for themselves
+            ids = [token.id for token in self.pieces.tokenize(self.blank + word)]
         else:
-            value = self.pieces_of(" " + word)
-        self[word] = value
-        return value
+            ids = self.pieces.found(" " + word)
+        place = self[word] = self.put(ids)
+        return place
+
+    def after(self, signs: str) -> int:
+        if signs not in self.signs:
+            self.signs[signs] = self.put(self.pieces.found(signs))
+        return self.signs[signs]
+
 
-    def pieces_of(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 class Encoder:
@@ -278,8 +294,10 @@ class Encoder:
     A text that holds one of the vocabulary's added tokens, such as its end mark, is left
     to the library as a whole, which gives such a token its own id. In others the rule
     starts a new piece at every single blank between two words, so the ids of a text are
-    those of its words in turn; words and pieces are remembered.
-    Texts with blanks beside other white space are cut by the rule itself.
+    those of its words in turn: the distinct words of some texts are looked up, without the
+    signs that end them, and their ids gathered for all of these texts at once. Words and
+    pieces are remembered. Texts with blanks beside other white space are cut by the rule
+    itself.
     """
 
     def __init__(self, path: str):
@@ -292,22 +310,82 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
-        if not text:
-            return b""
-        if any(token in text for token in self.added):
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        for held, most in ((self.words, WORDS_KEPT), (self.pieces, PIECES_KEPT)):
-            if len(held) > most:
-                held.clear()
-        words = text.split(" ")
-        try:
-            ids = b"".join(map(self.words.__getitem__, islice(words, 1, None)))
-        except TypeError:  # a word without ids of its own
-            return self.words.pieces_of(text)
-        if words[0][-1:].isspace():
-            return self.words.pieces_of(text)
-        return self.words.pieces_of(words[0]) + ids
+        ids, _ = self.encode_all(pa.array([text], pa.string()), [])
+        return ids.astype("<u4").tobytes()
+
+    def _places(self, words: pa.Array, other: list[bytes]) -> np.ndarray:
+        """Two places of ids for each of distinct words; -1 for those with white space
+        beside them. The ids of words with other signs go to ``other``, whose places are
+        -2, -3 and so on."""
+        cores = pc.utf8_rtrim(words, characters=TAIL)
+        n_signs = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()
+        coded = cores.dictionary_encode()
+        known = map(self.words.__getitem__, _strings(coded.dictionary))
+        known = np.fromiter(known, np.int64, len(coded.dictionary))
+        out = np.zeros((len(words), 2), np.int64)
+        out[:, 0] = known[coded.indices.to_numpy()]
+        some = np.flatnonzero((out[:, 0] >= 0) & (n_signs > 0))
+        ends = pc.utf8_slice_codeunits(words.take(pa.array(some)), -1)
+        one = n_signs[some] == 1
+        last = ends.dictionary_encode()
+        signs = np.array([self.words.after(x) for x in _strings(last.dictionary)], np.int64)
+        out[some[one], 1] = signs[last.indices.to_numpy()[one]]
+        some = some[~one]
+        for k, word in zip(some.tolist(), _strings(words.take(pa.array(some))), strict=True):
+            out[k, 1] = self.words.after(word[-n_signs[k] :])
+        some = np.flatnonzero(out[:, 0] < 0)
+        for k, word in zip(some.tolist(), _strings(words.take(pa.array(some))), strict=True):
+            if word and not word[0].isspace() and not word[-1].isspace():
+                other.append(self.pieces.of(" " + word))
+                out[k, 0] = -1 - len(other)
+        return out
+
+    def encode_all(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """32-bit ids of all texts in turn, ``end`` after each, and how many each has."""
+        n = len(texts)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.words) > WORDS_KEPT:
+            self.words.empty()
+        if len(self.pieces) > PIECES_KEPT:
+            self.pieces.clear()
+        texts = pc.fill_null(texts, "")
+        words = pc.split_pattern(texts, " ")  # one at least
+        bounds = words.offsets.to_numpy()
+        first, words = bounds[:-1], words.flatten()
+        coded = words.dictionary_encode()
+        other: list[bytes] = []
+        place = self._places(coded.dictionary, other)[coded.indices.to_numpy()]
+        begins = _strings(words.take(pa.array(first)))
+        odd = place[:, 0] == -1
+        odd[first] = [w[-1:].isspace() for w in begins]
+        odd = np.logical_or.reduceat(odd, first)  # texts with a word without ids of its own
+        added = np.zeros(n, bool)
+        for token in self.added:
+            added |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        place[np.repeat(odd | added, np.diff(bounds))] = 0
+        # a text's first word, or all of the text
+        place[first, 0], place[first, 1] = -2 - len(other) - np.arange(n), 0
+        for k, begin in enumerate(begins):
+            if added[k]:
+                ids = self.library.encode(texts[k].as_py(), add_special_tokens=False).ids
+                other.append(struct.pack(f"<{len(ids)}I", *ids))
+            else:
+                other.append(self.pieces.of(texts[k].as_py() if odd[k] else begin))
+        other.append(struct.pack(f"<{len(end)}I", *end))
+        place = np.insert(place, bounds[1:], [-1 - len(other), 0], axis=0).reshape(-1)
+        known = len(self.words.ends)
+        place = np.where(place < 0, known - 2 - place, place)
+        size = np.append(
+            np.diff(np.array(self.words.ends), prepend=0),
+            np.fromiter(map(len, other), np.int64, len(other)) // 4,
+        )
+        sizes = size[place]
+        before = (np.cumsum(size) - size)[place] - (np.cumsum(sizes) - sizes)
+        more = np.frombuffer(b"".join(other), "<u4")
+        ids = np.append(np.array(self.words.ids, np.uint32), more.astype(np.uint32))
+        ids = ids[np.repeat(before, sizes) + np.arange(int(sizes.sum()))]
+        return ids, np.add.reduceat(sizes, 2 * (first + np.arange(n)))
 
 
 @cache
@@ -318,6 +396,16 @@ def encoder(path: str) -> Encoder:
 # --- files -----------------------------------------------------------------------
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, pa.Array]]:
+    """doc ids and texts, some TEXT_AT_ONCE bytes of text at a time."""
+    ids, texts = (batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "text"))
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // TEXT_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        yield ids[begin:end].to_pylist(), texts[begin:end]
+
+
 def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
     """Encode ``docs`` (doc_id long, text) and write the files below ``root``.
 
@@ -339,7 +427,6 @@ def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
         model = encoder(path)
-        end = np.array([end_id], "<u4").tobytes()
         packer, n_nulls, number = Packer(), 0, 0
 
         def close() -> pa.RecordBatch:
@@ -357,13 +444,21 @@ def write(docs: DataFrame, path: str, end_id: int, root: str) -> DataFrame:
             return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
-            ids, texts = columns(batch, "doc_id", "text")
-            for doc_id, blob in zip(ids, map(model.encode, texts), strict=True):
-                packer.add(0 if doc_id is None else doc_id, blob + end)
-                n_nulls += doc_id is None
-                if packer.n_ids >= IDS_PER_FILE:
-                    yield close()
-                    packer, n_nulls, number = Packer(), 0, number + 1
+            for doc_ids, texts in _slices(batch):
+                ids, counts = model.encode_all(texts, [end_id])
+                ends = np.append(0, np.cumsum(counts))
+                at = 0
+                while at < len(counts):
+                    room = IDS_PER_FILE - packer.n_ids
+                    to = min(len(counts), int(np.searchsorted(ends, ends[at] + room)))
+                    some = doc_ids[at:to]
+                    known = [0 if doc_id is None else doc_id for doc_id in some]
+                    packer.add(known, counts[at:to].tolist(), ids[ends[at] : ends[to]])
+                    n_nulls += some.count(None)
+                    at = to
+                    if packer.n_ids >= IDS_PER_FILE:
+                        yield close()
+                        packer, n_nulls, number = Packer(), 0, number + 1
         if packer.doc_ids:
             yield close()
 
