@@ -13,7 +13,15 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidemark.llm import decontaminate, kneser_ney, main_text, ngram_join, token_files, warc
+from tidemark.llm import (
+    common,
+    decontaminate,
+    kneser_ney,
+    main_text,
+    ngram_join,
+    token_files,
+    warc,
+)
 from tidemark.llm.common import crc_rest, opened, scratch_dir, uri, word_list
 from tidemark.llm.queries import SQL, vocabulary
 
@@ -186,6 +194,40 @@ def test_no_linked_pair_is_without_a_key():
             assert set(key[who == 0].tolist()) & set(key[who == 1].tolist())
 
 
+def test_shared_keys_are_found_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SLICES", 32)
+    monkeypatch.setattr(ngram_join, "SLICES_PER_TASK", 2)
+    rng = random.Random(5)
+    base = [rng.choices([f"w{k}" for k in range(300)], k=80) for _ in range(20)]
+    texts = [None, "", "one", "one"]
+    for k in range(3000):  # exact copies, near ones and single texts, in many batches
+        text = rng.choice(base) if k % 3 else rng.choices([f"v{k}" for k in range(900)], k=60)
+        texts.append(" ".join([*text, str(rng.randrange(9))] if k % 2 else text))
+    groups = ngram_join.Groups(80, 100)
+    sets = {ngram_join.set_id(s): s for s in ngram_join.sets_of(texts, 3) if len(s)}
+    key, who = ngram_join.keys_of(list(sets.values()), groups)
+    posters = defaultdict(set)
+    for x, k in zip(key.view(np.int64).tolist(), who.tolist(), strict=True):
+        posters[x].add(k)
+    docs = table(spark, enumerate(texts)).repartition(4)
+    before = spark.conf.get(common.ROWS_CONF)
+    spark.conf.set(common.ROWS_CONF, "100")
+    try:
+        rows = ngram_join.posted(docs, 3, groups).collect()
+        got = [r.key for r in ngram_join.shared_keys(ngram_join.posted(docs, 3, groups)).collect()]
+    finally:
+        spark.conf.set(common.ROWS_CONF, before)
+    # a row holds many keys: rows of one key each filled the memory of a task that groups them
+    assert len(rows) <= 32 * (len(texts) // 100 + 4) < len(posters) / 10
+    for r in rows:
+        assert len(r["keys"]) == len(r.marks) and max(Counter(r["keys"]).values()) <= 2
+    assert {x for r in rows for x in r["keys"]} == set(posters)
+    assert len(got) == len(set(got))
+    assert set(got) == {x for x, some in posters.items() if len(some) > 1}
+    none = ngram_join.posted(table(spark, []).limit(0), 3, groups)
+    assert ngram_join.shared_keys(none).collect() == []
+
+
 def test_sketches_rule_out_no_link():
     rng = random.Random(4)
     for num in (60, 80, 90):

@@ -19,6 +19,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,9 @@ from tidemark.session import scratch_dir
 BATCH_ROWS = 1000
 ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Distinct words a worker remembers before it starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 250_000
+# Bytes of texts that are worked on at once where every word makes several numbers.
+TEXT_AT_ONCE = 512 << 10
 
 
 def prepare(spark: SparkSession) -> None:
@@ -82,6 +85,18 @@ def word_list(text: str | None, lower: bool = True) -> list[bytes]:
     return (data.lower() if lower else data).split()
 
 
+_REMEMBERS: list[Callable[[], None]] = []
+
+
+def remembers(forget: Callable[[], None]) -> None:
+    """Say whose memory the task at hand uses: operators of a session share their workers,
+    and what the one before remembered is let go."""
+    if _REMEMBERS and _REMEMBERS[0] != forget:
+        _REMEMBERS.pop()()
+    if not _REMEMBERS:
+        _REMEMBERS.append(forget)
+
+
 class _Hashes(dict):
     def __missing__(self, word):
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -93,6 +108,7 @@ _HASHES = _Hashes()
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash per word."""
+    remembers(_HASHES.clear)
     if len(_HASHES) > WORDS_KEPT:
         _HASHES.clear()
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
@@ -189,6 +205,17 @@ def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
+def parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """A batch in stretches of rows that have TEXT_AT_ONCE bytes of one column, but for
+    what the last row goes beyond."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0)
+    sizes = sizes.to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // TEXT_AT_ONCE
+    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(low, high - low)
+
+
 def pooled(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.Table]:
     """Batches joined until they hold ``size`` bytes of one column."""
     held, n = [], 0

@@ -34,7 +34,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import apart, columns, mix, prepare, stash, windows, word_hashes, word_list
+from tidemark.llm.common import (
+    apart,
+    columns,
+    mix,
+    parts,
+    prepare,
+    stash,
+    windows,
+    word_hashes,
+    word_list,
+)
+from tidemark.session import shuffle_tasks
 
 # Fragments beyond those that may differ, at least; sets of MANY n-grams get so many that
 # empty ones do not use them up, but for chances of DEVIATIONS standard deviations.
@@ -48,6 +59,9 @@ SKETCH = 512
 # A bitmap of this size says which keys or sets are worth posting again. It only spares
 # work: what it lets through is joined exactly, and a full one lets all through.
 BITS = 1 << 25
+# Slices that all keys are cut into, at least, and for each task of a shuffle: a task
+# holds the keys of one at a time.
+SLICES, SLICES_PER_TASK = 4096, 16
 # Rows of ids that are sent to every task.
 MOST_SENT = 300_000
 
@@ -191,21 +205,66 @@ def bitmap(values: DataFrame, column: str) -> _Bitmap:
     return _Bitmap(words)
 
 
+def extremes(key: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in their order, with the least and the greatest mark of each."""
+    order = np.argsort(key, kind="stable")
+    key, mark = key[order], mark[order]
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    return key[first], np.minimum.reduceat(mark, first), np.maximum.reduceat(mark, first)
+
+
 def posted(docs: DataFrame, size: int, groups: Groups) -> DataFrame:
-    """(key, mark): every key of every set, each set once per batch. Two sets have the
-    same mark for a key with a chance of 2**-32, anew for every key they share."""
+    """(slice, keys, marks): every key of every set, a row per batch and slice of the keys,
+    and of a key's marks there the least and the greatest. Two sets have the same mark for
+    a key with a chance of 2**-32, anew for every key they share."""
+    slices = max(SLICES, SLICES_PER_TASK * shuffle_tasks(docs.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {set_id(s): s for s in sets_of(columns(batch, "text")[0], size) if len(s)}
-            ids = np.fromiter(found, np.int64, len(found))
-            key, who = keys_of(list(found.values()), groups)
-            mark = mix(ids[who].view(np.uint64) ^ key).astype(np.uint32).view(np.int32)
+            keys, marks = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+            for part in parts(batch, "text"):
+                found = {set_id(s): s for s in sets_of(columns(part, "text")[0], size) if len(s)}
+                ids = np.fromiter(found, np.int64, len(found))
+                key, who = keys_of(list(found.values()), groups)
+                mark = mix(ids[who].view(np.uint64) ^ key).astype(np.uint32).view(np.int32)
+                keys.append(key)
+                marks.append(mark)
+            key, least, most = extremes(np.concatenate(keys), np.concatenate(marks))
+            times = 1 + (least < most)
+            mark = np.repeat(least, times)
+            mark[np.cumsum(times) - 1] = most
+            key = np.repeat(key, times)
+            place = ((key >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
+            first = np.flatnonzero(np.diff(place.astype(np.int64), prepend=-1))
+            cuts = pa.array(np.append(first, len(key)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(mark)], names=["key", "mark"]
+                [
+                    pa.array(place[first].astype(np.int32)),
+                    pa.ListArray.from_arrays(cuts, pa.array(key.view(np.int64))),
+                    pa.ListArray.from_arrays(cuts, pa.array(mark)),
+                ],
+                names=["slice", "keys", "marks"],
             )
 
-    return docs.select("text").mapInArrow(run, "key long, mark int")
+    return docs.select("text").mapInArrow(run, "slice int, keys array<long>, marks array<int>")
+
+
+def shared_keys(posts: DataFrame) -> DataFrame:
+    """(key): the keys of ``posted`` that have two marks, each once.
+
+    Nearly all keys have one, so grouping rows of single keys would fill a task's memory
+    with groups of one; here it holds a slice of them, whose number grows with the tasks."""
+    sliced = posts.repartition("slice").sortWithinPartitions("slice")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in in_turn(batches):
+            keys, marks = (np.concatenate(lists_of(rows.column(c))) for c in ("keys", "marks"))
+            key, least, most = extremes(keys, marks)
+            yield pa.RecordBatch.from_arrays([pa.array(key[least < most])], names=["key"])
+
+    return sliced.mapInArrow(run, "key long")
 
 
 def identified(docs: DataFrame, size: int, groups: Groups, only: _Bitmap) -> DataFrame:
@@ -217,7 +276,7 @@ def identified(docs: DataFrame, size: int, groups: Groups, only: _Bitmap) -> Dat
     sent = docs.sparkSession.sparkContext.broadcast(only)  # BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(parts(b, "text") for b in batches):
             sets = sets_of(columns(batch, "text")[0], size)
             ids = [set_id(s) if len(s) else None for s in sets]
             own = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
@@ -304,7 +363,7 @@ def grams_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(hashed), "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(parts(b, "text") for b in batches):
             hit = sent.value.hits(batch.column(batch.schema.get_field_index("h")).to_numpy())
             some = batch.filter(pa.array(hit))
             found = {set_id(s): s for s in sets_of(columns(some, "text")[0], size) if len(s)}
@@ -368,6 +427,23 @@ def by_overlap(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return den * overlap >= num * (sizes[:, None] + sizes[None, :] - overlap)
 
 
+def in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each value of the first column, by which ``batches`` are sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        value = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1).tolist(), len(value)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if low == high:
+                continue
+            if held and held[-1].column(0)[0].as_py() != value[low]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def in_blocks(grouped: DataFrame, size: int, solve) -> DataFrame:
     """(a, b): ``solve(rows)`` for every two blocks of every group of ``grouped``.
 
@@ -390,19 +466,7 @@ def in_blocks(grouped: DataFrame, size: int, solve) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            task = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
-            for low, high in zip(cuts, cuts[1:], strict=False):
-                if low == high:
-                    continue
-                if held and held[-1].column(0)[0].as_py() != task[low]:
-                    yield solve(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                held.append(batch.slice(low, high - low))
-        if held:
-            yield solve(pa.Table.from_batches(held).combine_chunks())
+        yield from map(solve, in_turn(batches))
 
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -510,14 +574,7 @@ def classes(
     prepare(spark)
     groups = Groups(num, den)
     whole, docs = docs.select("doc_id", "text", *carried), docs.select("doc_id", "text")
-    shared = stash(
-        posted(docs, size, groups)
-        .groupBy("key")
-        .agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"))
-        .filter("lo < hi")
-        .select("key"),
-        "keys",
-    )
+    shared = stash(shared_keys(posted(docs, size, groups)), "keys")
     posts = stash(identified(whole, size, groups, bitmap(shared, "key")), "posts")
     base = posts.filter("key is null").drop("key")
     reps = stash(

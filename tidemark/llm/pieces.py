@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import columns, prepare
+from tidemark.llm.common import columns, prepare, remembers
 
 SPACE = "▁"
 # The kinds of pieces in a model file.
@@ -219,6 +219,10 @@ class Pieces:
             ids += self._backtracked("".join(known))
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.pairs.clear()
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self.begin + self.end
@@ -252,6 +256,7 @@ def coded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
+        remembers(model.forget)
         for batch in batches:
             ids = [model.encode(t) for t in columns(batch, "_text")[0]]
             yield pa.RecordBatch.from_arrays(
