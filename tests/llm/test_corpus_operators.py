@@ -19,6 +19,7 @@ from tidemark.llm import (
     kneser_ney,
     main_text,
     ngram_join,
+    pieces,
     token_files,
     warc,
 )
@@ -228,6 +229,28 @@ def test_shared_keys_are_found_in_slices(spark, monkeypatch):
     assert ngram_join.shared_keys(none).collect() == []
 
 
+def test_batches_are_worked_on_in_parts(monkeypatch):
+    monkeypatch.setattr(common, "TEXT_AT_ONCE", 5)
+    texts = ["abc", None, "defgh", "", "x" * 30, "ä", None]
+    batch = pa.record_batch({"id": list(range(7)), "text": texts})
+    got = [p.column(1).to_pylist() for p in common.parts(batch, "text")]
+    assert got == [texts[:3], texts[3:5], texts[5:6], texts[6:]]
+    assert list(common.parts(batch.slice(7), "text")) == []
+
+
+def test_workers_let_go_of_what_another_operator_remembered():
+    common.word_hashes([b"one", b"two"])
+    assert len(common._HASHES) >= 2
+    model = pieces.pieces(vocabulary("piece_bpe_32k.model"))
+    common.remembers(model.forget)
+    assert not common._HASHES
+    model.encode("three words here")
+    common.remembers(model.forget)
+    assert model.words
+    common.word_hashes([b"one"])
+    assert not model.words and not model.pairs and common._HASHES
+
+
 def test_sketches_rule_out_no_link():
     rng = random.Random(4)
     for num in (60, 80, 90):
